@@ -31,6 +31,14 @@ def significant(v: Column, digits: int = 4) -> Column:
     )
 
 
+def plain(v: Column) -> Column:
+    """Shortest digits without an exponent or a trailing ``.0``."""
+    short = v.cast("string")
+    wide = v.try_cast("decimal(38,16)").cast("string")
+    text = F.when(short.contains("E") & wide.isNotNull(), F.regexp_replace(wide, r"0+$", "")).otherwise(short)
+    return F.regexp_replace(text, r"\.0?$", "")
+
+
 def humanize(v: Column) -> Column:
     """Four significant digits with an SI prefix."""
     size = F.abs(v)

@@ -25,7 +25,8 @@ DAY = 24 * HOUR
 
 @dataclass(frozen=True)
 class Running:
-    """One running value: ``fold`` is ``sum``, ``max`` or ``last`` (non-null)."""
+    """One running value: ``fold`` is ``sum``, ``max``, ``last`` (last non-null
+    value so far) or ``next`` (value of the following row)."""
 
     fold: str
     expr: Column
@@ -82,6 +83,11 @@ def running(
             totals.append(F.max_by(v, position).alias(f"_t{i}"))
             carries[f"_c{i}"] = F.last(f"_t{i}", ignorenulls=True).over(by_block)
             combined[name] = F.coalesce(f"_l{i}", f"_c{i}")
+        elif spec.fold == "next":
+            local[f"_l{i}"] = F.lead(v).over(rows)
+            totals.append(F.min_by(v, F.struct(*[F.col(o) for o in order])).alias(f"_t{i}"))
+            carries[f"_c{i}"] = F.lead(f"_t{i}").over(Window.partitionBy("_key").orderBy("_block"))
+            combined[name] = F.coalesce(f"_l{i}", f"_c{i}")
         elif spec.fold == "max":
             local[f"_l{i}"] = F.max(v).over(frame)
             totals.append(F.max(v).alias(f"_t{i}"))

@@ -147,55 +147,63 @@ def _label_map(labels: Mapping[str, Column]) -> Column:
 
 
 def _scraped(df: DataFrame, labels: Mapping[str, Column], us: str, every: int) -> DataFrame:
-    """Rows tagged with their label map and the scrape that first sees them."""
+    """Rows tagged with their series and the scrape that first sees them."""
     return df.withColumns(
-        {"_labels": series_key(_label_map(labels)), "_at": (time_block(us, every) + 1) * F.lit(every)}
+        {"series": series_key(_label_map(labels)), "_at": (time_block(us, every) + 1) * F.lit(every)}
     )
 
 
-def _running_total(counts: DataFrame, metric: str, keys: Sequence[str], le: Column, every: int, until: Column | None) -> DataFrame:
-    """Interval counts to running totals. One row per series and interval, cut
-    into days all the same so that no series is bound to one task. A counter
-    keeps its value while nothing happens, so quiet scrapes repeat it, up to the
-    next change or ``until``."""
-    total = running(counts, keys, ["_at"], time_block("_at", DAY), {"value": Running("sum", F.col("_n"))})
-    back = total.withColumn("_back", -F.col("_at"))
-    after = {"_next": Running("last", F.col("_at"), inclusive=False)}
-    ahead = running(back, keys, ["_back"], time_block("_back", DAY), after)
-    end = F.lit(None).cast("long") if until is None else F.floor(until / every) * every
-    stop = F.greatest(F.coalesce(F.col("_next") - every, end, F.col("_at")), F.col("_at"))
-    return ahead.select(
-        F.explode(F.sequence(F.col("_at"), stop, F.lit(every).cast("long"))).alias("us"),
+def _sample(metric: str, le: Column, value: Column, name: str) -> list[Column]:
+    return [
         F.lit(metric).alias("metric"),
-        F.col("_labels").alias("series"),
+        F.col("series"),
         le.cast("double").alias("le"),
-        F.col("value").cast("double").alias("value"),
-    )
+        F.col("_at").alias("us"),
+        value.cast("double").alias(name),
+    ]
 
 
-def scrape_counter(
-    df: DataFrame, metric: str, labels: Mapping[str, Column], us: str, every: int, amount: Column | None = None, until: Column | None = None
+def counter_increments(
+    df: DataFrame, metric: str, labels: Mapping[str, Column], us: str, every: int, amount: Column | None = None
 ) -> DataFrame:
+    """Growth of a counter per series and scrape interval."""
     n = F.count(F.lit(1)) if amount is None else F.sum(amount)
-    counts = _scraped(df, labels, us, every).groupBy("_labels", "_at").agg(n.alias("_n"))
-    return _running_total(counts, metric, ["_labels"], F.lit(None), every, until)
+    counts = _scraped(df, labels, us, every).groupBy("series", "_at").agg(n.alias("_n"))
+    return counts.select(*_sample(metric, F.lit(None), F.col("_n"), "growth"))
 
 
-def scrape_histogram(
-    df: DataFrame, metric: str, labels: Mapping[str, Column], us: str, every: int, value: str, bounds: Sequence[float], until: Column | None = None
+def histogram_increments(
+    df: DataFrame, metric: str, labels: Mapping[str, Column], us: str, every: int, value: str
 ) -> DataFrame:
-    buckets = histogram(_scraped(df, labels, us, every), ["_labels", "_at"], value, bounds)
-    return _running_total(buckets.withColumnRenamed("bucket", "_n"), f"{metric}_bucket", ["_labels", "le"], F.col("le"), every, until)
+    buckets = histogram(_scraped(df, labels, us, every), ["series", "_at"], value, BOUNDS[metric])
+    return buckets.select(*_sample(f"{metric}_bucket", F.col("le"), F.col("bucket"), "growth"))
+
 
+def accumulate(increments: DataFrame, every: int, until: Column | None = None) -> DataFrame:
+    """Increments of any number of counters to scraped samples, in one scan.
 
-def scrape_gauge(
+    A counter keeps its value while nothing happens, so quiet scrapes repeat it
+    up to the next change, and up to ``until`` after the last one. A series has
+    one row per interval and is still cut into days, so that no series is bound
+    to one task.
+    """
+    total = running(
+        increments,
+        ["metric", "series", "le"],
+        ["us"],
+        time_block("us", DAY),
+        {"value": Running("sum", F.col("growth")), "_next": Running("next", F.col("us"))},
+    )
+    end = F.lit(None).cast("long") if until is None else F.floor(until / every) * every
+    stop = F.greatest(F.coalesce(F.col("_next") - every, end, F.col("us")), F.col("us"))
+    return total.select(
+        "metric", "series", "le", F.explode(F.sequence(F.col("us"), stop, F.lit(every).cast("long"))).alias("us"), "value"
+    )
+
+
+def gauge_samples(
     df: DataFrame, metric: str, labels: Mapping[str, Column], us: str, every: int, value: Column, order: Sequence[str]
 ) -> DataFrame:
-    last = latest(_scraped(df, labels, us, every), ["_labels", "_at"], value, order)
-    return last.select(
-        F.col("_at").alias("us"),
-        F.lit(metric).alias("metric"),
-        F.col("_labels").alias("series"),
-        F.lit(None).cast("double").alias("le"),
-        F.col("value").cast("double").alias("value"),
-    )
+    """Last value of each interval; a quiet interval has no sample."""
+    last = latest(_scraped(df, labels, us, every), ["series", "_at"], value, order)
+    return last.select(*_sample(metric, F.lit(None), F.col("value"), "value"))
