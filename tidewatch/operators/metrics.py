@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewatch.functions.labels import series_key
-from tidewatch.functions.scan import DAY, HOUR, Running, running, time_block
+from tidewatch.functions.scan import HOUR, Running, running, time_block
 
 # Histogram bounds per metric.
 BOUNDS: dict[str, list[float]] = {
@@ -142,21 +142,19 @@ def rolling_accuracy(
     )
 
 
-def _label_map(labels: Mapping[str, Column]) -> Column:
-    return F.create_map(*[x for name, c in labels.items() for x in (F.lit(name), c)])
+def _scraped(df: DataFrame, labels: Mapping[str, Column], us: str, every: int) -> tuple[DataFrame, list[str]]:
+    """Rows with their label values and the scrape that first sees them. Rows are
+    grouped by these columns; the series text is built after the grouping."""
+    named = {f"_label_{name}": value for name, value in labels.items()}
+    at = (time_block(us, every) + 1) * F.lit(every)
+    return df.withColumns({**named, "_at": at}), [*named, "_at"]
 
 
-def _scraped(df: DataFrame, labels: Mapping[str, Column], us: str, every: int) -> DataFrame:
-    """Rows tagged with their series and the scrape that first sees them."""
-    return df.withColumns(
-        {"series": series_key(_label_map(labels)), "_at": (time_block(us, every) + 1) * F.lit(every)}
-    )
-
-
-def _sample(metric: str, le: Column, value: Column, name: str) -> list[Column]:
+def _sample(metric: str, labels: Mapping[str, Column], le: Column, value: Column, name: str) -> list[Column]:
+    series = F.create_map(*[x for label in labels for x in (F.lit(label), F.col(f"_label_{label}"))])
     return [
         F.lit(metric).alias("metric"),
-        F.col("series"),
+        series_key(series).alias("series"),
         le.cast("double").alias("le"),
         F.col("_at").alias("us"),
         value.cast("double").alias(name),
@@ -168,34 +166,32 @@ def counter_increments(
 ) -> DataFrame:
     """Growth of a counter per series and scrape interval."""
     n = F.count(F.lit(1)) if amount is None else F.sum(amount)
-    counts = _scraped(df, labels, us, every).groupBy("series", "_at").agg(n.alias("_n"))
-    return counts.select(*_sample(metric, F.lit(None), F.col("_n"), "growth"))
+    rows, keys = _scraped(df, labels, us, every)
+    return rows.groupBy(*keys).agg(n.alias("_n")).select(*_sample(metric, labels, F.lit(None), F.col("_n"), "growth"))
 
 
 def histogram_increments(
     df: DataFrame, metric: str, labels: Mapping[str, Column], us: str, every: int, value: str
 ) -> DataFrame:
-    buckets = histogram(_scraped(df, labels, us, every), ["series", "_at"], value, BOUNDS[metric])
-    return buckets.select(*_sample(f"{metric}_bucket", F.col("le"), F.col("bucket"), "growth"))
+    rows, keys = _scraped(df, labels, us, every)
+    buckets = histogram(rows, keys, value, BOUNDS[metric])
+    return buckets.select(*_sample(f"{metric}_bucket", labels, F.col("le"), F.col("bucket"), "growth"))
 
 
 def accumulate(increments: DataFrame, every: int, until: Column | None = None) -> DataFrame:
-    """Increments of any number of counters to scraped samples, in one scan.
+    """Increments of any number of counters to scraped samples.
 
     A counter keeps its value while nothing happens, so quiet scrapes repeat it
-    up to the next change, and up to ``until`` after the last one. A series has
-    one row per interval and is still cut into days, so that no series is bound
-    to one task.
+    up to the next change, and up to ``until`` after the last one. The window
+    sees one row per series and scrape interval, however many log rows there
+    were, so its partitions are bounded by the covered time.
     """
-    total = running(
-        increments,
-        ["metric", "series", "le"],
-        ["us"],
-        time_block("us", DAY),
-        {"value": Running("sum", F.col("growth")), "_next": Running("next", F.col("us"))},
-    )
+    w = Window.partitionBy("metric", "series", "le").orderBy("us")
     end = F.lit(None).cast("long") if until is None else F.floor(until / every) * every
     stop = F.greatest(F.coalesce(F.col("_next") - every, end, F.col("us")), F.col("us"))
+    total = increments.withColumns(
+        {"value": F.sum("growth").over(w.rowsBetween(Window.unboundedPreceding, 0)), "_next": F.lead("us").over(w)}
+    )
     return total.select(
         "metric", "series", "le", F.explode(F.sequence(F.col("us"), stop, F.lit(every).cast("long"))).alias("us"), "value"
     )
@@ -205,5 +201,5 @@ def gauge_samples(
     df: DataFrame, metric: str, labels: Mapping[str, Column], us: str, every: int, value: Column, order: Sequence[str]
 ) -> DataFrame:
     """Last value of each interval; a quiet interval has no sample."""
-    last = latest(_scraped(df, labels, us, every), ["series", "_at"], value, order)
-    return last.select(*_sample(metric, F.lit(None), F.col("value"), "value"))
+    rows, keys = _scraped(df, labels, us, every)
+    return latest(rows, keys, value, order).select(*_sample(metric, labels, F.lit(None), F.col("value"), "value"))

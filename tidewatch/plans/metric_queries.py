@@ -153,12 +153,12 @@ def metric_session_duration(spark, sf_dir):
 
 @query("metric_agent_steps", "SELECT agent_name, count(*) AS value FROM agent_steps GROUP BY 1")
 def metric_agent_steps(spark, sf_dir):
-    return m.counter(views.agent_steps(spark, sf_dir), ["agent_name"])
+    return m.counter(views.agent_events(spark, sf_dir), ["agent_name"])
 
 
 @query("metric_step_duration", histogram_sql("agent_steps", "agent_name", "value / 10", "agent_step_duration_seconds"))
 def metric_step_duration(spark, sf_dir):
-    steps = views.agent_steps(spark, sf_dir).withColumn("v", F.col("value") / 10)
+    steps = views.agent_events(spark, sf_dir).withColumn("v", F.col("value") / 10)
     return _histogram(steps, ["agent_name"], "agent_step_duration_seconds")
 
 
@@ -167,7 +167,7 @@ def metric_step_duration(spark, sf_dir):
     "SELECT agent_name, tool_name, tool_status AS status, count(*) AS value FROM agent_steps WHERE tool_name IS NOT NULL GROUP BY 1, 2, 3",
 )
 def metric_tool_calls(spark, sf_dir):
-    calls = views.agent_steps(spark, sf_dir).where(F.col("tool_name").isNotNull())
+    calls = views.agent_events(spark, sf_dir).where(F.col("tool_name").isNotNull())
     return m.counter(calls.withColumnRenamed("tool_status", "status"), ["agent_name", "tool_name", "status"])
 
 
@@ -183,7 +183,7 @@ def metric_max_steps_reached(spark, sf_dir):
 def metric_hallucinations(spark, sf_dir):
     """Counts a caller-supplied guardrail flag on final answers."""
     flagged = (F.col("event_type") == "signup") & (F.col("k") >= 90)
-    return m.counter(views.agent_steps(spark, sf_dir).where(flagged), ["agent_name"])
+    return m.counter(views.agent_events(spark, sf_dir).where(flagged), ["agent_name"])
 
 
 @query(

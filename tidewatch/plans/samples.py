@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import reduce
+from functools import cache, reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ def _parts(spark: SparkSession, sf_dir: str, every: int) -> tuple[dict[str, list
     part = {"consumergroup": c("consumer_group"), "topic": c("topic"), "partition": c("part").cast("string")}
     status = F.when(event == "llm_inference_success", "success").when(event == "llm_rate_limited", "rate_limited").otherwise("error")
     ml_status = F.when(event == "ml_inference_success", "success").otherwise("error")
-    table = lambda name: getattr(views, name)(spark, sf_dir)
+    table = cache(lambda name: getattr(views, name)(spark, sf_dir))
     ok = lambda: table("genai_logs").where(event == "llm_inference_success")
     scored = lambda: table("ml_logs").where(event == "ml_inference_success")
 
@@ -39,7 +40,7 @@ def _parts(spark: SparkSession, sf_dir: str, every: int) -> tuple[dict[str, list
     def gauge(metric, rows, labels, value, order):
         return lambda: m.gauge_samples(rows(), metric, labels, "us", every, value, order)
 
-    tools = lambda: table("agent_steps").where(c("tool_name").isNotNull())
+    tools = lambda: table("agent_events").where(c("tool_name").isNotNull())
     looped = lambda: table("agent_sessions").where(c("status") == "max_steps_reached")
     limited = lambda: table("genai_logs").where(event == "llm_rate_limited")
     offsets = lambda: table("kafka_consumer_offsets")
@@ -56,7 +57,7 @@ def _parts(spark: SparkSession, sf_dir: str, every: int) -> tuple[dict[str, list
         "genai_rate_limit_hits_total": [count("genai_rate_limit_hits_total", limited, call)],
         "agent_sessions_total": [count("agent_sessions_total", sessions, {**agent, "status": c("status")}, "end_us")],
         "agent_session_duration_seconds_bucket": [spread("agent_session_duration_seconds", sessions, agent, seconds("duration_ms"), "end_us")],
-        "agent_steps_total": [count("agent_steps_total", lambda: table("agent_steps"), agent)],
+        "agent_steps_total": [count("agent_steps_total", lambda: table("agent_events"), agent)],
         "agent_tool_calls_total": [count("agent_tool_calls_total", tools, {**agent, "tool_name": c("tool_name"), "status": c("tool_status")})],
         "agent_max_steps_reached_total": [count("agent_max_steps_reached_total", looped, agent, "end_us")],
         "ml_inference_requests_total": [count("ml_inference_requests_total", lambda: table("ml_logs"), {**model, "status": ml_status})],
@@ -93,13 +94,28 @@ def derive_samples(spark: SparkSession, sf_dir: str, only: Iterable[str] | None
     return union(out)
 
 
-def sample_table(spark: SparkSession, sf_dir: str, only: Iterable[str] | None = None, every: int = EVERY) -> DataFrame:
-    """The samples as a table, one folder per metric, in the shared folder.
+_WRITTEN: dict[tuple[str, ...], str] = {}
 
-    Rules read a metric many times; a written table is read selectively and
-    survives the loss of executors. The rebalance gives a metric few files and
-    splits a large one.
+
+def stored(spark: SparkSession, name: str, source: str, build: Callable[[], DataFrame], by: str) -> DataFrame:
+    """A derived table in the shared folder, written once per application.
+
+    Later stages read it selectively, and the loss of an executor does not
+    bring its lineage back. The rebalance gives a part few files and splits a
+    large one.
     """
-    path = fresh_path(spark, "samples")
-    derive_samples(spark, sf_dir, only, every).hint("rebalance", F.col("metric")).write.partitionBy("metric").parquet(path)
+    key = (spark.sparkContext.applicationId, name, source)
+    if key in _WRITTEN:
+        try:
+            return spark.read.parquet(_WRITTEN[key])
+        except AnalysisException:
+            pass  # the folder was cleaned up
+    path = fresh_path(spark, name)
+    build().hint("rebalance", F.col(by)).write.partitionBy(by).parquet(path)
+    _WRITTEN[key] = path
     return spark.read.parquet(path)
+
+
+def sample_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All samples as a table with one folder per metric, as a scraper keeps them."""
+    return stored(spark, "samples", sf_dir, lambda: derive_samples(spark, sf_dir), "metric")

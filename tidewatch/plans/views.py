@@ -74,9 +74,10 @@ def derive_genai_logs(e: DataFrame) -> DataFrame:
     )
 
 
-def agent_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+def agent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agent steps before they are numbered."""
     kind, k = F.col("event_type"), F.col("k")
-    keyed = ev(spark, sf_dir).withColumns(
+    return ev(spark, sf_dir).withColumns(
         {
             "session_id": F.concat(
                 F.lit("session-"),
@@ -94,6 +95,10 @@ def agent_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise("success"),
         }
     )
+
+
+def agent_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = agent_events(spark, sf_dir)
     numbered = running_number(keyed, ["session_id"], ["us", "event_id"], time_block("us", HOUR), "step")
     return numbered.withColumn("step", F.col("step").cast("int")).drop("user_id")
 
@@ -102,8 +107,7 @@ def agent_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session roll-up; the step count is a row count, so no ordering is needed."""
     kind = F.col("event_type")
     failures = F.count_if(kind == "error")
-    steps = agent_steps(spark, sf_dir)
-    return steps.groupBy("session_id").agg(
+    return agent_events(spark, sf_dir).groupBy("session_id").agg(
         F.max("agent_name").alias("agent_name"),
         F.count(F.lit(1)).cast("int").alias("steps_taken"),
         F.min("us").alias("start_us"),
