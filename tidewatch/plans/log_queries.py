@@ -147,11 +147,11 @@ _search("looped", "status = 'max_steps_reached'", view="agent_logs", status="max
 _search("request", "request_id = 'req-100'", request_id="req-100")
 _search(
     "recent_errors",
-    "level = 'ERROR' AND ts > TIMESTAMP '2024-01-15 12:00:00' - INTERVAL 1 HOUR AND ts <= TIMESTAMP '2024-01-15 12:00:00'",
+    "level = 'ERROR' AND ts > TIMESTAMP '2024-01-15 15:00:00' - INTERVAL 1 HOUR AND ts <= TIMESTAMP '2024-01-15 15:00:00'",
     level="ERROR",
-    now="2024-01-15 12:00:00",
+    now="2024-01-15 15:00:00",
     within="1 hour",
-    end="2024-01-15 12:00:00",
+    end="2024-01-15 15:00:00",
 )
 
 

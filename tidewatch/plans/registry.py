@@ -51,4 +51,4 @@ def load_all() -> None:
         importlib.import_module(f"tidewatch.plans.{module}")
 
 
-MODULES = ["report_queries", "log_queries", "metric_queries", "series_queries", "alert_queries", "agent_queries", "model_queries"]
+MODULES = ["report_queries", "log_queries", "metric_queries", "series_queries", "alert_queries", "agent_queries", "model_queries", "stream_queries"]
