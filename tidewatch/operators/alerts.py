@@ -20,7 +20,7 @@ from tidewatch.functions.formatting import humanize, humanize_duration, humanize
 from tidewatch.functions.labels import labels_of, series_key, without
 from tidewatch.functions.scan import DAY, MICROS, islands
 from tidewatch.operators import timeseries as ts
-from tidewatch.operators.relabel import EXTERNAL_LABELS, keep_missing, label_map
+from tidewatch.operators.relabel import EXTERNAL_LABELS, keep_missing, label_map, upsert
 from tidewatch.plans.alert_rules import AVERAGE_KEEPS, RATIO_DROPS, RULES, Rule
 
 MAX_RULES = 10_000
@@ -56,7 +56,8 @@ def _selected(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     table = rule_table(samples.sparkSession, rules)
     read = samples.where(F.col("metric").isin(sorted({r.metric for r in rules})))
     joined = read.join(F.broadcast(table), "metric").withColumn("_labels", labels_of("series"))
-    return joined.where(matches(F.col("_labels"), F.col("matchers")) & ~F.isnan("value"))
+    wanted = F.col("matchers")
+    return joined.where(((F.size(wanted) == 0) | matches(F.col("_labels"), wanted)) & ~F.isnan("value"))
 
 
 RULE_COLUMNS = ["every_us", "scale", "shift", "op", "threshold"]
@@ -122,23 +123,36 @@ def evaluate_rules(
     return reduce(DataFrame.unionByName, parts)
 
 
-def _text(template: str, labels: Column, value: Column) -> Column:
-    """A rule text with labels and the formatted value filled in."""
-    formats = {"percentage": humanize_percentage, "duration": humanize_duration, "humanize": humanize, None: plain}
-    parts: list[Column] = []
+PARTS = "ARRAY<STRUCT<kind: STRING, text: STRING>>"
+
+
+def template_parts(template: str) -> list[tuple[str, str]]:
+    """A rule text cut into literals, labels (``$name``) and values
+    (``$value`` or ``$value|format``)."""
+    parts: list[tuple[str, str]] = []
     position = 0
     for found in re.finditer(r"\$(\w+)(?:\|(\w+))?", template):
         if found.start() > position:
-            parts.append(F.lit(template[position : found.start()]))
+            parts.append(("literal", template[position : found.start()]))
         name, kind = found.groups()
-        if name == "value":
-            parts.append(formats[kind](value))
-        else:
-            parts.append(F.coalesce(F.try_element_at(labels, F.lit(name)), F.lit("")))
+        parts.append(("value", kind or "plain") if name == "value" else ("label", name))
         position = found.end()
     if position < len(template):
-        parts.append(F.lit(template[position:]))
-    return F.concat(*parts) if parts else F.lit("")
+        parts.append(("literal", template[position:]))
+    return parts
+
+
+def fill(parts: Column, labels: Column, formatted: Column) -> Column:
+    """Text from its parts; an absent label is empty."""
+    return F.array_join(
+        F.transform(
+            parts,
+            lambda p: F.when(p["kind"] == "literal", p["text"])
+            .when(p["kind"] == "label", F.coalesce(F.try_element_at(labels, p["text"]), F.lit("")))
+            .otherwise(F.try_element_at(formatted, p["text"])),
+        ),
+        "",
+    )
 
 
 def alert_rows(
@@ -156,49 +170,55 @@ def alert_rows(
     """
     spark = evaluations.sparkSession
     runs = islands(evaluations, ["alertname", "series"], "eval_us", F.col("every_us"), block_us, ["value", "every_us"])
+    if len(rules) > MAX_RULES:
+        raise ValueError(f"{len(rules)} rules are more than the {MAX_RULES} that may be broadcast")
+    root = runbook_root.rstrip("/") if runbook_root else None
     hold = spark.createDataFrame(
-        [(r.name, r.hold * MICROS, r.severity, r.team, r.pipeline or None) for r in rules],
-        "alertname STRING, hold_us BIGINT, severity STRING, team STRING, pipeline STRING",
+        [
+            (
+                r.name, r.hold * MICROS, r.severity, r.team, r.pipeline or None, template_parts(r.summary),
+                template_parts(r.description), f"{root}/{r.runbook}" if root and r.runbook else None,
+            )
+            for r in rules
+        ],
+        "alertname STRING, hold_us BIGINT, severity STRING, team STRING, pipeline STRING, "
+        f"summary {PARTS}, description {PARTS}, runbook_url STRING",
     )
     every = F.col("last_every_us")
     fires = F.col("start_us") + F.ceil(F.col("hold_us") / every) * every
-    labels = F.map_concat(
-        F.map_filter(F.coalesce(labels_of("series"), label_map({})), lambda k, _: ~k.isin("alertname", "severity", "team", "pipeline")),
-        label_map({}) if not rules else F.map_filter(
-            F.create_map(
-                F.lit("alertname"), F.col("alertname"), F.lit("severity"), F.col("severity"),
-                F.lit("team"), F.col("team"), F.lit("pipeline"), F.col("pipeline"),
-            ),
-            lambda _, v: v.isNotNull(),
-        ),
+    own = F.create_map(
+        F.lit("alertname"), F.col("alertname"), F.lit("severity"), F.col("severity"),
+        F.lit("team"), F.col("team"), F.lit("pipeline"), F.col("pipeline"),
+    )
+    value = F.col("last_value")
+    formatted = F.create_map(
+        F.lit("plain"), plain(value), F.lit("humanize"), humanize(value),
+        F.lit("percentage"), humanize_percentage(value), F.lit("duration"), humanize_duration(value),
+    )
+    fired = F.col("firing_us").isNotNull()
+    labelled = (
+        runs.join(F.broadcast(hold), "alertname")
+        .withColumns({"_series": F.coalesce(labels_of("series"), label_map({})), "_values": formatted})
+        .withColumn("labels", upsert(F.col("_series"), F.map_filter(own, lambda _, v: v.isNotNull())))
+        .withColumn("firing_us", F.when(fires <= F.col("end_us"), fires))
     )
-    rows = runs.join(F.broadcast(hold), "alertname").select(
+    return labelled.select(
         "alertname",
         "series",
-        labels.alias("labels"),
+        "labels",
         "severity",
         "team",
-        F.coalesce("pipeline", F.try_element_at(labels_of("series"), F.lit("pipeline"))).alias("pipeline"),
-        F.try_element_at(labels_of("series"), F.lit("service")).alias("service"),
+        F.try_element_at("labels", F.lit("pipeline")).alias("pipeline"),
+        F.try_element_at("_series", F.lit("service")).alias("service"),
         F.col("start_us").alias("active_us"),
-        F.when(fires <= F.col("end_us"), fires).alias("firing_us"),
+        "firing_us",
         (F.col("end_us") + every).alias("resolved_us"),
-        F.col("last_value").alias("value"),
-        F.when(fires <= F.col("end_us"), "firing").otherwise("pending").alias("state"),
+        value.alias("value"),
+        F.when(fired, "firing").otherwise("pending").alias("state"),
+        fill(F.col("summary"), F.col("labels"), F.col("_values")).alias("summary"),
+        fill(F.col("description"), F.col("labels"), F.col("_values")).alias("description"),
+        "runbook_url",
     )
-    texts = {
-        "summary": [(r.name, _text(r.summary, F.col("labels"), F.col("value"))) for r in rules],
-        "description": [(r.name, _text(r.description, F.col("labels"), F.col("value"))) for r in rules],
-        "runbook_url": [(r.name, F.lit(f"{runbook_root.rstrip('/')}/{r.runbook}")) for r in rules if runbook_root and r.runbook],
-    }
-    return rows.withColumns({name: _by_rule(branches) for name, branches in texts.items()})
-
-
-def _by_rule(branches: Sequence[tuple[str, Column]]) -> Column:
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
-    for name, text in branches:
-        out = out.when(F.col("alertname") == name, text)
-    return out
 
 
 def outgoing(alerts: DataFrame, external: dict[str, str] = EXTERNAL_LABELS) -> DataFrame:

@@ -9,6 +9,7 @@ so running totals see one row per interval and not the log rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -142,43 +143,62 @@ def rolling_accuracy(
     )
 
 
-def _scraped(df: DataFrame, labels: Mapping[str, Column], us: str, every: int) -> tuple[DataFrame, list[str]]:
-    """Rows with their label values and the scrape that first sees them. Rows are
-    grouped by these columns; the series text is built after the grouping."""
-    named = {f"_label_{name}": value for name, value in labels.items()}
-    at = (time_block(us, every) + 1) * F.lit(every)
-    return df.withColumns({**named, "_at": at}), [*named, "_at"]
+@dataclass(frozen=True)
+class Count:
+    """A counter: ``amount`` is added per row (NULL adds nothing)."""
 
+    metric: str
+    labels: Mapping[str, Column]
+    amount: Column
 
-def _sample(metric: str, labels: Mapping[str, Column], le: Column, value: Column, name: str) -> list[Column]:
-    series = F.create_map(*[x for label in labels for x in (F.lit(label), F.col(f"_label_{label}"))])
-    return [
-        F.lit(metric).alias("metric"),
-        series_key(series).alias("series"),
-        le.cast("double").alias("le"),
-        F.col("_at").alias("us"),
-        value.cast("double").alias(name),
-    ]
 
+@dataclass(frozen=True)
+class Spread:
+    """A histogram: ``value`` is observed per row (NULL is not observed)."""
 
-def counter_increments(
-    df: DataFrame, metric: str, labels: Mapping[str, Column], us: str, every: int, amount: Column | None = None
-) -> DataFrame:
-    """Growth of a counter per series and scrape interval."""
-    n = F.count(F.lit(1)) if amount is None else F.sum(amount)
-    rows, keys = _scraped(df, labels, us, every)
-    return rows.groupBy(*keys).agg(n.alias("_n")).select(*_sample(metric, labels, F.lit(None), F.col("_n"), "growth"))
+    metric: str
+    labels: Mapping[str, Column]
+    value: Column
 
 
-def histogram_increments(
-    df: DataFrame, metric: str, labels: Mapping[str, Column], us: str, every: int, value: str
-) -> DataFrame:
-    rows, keys = _scraped(df, labels, us, every)
-    buckets = histogram(rows, keys, value, BOUNDS[metric])
-    return buckets.select(*_sample(f"{metric}_bucket", labels, F.col("le"), F.col("bucket"), "growth"))
+def _series(labels: Mapping[str, Column]) -> Column:
+    return series_key(F.create_map(*[x for name, c in labels.items() for x in (F.lit(name), c)]))
+
+
+def _scrape_time(us: str, every: int) -> Column:
+    """The scrape that first sees a row."""
+    return ((time_block(us, every) + 1) * F.lit(every)).alias("us")
 
 
-def accumulate(increments: DataFrame, every: int, until: Column | None = None) -> DataFrame:
+def increments(
+    df: DataFrame, dims: Mapping[str, Column], us: str, every: int, metrics: Sequence[Count | Spread]
+) -> DataFrame:
+    """Growth per series and scrape interval of all metrics of one log table.
+
+    The logs are read once and combined to ``dims`` and interval, map-side
+    first; the metrics are then taken from that small table. ``labels`` are
+    expressions over the names in ``dims``.
+    """
+    sums, cells = [], []
+    for i, spec in enumerate(metrics):
+        series = _series(spec.labels)
+        cell = lambda le, growth, name, text: F.struct(
+            F.lit(name).alias("metric"), text.alias("series"), F.lit(le).cast("double").alias("le"), growth.cast("double").alias("growth")
+        )
+        if isinstance(spec, Count):
+            sums.append(F.sum(spec.amount).alias(f"_c{i}"))
+            cells.append(F.when(F.col(f"_c{i}").isNotNull(), cell(None, F.col(f"_c{i}"), spec.metric, series)))
+            continue
+        edges = [*map(float, BOUNDS[spec.metric]), float("inf")]
+        sums += [F.count_if(spec.value <= e).alias(f"_s{i}_{k}") for k, e in enumerate(edges)]
+        seen = F.col(f"_s{i}_{len(edges) - 1}") > 0
+        cells += [F.when(seen, cell(e, F.col(f"_s{i}_{k}"), f"{spec.metric}_bucket", series)) for k, e in enumerate(edges)]
+    wide = df.groupBy(*[c.alias(n) for n, c in dims.items()], _scrape_time(us, every)).agg(*sums)
+    long = wide.select("us", F.inline(F.array_compact(F.array(*cells))))
+    return long.groupBy("metric", "series", "le", "us").agg(F.sum("growth").alias("growth"))
+
+
+def accumulate(growth: DataFrame, every: int, until: Column | None = None) -> DataFrame:
     """Increments of any number of counters to scraped samples.
 
     A counter keeps its value while nothing happens, so quiet scrapes repeat it
@@ -189,7 +209,7 @@ def accumulate(increments: DataFrame, every: int, until: Column | None = None) -
     w = Window.partitionBy("metric", "series", "le").orderBy("us")
     end = F.lit(None).cast("long") if until is None else F.floor(until / every) * every
     stop = F.greatest(F.coalesce(F.col("_next") - every, end, F.col("us")), F.col("us"))
-    total = increments.withColumns(
+    total = growth.withColumns(
         {"value": F.sum("growth").over(w.rowsBetween(Window.unboundedPreceding, 0)), "_next": F.lead("us").over(w)}
     )
     return total.select(
@@ -201,5 +221,10 @@ def gauge_samples(
     df: DataFrame, metric: str, labels: Mapping[str, Column], us: str, every: int, value: Column, order: Sequence[str]
 ) -> DataFrame:
     """Last value of each interval; a quiet interval has no sample."""
-    rows, keys = _scraped(df, labels, us, every)
-    return latest(rows, keys, value, order).select(*_sample(metric, labels, F.lit(None), F.col("value"), "value"))
+    names = [f"_label_{n}" for n in labels]
+    at = _scrape_time(us, every)
+    last = df.groupBy(*[c.alias(n) for n, c in zip(names, labels.values())], at).agg(
+        F.max_by(value, F.struct(*order)).cast("double").alias("value")
+    )
+    series = _series({label: F.col(n) for label, n in zip(labels, names)})
+    return last.select(F.lit(metric).alias("metric"), series.alias("series"), F.lit(None).cast("double").alias("le"), "us", "value")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import cache, reduce
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,78 +17,79 @@ from tidewatch.session import fresh_path
 EVERY = HOUR
 
 
-def _parts(spark: SparkSession, sf_dir: str, every: int) -> tuple[dict[str, list[Callable]], dict[str, list[Callable]]]:
-    """Builders of counter growth and of gauges, by metric name."""
-    c = F.col
-    event = c("event")
+def _growth(spark: SparkSession, sf_dir: str, every: int, wanted: set[str]) -> list[DataFrame]:
+    """Counter growth, one pass per log table."""
+    c, lit = F.col, F.lit
+    one = lambda condition=None: lit(1) if condition is None else F.when(condition, 1)
     call = {"service": c("service"), "model": c("model")}
-    agent = {"service": F.lit("agentic-pipeline"), "agent_name": c("agent_name")}
-    model = {"service": c("service"), "model_name": F.lit(m.MODEL_NAME), "model_version": c("model_version")}
+    agent = {"service": lit("agentic-pipeline"), "agent_name": c("agent_name")}
+    model = {"service": c("service"), "model_name": lit(m.MODEL_NAME), "model_version": c("model_version")}
+    event = c("event")
+    ok, limited, scored = event == "llm_inference_success", event == "llm_rate_limited", event == "ml_inference_success"
+    status = F.when(ok, "success").when(limited, "rate_limited").otherwise("error")
+    same = lambda *names: {n: c(n) for n in names}
+    tables = [
+        ("genai_logs", "us", same("service", "model", "event"), [
+            m.Count("genai_requests_total", {**call, "status": status}, one()),
+            m.Count("genai_tokens_total", {**call, "type": lit("input")}, F.when(ok, c("input_tokens"))),
+            m.Count("genai_tokens_total", {**call, "type": lit("output")}, F.when(ok, c("output_tokens"))),
+            m.Count("genai_rate_limit_hits_total", call, one(limited)),
+            m.Spread("genai_request_duration_seconds", call, F.when(ok, c("latency_ms") / 1000)),
+        ]),
+        ("agent_sessions", "end_us", same("agent_name", "status"), [
+            m.Count("agent_sessions_total", {**agent, "status": c("status")}, one()),
+            m.Count("agent_max_steps_reached_total", agent, one(c("status") == "max_steps_reached")),
+            m.Spread("agent_session_duration_seconds", agent, c("duration_ms") / 1000),
+        ]),
+        ("agent_events", "us", same("agent_name", "tool_name", "tool_status"), [
+            m.Count("agent_steps_total", agent, one()),
+            m.Count("agent_tool_calls_total", {**agent, "tool_name": c("tool_name"), "status": c("tool_status")}, one(c("tool_name").isNotNull())),
+        ]),
+        ("ml_logs", "us", same("service", "model_version", "event"), [
+            m.Count("ml_inference_requests_total", {**model, "status": F.when(scored, "success").otherwise("error")}, one()),
+            m.Spread("ml_inference_duration_seconds", model, F.when(scored, c("latency_ms") / 1000)),
+            m.Spread("ml_prediction_confidence", model, F.when(scored, c("confidence"))),
+        ]),
+    ]
+    out = []
+    for name, us, dims, specs in tables:
+        kept = [s for s in specs if s.metric in wanted or f"{s.metric}_bucket" in wanted or not wanted]
+        if kept:
+            out.append(m.increments(getattr(views, name)(spark, sf_dir), dims, us, every, kept))
+    return out
+
+
+def _levels(spark: SparkSession, sf_dir: str, every: int, wanted: set[str]) -> list[DataFrame]:
+    """Gauges."""
+    c = F.col
     part = {"consumergroup": c("consumer_group"), "topic": c("topic"), "partition": c("part").cast("string")}
-    status = F.when(event == "llm_inference_success", "success").when(event == "llm_rate_limited", "rate_limited").otherwise("error")
-    ml_status = F.when(event == "ml_inference_success", "success").otherwise("error")
-    table = cache(lambda name: getattr(views, name)(spark, sf_dir))
-    ok = lambda: table("genai_logs").where(event == "llm_inference_success")
-    scored = lambda: table("ml_logs").where(event == "ml_inference_success")
-
-    def count(metric, rows, labels, us="us", amount=None):
-        return lambda: m.counter_increments(rows(), metric, labels, us, every, amount)
-
-    def spread(metric, rows, labels, value, us="us"):
-        return lambda: m.histogram_increments(rows().withColumn("_v", value), metric, labels, us, every, "_v")
-
-    def gauge(metric, rows, labels, value, order):
-        return lambda: m.gauge_samples(rows(), metric, labels, "us", every, value, order)
-
-    tools = lambda: table("agent_events").where(c("tool_name").isNotNull())
-    looped = lambda: table("agent_sessions").where(c("status") == "max_steps_reached")
-    limited = lambda: table("genai_logs").where(event == "llm_rate_limited")
-    offsets = lambda: table("kafka_consumer_offsets")
-    sessions = lambda: table("agent_sessions")
-    tokens = "genai_tokens_total"
-    seconds = lambda ms: c(ms) / 1000
-    growth = {
-        "genai_requests_total": [count("genai_requests_total", lambda: table("genai_logs"), {**call, "status": status})],
-        "genai_request_duration_seconds_bucket": [spread("genai_request_duration_seconds", ok, call, seconds("latency_ms"))],
-        tokens: [
-            count(tokens, ok, {**call, "type": F.lit("input")}, amount=c("input_tokens")),
-            count(tokens, ok, {**call, "type": F.lit("output")}, amount=c("output_tokens")),
-        ],
-        "genai_rate_limit_hits_total": [count("genai_rate_limit_hits_total", limited, call)],
-        "agent_sessions_total": [count("agent_sessions_total", sessions, {**agent, "status": c("status")}, "end_us")],
-        "agent_session_duration_seconds_bucket": [spread("agent_session_duration_seconds", sessions, agent, seconds("duration_ms"), "end_us")],
-        "agent_steps_total": [count("agent_steps_total", lambda: table("agent_events"), agent)],
-        "agent_tool_calls_total": [count("agent_tool_calls_total", tools, {**agent, "tool_name": c("tool_name"), "status": c("tool_status")})],
-        "agent_max_steps_reached_total": [count("agent_max_steps_reached_total", looped, agent, "end_us")],
-        "ml_inference_requests_total": [count("ml_inference_requests_total", lambda: table("ml_logs"), {**model, "status": ml_status})],
-        "ml_inference_duration_seconds_bucket": [spread("ml_inference_duration_seconds", scored, model, seconds("latency_ms"))],
-        "ml_prediction_confidence_bucket": [spread("ml_prediction_confidence", scored, model, c("confidence"))],
-    }
+    topic = {k: part[k] for k in ("topic", "partition")}
+    call = {"service": c("service"), "model": c("model")}
+    model = {"service": c("service"), "model_name": F.lit(m.MODEL_NAME)}
     trained = F.floor(c("us") / DAY) * 86_400
-    gauges = {
-        "genai_context_window_utilization": [gauge("genai_context_window_utilization", ok, call, c("ctx_utilization"), ["us", "request_id"])],
-        "kafka_consumergroup_lag": [gauge("kafka_consumergroup_lag", offsets, part, c("lag"), ["us", "log_end_offset"])],
-        "kafka_topic_partition_current_offset": [
-            gauge("kafka_topic_partition_current_offset", offsets, {k: part[k] for k in ("topic", "partition")}, c("log_end_offset"), ["us", "log_end_offset"])
-        ],
-        "ml_last_training_completed_timestamp": [
-            gauge("ml_last_training_completed_timestamp", lambda: table("ml_logs"), {k: model[k] for k in ("service", "model_name")}, trained, ["us", "transaction_id"])
-        ],
-    }
-    return growth, gauges
-
-
-def derive_samples(spark: SparkSession, sf_dir: str, only: Iterable[str] | None = None, every: int = EVERY) -> DataFrame:
+    ok = "event = 'llm_inference_success'"
+    gauges = [
+        ("genai_context_window_utilization", "genai_logs", ok, call, c("ctx_utilization"), ["us", "request_id"]),
+        ("kafka_consumergroup_lag", "kafka_consumer_offsets", "true", part, c("lag"), ["us", "log_end_offset"]),
+        ("kafka_topic_partition_current_offset", "kafka_consumer_offsets", "true", topic, c("log_end_offset"), ["us", "log_end_offset"]),
+        ("ml_last_training_completed_timestamp", "ml_logs", "true", model, trained, ["us", "transaction_id"]),
+    ]
+    return [
+        m.gauge_samples(getattr(views, table)(spark, sf_dir).where(rows), metric, labels, "us", every, value, order)
+        for metric, table, rows, labels, value, order in gauges
+        if metric in wanted or not wanted
+    ]
+
+
+def derive_samples(spark: SparkSession, sf_dir: str, only: Iterable[str] = (), every: int = EVERY) -> DataFrame:
     """``metric, series, le, us, value``; all derivable metrics, or ``only`` some."""
-    growth, gauges = _parts(spark, sf_dir, every)
-    wanted = set(growth) | set(gauges) if only is None else set(only)
-    build = lambda table: [make() for name, makers in table.items() if name in wanted for make in makers]
+    wanted = set(only)
     union = lambda parts: reduce(DataFrame.unionByName, parts)
-    counters, levels = build(growth), build(gauges)
+    growth, levels = _growth(spark, sf_dir, every, wanted), _levels(spark, sf_dir, every, wanted)
     out = []
-    if counters:
+    if growth:
         horizon = views.ev(spark, sf_dir).agg(F.max("us") + every).scalar()
-        out.append(m.accumulate(union(counters), every, horizon))
+        out.append(m.accumulate(union(growth), every, horizon))
     if levels:
         out.append(union(levels))
     return union(out)

@@ -103,7 +103,7 @@ HOLD = 2 * HOUR
 
 @query(
     "stream_alert_states",
-    f"""WITH e AS (SELECT event_type AS alertname, (CAST(floor(us / {HOUR}) AS BIGINT) + 1) * {HOUR} AS eval_us, avg(value) > 245 AS hit FROM ev GROUP BY 1, 2),
+    f"""WITH e AS (SELECT event_type AS alertname, (CAST(floor(us / {HOUR}) AS BIGINT) + 1) * {HOUR} AS eval_us, avg(value) > 40 AS hit FROM ev GROUP BY 1, 2),
 seen AS (SELECT alertname, max(eval_us) AS last_us FROM e GROUP BY 1),
 o AS (SELECT *, CASE WHEN eval_us - lag(eval_us) OVER w <= {HOUR} THEN 0 ELSE 1 END AS opens FROM e WHERE hit WINDOW w AS (PARTITION BY alertname ORDER BY eval_us)),
 n AS (SELECT *, sum(opens) OVER (PARTITION BY alertname ORDER BY eval_us) AS i FROM o),
@@ -117,7 +117,7 @@ def stream_alert_states(spark, sf_dir):
     """The pending, firing and resolved states of hourly conditions."""
     hourly = views.ev(spark, sf_dir).groupBy(
         F.col("event_type").alias("alertname"), ((F.floor(F.col("us") / HOUR) + 1) * HOUR).alias("eval_us")
-    ).agg((F.avg("value") > 245).alias("active"), F.avg("value").alias("value"))
+    ).agg((F.avg("value") > 40).alias("active"), F.avg("value").alias("value"))
     evaluations = hourly.select(
         "alertname", F.lit("all").alias("series"), "eval_us", "active", "value", F.lit(HOUR).alias("every_us"), F.lit(HOLD).alias("hold_us"),
         F.timestamp_micros("eval_us").alias("eval_ts"),
