@@ -11,7 +11,9 @@ SMALL = ["", "m", "u", "n", "p", "f", "a", "z", "y"]
 
 
 def significant(v: Column, digits: int = 4) -> Column:
-    """``%.4g`` for values whose magnitude is from 0.0001 up to 10000."""
+    """Four significant digits, no trailing zeros; an exponent outside 1e-4..1e4.
+
+    A tie is judged on the shortest decimal form of the number and rounds up."""
     size = F.when(v == 0, F.lit(0)).otherwise(F.floor(F.log10(F.abs(v))).cast("int"))
     # Rounding can carry into the next power of ten (9.99996 -> 10).
     places = F.lit(digits - 1) - size

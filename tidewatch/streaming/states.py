@@ -15,7 +15,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidewatch.functions.scan import MICROS
 
 TRANSITIONS = "alertname STRING, series STRING, state STRING, at_us BIGINT, active_us BIGINT, value DOUBLE"
-ALERT_STATE = "active_us BIGINT, firing BOOLEAN, last_us BIGINT, value DOUBLE"
+ALERT_STATE = "active_us BIGINT, firing BOOLEAN, last_us BIGINT, every_us BIGINT, value DOUBLE"
 
 
 def alert_transitions(evaluations: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def alert_transitions(evaluations: DataFrame) -> DataFrame:
 
 
 def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    active, firing, last, value = state.get if state.exists else (None, False, None, None)
+    active, firing, last, every, value = state.get if state.exists else (None, False, None, None, None)
     out: list[tuple] = []
 
     def close(at: int) -> None:
@@ -42,7 +42,7 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
         active, firing = None, False
 
     if state.hasTimedOut:
-        close(int(last))
+        close(last + every)
         state.remove()
     else:
         rows = pd.concat(list(batches)).sort_values("eval_us", kind="stable")
@@ -67,8 +67,8 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
             if state.exists:
                 state.remove()
         else:
-            # ``last`` moves to the first evaluation that will be missing.
-            state.update((active, firing, last, value))
+            state.update((active, firing, last, every, value))
+            # The watermark passing the next evaluation means that it is missing.
             due = (last + every) // 1000 + 1
             if due > state.getCurrentWatermarkMs():
                 state.setTimeoutTimestamp(due)
