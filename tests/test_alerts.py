@@ -84,7 +84,7 @@ def test_number_formats(spark):
     df = spark.createDataFrame([(v,) for v in data], "v DOUBLE")
     v = F.col("v")
     got = {r.v: r for r in df.select("v", humanize(v).alias("h"), humanize_percentage(v).alias("p"), humanize_duration(v).alias("d"), plain(v).alias("x")).collect()}
-    assert [got[x].h for x in (0.0, 12.345678, 1234.56, 1.5e6, 0.00042)] == ["0", "12.35", "1.234k", "1.5M", "420u"]
+    assert [got[x].h for x in (0.0, 12.345678, 1234.56, 1.5e6, 0.00042)] == ["0", "12.35", "1.235k", "1.5M", "420u"]
     assert [got[x].p for x in (0.05, 12.345678)] == ["5%", "1235%"]
     assert [got[x].d for x in (0.0, 0.05, 59.5, 75.0, 3725.0, 93784.0)] == ["0s", "50ms", "59.5s", "1m 15s", "1h 2m 5s", "1d 2h 3m 4s"]
     assert [got[x].x for x in (51.0, 0.05, 123456789.0, 0.00042)] == ["51", "0.05", "123456789", "0.00042"]
@@ -240,7 +240,7 @@ def test_notification_times(spark):
         "series STRING, firing_us BIGINT, resolved_us BIGINT",
     )
     for block in (m, 10**12):
-        got = notify.notifications(notify.with_life(df, block_us=block), block_us=block)
+        got = notify.notifications(notify.with_life(df, block_us=block))
         assert rows(got, "sent_us", "reason", "status") == [
             (30 * S, "news", "firing"),
             (330 * S, "news", "firing"),

@@ -156,3 +156,15 @@ def test_labels(spark):
     assert row.l == row.again == "a=1,b=2,instance=host,pipeline_type=ml,service=ml-pipeline"
     kept = df.select(render(relabel.keep_missing(F.col("labels"), {"a": "9", "c": "3"})).alias("l")).first()
     assert kept.l == "a=1,b=2,c=3"
+
+
+def test_sample_and_span_scans(spark, tmp_path):
+    t = dt.datetime(2025, 1, 1)
+    spark.createDataFrame([(t, "up", {"job": "x"}, None, 0.0)], "ts TIMESTAMP, metric STRING, labels MAP<STRING,STRING>, le DOUBLE, value DOUBLE").write.parquet(f"{tmp_path}/s")
+    got = scans.scan_samples(spark, f"{tmp_path}/s").first()
+    assert got.series == '[{"key":"job","value":"x"}]' and got.us == 1735689600_000000
+    span = {"trace_id": "t", "span_id": "a", "start_ts": "2025-01-01T00:00:00Z", "duration_ms": 5.0, "attributes": {"request.id": "req-1"}}
+    (tmp_path / "sp").mkdir()
+    (tmp_path / "sp" / "x.json").write_text(json.dumps(span))
+    row = scans.scan_spans(spark, f"{tmp_path}/sp", "json").first()
+    assert (row.request_id, row.start_us, row.tool_name) == ("req-1", 1735689600_000000, None)

@@ -27,7 +27,9 @@ def exact_percentiles(
         df.where(v.isNotNull())
         .groupBy(F.struct(*[F.col(k) for k in keys]).alias("_key"), v.alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bin", value_bin("_v"))
+        # Never NULL: a NULL check on one side only would keep the two uses of
+        # the counts from sharing one shuffle.
+        .withColumn("_bin", F.coalesce(value_bin("_v"), F.lit(0).cast("long")))
     )
     group = Window.partitionBy("_key")
     before = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -26,7 +26,8 @@ DAY = 24 * HOUR
 @dataclass(frozen=True)
 class Running:
     """One running value: ``fold`` is ``sum``, ``max``, ``last`` (last non-null
-    value so far) or ``next`` (value of the following row)."""
+    value so far), ``next`` (value of the following row) or ``total`` (sum of the
+    whole key, at every row)."""
 
     fold: str
     expr: Column
@@ -88,6 +89,10 @@ def running(
             totals.append(F.min_by(v, F.struct(*[F.col(o) for o in order])).alias(f"_t{i}"))
             carries[f"_c{i}"] = F.lead(f"_t{i}").over(Window.partitionBy("_key").orderBy("_block"))
             combined[name] = F.coalesce(f"_l{i}", f"_c{i}")
+        elif spec.fold == "total":
+            totals.append(F.sum(v).alias(f"_t{i}"))
+            carries[f"_c{i}"] = F.sum(f"_t{i}").over(Window.partitionBy("_key"))
+            combined[name] = F.col(f"_c{i}")
         elif spec.fold == "max":
             local[f"_l{i}"] = F.max(v).over(frame)
             totals.append(F.max(v).alias(f"_t{i}"))
@@ -153,3 +158,24 @@ def islands(df: DataFrame, keys: Sequence[str], us: str, gap: Column, block_widt
         )
     )
     return merged.select(*[F.col(f"_key.{k}").alias(k) for k in keys], *[c for c in merged.columns if not c.startswith("_")])
+
+
+def overlapping(
+    df: DataFrame, keys: Sequence[str], start: str, end: str, tie: Sequence[str], block_width: int, name: str
+) -> DataFrame:
+    """Number the groups of overlapping intervals of each key.
+
+    Intervals are first merged inside time blocks; the second pass orders the
+    merged ones, which are disjoint inside a block, and the number is joined
+    back.
+    """
+    first = Window.unboundedPreceding
+    base = df.withColumns({"_key": F.struct(*[F.col(k) for k in keys]), "_block": time_block(start, block_width)})
+    w = Window.partitionBy("_key", "_block").orderBy(start, *tie)
+    opens = F.when(F.max(end).over(w.rowsBetween(first, -1)) >= F.col(start), 0).otherwise(1)
+    local = base.withColumn("_opens", opens).withColumn("_part", F.sum("_opens").over(w.rowsBetween(first, 0)))
+    parts = local.groupBy("_key", "_block", "_part").agg(F.min(start).alias("_start"), F.max(end).alias("_end"))
+    k = Window.partitionBy("_key").orderBy("_start", "_block", "_part")
+    merged = F.when(F.max("_end").over(k.rowsBetween(first, -1)) >= F.col("_start"), 0).otherwise(1)
+    numbered = parts.withColumn("_opens", merged).withColumn(name, F.sum("_opens").over(k.rowsBetween(first, 0)))
+    return local.join(numbered.select("_key", "_block", "_part", name), ["_key", "_block", "_part"]).select(*df.columns, name)

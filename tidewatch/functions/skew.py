@@ -28,7 +28,7 @@ def salted_join(
     is a hash of them and so is the same when a lost task is run again.
     """
     counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    limit = facts.agg((F.count(F.lit(1)) * share).alias("limit")).scalar()
+    limit = counts.agg((F.sum("_n") * share).alias("limit")).scalar()
     hot = (
         counts.withColumn("_limit", limit)
         .where(F.col("_n") > F.col("_limit"))

@@ -28,17 +28,19 @@ def ks_drift(values: DataFrame, is_current: Column, by: Sequence[str] = ("featur
         F.count_if(~is_current).alias("_ref"), F.count_if(is_current).alias("_cur")
     )
     upto = running(
-        counts, list(by), ["value"], value_bin("value"), {"_ref_upto": Running("sum", F.col("_ref")), "_cur_upto": Running("sum", F.col("_cur"))}
-    )
-    totals = counts.groupBy(*by).agg(F.sum("_ref").alias("reference_rows"), F.sum("_cur").alias("current_rows")).where(
-        (F.col("reference_rows") >= min_rows) & (F.col("current_rows") >= min_rows)
-    )
+        counts,
+        list(by),
+        ["value"],
+        value_bin("value"),
+        {
+            "_ref_upto": Running("sum", F.col("_ref")),
+            "_cur_upto": Running("sum", F.col("_cur")),
+            "reference_rows": Running("total", F.col("_ref")),
+            "current_rows": Running("total", F.col("_cur")),
+        },
+    ).where((F.col("reference_rows") >= min_rows) & (F.col("current_rows") >= min_rows))
     distance = F.abs(F.col("_ref_upto") / F.col("reference_rows") - F.col("_cur_upto") / F.col("current_rows"))
-    return (
-        upto.join(totals, list(by))
-        .groupBy(*by, "reference_rows", "current_rows")
-        .agg(F.max(distance).alias("drift_score"))
-    )
+    return upto.groupBy(*by, "reference_rows", "current_rows").agg(F.max(distance).alias("drift_score"))
 
 
 def ks_windows(reference: DataFrame, current: DataFrame, window: str, by: Sequence[str] = (), min_rows: int = 2) -> DataFrame:
@@ -53,22 +55,22 @@ def ks_windows(reference: DataFrame, current: DataFrame, window: str, by: Sequen
     cur = whole(current).where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy(*keys, window, "value").agg(F.count(F.lit(1)).alias("_cur"))
     places = cur.select(*keys, "value", F.lit(0).cast("long").alias("_ref")).unionByName(ref)
     ranked = running(
-        places.groupBy(*keys, "value").agg(F.sum("_ref").alias("_ref")), keys, ["value"], value_bin("value"), {"_ref_upto": Running("sum", F.col("_ref"))}
+        places.groupBy(*keys, "value").agg(F.sum("_ref").alias("_ref")),
+        keys,
+        ["value"],
+        value_bin("value"),
+        {"_ref_upto": Running("sum", F.col("_ref")), "reference_rows": Running("total", F.col("_ref"))},
     )
     upto = running(
-        cur.join(ranked, [*keys, "value"]), [*keys, window], ["value"], value_bin("value"), {"_cur_upto": Running("sum", F.col("_cur"))}
-    )
-    ref_rows = ref.groupBy(*keys).agg(F.sum("_ref").alias("reference_rows"))
-    cur_rows = cur.groupBy(*keys, window).agg(F.sum("_cur").alias("current_rows"))
-    enough = (F.col("reference_rows") >= min_rows) & (F.col("current_rows") >= min_rows)
+        cur.join(ranked, [*keys, "value"]),
+        [*keys, window],
+        ["value"],
+        value_bin("value"),
+        {"_cur_upto": Running("sum", F.col("_cur")), "current_rows": Running("total", F.col("_cur"))},
+    ).where((F.col("reference_rows") >= min_rows) & (F.col("current_rows") >= min_rows))
     share = lambda a, n: F.col(a) / F.col(n)
     at = F.abs(share("_ref_upto", "reference_rows") - share("_cur_upto", "current_rows"))
     before = F.abs(
         (F.col("_ref_upto") - F.col("_ref")) / F.col("reference_rows") - (F.col("_cur_upto") - F.col("_cur")) / F.col("current_rows")
     )
-    totals = cur_rows.join(ref_rows, keys).where(enough)
-    return (
-        upto.join(totals, [*keys, window])
-        .groupBy(*by, window, "reference_rows", "current_rows")
-        .agg(F.max(F.greatest(at, before)).alias("drift_score"))
-    )
+    return upto.groupBy(*by, window, "reference_rows", "current_rows").agg(F.max(F.greatest(at, before)).alias("drift_score"))

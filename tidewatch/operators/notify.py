@@ -7,8 +7,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tidewatch.functions.scan import DAY, HOUR, MICROS, MINUTE, Running, running, time_block
+from tidewatch.functions.scan import DAY, HOUR, MICROS, MINUTE, Running, overlapping, running, time_block
+from tidewatch.functions.skew import salted_join
 
 
 @dataclass(frozen=True)
@@ -111,12 +113,8 @@ def inhibit(alerts: DataFrame, rules: Sequence[Inhibition] = tuple(INHIBITIONS),
 def with_life(routed: DataFrame, group_by: Sequence[str] = tuple(GROUP_BY), block_us: int = DAY) -> DataFrame:
     """Number the lives of every group. An alert opens a new life when all
     earlier alerts of its group have ended before it starts."""
-    keys, order = ["receiver", *group_by], ["firing_us", "alertname", "series"]
-    block = time_block("firing_us", block_us)
-    reach = {"_open_until": Running("max", F.col("resolved_us"), inclusive=False)}
-    opens = F.when(F.col("_open_until") >= F.col("firing_us"), 0).otherwise(1).cast("long")
-    opened = running(routed, keys, order, block, reach).withColumn("_opens", opens)
-    return running(opened, keys, order, block, {"life": Running("sum", F.col("_opens"))}).drop("_open_until", "_opens")
+    keys = ["receiver", *group_by]
+    return overlapping(routed, keys, "firing_us", "resolved_us", ["alertname", "series"], block_us, "life")
 
 
 def group_alerts(lived: DataFrame, group_by: Sequence[str] = tuple(GROUP_BY)) -> DataFrame:
@@ -138,48 +136,46 @@ def group_alerts(lived: DataFrame, group_by: Sequence[str] = tuple(GROUP_BY)) ->
     )
 
 
-def notifications(lived: DataFrame, group_by: Sequence[str] = tuple(GROUP_BY), block_us: int = DAY) -> DataFrame:
+def notifications(lived: DataFrame, group_by: Sequence[str] = tuple(GROUP_BY)) -> DataFrame:
     """Notification times of every group life.
 
     The first notification follows ``group_wait`` after the first alert. A later
     alert is news, sent at the next multiple of ``group_interval`` after the
     first notification. Without news the group repeats every ``repeat_interval``
     after the last one. Receivers that ask for it are told of the end.
+
+    Alerts are combined per group and instant first; the windows see at most one
+    row per instant of a life, and all of them share one partitioning.
     """
     keys = ["receiver", *group_by, "life"]
-    flush = F.col("group_interval") * MICROS
-    known = group_alerts(lived, group_by).select(
-        F.struct(*keys).alias("key"),
-        "ended_us",
-        "group_interval",
-        "repeat_interval",
-        (F.col("began_us") + F.col("group_wait") * MICROS).alias("first_us"),
-    )
-    known = known.where(F.col("first_us") < F.col("ended_us"))
-    # One start per group and instant is enough, which also shrinks hot groups.
-    starts = lived.select(F.struct(*keys).alias("key"), "firing_us").distinct()
-    wait = F.greatest(F.col("firing_us") - F.col("first_us"), F.lit(0))
+    timings = ["group_wait", "group_interval", "repeat_interval"]
+    starts = lived.groupBy(*keys, "firing_us").agg(F.max("resolved_us").alias("ended_us"), *[F.max(t).alias(t) for t in timings])
+    whole = Window.partitionBy(*keys)
+    flush = F.col("group_interval").cast("long") * MICROS
+    known = starts.withColumns(
+        {
+            "ended_us": F.max("ended_us").over(whole),
+            "first_us": F.min("firing_us").over(whole) + F.max("group_wait").over(whole) * MICROS,
+            "group_interval": F.max("group_interval").over(whole),
+            "repeat_interval": F.max("repeat_interval").over(whole),
+        }
+    ).where(F.col("first_us") < F.col("ended_us"))
+    late = F.greatest(F.col("firing_us") - F.col("first_us"), F.lit(0))
     news = (
-        starts.join(known, "key")
-        .select("key", (F.col("first_us") + F.ceil(wait / flush) * flush).alias("sent_us"), "ended_us", "repeat_interval")
+        known.withColumn("sent_us", F.col("first_us") + F.ceil(late / flush) * flush)
         .where(F.col("sent_us") < F.col("ended_us"))
-        .distinct()
+        .groupBy(*keys, "first_us", "ended_us", "group_interval", "repeat_interval", "sent_us")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
     # Repeats fill the time to the next news or to the end of the life.
-    ahead = running(news, ["key"], ["sent_us"], time_block("sent_us", block_us), {"_next": Running("next", F.col("sent_us"))})
-    stop = F.coalesce("_next", "ended_us") - 1
-    firing = ahead.select(
-        "key", F.posexplode(F.sequence(F.col("sent_us"), stop, F.col("repeat_interval").cast("long") * MICROS)).alias("_n", "sent_us")
-    ).select(
-        "key.*", "sent_us", F.when(F.col("_n") == 0, "news").otherwise("repeat").alias("reason"), F.lit("firing").alias("status")
-    )
-    over = known.where(F.col("key.receiver").isin(SEND_RESOLVED)).select(
-        "key.*",
-        (F.col("first_us") + F.ceil((F.col("ended_us") - F.col("first_us")) / flush) * flush).alias("sent_us"),
-        F.lit("end").alias("reason"),
-        F.lit("resolved").alias("status"),
-    )
-    return firing.unionByName(over)
+    stop = F.coalesce(F.lead("sent_us").over(whole.orderBy("sent_us")), F.col("ended_us")) - 1
+    again = F.sequence(F.col("sent_us"), F.col("_stop"), F.col("repeat_interval").cast("long") * MICROS)
+    notice = lambda at, reason, status: F.struct(at.alias("sent_us"), reason.alias("reason"), F.lit(status).alias("status"))
+    firing = F.transform(again, lambda at: notice(at, F.when(at == F.col("sent_us"), "news").otherwise("repeat"), "firing"))
+    over = F.col("first_us") + F.ceil((F.col("ended_us") - F.col("first_us")) / flush) * flush
+    closes = (F.col("sent_us") == F.col("first_us")) & F.col("receiver").isin(SEND_RESOLVED)
+    ending = F.array_compact(F.array(F.when(closes, notice(over, F.lit("end"), "resolved"))))
+    return news.withColumn("_stop", stop).select(*keys, F.inline(F.concat(firing, ending)))
 
 
 def title(status: Column, summary: Column, receiver: Column) -> Column:
@@ -252,8 +248,8 @@ def spiking_metrics(alerts: DataFrame, samples: DataFrame, before_us: int = 15 *
     """Per alert and metric: peak near the alert against the metric's mean.
 
     Samples are first reduced to one row per metric and time bucket. Alerts are
-    cut into the same buckets, which makes the interval join an equi-join; the
-    reduced side has one row per metric and bucket.
+    cut into the same buckets, which makes the interval join an equi-join; a
+    bucket with very many alerts is salted.
     """
     reduced = samples.where(~F.isnan("value")).groupBy("metric", F.floor(F.col("us") / bucket_us).alias("bucket")).agg(
         F.max("value").alias("peak"), F.sum("value").alias("total"), F.count(F.lit(1)).alias("n")
@@ -267,5 +263,6 @@ def spiking_metrics(alerts: DataFrame, samples: DataFrame, before_us: int = 15 *
             F.sequence(F.floor((F.col("active_us") - before_us) / bucket_us), F.floor(F.col("resolved_us") / bucket_us))
         ).alias("bucket"),
     )
-    near = spans.join(reduced, "bucket").groupBy("alertname", "series", "active_us", "metric").agg(F.max("peak").alias("peak"))
+    joined = salted_join(spans, reduced, ["bucket"], ["alertname", "series", "active_us"], "inner")
+    near = joined.groupBy("alertname", "series", "active_us", "metric").agg(F.max("peak").alias("peak"))
     return near.join(usual, "metric").withColumn("ratio", F.col("peak") / F.nullif(F.col("mean"), F.lit(0.0)))

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.functions.labels import series_key
 from tidewatch.functions.timeparse import parse_event_time
-from tidewatch.sources.schemas import LOG_SCHEMAS, ML_PARTITIONS, STREAM_EVENT
+from tidewatch.sources.schemas import LOG_SCHEMAS, METRIC_SAMPLES, ML_PARTITIONS, SPANS, STREAM_EVENT
 
 CORRUPT = "_corrupt"
 
@@ -163,3 +164,23 @@ def read_pushed_lines(spark: SparkSession, folder: str, max_files: int | None =
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(folder).withColumn("type", F.lit("pipeline_log"))
+
+
+def scan_samples(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Stored metric samples in the form the rules read: series text and micros."""
+    raw = spark.read.schema(METRIC_SAMPLES).format(fmt).load(path)
+    return raw.select("metric", series_key("labels").alias("series"), "le", F.unix_micros("ts").alias("us"), "value")
+
+
+def scan_spans(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Stored spans with micros and the attributes that joins use as columns."""
+    raw = spark.read.schema(SPANS).format(fmt).load(path)
+    attribute = lambda name: F.try_element_at("attributes", F.lit(name))
+    return raw.withColumns(
+        {
+            "start_us": F.unix_micros("start_ts"),
+            "request_id": attribute("request.id"),
+            "session_id": attribute("session.id"),
+            "tool_name": attribute("tool.name"),
+        }
+    )
