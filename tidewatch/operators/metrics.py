@@ -74,9 +74,14 @@ def token_counts(logs: DataFrame, by: Sequence[str] = ("service", "model")) -> D
 
 
 def word_count(text: Column | str) -> Column:
-    """Words between whitespace: the token estimate of a text."""
+    """Words between whitespace: the token estimate of a text.
+
+    Only the first and the last piece of a split can be empty.
+    """
     c = F.col(text) if isinstance(text, str) else text
-    return F.size(F.filter(F.split(F.coalesce(c, F.lit("")), WHITESPACE), lambda w: w != ""))
+    pieces = F.split(F.coalesce(c, F.lit("")), WHITESPACE)
+    empty = lambda at: (F.element_at(pieces, at) == "").cast("int")
+    return F.greatest(F.size(pieces) - empty(1) - empty(-1), F.lit(0))
 
 
 def context_size(model: Column | str, sizes: Mapping[str, int] = CONTEXT_TOKENS, default: int = DEFAULT_CONTEXT) -> Column:
