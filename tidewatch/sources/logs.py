@@ -77,7 +77,7 @@ def scan_lines(spark: SparkSession, path: str, table: str, *, recursive: bool =
     return project_paths(reader.text(path), table)
 
 
-def register_tables(spark: SparkSession, root: str, database: str = "pipeline_observability") -> None:
+def register_tables(spark: SparkSession, root: str, database: str = "telemetry") -> None:
     """Database with one external table per log source below ``root``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table, ddl in LOG_SCHEMAS.items():
