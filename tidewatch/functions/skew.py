@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # above it, which bounds the broadcast list of hot keys, and a salted piece of a
 # hot key holds about this share of the rows.
 HOT_SHARE = 1.0e-4
+NULL_SALTS = 10_000
 
 
 def salted_join(
@@ -36,8 +37,13 @@ def salted_join(
     )
     one = F.lit(1).cast("int")
     salts = F.coalesce(F.col("_salts"), one)
+    # A row with a NULL key matches nothing; any salt spreads such rows.
+    absent = F.lit(False)
+    for k in keys:
+        absent = absent | F.col(k).isNull()
+    pieces = F.when(absent, F.lit(NULL_SALTS)).otherwise(salts).cast("long")
     fact_side = facts.join(F.broadcast(hot), list(keys), "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread), salts.cast("long")).cast("int")
+        "_salt", F.pmod(F.xxhash64(*spread), pieces).cast("int")
     ).drop("_salts")
     dim_side = dim.join(F.broadcast(hot), list(keys), "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("int"), salts - one))
