@@ -34,3 +34,25 @@ def op4_pack(spark, sf_dir):
     from tidewatch.llm import packing
 
     return packing.pack(table(ready(spark), sf_dir, "documents"), vocabulary(packing.VOCABULARY))
+
+
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, body, strlen(body) AS payload_bytes, sha1(body) AS hex, min(page_id) OVER (PARTITION BY body) AS first_page FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('{BASE32}', 1 + CAST(
+    (CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (5 * (3 - i % 4))) & 31 AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN first_page IS NULL OR page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_page OR page_id IS NULL THEN first_page END AS refers_to,
+  TRUE AS digest_matches
+FROM h
+"""
+
+
+@query("op1_warc", WARC_SQL)
+def op1_warc(spark, sf_dir):
+    """Every page written to an archive and read back from it."""
+    from tidewatch.llm import warc
+
+    return warc.summary(warc.read(warc.write(table(ready(spark), sf_dir, "pages"))))
