@@ -56,3 +56,74 @@ def op1_warc(spark, sf_dir):
     from tidewatch.llm import warc
 
     return warc.summary(warc.read(warc.write(table(ready(spark), sf_dir, "pages"))))
+
+
+@query("op10_rules")
+def op10_rules(spark, sf_dir):
+    """Base counts and the learned verdict of every document."""
+    from tidewatch.llm import rules
+
+    docs = table(ready(spark), sf_dir, "documents")
+    return rules.judge(docs, rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op3_dart_minhash")
+def op3_dart_minhash(spark, sf_dir):
+    """Near-duplicate group of every document."""
+    from tidewatch.llm import minhash
+
+    return minhash.near_duplicates(table(ready(spark), sf_dir, "documents")).drop("digest")
+
+
+@query("op6_cdc_dedup")
+def op6_cdc_dedup(spark, sf_dir):
+    """Every document without the passages that an earlier one has."""
+    from tidewatch.llm import cdc
+
+    docs = table(ready(spark), sf_dir, "documents").select("doc_id", "text")
+    return cdc.remove_repeats(docs)
+
+
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def _chat_sql() -> str:
+    from tidewatch.llm import chat
+
+    def escaped(column: str) -> str:
+        out = rf"replace({column}, '\', '\\')"
+        for c in chat.CONTROLS:
+            out = rf"replace({out}, '{c}', '{c[0]}\{c[1:]}')"
+        return out
+
+    return rf"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{PROBE}' UNION ALL SELECT -7, 1, 'assistant', '{PROBE}'),
+s AS (SELECT *, '{chat.OPEN}' || replace({escaped("role")}, chr(10), '\' || chr(10)) || chr(10) || {escaped("text")} || '{chat.CLOSE}' || chr(10) AS seg FROM r),
+n AS (SELECT *, CAST(ceil(strlen(seg) / 4.0) AS BIGINT) AS n, row_number() OVER o AS pos, sum(CAST(ceil(strlen(seg) / 4.0) AS BIGINT)) OVER (o ROWS UNBOUNDED PRECEDING) AS til
+  FROM s WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+w AS (SELECT conv_id, max(n) AS longest, min(CASE WHEN role = '{chat.ROLE_SYSTEM}' THEN pos END) AS sys_pos,
+    arg_min(n, pos) FILTER (role = '{chat.ROLE_SYSTEM}') AS sys_n, arg_min(til - n, pos) FILTER (role = '{chat.ROLE_SYSTEM}') AS sys_begin,
+    arg_min(length(seg), pos) FILTER (role = '{chat.ROLE_SYSTEM}') AS sys_len FROM n GROUP BY conv_id),
+g AS (SELECT *, greatest(1, {chat.BUDGET - chat.HISTORY} - coalesce(sys_n, 0) - longest + 1) AS stride FROM w),
+p AS (SELECT n.*, g.* EXCLUDE (conv_id), til - n AS begins, (til - n) // stride AS span, sys_begin // stride AS sys_span FROM n JOIN g ON n.conv_id IS NOT DISTINCT FROM g.conv_id),
+spans AS (SELECT conv_id, span, min(begins) AS first_at, any_value(sys_span) AS sys_span, any_value(sys_len) AS sys_len FROM p GROUP BY ALL),
+chars AS (SELECT conv_id, length(seg) AS c FROM p UNION ALL SELECT conv_id, sys_len FROM spans WHERE span > sys_span
+  UNION ALL SELECT p.conv_id, length(p.seg) FROM p JOIN spans ON p.conv_id IS NOT DISTINCT FROM spans.conv_id AND spans.span = p.span + 1
+    WHERE first_at - begins <= least({chat.HISTORY}, stride) AND pos IS DISTINCT FROM sys_pos),
+total AS (SELECT conv_id, CAST(sum(c) AS BIGINT) AS formatted_chars FROM chars GROUP BY conv_id),
+said AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = '{chat.ROLE_TARGET}'), '') AS loss FROM n GROUP BY conv_id)
+SELECT said.conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM said JOIN total ON said.conv_id IS NOT DISTINCT FROM total.conv_id
+"""
+
+
+@query("op9_chat", _chat_sql())
+def op9_chat(spark, sf_dir):
+    """Every conversation formatted and read back, with one that imitates control strings."""
+    from tidewatch.llm import chat
+
+    rows = table(ready(spark), sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.windows(rows.unionByName(probe)))
