@@ -127,3 +127,42 @@ def op9_chat(spark, sf_dir):
     rows = table(ready(spark), sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
     return chat.digests(chat.windows(rows.unionByName(probe)))
+
+
+VECTOR_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+pairs AS (SELECT a.vec_id AS u, b.vec_id AS w FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+  AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS u, vec_id AS w FROM v UNION SELECT r.u, p.w FROM reach r JOIN pairs p ON r.w = p.u)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT u AS vec_id, min(w) AS component_id FROM reach GROUP BY u)
+LEFT JOIN (SELECT u AS vec_id, count(*) AS n FROM pairs GROUP BY u) USING (vec_id)
+"""
+
+
+@query("op8_embed_dedup", VECTOR_SQL)
+def op8_embed_dedup(spark, sf_dir):
+    """Links and components of all vectors inside their labels."""
+    from tidewatch.llm import embed
+
+    return embed.duplicate_vectors(table(ready(spark), sf_dir, "embeddings"))
+
+
+@query("op2_quality_mil")
+def op2_quality_mil(spark, sf_dir):
+    """Quality score of every document."""
+    from tidewatch.llm import quality
+
+    docs = table(ready(spark), sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op5_toxicity_ssk")
+def op5_toxicity_ssk(spark, sf_dir):
+    """Toxicity score of every document."""
+    from tidewatch.llm import toxicity
+
+    docs = table(ready(spark), sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
