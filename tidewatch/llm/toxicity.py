@@ -34,8 +34,11 @@ SAMPLE_PER_CLASS = 2000
 LANDMARKS = 96  # of each side
 UNITS = 3000  # training units of each side
 ROUNDS = 4
+# Times as often in toxic documents as in others, for a unit to be taken up before there is a model.
+CLEAR = 15
+TELLING = 3
 RIDGE = 1e-3
-PENALTY = 1e-2
+PENALTY = 1e-4
 
 _SYMBOLS = 64
 _GONE = 255
@@ -156,7 +159,7 @@ def kernel(left: list[bytes], codes: np.ndarray, basis: np.ndarray) -> np.ndarra
     return np.concatenate(out)
 
 
-def machine(good: list[bytes], bad: list[bytes], landmarks: list[bytes]) -> tuple[np.ndarray, float]:
+def machine(good: list[bytes], bad: list[bytes], landmarks: list[bytes], share: np.ndarray) -> tuple[np.ndarray, float]:
     """(subsequence weights, bias) of a squared-hinge SVM on Nyström features."""
     rows, found, values = features(landmarks)
     codes, spot = np.unique(found, return_inverse=True)
@@ -166,7 +169,7 @@ def machine(good: list[bytes], bad: list[bytes], landmarks: list[bytes]) -> tupl
     x = kernel(bad + good, codes, basis) @ root
     x = np.hstack([x, np.ones((len(x), 1))])
     y = np.concatenate((np.ones(len(bad)), -np.ones(len(good))))
-    weight = np.where(y > 0, 0.5 / len(bad), 0.5 / len(good))
+    weight = np.concatenate((0.5 * share / share.sum(), np.full(len(good), 0.5 / len(good))))
     w = np.zeros(x.shape[1])
     keep = np.full(len(w), PENALTY)
     keep[-1] = 1e-6
@@ -197,7 +200,7 @@ class Model:
 
 
 def _first_witnesses(toxic: list[list[bytes]], clean: list[list[bytes]]) -> list[bytes]:
-    """Of each toxic document the unit, if any, that itself or by its beginning speaks most for the class."""
+    """Of each toxic document the units that themselves or by their beginnings speak for the class: the first, and all that do so clearly."""
 
     def marks(unit: bytes) -> list[tuple]:
         return [(0, unit), *((n, unit[:n]) for n in (4, 5, 6) if len(unit) > n)]
@@ -206,14 +209,16 @@ def _first_witnesses(toxic: list[list[bytes]], clean: list[list[bytes]]) -> list
     ratio = lambda m: (seen[0][m] + 0.25) / (seen[1][m] + 0.25)
     out = []
     for bag in toxic:
-        best = max(((max(map(ratio, marks(u))), u) for u in bag if len(u) > 2), default=None)
-        if best and best[0] >= 5:
-            out.append(best[1])
+        rated = sorted(((max(map(ratio, marks(u))), u) for u in bag if len(u) > 2), reverse=True)
+        out += [u for i, (r, u) in enumerate(rated) if r >= (CLEAR if i else CLEAR / 3)]
     return out
 
 
 def train(toxic: list[list[bytes]], clean: list[list[bytes]]) -> Model | None:
     """Fit on bags of units. None where no unit tells the classes apart."""
+    seen = [Counter(u for bag in bags for u in bag) for bags in (toxic, clean)]
+    # What clean documents say as well cannot be what makes a document toxic.
+    toxic = [[u for u in bag if seen[0][u] + 0.25 >= TELLING * (seen[1][u] + 0.25)] for bag in toxic]
     witnesses = _first_witnesses(toxic, clean)
     harmless = sorted({u for bag in clean for u in bag}, key=lambda u: (hash_order(u), u))
     if not witnesses or not harmless:
@@ -225,11 +230,12 @@ def train(toxic: list[list[bytes]], clean: list[list[bytes]]) -> Model | None:
         counts = Counter(witnesses)
         bad = [u for u, _ in counts.most_common(UNITS)]
         marks = bad[:LANDMARKS] + hard[:LANDMARKS]
-        weights, bias = machine(hard + harmless[: UNITS // 2], bad, marks)
+        # A unit that stands for many documents weighs more, by the root of their number.
+        weights, bias = machine(hard + harmless[: UNITS // 2], bad, marks, np.sqrt([counts[u] for u in bad]))
         mild = unit_scores(*stream(harmless), weights) + bias
         hard = [harmless[i] for i in np.argsort(-mild, kind="stable")[:UNITS]]
         values = np.split(unit_scores(*stream(flat), weights) + bias, bounds) if flat else []
-        witnesses = [bag[int(np.argmax(v))] for bag, v in zip(toxic, values) if len(bag) and v.max() > 0] or witnesses
+        witnesses = [bag[i] for bag, v in zip(toxic, values) if len(bag) for i in {int(np.argmax(v)), *np.flatnonzero(v > 0.5).tolist()} if v[i] > -1] or witnesses
     worst = lambda bags: np.array([unit_scores(*stream(b), weights).max() + bias if b else -2.0 for b in bags])
     return Model(weights, bias, *_calibrated(worst(toxic), worst(clean)))
 
