@@ -11,7 +11,7 @@ Equal texts form one class before anything is compared. Signatures are cut into
 bands; classes that share a band's value are candidates. A bucket is not
 expanded into pairs: its members are compared with one pivot, the pairs that
 hold are merged into components, and only buckets that still touch several
-components take more pivots, 2, 4, 8 ... at a time, against members of other
+components take more pivots, 8, 64 ... of them, against members of other
 components. After the last round every candidate pair was compared or lies
 within one component, so no link between components is lost.
 """
@@ -33,6 +33,10 @@ SIMILARITY = 0.8
 BANDS = 20
 ROWS = 4
 SIZE = BANDS * ROWS
+# Share of coordinates in which a candidate pair must agree to be compared exactly.
+LEAST = 0.55
+# Each round takes so many times the pivots of all rounds before.
+MORE_PIVOTS = 8
 
 _PLACES = mix(np.arange(1, WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 _GAP, _DART, _AGAIN, _PLACE = (mix(np.array([s], np.uint64))[0] for s in (11, 12, 13, 14))
@@ -110,26 +114,33 @@ def signatures(ids: np.ndarray, doc: np.ndarray, docs: int, size: int = SIZE, pa
 
 
 def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, digest, bands) of every document; bands is null without words."""
+    """(doc_id, digest, bands, signature) of every document; bands is null without words.
+
+    The signature holds 16 bits of each coordinate.
+    """
 
     def sketch(batches):
         turn = mix(np.arange(1, SIZE + 1, dtype=np.uint64)).reshape(BANDS, ROWS) | np.uint64(1)
         for batch in batches:
             bands = np.zeros((batch.num_rows, BANDS), np.int64)
-            none = np.ones(batch.num_rows, bool)
+            none, short = np.ones(batch.num_rows, bool), []
             for a, b, data, offsets in text_slices(batch.column(2)):
                 ids, doc = shingles(data, offsets)
-                drawn = signatures(ids, doc, b - a).reshape(b - a, BANDS, ROWS)
+                drawn = signatures(ids, doc, b - a)
+                low = drawn.astype(np.uint16).tobytes()
+                short += [low[i : i + 2 * SIZE] for i in range(0, len(low), 2 * SIZE)]
+                drawn = drawn.reshape(b - a, BANDS, ROWS)
                 bands[a:b] = mix((drawn * turn).sum(axis=2, dtype=np.uint64)).view(np.int64)
                 none[a:b] = np.bincount(doc, minlength=b - a) == 0
             cells = pa.ListArray.from_arrays(
                 pa.array(np.arange(0, BANDS * batch.num_rows + 1, BANDS), pa.int32()), pa.array(bands.ravel()), mask=pa.array(none)
             )
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), cells], names=["doc_id", "digest", "bands"])
+            columns = [batch.column(0), batch.column(1), cells, pa.array(short, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "bands", "signature"])
 
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long"), F.unhex(F.md5(body)).alias("digest"), body.alias("text"))
-    return rows.mapInArrow(sketch, "doc_id long, digest binary, bands array<long>")
+    return rows.mapInArrow(sketch, "doc_id long, digest binary, bands array<long>, signature binary")
 
 
 def unit_sets(docs: DataFrame) -> DataFrame:
@@ -160,13 +171,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, text: str =
     sketched = stored(sketches(docs, text), "dart-sketches")
     named = sketched.where("doc_id IS NOT NULL")
     classes = stored(
-        named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "dart-classes"
+        named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "dart-classes"
     )
     members = candidates(classes)
-    links = verified_links(spark, docs, members, similarity, text)
+    found = grouped(spark, docs, classes, members, similarity, text)
     group = classes.select("digest", "rep")
-    if links is not None:
-        found = components(links)
+    if found is not None:
         group = group.join(found.withColumnRenamed("node", "rep"), "rep", "left")
         group = group.select("digest", F.coalesce("component", "rep").alias("cluster_id"))
     else:
@@ -185,52 +195,69 @@ def candidates(classes: DataFrame) -> DataFrame:
     return stored(cells.join(buckets, "key"), "dart-buckets")
 
 
-def verified_links(spark, docs: DataFrame, members: DataFrame, similarity: float, text: str) -> DataFrame | None:
-    """Links (u, v) that join all candidate classes of at least the similarity; None without candidates."""
+def similar(pairs: DataFrame, sketch: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame | None:
+    """Those of the pairs (u, v) that reach the similarity, compared exactly; None where there are none.
+
+    Pairs far below it by their signatures are left out first. Of 80 coordinates
+    a pair of similarity 0.8 agrees in fewer than LEAST only once in ten million.
+    """
+    left, right = (sketch.select(F.col("rep").alias(end), F.col("signature").alias(f"_{end}")) for end in ("u", "v"))
+    agree = F.expr(f"aggregate(sequence(1, {2 * SIZE}, 2), 0, (n, i) -> n + IF(substring(_u, i, 2) = substring(_v, i, 2), 1, 0))")
+    close = stored(pairs.join(left, "u").join(right, "v").where(agree >= math.ceil(LEAST * SIZE)).select("u", "v"), "dart-pairs")
+    n = close.count()
+    if not n:
+        return None
+    ends = close.select(F.col("u").alias("doc_id")).union(close.select(F.col("v").alias("doc_id"))).distinct()
+    sets = bodies.join(small_side(ends, 2 * n), "doc_id")
+    left = sets.select(F.col("doc_id").alias("u"), F.col("units").alias("_a"))
+    right = sets.select(F.col("doc_id").alias("v"), F.col("units").alias("_b"))
+    both = close.join(left, "u").join(right, "v").withColumn("_c", F.size(F.array_intersect("_a", "_b")))
+    enough = F.col("_c") >= F.lit(similarity) * (F.size("_a") + F.size("_b") - F.col("_c")) - 1e-9
+    return both.where(enough).select("u", "v")
+
+
+def grouped(spark, docs: DataFrame, classes: DataFrame, members: DataFrame, similarity: float, text: str) -> DataFrame | None:
+    """(node, component) of all classes that have a link; None where no bucket has two classes."""
     nodes = stored(members.select(F.col("rep").alias("doc_id")).distinct(), "dart-nodes")
     n_nodes = nodes.count()
     if not n_nodes:
         return None
-    bodies = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sets = stored(unit_sets(bodies.join(small_side(nodes, n_nodes), "doc_id")), "dart-units")
-
-    def hold(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("doc_id").alias("u"), F.col("units").alias("_a"))
-        right = sets.select(F.col("doc_id").alias("v"), F.col("units").alias("_b"))
-        both = pairs.join(left, "u").join(right, "v")
-        common = both.withColumn("_c", F.size(F.array_intersect("_a", "_b")))
-        enough = F.col("_c") >= F.lit(similarity) * (F.size("_a") + F.size("_b") - F.col("_c")) - 1e-9
-        return common.where(enough).select("u", "v")
+    near = small_side(nodes, n_nodes)
+    sketch = stored(classes.select("rep", "signature").join(near, F.col("rep") == F.col("doc_id"), "left_semi"), "dart-signatures")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    sets = stored(unit_sets(texts.join(near, "doc_id")), "dart-units")
+    stars = spark.createDataFrame([], "node long, component long")
+
+    def take(pairs: DataFrame) -> None:
+        nonlocal stars
+        found = similar(pairs, sketch, sets, similarity)
+        if found is not None:
+            stars = components(stars.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(found))
 
     # First each class against the pivot it meets most often, then against its other pivots.
-    met = members.where("rep <> pivot.rep").groupBy("rep", F.col("pivot.rep").alias("pivot")).count()
+    met = stored(members.where("rep <> pivot.rep").groupBy("rep", F.col("pivot.rep").alias("pivot")).count(), "dart-met")
     likely = met.groupBy("rep").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
-    links = stored(hold(likely.select(F.col("rep").alias("u"), F.col("pivot").alias("v"))), "dart-links")
-    rest = apart(met.select(F.col("rep").alias("u"), F.col("pivot").alias("v")), links)
-    links = stored(links.unionByName(hold(rest)), "dart-links")
-    step = 1
+    take(likely.select(F.col("rep").alias("u"), F.col("pivot").alias("v")))
+    take(apart(met.select(F.col("rep").alias("u"), F.col("pivot").alias("v")), stars))
+    tried = 0
     while True:
-        group = components(links)
-        seen = members.join(group.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        seen = members.join(stars.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         # A bucket is open while it touches several components and not every member was a pivot.
         sides = seen.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("n").alias("n"))
-        unfinished = sides.where((F.col("low") != F.col("high")) & (F.col("n") > 2) & (F.col("n") > 2 ** (step - 1)))
+        unfinished = sides.where((F.col("low") != F.col("high")) & (F.col("n") > 2) & (F.col("n") > tried))
         seen = stored(seen.join(unfinished.select("key"), "key").select("key", "rep", "n", "h", "component"), "dart-open")
         if seen.isEmpty():
-            return links
-        low = F.lit(0.0) if step == 1 else F.lit(2.0 ** (step - 1)) / F.col("n")
-        new = seen.where((F.col("h") >= low) & (F.col("h") < F.lit(2.0**step) / F.col("n")))
+            return stars
+        new = seen.where((F.col("h") >= F.lit(float(tried)) / F.col("n")) & (F.col("h") < F.lit(float(max(tried, 1) * MORE_PIVOTS)) / F.col("n")))
         pivots = new.select("key", F.col("rep").alias("u"), F.col("component").alias("_cu"))
         others = seen.select("key", F.col("rep").alias("v"), F.col("component").alias("_cv"))
-        pairs = pivots.join(others, "key").where("_cu <> _cv").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        links = stored(links.unionByName(hold(pairs)), "dart-links")
-        step += 1
+        take(pivots.join(others, "key").where("_cu <> _cv").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+        tried = max(tried, 1) * MORE_PIVOTS
 
 
-def apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
-    """The pairs whose ends lie in different components of ``links``."""
-    group = components(links)
+def apart(pairs: DataFrame, stars: DataFrame) -> DataFrame:
+    """The pairs whose ends lie in different components."""
     for end in ("u", "v"):
-        named = group.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"))
+        named = stars.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"))
         pairs = pairs.join(named, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
     return pairs.where("_u <> _v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
