@@ -128,7 +128,7 @@ def _power_tables(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, at least ``n`` of each."""
     if not _powers or len(_powers[0]) < n:
         size = max(n, 2 * SLICE_BYTES)
-        _powers[:] = [np.cumprod(np.concatenate(([1], np.full(size, b, np.uint64))).astype(np.uint64)) for b in (_BASE, _BACK)]
+        _powers[:] = [np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, b, np.uint64)))) for b in (_BASE, _BACK)]
     return _powers
 
 
