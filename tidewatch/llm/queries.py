@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.llm.common import ready, table
 
@@ -166,3 +167,15 @@ def op5_toxicity_ssk(spark, sf_dir):
 
     docs = table(ready(spark), sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op7_spm_wfst")
+def op7_spm_wfst(spark, sf_dir):
+    """Piece numbers of every document, and whether decoding gives the text back."""
+    from tidewatch.llm import spm
+
+    model = vocabulary(spm.MODEL)
+    docs = table(ready(spark), sf_dir, "documents").select("doc_id", "text")
+    both = spm.decode(spm.encode(docs, model), model)
+    plain = F.replace("text", F.lit(spm.SPACE), F.lit(" "))
+    return both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.col("decoded").eqNullSafe(plain).alias("restored"))
