@@ -12,11 +12,13 @@ chunks owned elsewhere that holds at least ``min_words`` words; shorter repeats
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.llm.common import mix, ready, row_key, stored, text_slices, word_spans
 
@@ -104,7 +106,9 @@ def repeated(found: DataFrame) -> DataFrame:
     """The chunks that another place owns, gathered per text: (key, body, spans)."""
     here = F.struct("key", "body", "place")
     owners = found.groupBy("high", "low").agg(F.min(here).alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = found.join(owners.select("high", "low", "owner"), ["high", "low"]).where(here != F.col("owner"))
+    # Written out, so that the join below shuffles both sides itself and can split a chunk that is everywhere.
+    owners = stored(owners.select("high", "low", "owner"), "cdc-owners")
+    later = found.join(owners, ["high", "low"]).where(here != F.col("owner"))
     # The chunks of one text are bounded by its length.
     return later.groupBy("key", "body").agg(F.collect_set(F.struct("place", "start", "end", "words")).alias("spans"))
 
@@ -139,27 +143,40 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "tex
     added = ("n_removed", "removed_words", "removed_bytes")
     others = [c for c in docs.columns if c not in added]
     wide = docs.select(
-        F.struct(*others).alias("_row"), F.col(text).alias("_text"), row_key().alias("key"),
-        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("body"),
+        F.struct(F.lit(0).alias("_"), *[c for c in others if c != text]).alias("_row"), F.col(text).alias("_text"),
+        row_key().alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("body"),
     )
-    joined = wide.join(spans, ["key", "body"], "left")
+    joined = deflated(wide).join(spans, ["key", "body"], "left").select("_row", "_text", "_spans")
 
     def cut(batches):
         for batch in batches:
-            texts, lists = batch.column("_text").to_pylist(), batch.column("_spans").to_pylist()
-            figures = np.zeros((3, batch.num_rows), np.int64)
-            for i, spans_of in enumerate(lists):
-                gone = runs(spans_of, min_words) if spans_of else []
-                if not gone:
-                    continue
-                raw, at, keep = texts[i].encode(), 0, []
-                for start, end, words in gone:
+            bodies, lists = batch.column("_text").to_pylist(), batch.column("_spans").to_pylist()
+            texts, figures = [], np.zeros((3, batch.num_rows), np.int64)
+            for i, (packed, spans_of) in enumerate(zip(bodies, lists)):
+                raw = None if packed is None else zlib.decompress(packed)
+                at, keep = 0, []
+                for start, end, words in runs(spans_of, min_words) if spans_of else ():
                     keep.append(raw[at:start])
                     at = end
                     figures[:, i] += (1, words, end - start)
-                texts[i] = b"".join([*keep, raw[at:]]).decode()
-            columns = [batch.column("_row"), pa.array(texts, pa.string()), *[pa.array(f, pa.int64()) for f in figures]]
+                texts.append(raw if not keep else b"".join([*keep, raw[at:]]))
+            columns = [batch.column("_row"), pa.array(texts, pa.binary()).cast(pa.string()), *[pa.array(f, pa.int64()) for f in figures]]
             yield pa.RecordBatch.from_arrays(columns, names=["_row", "_new", *added])
 
-    done = joined.select("_row", "_text", "_spans").mapInArrow(cut, wide.select("_row").schema.add("_new", "string").add(added[0], "long").add(added[1], "long").add(added[2], "long"))
+    schema = wide.select("_row").schema.add("_new", "string")
+    for name in added:
+        schema = schema.add(name, "long")
+    done = joined.mapInArrow(cut, schema)
     return done.select(*[F.col("_new").alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in others], *added)
+
+
+def deflated(wide: DataFrame) -> DataFrame:
+    """The same rows with ``_text`` compressed: texts are most of what the join moves."""
+
+    def deflate(batches):
+        for batch in batches:
+            packed = [None if t is None else zlib.compress(t.encode(), 1) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary()), *batch.columns[2:]], names=batch.schema.names)
+
+    schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "_text" else f for f in wide.schema])
+    return wide.mapInArrow(deflate, schema)

@@ -261,3 +261,21 @@ def apart(pairs: DataFrame, stars: DataFrame) -> DataFrame:
         named = stars.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"))
         pairs = pairs.join(named, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
     return pairs.where("_u <> _v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def one_of_each(docs: DataFrame, similarity: float = SIMILARITY, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: one document of each group, and one row of rows equal in id and text."""
+    decided = stored(near_duplicates(docs, similarity, text), "dart-decided")
+    dropped = decided.where(~F.col("kept")).select("doc_id", "digest").distinct()
+    again = decided.where("kept AND doc_id IS NOT NULL").groupBy("doc_id", "digest").count().where("count > 1").select("doc_id", "digest")
+    columns = [F.col("_row").getField(c).alias(c) for c in docs.columns]
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("digest"),
+    )
+    kept = rows.join(small_side(dropped, dropped.count()), ["doc_id", "digest"], "left_anti")
+    n_again = again.count()
+    if n_again:
+        single = kept.join(small_side(again, n_again), ["doc_id", "digest"], "left_anti")
+        kept = single.unionByName(kept.join(small_side(again, n_again), ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"]))
+    return kept.select(*columns)

@@ -184,13 +184,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, t
     return train(np.concatenate(parts).astype(np.float64), np.repeat(np.arange(len(parts)), [len(p) for p in parts]), y)
 
 
-def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row, repeated rows included.
-
-    Null and empty texts are a bag with one passage of zeros. Without a model
-    (one class only, no labels) every score is 0.5. Only the text is read; an
-    empty table gives no rows.
-    """
+def scored(docs: DataFrame, model: Model | None, text: str = "text", into: str = "score") -> DataFrame:
+    """``docs`` with the score of each text; other columns pass through, one named ``into`` is replaced."""
+    others = [c for c in docs.columns if c != into]
+    rows = docs.select(F.struct(*others).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
 
     def apply(batches):
         for batch in batches:
@@ -198,8 +195,18 @@ def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, te
             if model is not None:
                 for a, b, data, offsets in text_slices(batch.column(1)):
                     found[a:b] = model.scores(*passages(data, offsets))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["_row", "_score"])
+
+    done = rows.mapInArrow(apply, rows.select("_row").schema.add("_score", "double"))
+    return done.select(*[F.col("_row").getField(c).alias(c) for c in others], F.col("_score").alias(into))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    scored = rows.mapInArrow(apply, "doc_id long, score double")
-    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every row, repeated rows included.
+
+    Null and empty texts are a bag with one passage of zeros. Without a model
+    (one class only, no labels) every score is 0.5. Only the text is read; an
+    empty table gives no rows.
+    """
+    rows = scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text), model, text)
+    return rows.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
