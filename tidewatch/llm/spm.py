@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.llm.units import UnitStore
 
@@ -209,7 +210,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids") -
             lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values, mask=pa.array([m is None for m in made], pa.bool_()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["_row", "_ids"])
 
-    done = rows.mapInArrow(run, rows.select("_row").schema.add("_ids", "array<int>"))
+    done = rows.mapInArrow(run, rows.select("_row").schema.add("_ids", T.ArrayType(T.IntegerType())))
     return done.select(*[F.col("_row").getField(c).alias(c) for c in others], F.col("_ids").alias(into))
 
 
