@@ -239,22 +239,38 @@ def grouped(spark, docs: DataFrame, classes: DataFrame, members: DataFrame, simi
     likely = met.groupBy("rep").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
     take(likely.select(F.col("rep").alias("u"), F.col("pivot").alias("v")))
     take(apart(met.select(F.col("rep").alias("u"), F.col("pivot").alias("v")), stars))
+    # Who stands where after these: of two members, the one in the bucket's larger group is the pivot.
+    # A straggler so meets 8, then 64 ... members of a large group, and not all of them at once.
+    start = opened(placed(members, stars).withColumnRenamed("component", "base"), "base", 2)
+    sizes = start.groupBy("key", "base").agg(F.count(F.lit(1)).alias("size"))
+    start = stored(start.join(sizes, ["key", "base"]), "dart-open")
     tried = 0
     while True:
-        seen = members.join(stars.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        # A bucket is open while it touches several components and not every member was a pivot.
-        sides = seen.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("n").alias("n"))
-        unfinished = sides.where((F.col("low") != F.col("high")) & (F.col("n") > 2) & (F.col("n") > tried))
-        seen = stored(seen.join(unfinished.select("key"), "key").select("key", "rep", "n", "h", "component"), "dart-open")
+        seen = stored(opened(placed(start, stars), "component", tried), "dart-open")
         if seen.isEmpty():
             return stars
-        new = seen.where((F.col("h") >= F.lit(float(tried)) / F.col("n")) & (F.col("h") < F.lit(float(max(tried, 1) * MORE_PIVOTS)) / F.col("n")))
-        pivots = new.select("key", F.col("rep").alias("u"), F.col("component").alias("_cu"))
-        others = seen.select("key", F.col("rep").alias("v"), F.col("component").alias("_cv"))
-        take(pivots.join(others, "key").where("_cu <> _cv").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+        share = F.col("h") * F.col("n")
+        new = seen.where((share >= tried) & (share < max(tried, 1) * MORE_PIVOTS))
+        pivots = new.select("key", F.col("rep").alias("u"), F.col("component").alias("_cu"), F.struct("size", "base").alias("_su"))
+        others = seen.select("key", F.col("rep").alias("v"), F.col("component").alias("_cv"), F.struct("size", "base").alias("_sv"))
+        pairs = pivots.join(others, "key").where("_cu <> _cv AND _su > _sv")
+        take(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
         tried = max(tried, 1) * MORE_PIVOTS
 
 
+def placed(members: DataFrame, stars: DataFrame) -> DataFrame:
+    """The bucket members with their component so far."""
+    named = members.join(stars.withColumnRenamed("node", "rep"), "rep", "left")
+    return named.withColumn("component", F.coalesce("component", "rep"))
+
+
+def opened(members: DataFrame, group: str, tried: int) -> DataFrame:
+    """The members of buckets that touch several groups and have members that were no pivot yet."""
+    sides = members.groupBy("key").agg(F.min(group).alias("_low"), F.max(group).alias("_high"), F.max("n").alias("_n"))
+    unfinished = sides.where((F.col("_low") != F.col("_high")) & (F.col("_n") > tried)).select("key")
+    return members.join(unfinished, "key", "left_semi")
+
+
 def apart(pairs: DataFrame, stars: DataFrame) -> DataFrame:
     """The pairs whose ends lie in different components."""
     for end in ("u", "v"):
