@@ -212,7 +212,7 @@ def test_inhibition_label_equality(spark):
 
     data = [
         alert("X", "critical", None, "p", 10, 20),
-        alert("X", "warning", None, "p", 15, 30),  # absent on both sides: muted
+        alert("X", "warning", None, "p", 15, 30),  # absent on both sides: muted until 20
         alert("X", "warning", "s", "p", 15, 30),  # absent on one side: kept
         alert("X", "warning", None, "p", 20, 30),  # source is over: kept
         alert("X", "warning", None, "p", 1, 10),  # over before the source: kept
@@ -223,7 +223,33 @@ def test_inhibition_label_equality(spark):
     for block in (3, 10**9):
         left = notify.inhibit(spark.createDataFrame(data, ALERT), block_us=block)
         gone = {r[1] for r in data} - {r.series for r in left.collect()}
-        assert gone == {data[1][1], data[6][1]}
+        assert gone == {data[6][1]}
+        assert rows(left.where(F.col("series") == data[1][1]), "firing_us", "resolved_us") == [(20, 30)]
+
+
+def test_short_overlap_mutes_only_its_time(spark):
+    day = 24 * 3600 * S
+    data = [
+        ("X", "target", "warning", "t", "s", "p", 0, day),
+        ("X", "source", "critical", "t", "s", "p", 3600 * S, 3660 * S),
+        ("X", "source2", "critical", "t", "s", "p", 3650 * S, 3700 * S),
+        ("X", "late", "warning", "t", "s", "p", 3600 * S, 3690 * S),  # muted throughout
+    ]
+    for block in (60 * S, 10**15):
+        left = notify.inhibit(spark.createDataFrame(data, ALERT), block_us=block)
+        assert rows(left.where("series = 'target'"), "firing_us", "resolved_us") == [(0, 3600 * S), (3700 * S, day)]
+        assert left.where("series = 'late'").isEmpty() and left.where("severity = 'critical'").count() == 2
+
+
+def test_muted_alert_still_mutes_and_both_sides_do_not(spark):
+    chain = [
+        notify.Inhibition({"alertname": "A"}, ["service"], target={"alertname": "B"}),
+        notify.Inhibition({"alertname": "B"}, ["service"], target={"alertname": "C"}),
+        notify.Inhibition({"severity": "critical"}, ["service"], target_pattern={"alertname": "D|E"}),
+    ]
+    data = [(n, n.lower(), sev, "t", "s", "p", 0, 10) for n, sev in (("A", "x"), ("B", "x"), ("C", "x"), ("D", "critical"), ("E", "warning"))]
+    left = notify.inhibit(spark.createDataFrame(data, ALERT), chain)
+    assert sorted(r.alertname for r in left.collect()) == ["A", "D"]
 
 
 def test_notification_times(spark):

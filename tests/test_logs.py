@@ -46,8 +46,25 @@ def test_strict_scan_fails(spark, folder):
 def test_split_keeps_rejects(spark):
     lines = spark.createDataFrame([(x,) for x in LINES], "value STRING")
     good, bad = scans.split_malformed(lines, "genai_logs")
-    assert [r[0] for r in rows(bad)] == [LINES[4], LINES[1]]
-    assert good.count() == 2 and "unheard_of" not in good.columns
+    assert [r[0] for r in rows(bad)] == [LINES[1]]
+    assert good.count() == 3 and "unheard_of" not in good.columns
+    assert rows(good.where("timestamp = '2025-01-01T00:02:00Z'"), "input_tokens") == [(None,)]
+
+
+def test_every_projection_counts_alike(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"service":"s","step":1}\n{"service":"t","step":"bad"}\n{"service":"u","st\n[]\nnull\n')
+    df = scans.scan_ndjson(spark, str(tmp_path), "agent_logs")
+    assert rows(df, "service", "step") == [("s", 1), ("t", None)]
+    assert df.count() == len(df.collect()) == df.select("service").count() == df.select("step").count() == 2
+    rejects = scans.scan_rejects(spark, str(tmp_path), "agent_logs").collect()
+    assert sorted(r.line for r in rejects) == ["[]", "null", '{"service":"u","st'] and all(r.file.endswith("a.json") for r in rejects)
+
+
+def test_lines_are_parsed_once(spark):
+    lines = spark.createDataFrame([(x,) for x in LINES], "value STRING")
+    good, _ = scans.split_malformed(lines, "genai_logs")
+    plan = good.where("level = 'INFO'")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
 
 
 def test_json_paths_cast_safely(spark, folder):

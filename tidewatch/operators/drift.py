@@ -16,13 +16,17 @@ def long_values(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()
     return df.select(*keep, F.inline(cells)).where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def ks_drift(values: DataFrame, is_current: Column, by: Sequence[str] = ("feature",), min_rows: int = 2) -> DataFrame:
+def _share(part: Column | str, whole: str) -> Column:
+    return F.try_divide(F.col(part) if isinstance(part, str) else part, F.col(whole))
+
+
+def ks_drift(values: DataFrame, is_current: Column, by: Sequence[str] = ("feature",)) -> DataFrame:
     """Largest distance of the distributions of reference and current rows.
 
     Equal values are counted first; the counts are scanned in value order, cut
     into value bins, so a feature with very many distinct values is spread over
-    many tasks. Groups where either side has fewer than ``min_rows`` rows are
-    left out.
+    many tasks. Every group is returned with its row counts; the score of one
+    that lacks a side is NULL.
     """
     counts = values.groupBy(*by, "value").agg(
         F.count_if(~is_current).alias("_ref"), F.count_if(is_current).alias("_cur")
@@ -38,16 +42,17 @@ def ks_drift(values: DataFrame, is_current: Column, by: Sequence[str] = ("featur
             "reference_rows": Running("total", F.col("_ref")),
             "current_rows": Running("total", F.col("_cur")),
         },
-    ).where((F.col("reference_rows") >= min_rows) & (F.col("current_rows") >= min_rows))
-    distance = F.abs(F.col("_ref_upto") / F.col("reference_rows") - F.col("_cur_upto") / F.col("current_rows"))
+    )
+    distance = F.abs(_share("_ref_upto", "reference_rows") - _share("_cur_upto", "current_rows"))
     return upto.groupBy(*by, "reference_rows", "current_rows").agg(F.max(distance).alias("drift_score"))
 
 
-def ks_windows(reference: DataFrame, current: DataFrame, window: str, by: Sequence[str] = (), min_rows: int = 2) -> DataFrame:
+def ks_windows(reference: DataFrame, current: DataFrame, window: str, by: Sequence[str] = ()) -> DataFrame:
     """Drift of every window of ``current`` against one common reference.
 
     The distance peaks at a current value or right before one, so the reference
     is ranked once, at the values that occur, and not repeated per window.
+    Without reference rows the score is NULL.
     """
     keys = list(by) or ["_all"]
     whole = (lambda df: df) if by else (lambda df: df.withColumn("_all", F.lit(0)))
@@ -67,10 +72,7 @@ def ks_windows(reference: DataFrame, current: DataFrame, window: str, by: Sequen
         ["value"],
         value_bin("value"),
         {"_cur_upto": Running("sum", F.col("_cur")), "current_rows": Running("total", F.col("_cur"))},
-    ).where((F.col("reference_rows") >= min_rows) & (F.col("current_rows") >= min_rows))
-    share = lambda a, n: F.col(a) / F.col(n)
-    at = F.abs(share("_ref_upto", "reference_rows") - share("_cur_upto", "current_rows"))
-    before = F.abs(
-        (F.col("_ref_upto") - F.col("_ref")) / F.col("reference_rows") - (F.col("_cur_upto") - F.col("_cur")) / F.col("current_rows")
     )
+    at = F.abs(_share("_ref_upto", "reference_rows") - _share("_cur_upto", "current_rows"))
+    before = F.abs(_share(F.col("_ref_upto") - F.col("_ref"), "reference_rows") - _share(F.col("_cur_upto") - F.col("_cur"), "current_rows"))
     return upto.groupBy(*by, window, "reference_rows", "current_rows").agg(F.max(F.greatest(at, before)).alias("drift_score"))

@@ -44,8 +44,8 @@ INHIBITIONS = [
     Inhibition({"severity": "critical"}, ["alertname", "service", "pipeline"], target={"severity": "warning"}),
     Inhibition({"alertname": "ServiceDown"}, ["service"], target_pattern={"alertname": ".*ErrorRate|.*Latency"}),
 ]
-# Receivers that are told of the end of an alert, and title prefixes.
-SEND_RESOLVED = ["slack-default", "slack-ml-ops", "slack-data-eng"]
+# Receivers that are told of the end of an alert (all of them), and title prefixes.
+SEND_RESOLVED = ["pagerduty-ai-platform", "pagerduty-platform", "slack-default", "slack-ml-ops", "slack-data-eng"]
 TITLE_PREFIX = {"slack-default": "", "slack-ml-ops": "ML-OPS ", "slack-data-eng": "DATA-ENG "}
 
 
@@ -73,41 +73,55 @@ def route(alerts: DataFrame, routes: Sequence[Route] = tuple(ROUTES)) -> DataFra
 
 
 def inhibit(alerts: DataFrame, rules: Sequence[Inhibition] = tuple(INHIBITIONS), block_us: int = DAY) -> DataFrame:
-    """Firing alerts that are not muted by another firing alert.
+    """The times at which firing alerts are not muted by another firing alert.
 
-    A target is muted when a source with equal labels (absent equals absent)
-    fires at some time the target fires. Instead of pairing targets with
-    sources, the latest end of all sources that began before the target's end
-    is carried along time; the target is muted when that end lies after the
-    target's begin. Needs ``firing_us`` and ``resolved_us``.
+    A target is muted while a source with equal labels (absent equals absent)
+    fires. An alert comes back as one row per interval left of it, its begin and
+    end in ``firing_us`` and ``resolved_us``; one that is muted throughout has
+    none. Every firing alert is a source, muted or not; one that matches both
+    sides of a rule mutes only alerts that match the target side alone.
     """
     firing = alerts.where(F.col("firing_us").isNotNull())
+    left = firing
     for rule in rules:
         source = _all([F.col(k) == v for k, v in rule.source.items()])
         target = _all(
             [F.col(k) == v for k, v in rule.target.items()]
             + [F.col(k).rlike(f"^(?:{p})$") for k, p in rule.target_pattern.items()]
         )
-        marks = F.array(
-            F.when(
-                source & ~target,
-                F.struct(F.col("firing_us").alias("at"), F.lit(0).alias("kind"), F.col("resolved_us").alias("end")),
-            ),
-            # Sources that begin at the target's end no longer overlap it.
-            F.struct((F.col("resolved_us") - 1).alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("end")),
-        )
-        points = firing.withColumn("_target", target).withColumn("_m", F.explode(F.array_compact(marks)))
-        points = points.select(*firing.columns, "_target", "_m.at", "_m.kind", "_m.end")
-        carried = running(
-            points,
-            rule.equal,
-            ["at", "kind", "alertname", "series", "firing_us"],
-            time_block("at", block_us),
-            {"_until": Running("max", F.col("end"))},
-        ).where(F.col("kind") == 1)
-        muted = F.col("_target") & F.coalesce(F.col("_until") > F.col("firing_us"), F.lit(False))
-        firing = carried.where(~muted).select(*firing.columns)
-    return firing
+        alone = _without(left.where(target & ~source), firing.where(source), rule.equal, block_us)
+        both = _without(left.where(target & source), firing.where(source & ~target), rule.equal, block_us)
+        left = left.where(~target).unionByName(alone).unionByName(both)
+    return left
+
+
+def _without(targets: DataFrame, sources: DataFrame, equal: Sequence[str], block_us: int) -> DataFrame:
+    """The intervals of ``targets`` outside the union of the ``sources`` with equal labels.
+
+    Sources are merged first, so a target meets each stretch of muted time once.
+    Both sides are cut at block borders, which makes the interval join an
+    equi-join; what a target meets is bounded by its own length.
+    """
+    labels = [f"_l{i}" for i in range(len(equal))]
+    # A label that is absent must equal an absent one in a join.
+    named = {n: F.coalesce(F.concat(F.lit("="), F.col(k)), F.lit("")) for n, k in zip(labels, equal)}
+    on = [*labels, "_block"]
+    blocks = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / block_us), F.floor((F.col(b) - 1) / block_us)))
+    busy = sources.withColumns(named).where("firing_us < resolved_us")
+    busy = overlapping(busy.select(*labels, "firing_us", "resolved_us"), labels, "firing_us", "resolved_us", [], block_us, "_n")
+    busy = busy.groupBy(*labels, "_n").agg(F.min("firing_us").alias("_from"), F.max("resolved_us").alias("_to"))
+    busy = busy.select(*labels, "_from", "_to", blocks("_from", "_to").alias("_block"))
+    rows = targets.where("firing_us < resolved_us").withColumns(named).withColumn("_block", blocks("firing_us", "resolved_us"))
+    meets = (F.col("_from") < F.col("resolved_us")) & (F.col("_to") > F.col("firing_us"))
+    met = F.array_compact(F.sort_array(F.collect_set(F.when(meets, F.struct("_from", "_to")))))
+    held = rows.join(busy, on, "left").groupBy(*[F.col(c) for c in targets.columns]).agg(met.alias("_met"))
+    # Before the first muted stretch, between two of them, after the last.
+    begins = F.concat(F.array("firing_us"), F.transform("_met", lambda m: m["_to"]))
+    ends = F.concat(F.transform("_met", lambda m: m["_from"]), F.array("resolved_us"))
+    free = F.filter(F.arrays_zip(begins.alias("a"), ends.alias("b")), lambda x: x["a"] < x["b"])
+    rest = held.select(*targets.columns, F.inline(free))
+    times = {"firing_us": "a", "resolved_us": "b"}
+    return rest.select(*[F.col(times.get(c, c)).alias(c) for c in targets.columns])
 
 
 def with_life(routed: DataFrame, group_by: Sequence[str] = tuple(GROUP_BY), block_us: int = DAY) -> DataFrame:

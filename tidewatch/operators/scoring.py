@@ -46,7 +46,7 @@ def standardised(df: DataFrame, features: Sequence[str], population: bool = True
 
 
 def train(df: DataFrame, label: str = "label", features: Sequence[str] = tuple(FEATURE_NAMES), trees: int = TREES, seed: int = SEED) -> PipelineModel:
-    """Assemble, scale and fit a random forest; rows with missing values are skipped."""
+    """Assemble, scale and fit a random forest. A row that lacks a feature teaches nothing and is left out of the fit; ``score`` returns it all the same."""
     stages = [
         assembler(features),
         StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
@@ -71,14 +71,22 @@ def decision(probability: Column) -> dict[str, Column]:
 
 
 def score(model: PipelineModel, df: DataFrame, version: str = MODEL_VERSION, features: Sequence[str] = tuple(FEATURE_NAMES)) -> DataFrame:
-    """Scores for a batch or a stream. Input columns are kept; the features used
-    for the decision are counted."""
+    """Scores for a batch or a stream, one for every row. Input columns are kept.
+
+    A row that lacks a feature (NULL or NaN) has no score: decision, probability
+    and confidence are NULL and ``reason`` names what is missing.
+    """
     keep = [c for c in df.columns]
-    scored = model.transform(numeric(df, features))
-    probability = vector_to_array("probability")[1]
+    absent = lambda f: F.col(f).isNull() | F.isnan(F.col(f).cast("double"))
+    names = F.concat_ws(", ", *[F.when(absent(f), F.lit(f)) for f in features])
+    rows = df.select(F.struct(*keep).alias("_in"), F.when(names != "", F.concat(F.lit("missing: "), names)).alias("reason"), *features)
+    assembled = PipelineModel([assembler(features, keep_invalid=True), *model.stages[1:]])
+    scored = assembled.transform(numeric(rows, features))
+    probability = F.when(F.col("reason").isNull(), vector_to_array("probability")[1])
     return scored.select(
-        *keep,
+        *[F.col("_in").getField(c).alias(c) for c in keep],
         *[c.alias(n) for n, c in decision(probability).items()],
         F.lit(version).alias("model_version"),
         F.lit(len(features)).alias("features_used"),
+        "reason",
     )

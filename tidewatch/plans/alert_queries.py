@@ -206,6 +206,27 @@ def event_alerts(spark, sf_dir) -> DataFrame:
     )
 
 
+def _rest_sql(name: str, rows: str, target: str, source: str, equal: list[str]) -> dict[str, str]:
+    """What a rule leaves of ``rows``: a piece begins with its alert or with the end of a source, where no
+    source fires, and lasts until the next source begins."""
+    same = " AND ".join(f"x.{k} IS NOT DISTINCT FROM t.{k}" for k in equal)
+    others = "alertname, series, severity, team, service, pipeline, active_us, summary, description, runbook_url"
+    return {
+        f"{name}_sources": f"SELECT {', '.join(equal)}, firing_us AS f, resolved_us AS r FROM event_alerts WHERE {source}",
+        f"{name}_begins": f"""
+SELECT t.*, t.firing_us AS f0 FROM {rows} t WHERE {target}
+UNION SELECT t.*, x.r FROM {rows} t JOIN {name}_sources x ON {same} WHERE {target} AND x.r > t.firing_us AND x.r < t.resolved_us""",
+        f"{name}_free": f"""
+SELECT t.* FROM {name}_begins t ANTI JOIN {name}_sources x ON {same} AND x.f <= t.f0 AND x.r > t.f0""",
+        f"{name}_pieces": f"""
+SELECT {", ".join("t." + c for c in others.split(", "))}, t.f0 AS firing_us, least(t.resolved_us, coalesce(min(x.f), t.resolved_us)) AS resolved_us
+FROM {name}_free t LEFT JOIN {name}_sources x ON {same} AND x.f > t.f0 AND x.f < t.resolved_us
+GROUP BY {", ".join("t." + c for c in others.split(", "))}, t.f0, t.resolved_us""",
+        f"{name}_left": f"""
+SELECT {others}, firing_us, resolved_us FROM {rows} WHERE NOT ({target}) UNION ALL SELECT {others}, firing_us, resolved_us FROM {name}_pieces""",
+    }
+
+
 EVENT_ALERTS = {
     "event_alerts": f"""
 SELECT CASE event_type WHEN 'error' THEN 'ServiceDown' WHEN 'click' THEN 'GenAIHighErrorRate' WHEN 'view' THEN 'GenAIHighLatency' WHEN 'purchase' THEN 'MLInferenceLatencyHigh' ELSE 'KafkaConsumerLagHigh' END AS alertname,
@@ -215,18 +236,14 @@ SELECT CASE event_type WHEN 'error' THEN 'ServiceDown' WHEN 'click' THEN 'GenAIH
   us AS active_us, us + {MINUTE} AS firing_us, us + {MINUTE} + (CAST(floor(value / 2) AS BIGINT) + 1) * {MINUTE} AS resolved_us,
   'summary ' || (k % 4) AS summary, 'about ' || event_type AS description, CASE WHEN k % 4 = 0 THEN 'https://runbooks.example/page' END AS runbook_url
 FROM ev""",
-    "first_rule": """
-SELECT t.* FROM event_alerts t WHERE NOT (t.severity = 'warning' AND EXISTS (SELECT 1 FROM event_alerts s WHERE s.severity = 'critical' AND s.alertname = t.alertname
-  AND s.service IS NOT DISTINCT FROM t.service AND s.pipeline IS NOT DISTINCT FROM t.pipeline AND s.firing_us < t.resolved_us AND s.resolved_us > t.firing_us))""",
-    "uninhibited": """
-SELECT t.* FROM first_rule t WHERE NOT (regexp_full_match(t.alertname, '.*ErrorRate|.*Latency') AND EXISTS (SELECT 1 FROM first_rule s WHERE s.alertname = 'ServiceDown'
-  AND s.service IS NOT DISTINCT FROM t.service AND s.firing_us < t.resolved_us AND s.resolved_us > t.firing_us))""",
+    **_rest_sql("first", "event_alerts", "severity = 'warning'", "severity = 'critical'", ["alertname", "service", "pipeline"]),
+    **_rest_sql("second", "first_left", "regexp_full_match(alertname, '.*ErrorRate|.*Latency')", "alertname = 'ServiceDown'", ["service"]),
 }
 
 
-@query("alerts_inhibited", "SELECT alertname, series, severity, service, pipeline, firing_us, resolved_us FROM uninhibited", EVENT_ALERTS)
+@query("alerts_inhibited", "SELECT alertname, series, severity, service, pipeline, firing_us, resolved_us FROM second_left", EVENT_ALERTS)
 def alerts_inhibited(spark, sf_dir):
-    """Alerts left after inhibition."""
+    """Times of alerts left after inhibition."""
     left = notify.inhibit(event_alerts(spark, sf_dir))
     return left.select("alertname", "series", "severity", "service", "pipeline", "firing_us", "resolved_us")
 
@@ -288,7 +305,7 @@ def alert_blocks(spark, sf_dir):
     """SELECT receiver, alertname, pipeline, service, life, at_us AS sent_us, CASE WHEN at_us = sent_us THEN 'news' ELSE 'repeat' END AS reason, 'firing' AS status
 FROM (SELECT *, unnest(range(sent_us, stop_us, repeat_interval::BIGINT * 1000000)) AS at_us FROM spaced) x
 UNION ALL SELECT receiver, alertname, pipeline, service, life, first_us + CAST(ceil((ended_us - first_us) / (group_interval * 1000000)) AS BIGINT) * group_interval * 1000000, 'end', 'resolved'
-FROM known WHERE receiver LIKE 'slack-%'""",
+FROM known""",
     GROUPS,
 )
 def notifications(spark, sf_dir):

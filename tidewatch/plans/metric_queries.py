@@ -241,20 +241,17 @@ def with_gaps(features: DataFrame) -> DataFrame:
     return features.withColumns({n: F.when(F.col("event_id") % d != 0, F.col(n)) for n, d in NULLED.items()})
 
 
-@query(
-    "metric_feature_missing_rate",
-    "WITH n AS (SELECT CAST(ts AS DATE) AS log_date, event_id FROM ev)\n"
-    + "\nUNION ALL ".join(
-        f"SELECT log_date, '{f}' AS feature_name, count(*) AS \"rows\", count(*) FILTER (WHERE event_id % {NULLED.get(f, 1)} = 0 AND {NULLED.get(f, 0)} > 0) AS missing, "
-        f"round(count(*) FILTER (WHERE event_id % {NULLED.get(f, 1)} = 0 AND {NULLED.get(f, 0)} > 0) / count(*), 9) AS missing_rate FROM n GROUP BY 1"
-        for f in [n for n in FEATURE_NAMES if n not in ("amount_deviation", "tx_count_24h", "hour_of_day", "day_of_week")]
-    ),
-)
+def _missing_sql(name: str) -> str:
+    gap = f"event_id % {NULLED[name]} = 0 OR " if name in NULLED else ""
+    absent = f"count(*) FILTER (WHERE {gap}{name} IS NULL OR isnan(CAST({name} AS DOUBLE)))"
+    return f"SELECT CAST(ts AS DATE) AS log_date, '{name}' AS feature_name, count(*) AS \"rows\", {absent} AS missing, round({absent} / count(*), 9) AS missing_rate FROM ml_features GROUP BY 1"
+
+
+@query("metric_feature_missing_rate", "\nUNION ALL ".join(_missing_sql(f) for f in FEATURE_NAMES))
 def metric_feature_missing_rate(spark, sf_dir):
-    raw = views.transactions(spark, sf_dir)
-    names = [f for f in FEATURE_NAMES if f in raw.columns]
-    rates = missing_rates(with_gaps(raw).withColumn("log_date", F.to_date("ts")), names, ["log_date"])
-    return rates.withColumn("missing_rate", F.round("missing_rate", 9))
+    """Share of absent values per day, for all nine features."""
+    rows = with_gaps(views.ml_features(spark, sf_dir)).withColumn("log_date", F.to_date("ts"))
+    return missing_rates(rows, list(FEATURE_NAMES), ["log_date"]).withColumn("missing_rate", F.round("missing_rate", 9))
 
 
 @query(

@@ -40,27 +40,31 @@ def feature_vectors(spark, sf_dir):
     return rows.select("transaction_id", F.array_join(shown, " ").alias("features"))
 
 
-SCALED = ["transaction_amount", "user_age_days", "device_trust_score"]
+SCALED_SQL = [f"CAST({n} AS DOUBLE)" for n in FEATURE_NAMES]
 
 
 @query(
     "scaled_features",
     "SELECT transaction_id, "
-    + ", ".join(f"round(({n} - avg({n}) OVER ()) / stddev_pop({n}) OVER (), 6) AS {n}_scaled" for n in SCALED)
+    + ", ".join(f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {n}_scaled" for n, c in zip(FEATURE_NAMES, SCALED_SQL))
     + " FROM ml_features",
 )
 def scaled_features(spark, sf_dir):
-    rows = scoring.standardised(views.transactions(spark, sf_dir), SCALED)
-    return rows.select("transaction_id", *[F.round(f"{n}_scaled", 6).alias(f"{n}_scaled") for n in SCALED])
+    """All nine features, standardised."""
+    rows = scoring.standardised(scoring.numeric(views.ml_features(spark, sf_dir)), FEATURE_NAMES)
+    return rows.select("transaction_id", *[F.round(f"{n}_scaled", 6).alias(f"{n}_scaled") for n in FEATURE_NAMES])
 
 
-DRIFTING = [n for n in FEATURE_NAMES if n not in ("hour_of_day", "day_of_week", "tx_count_24h", "amount_deviation")]
+# The deviation is a quotient; both engines agree on it to nine digits, and equal values must stay equal.
+EXACT_SQL = {n: f"round(CAST({n} AS DOUBLE), 9)" if n == "amount_deviation" else f"CAST({n} AS DOUBLE)" for n in FEATURE_NAMES}
 SPLIT = "2024-01-16 00:00:00"
+# Share of right decisions that the model must pass for either label.
+ACCURACY_FLOOR = 0.5
 
 
 def _ks_sql(week: str, by: str) -> str:
     union = " UNION ALL ".join(
-        f"SELECT {week} AS part, '{n}' AS feature, CAST({n} AS DOUBLE) AS v, ts >= TIMESTAMP '{SPLIT}' AS cur FROM ml_features" for n in DRIFTING
+        f"SELECT {week} AS part, '{n}' AS feature, {c} AS v, ts >= TIMESTAMP '{SPLIT}' AS cur FROM ml_features WHERE {n} IS NOT NULL" for n, c in EXACT_SQL.items()
     )
     return f"""WITH x AS ({union}),
 c AS (SELECT feature, v, count(*) FILTER (WHERE NOT cur) AS a, count(*) FILTER (WHERE cur) AS b FROM x GROUP BY 1, 2),
@@ -69,39 +73,64 @@ f AS (SELECT feature, sum(a) OVER w / sum(a) OVER (PARTITION BY feature) AS fa,
 SELECT feature, CAST(na AS BIGINT) AS reference_rows, CAST(nb AS BIGINT) AS current_rows, round(max(abs(fa - fb)), 9) AS drift_score FROM f GROUP BY 1, 2, 3"""
 
 
+def _exact(features):
+    return features.withColumn("amount_deviation", F.round("amount_deviation", 9))
+
+
 @query("ks_drift", _ks_sql("0", "feature"))
 def ks_drift(spark, sf_dir):
     """First half of the month as reference, second half as current rows."""
-    rows = views.transactions(spark, sf_dir)
+    rows = _exact(views.ml_features(spark, sf_dir))
     late = F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz")
-    values = drift.long_values(rows.withColumn("_late", late), DRIFTING, ["_late"])
+    values = drift.long_values(rows.withColumn("_late", late), FEATURE_NAMES, ["_late"])
     return drift.ks_drift(values, F.col("_late")).withColumn("drift_score", F.round("drift_score", 9))
 
 
+_DAILY = " UNION ALL ".join(f"SELECT '{n}' AS feature, ts, {c} AS v FROM ml_features WHERE {n} IS NOT NULL" for n, c in EXACT_SQL.items())
+
+
 @query(
     "ks_drift_daily",
-    f"""WITH r AS (SELECT CAST(value * 10 AS DOUBLE) AS v FROM ev WHERE ts < TIMESTAMP '{SPLIT}'),
-d AS (SELECT CAST(ts AS DATE) AS log_date, value * 10 AS v FROM ev WHERE ts >= TIMESTAMP '{SPLIT}'),
-x AS (SELECT log_date, v, 0 AS a, 1 AS b FROM d UNION ALL SELECT log_date, r.v, 1, 0 FROM r, (SELECT DISTINCT log_date FROM d) dd),
-c AS (SELECT log_date, v, sum(a) AS a, sum(b) AS b FROM x GROUP BY 1, 2),
-f AS (SELECT log_date, sum(a) OVER w / sum(a) OVER (PARTITION BY log_date) AS fa, sum(b) OVER w / sum(b) OVER (PARTITION BY log_date) AS fb FROM c WINDOW w AS (PARTITION BY log_date ORDER BY v))
-SELECT log_date, round(max(abs(fa - fb)), 9) AS drift_score FROM f GROUP BY 1""",
+    f"""WITH f0 AS ({_DAILY}), r AS (SELECT feature, v FROM f0 WHERE ts < TIMESTAMP '{SPLIT}'),
+d AS (SELECT feature, CAST(ts AS DATE) AS log_date, v FROM f0 WHERE ts >= TIMESTAMP '{SPLIT}'),
+rc AS (SELECT feature, v, count(*) AS a FROM r GROUP BY 1, 2),
+x AS (SELECT feature, log_date, v, 0 AS a, count(*) AS b FROM d GROUP BY 1, 2, 3
+  UNION ALL SELECT feature, log_date, rc.v, rc.a, 0 FROM rc JOIN (SELECT DISTINCT feature, log_date FROM d) dd USING (feature)),
+c AS (SELECT feature, log_date, v, sum(a) AS a, sum(b) AS b FROM x GROUP BY 1, 2, 3),
+f AS (SELECT feature, log_date, sum(a) OVER w / sum(a) OVER g AS fa, sum(b) OVER w / sum(b) OVER g AS fb FROM c
+  WINDOW w AS (PARTITION BY feature, log_date ORDER BY v), g AS (PARTITION BY feature, log_date))
+SELECT feature, log_date, round(max(abs(fa - fb)), 9) AS drift_score FROM f GROUP BY 1, 2""",
 )
 def ks_drift_daily(spark, sf_dir):
-    """Every day of the second half against the whole first half."""
-    rows = views.transactions(spark, sf_dir).select("ts", F.col("transaction_amount").alias("value"))
+    """Every day of the second half against the whole first half, for all nine features."""
+    rows = _exact(views.ml_features(spark, sf_dir))
     split = F.lit(SPLIT).cast("timestamp_ntz")
-    current = rows.where(F.col("ts") >= split).select(F.to_date("ts").alias("log_date"), "value")
-    scores = drift.ks_windows(rows.where(F.col("ts") < split).select("value"), current, "log_date")
-    return scores.select("log_date", F.round("drift_score", 9).alias("drift_score"))
+    values = drift.long_values(rows, FEATURE_NAMES, ["ts"])
+    current = values.where(F.col("ts") >= split).select("feature", F.to_date("ts").alias("log_date"), "value")
+    scores = drift.ks_windows(values.where(F.col("ts") < split).select("feature", "value"), current, "log_date", ["feature"])
+    return scores.select("feature", "log_date", F.round("drift_score", 9).alias("drift_score"))
 
 
-@query("fraud_scoring")
+@query(
+    "fraud_scoring",
+    f"""SELECT {LABEL_SQL} AS label, count(*) AS scored, TRUE AS confidence_in_range, TRUE AS decision_by_probability, 9 AS features_used, TRUE AS accurate,
+  count(*) FILTER (WHERE amount_deviation IS NULL OR isnan(amount_deviation)) AS without_score
+FROM ml_features WHERE ts >= TIMESTAMP '{SPLIT}' GROUP BY 1""",
+)
 def fraud_scoring(spark, sf_dir):
-    """Train on the first half of the month, score the second half."""
+    """Train on the first half of the month, score every row of the second half; properties of the scores per label."""
     rows = views.ml_features(spark, sf_dir).withColumn("label", fraud_label())
     split = F.lit(SPLIT).cast("timestamp_ntz")
-    # Rows with an undefined deviation (one transaction of the user) are skipped.
     model = scoring.train(rows.where(F.col("ts") < split))
-    scored = scoring.score(model, rows.where(F.col("ts") >= split).select("transaction_id", "label", *FEATURE_NAMES))
-    return scored.select("transaction_id", "label", "is_fraud", "fraud_probability", "confidence", "model_version", "features_used")
+    scored = scoring.score(model, rows.where(F.col("ts") >= split).select("label", *FEATURE_NAMES))
+    # Rounding to four digits leaves the unrounded decision open at the threshold itself.
+    agrees = F.when(F.abs(F.col("fraud_probability") - 0.5) < 1e-4, True).otherwise(F.col("is_fraud") == (F.col("fraud_probability") > 0.5))
+    right = F.col("is_fraud") == F.col("label")
+    return scored.groupBy("label").agg(
+        F.count(F.lit(1)).alias("scored"),
+        F.every(F.coalesce(F.col("confidence").between(0.5, 1.0), F.lit(True))).alias("confidence_in_range"),
+        F.every(F.coalesce(agrees, F.lit(True))).alias("decision_by_probability"),
+        F.max("features_used").alias("features_used"),
+        (F.avg(F.when(right, 1.0).otherwise(F.when(right.isNotNull(), 0.0))) > ACCURACY_FLOOR).alias("accurate"),
+        F.count_if(F.col("reason").isNotNull()).alias("without_score"),
+    )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tidewatch.functions.timeparse import time_range
 from tidewatch.operators import reports
 from tidewatch.plans import views
 from tidewatch.plans.registry import query
@@ -95,10 +98,31 @@ def latency_percentiles(spark, sf_dir):
     return reports.latency_percentiles(views.genai_logs(spark, sf_dir), START, END)
 
 
-@query("latency_percentiles_approx")
+APPROX = ["p50", "p90", "p99", "p999"]
+ACCURACY = 10_000
+
+
+@query(
+    "latency_percentiles_approx",
+    f"""SELECT service, model, count(*) AS requests, {", ".join(f"TRUE AS {p}_near" for p in APPROX)}
+FROM genai_logs WHERE event = 'llm_inference_success' AND {RANGE} GROUP BY 1, 2""",
+)
 def latency_percentiles_approx(spark, sf_dir):
-    """Sketch form; values may differ from the exact ones by the rank error."""
-    return reports.latency_percentiles(views.genai_logs(spark, sf_dir), START, END, approx=True)
+    """Sketch form: whether the rank of each percentile is within the sketch's error of the wanted one."""
+    logs = views.genai_logs(spark, sf_dir)
+    found = reports.latency_percentiles(logs, START, END, approx=True, digits=None)
+    rows = time_range(logs, START, END).where(F.col("event") == "llm_inference_success").select("service", "model", "latency_ms")
+    counts = []
+    for p in APPROX:
+        counts += [F.count_if(F.col("latency_ms") < F.col(f"{p}_ms")).alias(f"{p}_low"), F.count_if(F.col("latency_ms") <= F.col(f"{p}_ms")).alias(f"{p}_high")]
+    ranks = rows.join(found, ["service", "model"]).groupBy("service", "model", "requests").agg(*counts)
+    # One row of the group is the finest step a rank can have.
+    slack = F.lit(1.0 / ACCURACY) + 1 / F.col("requests")
+    near = [
+        ((F.col(f"{p}_low") / F.col("requests") <= float("0." + p[1:]) + slack) & (F.col(f"{p}_high") / F.col("requests") >= float("0." + p[1:]) - slack)).alias(f"{p}_near")
+        for p in APPROX
+    ]
+    return ranks.select("service", "model", "requests", *near)
 
 
 @query(

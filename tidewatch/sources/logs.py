@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,23 +25,63 @@ def normalise(logs: DataFrame) -> DataFrame:
     return out.withColumn("level", F.upper("level")) if "level" in logs.columns else out
 
 
+def _parsed(lines: DataFrame, table: str, text: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep``, ``_line``, ``_row`` (all fields as text) and ``_bad`` of every line that is not blank.
+
+    The parser sits in a generator, so each line is parsed once, however many
+    fields or filters read the result, and no projection changes what is bad.
+    """
+    fields = struct_of(LOG_SCHEMAS[table])
+    texts = ", ".join(f"`{f.name}` STRING" for f in fields) + f", {CORRUPT} STRING"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    row = F.from_json(text, texts, options)
+    out = lines.where(F.trim(text) != "").select(*keep, F.col(text).alias("_line"), F.inline(F.array(F.struct(row.alias("_row")))))
+    return out.withColumn("_bad", F.col("_row").isNull() | F.col(f"_row.{CORRUPT}").isNotNull())
+
+
+def _typed(parsed: DataFrame, table: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Declared types; a field that cannot be cast is NULL and its row stays."""
+    columns = []
+    for f in struct_of(LOG_SCHEMAS[table]):
+        kind, value = f.dataType.simpleString(), F.col(f"_row.{f.name}")
+        columns.append((value if kind == "string" else value.try_cast(kind)).alias(f.name))
+    return parsed.where(~F.col("_bad")).select(*columns, *keep)
+
+
+def _text_lines(spark: SparkSession, path: str | list[str], recursive: bool, extra: str) -> DataFrame:
+    reader = spark.read.schema("value STRING" + (f", {extra}" if extra else ""))
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    return reader.text(path)
+
+
 def scan_ndjson(
     spark: SparkSession, path: str | list[str], table: str, *, tolerant: bool = True, recursive: bool = False, extra: str = ""
 ) -> DataFrame:
     """Newline-delimited JSON with the declared schema of ``table``.
 
-    Unknown keys are dropped. Malformed lines are skipped when ``tolerant``, and
-    fail the job otherwise. ``recursive`` walks sub-folders (this turns
-    partition discovery off); a glob in ``path`` works as usual. ``extra``
-    declares partition columns.
+    Unknown keys are dropped. When ``tolerant``, a field of another type is NULL
+    and a line that is no JSON object is left to ``scan_rejects``; otherwise
+    both fail the job. ``recursive`` walks sub-folders (this turns partition
+    discovery off); a glob in ``path`` works as usual. ``extra`` declares
+    partition columns.
     """
+    if tolerant:
+        names = [f.name for f in struct_of(extra)] if extra else []
+        return _typed(_parsed(_text_lines(spark, path, recursive, extra), table, "value", names), table, names)
     ddl = LOG_SCHEMAS[table] + (f", {extra}" if extra else "")
-    reader = spark.read.schema(ddl).option("mode", "DROPMALFORMED" if tolerant else "FAILFAST")
+    reader = spark.read.schema(ddl).option("mode", "FAILFAST")
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     return reader.json(path)
 
 
+def scan_rejects(spark: SparkSession, path: str | list[str], table: str, *, recursive: bool = False) -> DataFrame:
+    """The lines that ``scan_ndjson`` leaves out, with their file: (line, file)."""
+    lines = _text_lines(spark, path, recursive, "").select("value", F.col("_metadata.file_path").alias("file"))
+    return _parsed(lines, table, "value", ["file"]).where("_bad").select(F.col("_line").alias("line"), "file")
+
+
 def scan_ml_logs(spark: SparkSession, path: str) -> DataFrame:
     """Scoring logs below ``year=/month=/day=`` folders, as strings.
 
@@ -52,13 +94,10 @@ def scan_ml_logs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def split_malformed(lines: DataFrame, table: str, text: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Raw lines to (good rows, rejected lines); works on streams too."""
-    schema = struct_of(f"{LOG_SCHEMAS[table]}, {CORRUPT} STRING")
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = lines.where(F.trim(text) != "").withColumn("_row", F.from_json(text, schema, options))
-    bad = F.col(f"_row.{CORRUPT}").isNotNull() | F.col("_row").isNull()
-    good = parsed.where(~bad).select("_row.*").drop(CORRUPT)
-    return good, parsed.where(bad).select(F.col(text).alias("line"))
+    """Raw lines to (typed rows, rejected lines); works on streams too. Only a
+    line that is no JSON object is rejected."""
+    parsed = _parsed(lines, table, text)
+    return _typed(parsed, table), parsed.where("_bad").select(F.col("_line").alias("line"))
 
 
 def project_paths(lines: DataFrame, table: str, text: str = "value") -> DataFrame:
@@ -88,7 +127,7 @@ def register_tables(spark: SparkSession, root: str, database: str = "telemetry")
             parts = f" PARTITIONED BY ({', '.join(ML_PARTITIONS)})"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{table} ({quoted}) USING json "
-            f"OPTIONS (mode 'DROPMALFORMED'){parts} LOCATION '{root}/{table}'"
+            f"OPTIONS (mode 'PERMISSIVE'){parts} LOCATION '{root}/{table}'"
         )
         if parts:
             spark.catalog.recoverPartitions(f"{database}.{table}")

@@ -160,14 +160,14 @@ def score_stream(model: PipelineModel, transactions: DataFrame) -> DataFrame:
     return score(model, transactions)
 
 
-def drift_batch(reference_path: str, out: str, features: list[str] = FEATURE_NAMES, time: str = "ts", min_rows: int = 100) -> Callable[[DataFrame, int], None]:
+def drift_batch(reference_path: str, out: str, features: list[str] = FEATURE_NAMES, time: str = "ts") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: drift of each day in the batch against the stored
     reference, for every feature."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         reference = long_values(batch.sparkSession.read.parquet(reference_path), features)
         current = long_values(batch.withColumn("log_date", F.to_date(time)), features, ["log_date"])
-        scores = ks_windows(reference, current, "log_date", ["feature"], min_rows)
+        scores = ks_windows(reference, current, "log_date", ["feature"])
         scores.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return write
