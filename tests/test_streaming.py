@@ -61,6 +61,21 @@ def test_alert_states_cross_batches(spark, tmp_path):
     assert rows(got.where("series = 'quiet'"), "at_us", "state") == [(5 * MIN, "pending"), (7 * MIN, "firing"), (8 * MIN, "resolved")]
 
 
+def test_evaluations_out_of_order_fire_once(spark, tmp_path):
+    schema = "alertname STRING, series STRING, eval_us BIGINT, active BOOLEAN, value DOUBLE, every_us BIGINT, hold_us BIGINT, eval_ts TIMESTAMP"
+
+    def at(second, series="s"):
+        return ("A", series, second * S, True, 1.0, 60 * S, 180 * S, dt.datetime.fromtimestamp(second, dt.timezone.utc).replace(tzinfo=None))
+
+    for n, cuts in enumerate(([[1000, 1060, 1180], [1120, 1240]], [[1000, 1060, 1120, 1180, 1240]])):
+        root = tmp_path / str(n)
+        root.mkdir()
+        path = write_batches(spark, str(root), schema, [*[[at(s) for s in cut] for cut in cuts], [at(9000, "clock")], [at(9100, "clock")]])
+        stream = jobs.event_stream(spark, path, spark.read.parquet(path).schema, max_files=1).withWatermark("eval_ts", "10 minutes")
+        got = run(spark, str(root), states.alert_transitions(stream))
+        assert rows(got.where("series = 's'"), "at_us", "state") == [(1000 * S, "pending"), (1180 * S, "firing"), (1300 * S, "resolved")]
+
+
 def test_notification_timers(spark, tmp_path):
     schema = (
         "receiver STRING, group_key STRING, state STRING, at_us BIGINT, group_wait INT, group_interval INT, repeat_interval INT, at_ts TIMESTAMP"
@@ -198,7 +213,11 @@ def test_ks_properties(spark):
     assert ks_drift(same, F.col("cur")).first().drift_score == 0
     days = spark.createDataFrame([(1, x) for x in b] + [(2, x) for x in [0.0, 7.0]] + [(3, 1.0)], "day INT, value DOUBLE")
     got = ks_windows(df.where("NOT cur").select("value"), days, "day")
-    assert dict(rows(got, "day", "drift_score")) == {1: pytest.approx(ks(a, b)), 2: pytest.approx(ks(a, [0.0, 7.0]))}
+    assert dict(rows(got, "day", "drift_score")) == {
+        1: pytest.approx(ks(a, b)), 2: pytest.approx(ks(a, [0.0, 7.0])), 3: pytest.approx(ks(a, [1.0]))
+    }
+    lone = spark.createDataFrame([("f", 1.0, False), ("f", 3.0, False), ("f", 2.0, True), ("g", 1.0, True)], "feature STRING, value DOUBLE, cur BOOLEAN")
+    assert rows(ks_drift(lone, F.col("cur"))) == [("f", 2, 1, 0.5), ("g", 0, 1, None)]
 
 
 def test_missing_rates_count_nan_and_null(spark):

@@ -103,7 +103,8 @@ HOLD = 2 * HOUR
 
 @query(
     "stream_alert_states",
-    f"""WITH e AS (SELECT event_type AS alertname, (CAST(floor(us / {HOUR}) AS BIGINT) + 1) * {HOUR} AS eval_us, avg(value) > 40 AS hit FROM ev GROUP BY 1, 2),
+    f"""WITH every_e AS (SELECT event_type AS alertname, (CAST(floor(us / {HOUR}) AS BIGINT) + 1) * {HOUR} AS eval_us, avg(value) > 40 AS hit FROM ev GROUP BY 1, 2),
+mark AS (SELECT max(eval_us) - {600 * MICROS} AS passed FROM every_e), e AS (SELECT every_e.* FROM every_e, mark WHERE eval_us < passed),
 seen AS (SELECT alertname, max(eval_us) AS last_us FROM e GROUP BY 1),
 o AS (SELECT *, CASE WHEN eval_us - lag(eval_us) OVER w <= {HOUR} THEN 0 ELSE 1 END AS opens FROM e WHERE hit WINDOW w AS (PARTITION BY alertname ORDER BY eval_us)),
 n AS (SELECT *, sum(opens) OVER (PARTITION BY alertname ORDER BY eval_us) AS i FROM o),
@@ -111,7 +112,7 @@ r AS (SELECT alertname, min(eval_us) AS a, max(eval_us) AS z FROM n GROUP BY ale
 SELECT alertname, 'pending' AS state, a AS at_us, a AS active_us FROM r
 UNION ALL SELECT alertname, 'firing', a + {HOLD}, a FROM r WHERE z - a >= {HOLD}
 UNION ALL SELECT alertname, 'resolved', z + {HOUR}, a FROM r JOIN seen USING (alertname) WHERE z - a >= {HOLD}
-  AND (z < last_us OR z + {HOUR} < (SELECT max(eval_us) FROM e) - {600 * MICROS})""",
+  AND (z < last_us OR z + {HOUR} < (SELECT passed FROM mark))""",
 )
 def stream_alert_states(spark, sf_dir):
     """The pending, firing and resolved states of hourly conditions."""

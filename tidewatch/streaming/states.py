@@ -6,6 +6,7 @@ one micro-batch, which are the evaluations or transitions since the last one.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,16 +16,19 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidewatch.functions.scan import MICROS
 
 TRANSITIONS = "alertname STRING, series STRING, state STRING, at_us BIGINT, active_us BIGINT, value DOUBLE"
-ALERT_STATE = "active_us BIGINT, firing BOOLEAN, last_us BIGINT, every_us BIGINT, value DOUBLE"
+ALERT_STATE = "active_us BIGINT, firing BOOLEAN, last_us BIGINT, every_us BIGINT, value DOUBLE, waiting STRING"
 
 
 def alert_transitions(evaluations: DataFrame) -> DataFrame:
     """Pending, firing and resolved transitions per (alertname, series).
 
     Input: ``alertname, series, eval_us, active, value, every_us, hold_us`` and
-    the watermarked time ``eval_ts``. A false or a missing evaluation ends a run;
-    a run that ends before it fired goes back to inactive without a row. A quiet
-    key is closed when the watermark passes its next evaluation.
+    the watermarked time ``eval_ts``. Evaluations wait until the watermark has
+    passed them and are then read in time order, so it makes no difference in
+    which batch one arrives. A false or a missing evaluation ends a run; a run
+    that ends before it fired goes back to inactive without a row. A quiet key is
+    closed when the watermark passes its next evaluation. What waits is bounded
+    by the watermark's delay.
     """
     return evaluations.groupBy("alertname", "series").applyInPandasWithState(
         _advance, TRANSITIONS, ALERT_STATE, "append", GroupStateTimeout.EventTimeTimeout
@@ -32,7 +36,7 @@ def alert_transitions(evaluations: DataFrame) -> DataFrame:
 
 
 def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    active, firing, last, every, value = state.get if state.exists else (None, False, None, None, None)
+    active, firing, last, every, value, waiting = state.get if state.exists else (None, False, None, None, None, "[]")
     out: list[tuple] = []
 
     def close(at: int) -> None:
@@ -41,40 +45,37 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
             out.append((*key, "resolved", at, active, value))
         active, firing = None, False
 
-    if state.hasTimedOut:
+    rows = [tuple(r) for r in json.loads(waiting)]
+    if not state.hasTimedOut:
+        for batch in batches:
+            columns = (batch[c].tolist() for c in ("eval_us", "active", "value", "every_us", "hold_us"))
+            rows += [(int(at), bool(hit), float(v), int(e), int(h)) for at, hit, v, e, h in zip(*columns)]
+    passed = state.getCurrentWatermarkMs() * 1000
+    rows.sort(key=lambda r: r[0])
+    for at, hit, v, every, hold in (r for r in rows if r[0] < passed):
+        if last is not None and active is not None and at - last > every:
+            close(last + every)
+        if hit:
+            value = v
+            if active is None:
+                active = at
+                out.append((*key, "pending", at, at, value))
+            if not firing and at - active >= hold:
+                firing = True
+                out.append((*key, "firing", at, active, value))
+        elif active is not None:
+            close(at)
+        last = at
+    rows = [r for r in rows if r[0] >= passed]
+    if active is not None and last + every < passed:
+        # The watermark has passed the next evaluation: it is missing.
         close(last + every)
+    times = [r[0] for r in rows[:1]] + ([last + every] if active is not None else [])
+    if times:
+        state.update((active, firing, last, every, value, json.dumps(rows)))
+        state.setTimeoutTimestamp(max(min(times) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+    elif state.exists:
         state.remove()
-    else:
-        rows = pd.concat(list(batches)).sort_values("eval_us", kind="stable")
-        every = int(rows["every_us"].iloc[0])
-        hold = int(rows["hold_us"].iloc[0])
-        for at, hit, v in zip(rows["eval_us"], rows["active"], rows["value"]):
-            at = int(at)
-            if last is not None and active is not None and at - last > every:
-                close(last + every)
-            if hit:
-                value = float(v)
-                if active is None:
-                    active = at
-                    out.append((*key, "pending", at, at, value))
-                if not firing and at - active >= hold:
-                    firing = True
-                    out.append((*key, "firing", at, active, value))
-            elif active is not None:
-                close(at)
-            last = at
-        if active is None:
-            if state.exists:
-                state.remove()
-        else:
-            state.update((active, firing, last, every, value))
-            # The watermark passing the next evaluation means that it is missing.
-            due = (last + every) // 1000 + 1
-            if due > state.getCurrentWatermarkMs():
-                state.setTimeoutTimestamp(due)
-            else:
-                close(last + every)
-                state.remove()
     yield pd.DataFrame(out, columns=[c.split()[0] for c in TRANSITIONS.split(", ")])
 
 
