@@ -154,8 +154,8 @@ def duplicate_vectors(vectors: DataFrame, similarity: float = SIMILARITY, block:
     largest = sizes.agg(F.max("n").alias("n"), F.max_by("dim", "n").alias("dim")).first()
     dim, cells = largest["dim"] or 0, min(MAX_CELLS, -(-(largest["n"] or 0) // PER_CELL))
     chosen = units.where(F.col("dim") == dim).orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample if cells > 1 else 0)
-    rows = np.array([r["unit"] for r in chosen.select("unit").collect()], np.float64).reshape(-1, dim)
-    homes = stored(placed(units, fit_codebook(rows, cells), dim, similarity), "embed-cells")
+    rows = np.array([r["unit"] for r in chosen.select("unit").collect()], np.float64)
+    homes = stored(placed(units, fit_codebook(rows.reshape(len(rows), dim), cells), dim, similarity), "embed-cells")
 
     place = ["label", "dim", "cell"]
     visits = homes.withColumn("cell", F.explode("visits"))
