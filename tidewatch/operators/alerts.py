@@ -23,14 +23,18 @@ from tidewatch.operators import timeseries as ts
 from tidewatch.operators.relabel import EXTERNAL_LABELS, keep_missing, label_map, upsert
 from tidewatch.plans.alert_rules import AVERAGE_KEEPS, RATIO_DROPS, RULES, Rule
 
-MAX_RULES = 10_000
+# A longer list is joined by a shuffle.
+BROADCAST_RULES = 10_000
 RANGE_SHAPES = ("ratio_of_rates", "quantile", "rate", "average_rate")
 
 
+def bounded(table: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Hint the broadcast of a rule table that is short enough."""
+    return F.broadcast(table) if len(rules) <= BROADCAST_RULES else table
+
+
 def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
-    """Rules as rows. Refuses lists too long to be broadcast."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules are more than the {MAX_RULES} that may be broadcast")
+    """Rules as rows."""
     rows = [
         (r.name, r.metric, r.where, r.part, r.window * MICROS, r.every * MICROS, r.q, r.scale, r.offset, r.op, r.threshold)
         for r in rules
@@ -55,7 +59,7 @@ def _selected(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Samples of the rules' metrics, once per rule that reads them."""
     table = rule_table(samples.sparkSession, rules)
     read = samples.where(F.col("metric").isin(sorted({r.metric for r in rules})))
-    joined = read.join(F.broadcast(table), "metric").withColumn("_labels", labels_of("series"))
+    joined = read.join(bounded(table, rules), "metric").withColumn("_labels", labels_of("series"))
     wanted = F.col("matchers")
     return joined.where(((F.size(wanted) == 0) | matches(F.col("_labels"), wanted)) & ~F.isnan("value"))
 
@@ -170,8 +174,6 @@ def alert_rows(
     """
     spark = evaluations.sparkSession
     runs = islands(evaluations, ["alertname", "series"], "eval_us", F.col("every_us"), block_us, ["value", "every_us"])
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules are more than the {MAX_RULES} that may be broadcast")
     root = runbook_root.rstrip("/") if runbook_root else None
     hold = spark.createDataFrame(
         [
@@ -197,7 +199,7 @@ def alert_rows(
     )
     fired = F.col("firing_us").isNotNull()
     labelled = (
-        runs.join(F.broadcast(hold), "alertname")
+        runs.join(bounded(hold, rules), "alertname")
         .withColumns({"_series": F.coalesce(labels_of("series"), label_map({})), "_values": formatted})
         .withColumn("labels", upsert(F.col("_series"), F.map_filter(own, lambda _, v: v.isNotNull())))
         .withColumn("firing_us", F.when(fires <= F.col("end_us"), fires))

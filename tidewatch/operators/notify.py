@@ -258,8 +258,14 @@ def incidents(alerts: DataFrame, gap_us: int = 30 * MINUTE, block_us: int = HOUR
     )
 
 
-def spiking_metrics(alerts: DataFrame, samples: DataFrame, before_us: int = 15 * MINUTE, bucket_us: int = HOUR) -> DataFrame:
-    """Per alert and metric: peak near the alert against the metric's mean.
+# A metric spikes when its peak is at least so many times its mean.
+SPIKE_RATIO = 2.0
+
+
+def spiking_metrics(
+    alerts: DataFrame, samples: DataFrame, before_us: int = 15 * MINUTE, bucket_us: int = HOUR, min_ratio: float = SPIKE_RATIO
+) -> DataFrame:
+    """The metrics that spike near each alert: peak there against the metric's mean, at least ``min_ratio`` times it.
 
     Samples are first reduced to one row per metric and time bucket. Alerts are
     cut into the same buckets, which makes the interval join an equi-join; a
@@ -279,4 +285,5 @@ def spiking_metrics(alerts: DataFrame, samples: DataFrame, before_us: int = 15 *
     )
     joined = salted_join(spans, reduced, ["bucket"], ["alertname", "series", "active_us"], "inner")
     near = joined.groupBy("alertname", "series", "active_us", "metric").agg(F.max("peak").alias("peak"))
-    return near.join(usual, "metric").withColumn("ratio", F.col("peak") / F.nullif(F.col("mean"), F.lit(0.0)))
+    rated = near.join(usual, "metric").withColumn("ratio", F.col("peak") / F.nullif(F.col("mean"), F.lit(0.0)))
+    return rated.where(F.col("ratio") >= min_ratio)

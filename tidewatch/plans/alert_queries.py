@@ -170,7 +170,7 @@ SPIKES = {
     f"""SELECT a.alertname, a.series, a.active_us, r.metric, round(max(r.peak), 6) AS peak, round(max(r.peak) / nullif(any_value(m.mean), 0), 6) AS ratio
 FROM rule_alerts a JOIN reduced r ON r.bucket BETWEEN CAST(floor((a.active_us - {15 * MINUTE}) / {HOUR}) AS BIGINT) AND CAST(floor(a.resolved_us / {HOUR}) AS BIGINT)
 JOIN (SELECT metric, sum(total) / sum(n) AS mean FROM reduced GROUP BY 1) m ON r.metric = m.metric
-WHERE a.firing_us IS NOT NULL GROUP BY 1, 2, 3, 4""",
+WHERE a.firing_us IS NOT NULL GROUP BY 1, 2, 3, 4 HAVING max(r.peak) / nullif(any_value(m.mean), 0) >= {notify.SPIKE_RATIO}""",
     SPIKES,
 )
 def alert_metric_spikes(spark, sf_dir):
