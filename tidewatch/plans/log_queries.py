@@ -10,6 +10,7 @@ from tidewatch.operators import enrich as en
 from tidewatch.operators import relabel, search
 from tidewatch.plans import views
 from tidewatch.plans.registry import query
+from tidewatch.session import fresh_path
 from tidewatch.sources import logs as scans
 
 
@@ -261,6 +262,44 @@ def scan_malformed(spark, sf_dir):
     return rejects.groupBy("line").agg(F.count(F.lit(1)).alias("lines"))
 
 
+FILE_COUNTS = """SELECT 'kept' AS part, log_date, service, count(*) AS lines, CAST(sum(CASE WHEN n % 13 = 0 THEN 0 ELSE 1 END) AS BIGINT) AS latencies,
+  CAST(sum(CASE WHEN n % 13 = 0 THEN 0 ELSE round(latency_ms * 1000) END) AS BIGINT) AS latency_us FROM numbered WHERE n % 17 <> 0 GROUP BY 2, 3
+UNION ALL SELECT 'rejected', NULL, NULL, count(*), NULL, NULL FROM numbered WHERE n % 17 = 0"""
+FILE_SQL = "WITH numbered AS (SELECT *, CAST(ts AS DATE) AS log_date, CAST(substr(transaction_id, 4) AS BIGINT) AS n FROM ml_logs) " + FILE_COUNTS
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """JSON lines with an unknown key; every 13th has a text for a number and every 17th is cut off."""
+    n = F.substring("transaction_id", 4, 20).cast("long")
+    names = [c for c in rows.columns if c not in ("ts", "us", "latency_ms")]
+    latency = F.when(n % 13 == 0, F.lit("n/a")).otherwise(F.col("latency_ms").cast("string"))
+    line = F.to_json(F.struct(*names, latency.alias("latency_ms"), F.lit(1).alias("unheard_of")))
+    cut = F.when(n % 17 == 0, F.expr("substring(_line, 1, length(_line) - 5)")).otherwise(F.col("_line"))
+    day = F.date_format("ts", "yyyy"), F.date_format("ts", "MM"), F.date_format("ts", "dd")
+    return rows.select(line.alias("_line"), n.alias("_n"), *[d.alias(p) for d, p in zip(day, ("year", "month", "day"))], "transaction_id").select(
+        cut.alias("value"), "year", "month", "day"
+    )
+
+
+@query("scan_files_partitioned", FILE_SQL)
+def scan_files_partitioned(spark, sf_dir):
+    """Partitioned log files with damaged lines, written and scanned; rejects are counted."""
+    root = fresh_path(spark, "ml-log-files")
+    _damaged(views.ml_logs(spark, sf_dir)).write.partitionBy("year", "month", "day").text(root)
+    kept = scans.scan_ml_logs(spark, root)
+    counts = kept.groupBy(F.lit("kept").alias("part"), "log_date", "service").agg(
+        F.count(F.lit(1)).alias("lines"), F.count("latency_ms").alias("latencies"),
+        F.sum(F.coalesce(F.round(F.col("latency_ms") * 1000), F.lit(0.0))).cast("long").alias("latency_us"),
+    )
+    none = F.lit(None)
+    rejects = scans.scan_rejects(spark, root, "ml_logs", recursive=True).agg(F.count(F.lit(1)).alias("lines"))
+    lost = rejects.select(
+        F.lit("rejected").alias("part"), none.cast("date").alias("log_date"), none.cast("string").alias("service"), "lines",
+        none.cast("long").alias("latencies"), none.cast("long").alias("latency_us"),
+    )
+    return counts.unionByName(lost)
+
+
 @query(
     "container_logs",
     """SELECT ts, CASE WHEN event_type = 'error' THEN 'stderr' ELSE 'stdout' END AS stream,
