@@ -168,14 +168,17 @@ def test_repeats_equal_brute_force(spark, docs):
             seen.setdefault(body, (d, place))
     want = {}
     for d, t in rows:
-        spans = [
-            {"place": p, "start": x, "end": y, "words": len(WORD.findall(body.decode()))}
-            for p, (x, y, body) in enumerate(chunks.get(d, [])) if seen[body] != (d, p)
-        ]
-        raw, keep, at = t.encode(), [], 0
-        for x, y, _ in cdc.runs(spans, cdc.MIN_WORDS):
-            keep.append(raw[at:x])
-            at = y
+        mine = chunks.get(d, [])
+        counts = [len(WORD.findall(body.decode())) for _, _, body in mine]
+        raw, keep, at, p = t.encode(), [], 0, 0
+        while p < len(mine):
+            q = p
+            while q < len(mine) and seen[mine[q][2]] != (d, q):
+                q += 1
+            if sum(counts[p:q]) >= cdc.MIN_WORDS and sum(counts[max(p - 1, 0) : q + 1]) > cdc.PASSAGE:
+                keep.append(raw[at : mine[p][0]])
+                at = mine[q - 1][1]
+            p = max(q, p + 1)
         want[d] = b"".join([*keep, raw[at:]]).decode()
     got = {r.doc_id: r.text for r in cdc.remove_repeats(docs.select("doc_id", "text")).collect()}
     assert got == want

@@ -5,8 +5,9 @@ bytes before it falls into a fixed share of its values, so cuts depend on the
 neighbourhood alone and chunks line up again right after an insertion. Chunks
 are compared by a 128-bit digest. The occurrence with the smallest document and
 place owns a repeated chunk. A later document loses every run of neighbouring
-chunks owned elsewhere that holds at least ``min_words`` words; shorter repeats
-(common lines, licence notes) stay.
+chunks owned elsewhere that holds at least ``MIN_WORDS`` words and, with the two
+chunks around it, more than ``passage`` words: the repeated passage ends inside
+those two. Shorter repeats (common lines, licence notes, short copies) stay.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from tidewatch.llm.common import mix, ready, row_key, stored, text_slices, word_
 MIN_CHUNK = 24
 MAX_CHUNK = 1024
 CUT_EVERY = 8
-# Passages of more than 50 words are meant; the chunks at their two ends reach beyond them.
-MIN_WORDS = 20
+# Passages of more than so many words go.
+PASSAGE = 50
+MIN_WORDS = 12
 WINDOW = 16
 
 _GEAR = mix(np.arange(512, 768, dtype=np.uint64)).astype(np.uint16)
@@ -72,14 +74,14 @@ def _whole(data: np.ndarray, at: int) -> int:
 
 
 def chunks(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(key, body, place, start, end, words, high, low) of every chunk; key and body name the text, offsets are bytes."""
-    kinds = {"key": pa.int64(), "body": pa.int64(), "place": pa.int32(), "start": pa.int32(), "end": pa.int32(), "words": pa.int32(), "high": pa.int64(), "low": pa.int64()}
+    """(key, body, place, high, low) of every chunk; key and body name the text, place counts its chunks from 0."""
+    kinds = {"key": pa.int64(), "body": pa.int64(), "place": pa.int32(), "high": pa.int64(), "low": pa.int64()}
 
     def split(batches):
         for batch in batches:
             keys, bodies = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for a, b, data, offsets in text_slices(batch.column(2)):
-                starts, edges = cuts(data, offsets)
+                _, edges = cuts(data, offsets)
                 raw, size = data.tobytes(), [len(e) - 1 for e in edges]
                 begin = np.array([x for e in edges for x in e[:-1]], np.int64)
                 end = np.array([x for e in edges for x in e[1:]], np.int64)
@@ -91,71 +93,71 @@ def chunks(docs: DataFrame, text: str = "text") -> DataFrame:
                 first = np.concatenate(([0], np.cumsum(size)))[:-1]
                 columns = {
                     "key": keys[a + row], "body": bodies[a + row], "place": np.arange(len(row)) - first[row],
-                    "start": begin - offsets[row], "end": end - offsets[row],
-                    "words": np.searchsorted(starts, end) - np.searchsorted(starts, begin),
                     "high": halves[:, 0], "low": halves[:, 1],
                 }
                 yield pa.RecordBatch.from_arrays([pa.array(columns[k], t) for k, t in kinds.items()], names=list(kinds))
 
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(row_key().alias("key"), F.xxhash64(body).alias("body"), body.alias("text"))
-    return rows.mapInArrow(split, "key long, body long, place int, start int, end int, words int, high long, low long")
+    return rows.mapInArrow(split, "key long, body long, place int, high long, low long")
 
 
 def repeated(found: DataFrame) -> DataFrame:
-    """The chunks that another place owns, gathered per text: (key, body, spans)."""
+    """The places of chunks that another place owns, gathered per text: (key, body, places)."""
     here = F.struct("key", "body", "place")
     owners = found.groupBy("high", "low").agg(F.min(here).alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # Written out, so that the join below shuffles both sides itself and can split a chunk that is everywhere.
     owners = stored(owners.select("high", "low", "owner"), "cdc-owners")
     later = found.join(owners, ["high", "low"]).where(here != F.col("owner"))
     # The chunks of one text are bounded by its length.
-    return later.groupBy("key", "body").agg(F.collect_set(F.struct("place", "start", "end", "words")).alias("spans"))
-
-
-def runs(spans: list[dict], min_words: int) -> list[tuple[int, int, int]]:
-    """(start, end, words) of the runs of neighbouring spans that are long enough."""
-    out, held = [], None
-    for s in sorted(spans, key=lambda s: s["place"]):
-        if held and s["place"] == held[3] + 1:
-            held = (held[0], s["end"], held[2] + s["words"], s["place"])
-        else:
-            if held and held[2] >= min_words:
-                out.append(held[:3])
-            held = (s["start"], s["end"], s["words"], s["place"])
-    if held and held[2] >= min_words:
-        out.append(held[:3])
+    return later.groupBy("key", "body").agg(F.collect_set("place").alias("places"))
+
+
+def runs(raw: bytes, places: list[int], passage: int = PASSAGE) -> list[tuple[int, int, int]]:
+    """(start, end, words) of the runs of neighbouring chunks at ``places`` that are long enough to go."""
+    data = np.frombuffer(raw, np.uint8)
+    starts, (edges,) = cuts(data, np.array([0, len(raw)]))
+    before = np.searchsorted(starts, edges)
+    gone = np.zeros(len(edges) + 1, bool)
+    gone[np.array(places) + 1] = True
+    turns = np.flatnonzero(gone[1:] != gone[:-1])
+    out = []
+    for a, b in zip(turns[::2].tolist(), turns[1::2].tolist()):
+        words = int(before[b] - before[a])
+        around = int(before[min(b + 1, len(edges) - 1)] - before[max(a - 1, 0)])
+        if words >= MIN_WORDS and around > passage:
+            out.append((edges[a], edges[b], words))
     return out
 
 
-def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, passage: int = PASSAGE, text: str = "text") -> DataFrame:
     """``docs`` with repeated passages cut from ``text`` and the columns
 
     ``n_removed`` (passages cut), ``removed_words`` and ``removed_bytes``. The
     first occurrence (smallest doc_id, then place) stays. A null text stays null;
-    texts below ``min_words`` words are never cut. Rows with the same doc_id and
+    texts of at most ``passage`` words are never cut. Rows with the same doc_id and
     text are one document. A null doc_id comes first. Other columns pass through
     unread, whatever their names, but for the three added ones, which are replaced.
     """
     ready(docs.sparkSession)
     found = stored(chunks(docs, text), "cdc-chunks")
-    spans = repeated(found).select("key", "body", F.col("spans").alias("_spans"))
+    places = repeated(found).select("key", "body", F.col("places").alias("_places"))
     added = ("n_removed", "removed_words", "removed_bytes")
     others = [c for c in docs.columns if c not in added]
     wide = docs.select(
         F.struct(F.lit(0).alias("_"), *[c for c in others if c != text]).alias("_row"), F.col(text).alias("_text"),
         row_key().alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("body"),
     )
-    joined = deflated(wide).join(spans, ["key", "body"], "left").select("_row", "_text", "_spans")
+    joined = deflated(wide).join(places, ["key", "body"], "left").select("_row", "_text", "_places")
 
     def cut(batches):
         for batch in batches:
-            bodies, lists = batch.column("_text").to_pylist(), batch.column("_spans").to_pylist()
+            bodies, lists = batch.column("_text").to_pylist(), batch.column("_places").to_pylist()
             texts, figures = [], np.zeros((3, batch.num_rows), np.int64)
-            for i, (packed, spans_of) in enumerate(zip(bodies, lists)):
+            for i, (packed, found_at) in enumerate(zip(bodies, lists)):
                 raw = None if packed is None else zlib.decompress(packed)
                 at, keep = 0, []
-                for start, end, words in runs(spans_of, min_words) if spans_of else ():
+                for start, end, words in runs(raw, found_at, passage) if found_at else ():
                     keep.append(raw[at:start])
                     at = end
                     figures[:, i] += (1, words, end - start)
