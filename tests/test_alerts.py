@@ -285,3 +285,21 @@ def test_rendered_texts(spark):
     assert got[1] == "*Alert:* sum\n*Description:* desc\n"
     title = df.select(notify.title(F.lit("resolved"), F.col("summary"), F.col("receiver")).alias("t"))
     assert [r.t for r in title.collect()] == ["[RESOLVED] sum", "[ML-OPS RESOLVED] sum"]
+
+
+def test_replaced_inputs_are_read_again(spark, tmp_path):
+    from tidewatch.plans.samples import stored
+
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a").write_text("1")
+    made = []
+
+    def table(value):
+        made.append(value)
+        return spark.createDataFrame([(value, "x")], "v INT, by STRING")
+
+    read = lambda value: [r.v for r in stored(spark, "memo", str(source), lambda: table(value), "by").collect()]
+    assert read(1) == [1] and read(2) == [1] and made == [1]
+    (source / "a").write_text("12")
+    assert read(3) == [3] and made == [1, 3]

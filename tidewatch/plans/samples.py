@@ -95,17 +95,24 @@ def derive_samples(spark: SparkSession, sf_dir: str, only: Iterable[str] = (), e
     return union(out)
 
 
-_WRITTEN: dict[tuple[str, ...], str] = {}
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _identity(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of what lies in a folder: replaced inputs give another identity."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
 
 
 def stored(spark: SparkSession, name: str, source: str, build: Callable[[], DataFrame], by: str) -> DataFrame:
-    """A derived table in the shared folder, written once per application.
+    """A derived table in the shared folder, written once per application and state of its inputs.
 
     Later stages read it selectively, and the loss of an executor does not
     bring its lineage back. The rebalance gives a part few files and splits a
     large one.
     """
-    key = (spark.sparkContext.applicationId, name, source)
+    key = (spark.sparkContext.applicationId, name, source, _identity(spark, source))
     if key in _WRITTEN:
         try:
             return spark.read.parquet(_WRITTEN[key])
