@@ -9,11 +9,11 @@ coordinate with the probability of their weighted Jaccard similarity.
 
 Equal texts form one class before anything is compared. Signatures are cut into
 bands; classes that share a band's value are candidates. A bucket is not
-expanded into pairs: its members are compared with one pivot, the pairs that
-hold are merged into components, and only buckets that still touch several
-components take more pivots, 8, 64 ... of them, against members of other
-components. After the last round every candidate pair was compared or lies
-within one component, so no link between components is lost.
+expanded into pairs: its members are compared with one pivot, and the pairs that
+hold are merged into components. Buckets that still touch several components are
+compared in blocks of bounded size, where only links that join components come
+out. Every candidate pair was then compared or lies within one component, so no
+link between components is lost.
 """
 
 from __future__ import annotations
@@ -35,8 +35,8 @@ ROWS = 4
 SIZE = BANDS * ROWS
 # Share of coordinates in which a candidate pair must agree to be compared exactly.
 LEAST = 0.55
-# Each round takes so many times the pivots of all rounds before.
-MORE_PIVOTS = 8
+# Shingles of the members that one task compares at once, for each of two sides.
+BLOCK_UNITS = 1_000_000
 
 _PLACES = mix(np.arange(1, WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 _GAP, _DART, _AGAIN, _PLACE = (mix(np.array([s], np.uint64))[0] for s in (11, 12, 13, 14))
@@ -189,7 +189,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, text: str =
 
 def candidates(classes: DataFrame) -> DataFrame:
     """(key, rep, n, h) of the band buckets with several classes; h orders a bucket's members at random, first is 0."""
-    cells = classes.select("rep", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("key"), "rep")
+    cells = classes.select("rep", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("key"), "band", "rep")
     cells = cells.withColumn("h", F.shiftrightunsigned(F.xxhash64("rep", "key"), 1) / F.lit(float(2**63)))
     buckets = cells.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("h", "rep")).alias("pivot")).where("n > 1")
     return stored(cells.join(buckets, "key"), "dart-buckets")
@@ -223,7 +223,7 @@ def grouped(spark, docs: DataFrame, classes: DataFrame, members: DataFrame, simi
     if not n_nodes:
         return None
     near = small_side(nodes, n_nodes)
-    sketch = stored(classes.select("rep", "signature").join(near, F.col("rep") == F.col("doc_id"), "left_semi"), "dart-signatures")
+    sketch = stored(classes.select("rep", "signature", "bands").join(near, F.col("rep") == F.col("doc_id"), "left_semi"), "dart-signatures")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     sets = stored(unit_sets(texts.join(near, "doc_id")), "dart-units")
     stars = spark.createDataFrame([], "node long, component long")
@@ -239,23 +239,60 @@ def grouped(spark, docs: DataFrame, classes: DataFrame, members: DataFrame, simi
     likely = met.groupBy("rep").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
     take(likely.select(F.col("rep").alias("u"), F.col("pivot").alias("v")))
     take(apart(met.select(F.col("rep").alias("u"), F.col("pivot").alias("v")), stars))
-    # Who stands where after these: of two members, the one in the bucket's larger group is the pivot.
-    # A straggler so meets 8, then 64 ... members of a large group, and not all of them at once.
-    start = opened(placed(members, stars).withColumnRenamed("component", "base"), "base", 2)
-    sizes = start.groupBy("key", "base").agg(F.count(F.lit(1)).alias("size"))
-    start = stored(start.join(sizes, ["key", "base"]), "dart-open")
-    tried = 0
-    while True:
-        seen = stored(opened(placed(start, stars), "component", tried), "dart-open")
-        if seen.isEmpty():
-            return stars
-        share = F.col("h") * F.col("n")
-        new = seen.where((share >= tried) & (share < max(tried, 1) * MORE_PIVOTS))
-        pivots = new.select("key", F.col("rep").alias("u"), F.col("component").alias("_cu"), F.struct("size", "base").alias("_su"))
-        others = seen.select("key", F.col("rep").alias("v"), F.col("component").alias("_cv"), F.struct("size", "base").alias("_sv"))
-        pairs = pivots.join(others, "key").where("_cu <> _cv AND _su > _sv")
-        take(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-        tried = max(tried, 1) * MORE_PIVOTS
+    # What is left: pairs inside buckets that still touch several components.
+    left = opened(placed(members, stars), "component").select("key", "band", "rep", "component")
+    wide = sketch.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    sizes = left.join(wide.select("rep", F.size("units").alias("size")), "rep").groupBy("key")
+    blocks = sizes.agg(F.ceil(F.sum("size") / BLOCK_UNITS).cast("int").alias("nb"))
+    own = F.pmod(F.xxhash64("rep", "key"), F.col("nb").cast("long")).cast("int")
+    rows = left.join(blocks, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other", "nb")
+    links = rows.join(wide, "rep").groupBy("key", "low", "high").applyInArrow(lambda t: block_links(t, similarity), "u long, v long")
+    links = stored(links, "dart-links")
+    if links.isEmpty():
+        return stars
+    return components(stars.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links))
+
+
+def block_links(table: pa.Table, similarity: float) -> pa.Table:
+    """Links that join the components met in one block of a bucket, by exact comparison; never more than components.
+
+    A pair is looked at in the first band that both have in common, and no
+    longer once its ends are in one component. Members of small components look
+    for a partner, the most alike by signature first.
+    """
+    reps, band = table.column("rep").to_numpy(), table.column("band")[0].as_py()
+    signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(len(reps), SIZE)
+    bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(reps), BANDS)
+    lists = table.column("units").combine_chunks()
+    edges, units = lists.offsets.to_numpy(), lists.values.to_numpy()
+    owned = table.column("own").to_numpy()
+    within = table.column("low")[0].as_py() == table.column("high")[0].as_py()
+    _, group, size = np.unique(table.column("component").to_numpy(), return_inverse=True, return_counts=True)
+    root, out = np.arange(len(size)), ([], [])
+    order = np.lexsort((np.arange(len(reps)), group, size[group]))
+    rank = np.empty(len(reps), np.int64)
+    rank[order] = np.arange(len(reps))
+    for x in order.tolist():
+        others = np.flatnonzero((root[group] != root[group[x]]) & (rank > rank[x]))
+        if not within:
+            others = others[owned[others] != owned[x]]
+        if not len(others):
+            continue
+        others = others[(bands[others] == bands[x]).argmax(axis=1) == band]
+        agree = (signs[others] == signs[x]).sum(axis=1)
+        close = others[agree >= math.ceil(LEAST * SIZE)]
+        mine = units[edges[x] : edges[x + 1]]
+        for y in close[np.argsort(-agree[agree >= math.ceil(LEAST * SIZE)], kind="stable")].tolist():
+            if root[group[y]] == root[group[x]]:
+                continue
+            theirs = units[edges[y] : edges[y + 1]]
+            both = len(np.intersect1d(mine, theirs, assume_unique=True))
+            if both >= similarity * (len(mine) + len(theirs) - both) - 1e-9:
+                root[root == root[group[y]]] = root[group[x]]
+                out[0].append(int(reps[x]))
+                out[1].append(int(reps[y]))
+    return pa.table({"u": pa.array(out[0], pa.int64()), "v": pa.array(out[1], pa.int64())})
 
 
 def placed(members: DataFrame, stars: DataFrame) -> DataFrame:
@@ -264,11 +301,10 @@ def placed(members: DataFrame, stars: DataFrame) -> DataFrame:
     return named.withColumn("component", F.coalesce("component", "rep"))
 
 
-def opened(members: DataFrame, group: str, tried: int) -> DataFrame:
-    """The members of buckets that touch several groups and have members that were no pivot yet."""
+def opened(members: DataFrame, group: str) -> DataFrame:
+    """The members of buckets of three or more that touch several groups; two were compared with each other."""
     sides = members.groupBy("key").agg(F.min(group).alias("_low"), F.max(group).alias("_high"), F.max("n").alias("_n"))
-    unfinished = sides.where((F.col("_low") != F.col("_high")) & (F.col("_n") > tried)).select("key")
-    return members.join(unfinished, "key", "left_semi")
+    return members.join(sides.where((F.col("_low") != F.col("_high")) & (F.col("_n") > 2)).select("key"), "key", "left_semi")
 
 
 def apart(pairs: DataFrame, stars: DataFrame) -> DataFrame:
