@@ -7,8 +7,9 @@ neighbouring pieces. A pair-merging model is no plain sum of piece scores, so th
 filter carries its order of merges: two pieces may follow each other if merging
 their joint text gives back these two, otherwise the arc has an infinite weight.
 A path through input, pieces and filter on which all neighbours hold is the
-segmentation of the merges. Weights are of the tropical semiring: one per piece
-and one for an endless arc; scores are added for models that are sums of scores.
+segmentation of the merges. Weights are of the tropical semiring: nothing for an
+arc that the filter admits, infinity for one that it does not; models that are
+sums of scores have these as weights instead.
 
 No piece has a space sign after another character, so the input falls apart at
 the space signs that follow one. Paths of such units are found once per worker.
@@ -33,6 +34,10 @@ SPACE = "▁"
 NORMAL, UNKNOWN, BYTE, USER = 1, 2, 6, 4
 UNIGRAM, BPE = 1, 2
 MODEL = "piece_bpe_32k.model"
+# Units and pairs of pieces a worker keeps; beyond it the store starts anew.
+MAX_UNITS = 600_000
+MAX_PAIRS = 500_000
+UNKNOWN_WEIGHT = 1e6
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -87,15 +92,18 @@ class Transducer:
         for i, k in enumerate(kinds):
             if k not in (NORMAL, USER, BYTE, UNKNOWN):
                 self.raw[i] = b""
+        # Character -> [arc that ends here or None, next characters].
+        self.longest = max(map(len, self.numbers), default=1)
         self.trie: dict = {}
         for piece, number in self.numbers.items():
             if not self.merges or self.merged(piece) == [piece]:
-                node = self.trie
+                children = self.trie
                 for char in piece:
-                    node = node.setdefault(char, {})
-                node[""] = number
-        self.follows: dict[tuple[str, str], bool] = {}
-        self.units = UnitStore(lambda units: [self.path(SPACE + u) for u in units])
+                    node = children.setdefault(char, [None, {}])
+                    children = node[1]
+                node[0] = (piece, number)
+        self.follows: dict[int, bool] = {}
+        self.units = UnitStore(lambda units: [self.path(SPACE + u) for u in units], MAX_UNITS)
 
     def normalised(self, text: str) -> str:
         out = text.replace(" ", SPACE)
@@ -117,58 +125,86 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def holds(self, left: str, right: str) -> bool:
-        key = (left, right)
-        found = self.follows.get(key)
+    def holds(self, left: tuple[str, int], right: tuple[str, int]) -> bool:
+        """Whether the filter lets ``right`` follow ``left``; arcs are (text, piece number or -1)."""
+        key = (left[1] << 32) + right[1]
+        found = self.follows.get(key) if left[1] >= 0 and right[1] >= 0 else self.merged(left[0] + right[0]) == [left[0], right[0]]
         if found is None:
-            if len(self.follows) > 2_000_000:
+            if len(self.follows) > MAX_PAIRS:
                 self.follows.clear()
-            found = self.follows[key] = not self.merges or self.merged(left + right) == [left, right]
+            found = self.follows[key] = self.merged(left[0] + right[0]) == [left[0], right[0]]
+        return found
+
+    def arcs(self, text: str, at: int) -> list[tuple[str, int]]:
+        """The pieces that begin at a place, longest first, or its character where that is no piece."""
+        children, found = self.trie, []
+        for char in text[at : at + self.longest]:
+            node = children.get(char)
+            if node is None:
+                break
+            arc, children = node
+            if arc is not None:
+                found.append(arc)
+        if not found or len(found[0][0]) > 1:
+            found.insert(0, (text[at], -1))
+        found.reverse()
         return found
 
     def path(self, text: str) -> bytes:
         """Piece numbers (unsigned 32-bit) of the best path through the composition with ``text``."""
-        n = len(text)
-        best: list[dict[str, tuple]] = [{} for _ in range(n + 1)]
-        best[0][""] = (0.0, None, None)
-        for at in range(n):
-            here = best[at]
-            if not here:
-                continue
-            node, end, seen = self.trie, at, False
-            arcs = []
-            while end < n and (node := node.get(text[end])) is not None:
-                end += 1
-                number = node.get("")
-                if number is not None:
-                    arcs.append((text[at:end], number))
-                    seen = seen or end == at + 1
-            if not seen:
-                arcs.append((text[at], None))
-            for piece, number in arcs:
-                cost = 1.0 if self.merges else (-self.scores[number] if number is not None else 1e6)
-                there = best[at + len(piece)]
-                for last, (total, _, _) in here.items():
-                    if last and not self.holds(last, piece):
-                        continue
-                    old = there.get(piece)
-                    if old is None or total + cost < old[0]:
-                        there[piece] = (total + cost, last, number)
-        if not best[n]:
-            raise ValueError(f"no path for {text!r}")
-        piece = min(best[n], key=lambda p: best[n][p][0])
-        out, at = [], n
-        while at:
-            _, last, number = best[at][piece]
-            if number is not None:
-                out.append([number])
+        best = self.accepted(text) if self.merges else self.lightest(text)
+        out = []
+        for piece, number in best:
+            if number >= 0:
+                out.append(number)
             elif self.bytes:
-                out.append([self.bytes[b] for b in piece.encode()])
+                out += [self.bytes[b] for b in piece.encode()]
+            else:
+                out.append(self.unknown)
+        return array("I", out).tobytes()
+
+    def accepted(self, text: str) -> list[tuple[str, int]]:
+        """The path of finite weight. With a merge filter there is one, so the first found is the shortest;
+        states from which none leads on are remembered and left out."""
+        arcs: list = [None] * len(text)
+        taken: list[tuple[int, int]] = []  # (place, number of the arc taken there)
+        dead: set[tuple[int, str]] = set()
+        at, turn, last = 0, 0, None
+        while at < len(text):
+            if arcs[at] is None:
+                arcs[at] = self.arcs(text, at)
+            here = arcs[at]
+            for k in range(turn, len(here)):
+                arc = here[k]
+                if (last is None or self.holds(last, arc)) and not (dead and (at + len(arc[0]), arc[0]) in dead):
+                    taken.append((at, k))
+                    at, turn, last = at + len(arc[0]), 0, arc
+                    break
             else:
-                out.append([self.unknown])
-            at -= len(piece)
-            piece = last
-        return array("I", [i for group in reversed(out) for i in group]).tobytes()
+                if not taken:
+                    raise ValueError(f"no path for {text!r}")
+                dead.add((at, last[0]))
+                at, turn = taken.pop()
+                turn += 1
+                last = arcs[taken[-1][0]][taken[-1][1]] if taken else None
+        return [arcs[place][k] for place, k in taken]
+
+    def lightest(self, text: str) -> list[tuple[str, int]]:
+        """The path with the least sum of weights (negative scores), place by place."""
+        best: list = [(0.0, None)] + [None] * len(text)
+        for at in range(len(text)):
+            if best[at] is None:
+                continue
+            for arc in self.arcs(text, at):
+                total = best[at][0] + (-self.scores[arc[1]] if arc[1] >= 0 else UNKNOWN_WEIGHT)
+                end = at + len(arc[0])
+                if best[end] is None or total < best[end][0]:
+                    best[end] = (total, arc)
+        out, at = [], len(text)
+        while at:
+            out.append(best[at][1])
+            at -= len(out[-1][0])
+        return out[::-1]
 
     def ids(self, text: str) -> bytes:
         if self.prefix and not self.squeeze and text and "  " not in text and SPACE not in text and text[0] != " " and text[-1] != " ":

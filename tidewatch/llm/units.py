@@ -11,9 +11,9 @@ MAX_UNITS = 1_200_000
 class UnitStore(dict):
     """unit -> encoded bytes. ``encode`` takes the list of units that are missing."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = MAX_UNITS):
         super().__init__()
-        self.encode = encode
+        self.encode, self.limit = encode, limit
 
     def encoded(self, units: list[str]) -> bytes:
         """The concatenation of the units' codes."""
@@ -27,7 +27,7 @@ class UnitStore(dict):
         new = list({u for u in units if u not in self})
         if not new:
             return
-        if len(self) > MAX_UNITS:
+        if len(self) > self.limit:
             self.clear()
             new = list(set(units))
         self.update(zip(new, self.encode(new)))
