@@ -103,6 +103,33 @@ def test_notification_timers(spark, tmp_path):
     ]
 
 
+def test_transitions_out_of_order_give_the_same_notices(spark, tmp_path):
+    schema = (
+        "receiver STRING, group_key STRING, state STRING, at_us BIGINT, group_wait INT, group_interval INT, repeat_interval INT, at_ts TIMESTAMP"
+    )
+
+    def change(second, state, key="g"):
+        at = dt.datetime.fromtimestamp(second, dt.timezone.utc).replace(tzinfo=None)
+        return ("slack-ml-ops", key, state, second * S, 30, 300, 600, at)
+
+    fire, over, clock = change(1000, "firing"), change(1200, "resolved"), change(9000, "firing", "clock")
+    more = [change(1100, "firing"), change(1150, "resolved"), change(1400, "resolved")]
+    last = [[clock], [change(9100, "firing", "clock")]]
+    for n, (cuts, ends) in enumerate([
+        ([[over], [fire]], [(1030, "news"), (1330, "end")]),
+        ([[fire, over]], [(1030, "news"), (1330, "end")]),
+        ([[over], [fire]] + [[change(900, "resolved")]], [(1030, "news"), (1330, "end")]),
+        ([[fire], [more[1], more[2]], [more[0]]], [(1030, "news"), (1330, "news"), (1630, "end")]),
+        ([[fire, *more]], [(1030, "news"), (1330, "news"), (1630, "end")]),
+    ]):
+        root = tmp_path / str(n)
+        root.mkdir()
+        path = write_batches(spark, str(root), schema, [*cuts, *last])
+        stream = jobs.event_stream(spark, path, spark.read.parquet(path).schema, max_files=1).withWatermark("at_ts", "10 minutes")
+        got = run(spark, str(root), states.notification_timers(stream))
+        assert rows(got.where("group_key = 'g'"), "sent_us", "reason") == [(at * S, reason) for at, reason in ends], n
+
+
 def test_duplicates_across_batches(spark, tmp_path):
     schema = "request_id STRING, ts TIMESTAMP"
     t = dt.datetime(2025, 1, 1)

@@ -80,7 +80,7 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
 
 
 NOTICES = "receiver STRING, group_key STRING, status STRING, reason STRING, sent_us BIGINT, alerts BIGINT"
-GROUP_STATE = "open BIGINT, began_us BIGINT, first_us BIGINT, news_us BIGINT, sent_us BIGINT, ended_us BIGINT, wait BIGINT, every BIGINT, again BIGINT"
+GROUP_STATE = "open BIGINT, began_us BIGINT, first_us BIGINT, news_us BIGINT, sent_us BIGINT, ended_us BIGINT, wait BIGINT, every BIGINT, again BIGINT, waiting STRING"
 
 
 def notification_timers(transitions: DataFrame) -> DataFrame:
@@ -89,7 +89,10 @@ def notification_timers(transitions: DataFrame) -> DataFrame:
     Input: ``receiver, group_key, state`` (firing or resolved), ``at_us``,
     ``group_wait, group_interval, repeat_interval`` in seconds and the
     watermarked time ``at_ts``. Timers run on event time: a notice is given when
-    the watermark passes its due time.
+    the watermark passes its due time. Transitions wait until the watermark has
+    passed them and are then read in time order, so it makes no difference in
+    which batch one arrives. A resolved row without an open alert changes nothing.
+    What waits is bounded by the watermark's delay.
     """
     return transitions.groupBy("receiver", "group_key").applyInPandasWithState(
         _notify, NOTICES, GROUP_STATE, "append", GroupStateTimeout.EventTimeTimeout
@@ -100,6 +103,8 @@ def _notify(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
     names = [c.split()[0] for c in GROUP_STATE.split(", ")]
     s = dict(zip(names, state.get)) if state.exists else dict.fromkeys(names)
     s["open"] = s["open"] or 0
+    rows = [tuple(r) for r in json.loads(s.pop("waiting") or "[]")]
+    names.remove("waiting")
     out: list[tuple] = []
 
     def due() -> tuple[int, str] | None:
@@ -132,35 +137,40 @@ def _notify(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
             s["sent_us"], s["news_us"] = at, None
 
     if not state.hasTimedOut:
-        rows = pd.concat(list(batches)).sort_values(["at_us", "state"], kind="stable")
-        for row in rows.itertuples(index=False):
-            at = int(row.at_us)
-            fire_until(at - 1)
-            if row.state == "firing":
-                s["ended_us"] = None
-                s["open"] += 1
-                if s["began_us"] is None:
-                    s.update(
-                        began_us=at,
-                        first_us=at + int(row.group_wait) * MICROS,
-                        wait=int(row.group_wait) * MICROS,
-                        every=int(row.group_interval) * MICROS,
-                        again=int(row.repeat_interval) * MICROS,
-                    )
-                    s["news_us"] = s["first_us"]
-                elif s["news_us"] is None:
-                    passed = max(0, at - s["first_us"])
-                    s["news_us"] = s["first_us"] + -(-passed // s["every"]) * s["every"]
-            else:
-                s["open"] = max(0, s["open"] - 1)
-                if s["open"] == 0:
-                    s["ended_us"] = at
-    fire_until(state.getCurrentWatermarkMs() * 1000)
+        for batch in batches:
+            columns = (batch[c].tolist() for c in ("at_us", "state", "group_wait", "group_interval", "repeat_interval"))
+            rows += [(int(at), kind, int(w), int(e), int(r)) for at, kind, w, e, r in zip(*columns)]
+    passed = state.getCurrentWatermarkMs() * 1000
+    rows.sort(key=lambda r: r[:2])
+    for at, kind, wait, interval, repeat in (r for r in rows if r[0] < passed):
+        fire_until(at - 1)
+        if kind == "firing":
+            s["ended_us"] = None
+            s["open"] += 1
+            if s["began_us"] is None:
+                s.update(
+                    began_us=at,
+                    first_us=at + wait * MICROS,
+                    wait=wait * MICROS,
+                    every=interval * MICROS,
+                    again=repeat * MICROS,
+                )
+                s["news_us"] = s["first_us"]
+            elif s["news_us"] is None:
+                behind = max(0, at - s["first_us"])
+                s["news_us"] = s["first_us"] + -(-behind // s["every"]) * s["every"]
+        elif s["open"] > 0:
+            s["open"] -= 1
+            if s["open"] == 0:
+                s["ended_us"] = at
+    # A transition at the watermark itself still waits, and comes before a notice of that time.
+    fire_until(passed - 1)
+    rows = [r for r in rows if r[0] >= passed]
     upcoming = due()
-    if upcoming is None:
-        if state.exists:
-            state.remove()
-    else:
-        state.update(tuple(s[n] for n in names))
-        state.setTimeoutTimestamp(max(upcoming[0] // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+    times = [r[0] for r in rows[:1]] + ([upcoming[0]] if upcoming is not None else [])
+    if times:
+        state.update((*(s[n] for n in names), json.dumps(rows)))
+        state.setTimeoutTimestamp(max(min(times) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+    elif state.exists:
+        state.remove()
     yield pd.DataFrame(out, columns=[c.split()[0] for c in NOTICES.split(", ")])
