@@ -226,6 +226,23 @@ def test_streaming_drift(spark, tmp_path):
     assert got["transaction_amount"] > 0.4 and got["hour_of_day"] < 0.1 and got["amount_deviation"] == 0.0
 
 
+def test_drift_of_a_day_in_several_batches(spark, tmp_path):
+    features(spark, 500).write.parquet(str(tmp_path / "reference"))
+    day = features(spark, 300, shift=200.0)
+    other = day.limit(50).withColumn("ts", F.lit(dt.datetime(2025, 1, 2)).cast("timestamp"))
+    low, high = F.col("transaction_amount") < 700, F.col("transaction_amount") >= 700
+    write = jobs.drift_batch(str(tmp_path / "reference"), str(tmp_path / "out"))
+    for i, part in enumerate((day.where(low), day.where(high).unionByName(other))):
+        write(part, i)
+    write(day.where(high).unionByName(other), 1)  # a repeated batch counts once
+    got = spark.read.parquet(str(tmp_path / "out"))
+    whole = day.unionByName(other).withColumn("log_date", F.to_date("ts"))
+    want = ks_windows(long_values(features(spark, 500), FEATURE_NAMES), long_values(whole, FEATURE_NAMES, ["log_date"]), "log_date", ["feature"])
+    columns = ["log_date", "feature", "reference_rows", "current_rows", "drift_score"]
+    assert rows(got, *columns) == rows(want, *columns)
+    assert got.where("feature = 'transaction_amount'").count() == 2
+
+
 def ks(a, b):
     points = sorted(set(a) | set(b))
     share = lambda xs, p: sum(x <= p for x in xs) / len(xs)

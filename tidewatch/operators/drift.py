@@ -47,17 +47,19 @@ def ks_drift(values: DataFrame, is_current: Column, by: Sequence[str] = ("featur
     return upto.groupBy(*by, "reference_rows", "current_rows").agg(F.max(distance).alias("drift_score"))
 
 
-def ks_windows(reference: DataFrame, current: DataFrame, window: str, by: Sequence[str] = ()) -> DataFrame:
+def ks_windows(reference: DataFrame, current: DataFrame, window: str, by: Sequence[str] = (), rows: Column | None = None) -> DataFrame:
     """Drift of every window of ``current`` against one common reference.
 
     The distance peaks at a current value or right before one, so the reference
     is ranked once, at the values that occur, and not repeated per window.
-    Without reference rows the score is NULL.
+    Without reference rows the score is NULL. ``rows`` is how many rows a row of
+    ``current`` stands for, where equal values are already counted.
     """
     keys = list(by) or ["_all"]
     whole = (lambda df: df) if by else (lambda df: df.withColumn("_all", F.lit(0)))
+    seen = F.count(F.lit(1)) if rows is None else F.sum(rows)
     ref = whole(reference).where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_ref"))
-    cur = whole(current).where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy(*keys, window, "value").agg(F.count(F.lit(1)).alias("_cur"))
+    cur = whole(current).where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy(*keys, window, "value").agg(seen.alias("_cur"))
     places = cur.select(*keys, "value", F.lit(0).cast("long").alias("_ref")).unionByName(ref)
     ranked = running(
         places.groupBy(*keys, "value").agg(F.sum("_ref").alias("_ref")),

@@ -160,15 +160,36 @@ def score_stream(model: PipelineModel, transactions: DataFrame) -> DataFrame:
     return score(model, transactions)
 
 
-def drift_batch(reference_path: str, out: str, features: list[str] = FEATURE_NAMES, time: str = "ts") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: drift of each day in the batch against the stored
-    reference, for every feature."""
+DAY_COUNTS = "batch BIGINT, log_date DATE, feature STRING, value DOUBLE, n BIGINT"
+
+
+def drift_batch(
+    reference_path: str, out: str, features: list[str] = FEATURE_NAMES, time: str = "ts", counts: str | None = None
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: drift of each day against the stored reference, for every feature.
+
+    The value counts of a batch go to its own folder below ``counts`` (by default
+    ``out`` with ``-counts`` appended). The days it touches are then scored from the
+    counts of all batches so far, and their folders below ``out`` replaced: a day
+    has one score over all its rows, however they were cut into batches.
+    """
+    counted = counts or f"{out}-counts"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        reference = long_values(batch.sparkSession.read.parquet(reference_path), features)
+        spark = batch.sparkSession
         current = long_values(batch.withColumn("log_date", F.to_date(time)), features, ["log_date"])
-        scores = ks_windows(reference, current, "log_date", ["feature"])
-        scores.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        own = current.groupBy("log_date", "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+        own.write.mode("overwrite").partitionBy("log_date").parquet(f"{counted}/batch={batch_id}")
+        seen = spark.read.schema(DAY_COUNTS).parquet(counted)
+        days = [r[0] for r in seen.where(F.col("batch") == batch_id).select("log_date").distinct().collect()]
+        if not days:
+            return
+        touched = F.col("log_date").isin([d for d in days if d is not None])
+        touched = touched | F.col("log_date").isNull() if None in days else touched
+        known = seen.where((F.col("batch") <= batch_id) & touched)
+        reference = long_values(spark.read.parquet(reference_path), features)
+        scores = ks_windows(reference, known, "log_date", ["feature"], F.col("n"))
+        scores.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("log_date").parquet(out)
 
     return write
 
