@@ -184,6 +184,50 @@ def test_repeats_equal_brute_force(spark, docs):
     assert got == want
 
 
+def exact_spans(rows):
+    """Every window of 51 words against a dictionary of all earlier ones."""
+    seen, out = {}, {}
+    for d, t in sorted(rows, key=lambda r: r[0]):
+        raw = (t or "").encode()
+        at = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+        gone = set()
+        for i in range(len(at) - 50):
+            home = seen.setdefault(raw[at[i][0] : at[i + 50][1]], (d, i))
+            if home != (d, i):
+                gone.update(range(max(i, home[1] + 51) if home[0] == d else i, i + 51))
+        keep = bytearray(raw)
+        for w in sorted(gone, reverse=True):
+            del keep[at[w][0] : at[w + 1][0] if w + 1 < len(at) else at[w][1]]
+        out[d] = (None if t is None else keep.decode(), len(gone))
+    return out
+
+
+def test_passages_of_51_words_go_and_of_50_stay(spark):
+    texts, planted = [], []
+    for i, n in enumerate([40, 50, 51, 60] * 40):
+        passage = prose(n, 1000 + i)
+        planted.append(n)
+        texts += [f"{prose(60, 2000 + i)} {passage} {prose(30, 3000 + i)}", f"{prose(20, 4000 + i)} {passage} {prose(25, 5000 + i)}"]
+    out = {r.doc_id: r for r in cdc.remove_passages(frame(spark, texts)).collect()}
+    for i, n in enumerate(planted):
+        first, second = out[2 * i + 1], out[2 * i + 2]
+        assert first.text == texts[2 * i] and first.n_removed == 0
+        assert (second.n_removed, second.removed_words) == ((1, n) if n > 50 else (0, 0))
+        assert second.text == (f"{prose(20, 4000 + i)} {prose(25, 5000 + i)}" if n > 50 else texts[2 * i + 1])
+        assert len(second.text.encode()) == len(texts[2 * i + 1].encode()) - second.removed_bytes
+
+
+def test_passages_equal_brute_force(spark, docs):
+    twice = prose(60, 21)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    rows += [(10**6 + i, t) for i, t in enumerate([*ODD, f"{twice} é\n{twice}", f"x {twice}", prose(60, 21).replace(" ", "  ")])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.removed_words) for r in cdc.remove_passages(df).collect()}
+    assert got == exact_spans(rows)
+    assert {r.doc_id: r.text for r in QUERIES["op6_cdc_dedup"](spark, SF).collect()}.items() <= {d: t for d, (t, _) in got.items()}.items()
+    assert cdc.remove_passages(df.limit(0)).count() == 0
+
+
 def test_cuts_resist_shifts_and_cover_the_text():
     body = prose(2000, 3).encode()
     for text in (body, b"inserted words here " + body, b"\xc3\xa9" * 3000):

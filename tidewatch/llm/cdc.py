@@ -8,12 +8,19 @@ place owns a repeated chunk. A later document loses every run of neighbouring
 chunks owned elsewhere that holds at least ``MIN_WORDS`` words and, with the two
 chunks around it, more than ``passage`` words: the repeated passage ends inside
 those two. Shorter repeats (common lines, licence notes, short copies) stay.
+
+``remove_passages`` is exact instead: every run of more than ``passage`` words
+whose bytes occur earlier goes, and nothing else. Its unit is the window of
+``passage`` + 1 words. The least hash of the word groups in a window depends on
+the window's words alone, so equal windows have equal anchors; only windows whose
+anchor occurs twice are hashed and compared, by 128-bit digests of their bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import mix, ready, row_key, stored, text_slices, word_spans
+from tidewatch.llm.common import mix, ready, row_key, stored, text_slices, word_hashes, word_spans
 
 # Bytes. A cut is looked for at word starts from MIN_CHUNK on, one in CUT_EVERY word starts holds.
 MIN_CHUNK = 24
@@ -140,8 +147,13 @@ def remove_repeats(docs: DataFrame, passage: int = PASSAGE, text: str = "text")
     unread, whatever their names, but for the three added ones, which are replaced.
     """
     ready(docs.sparkSession)
-    found = stored(chunks(docs, text), "cdc-chunks")
-    places = repeated(found).select("key", "body", F.col("places").alias("_places"))
+    places = repeated(stored(chunks(docs, text), "cdc-chunks"))
+    return _without(docs, places, lambda raw, found: runs(raw, found, passage), text)
+
+
+def _without(docs: DataFrame, places: DataFrame, spans: Callable[[bytes, list], list[tuple[int, int, int]]], text: str) -> DataFrame:
+    """``docs`` without the (start, end, words) that ``spans`` makes of a text and its ``places`` (key, body, places)."""
+    places = places.select("key", "body", F.col("places").alias("_places"))
     added = ("n_removed", "removed_words", "removed_bytes")
     others = [c for c in docs.columns if c not in added]
     wide = docs.select(
@@ -157,7 +169,7 @@ def remove_repeats(docs: DataFrame, passage: int = PASSAGE, text: str = "text")
             for i, (packed, found_at) in enumerate(zip(bodies, lists)):
                 raw = None if packed is None else zlib.decompress(packed)
                 at, keep = 0, []
-                for start, end, words in runs(raw, found_at, passage) if found_at else ():
+                for start, end, words in spans(raw, found_at) if found_at else ():
                     keep.append(raw[at:start])
                     at = end
                     figures[:, i] += (1, words, end - start)
@@ -182,3 +194,99 @@ def deflated(wide: DataFrame) -> DataFrame:
 
     schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "_text" else f for f in wide.schema])
     return wide.mapInArrow(deflate, schema)
+
+
+def anchors(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word starts and ends, and of every window of ``size`` words in one text: first word, text, anchor hash and place."""
+    starts, ends, doc = word_spans(data, offsets)
+    many = len(starts) - size + 1
+    if many < 1:
+        return starts, ends, *[np.zeros(0, kind) for kind in (np.int64, np.int64, np.uint64, np.int64)]
+    group = max(1, size * 2 // 5)
+    least = word_hashes(data, starts[: len(starts) - group + 1], ends[group - 1 :])
+    place, wide, span = np.arange(len(least)), 1, size - group + 1
+    while wide < span:
+        step = min(wide, span - wide)
+        left = least[:-step] <= least[step:]
+        least, place = np.where(left, least[:-step], least[step:]), np.where(left, place[:-step], place[step:])
+        wide += step
+    first = np.flatnonzero(doc[:many] == doc[size - 1 :])
+    return starts, ends, first, doc[first], least[first], place[first]
+
+
+def _anchor_rows(docs: DataFrame, size: int) -> DataFrame:
+    """(key, body, anchor) of every anchor place of (key, body, text)."""
+
+    def split(batches):
+        for batch in batches:
+            keys, bodies = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for a, _, data, offsets in text_slices(batch.column(2)):
+                _, _, _, doc, least, place = anchors(data, offsets, size)
+                if not len(doc):
+                    continue
+                new = np.concatenate(([True], (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])))
+                columns = [pa.array(keys[a + doc[new]]), pa.array(bodies[a + doc[new]]), pa.array(least[new].view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "body", "anchor"])
+
+    return docs.mapInArrow(split, "key long, body long, anchor long")
+
+
+def _window_rows(rows: DataFrame, size: int) -> DataFrame:
+    """(key, body, place, high, low) of the windows of (key, body, _text, anchors) with one of the anchors."""
+
+    def split(batches):
+        for batch in batches:
+            keys, bodies = batch.column("key").to_pylist(), batch.column("body").to_pylist()
+            for key, body, packed, wanted in zip(keys, bodies, batch.column("_text").to_pylist(), batch.column("anchors")):
+                raw = zlib.decompress(packed)
+                starts, ends, first, _, least, _ = anchors(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), size)
+                first = first[np.isin(least.view(np.int64), wanted.values.to_numpy())]
+                begin, end = starts[first].tolist(), ends[first + size - 1].tolist()
+                digests = b"".join([hashlib.blake2b(raw[x:y], digest_size=16).digest() for x, y in zip(begin, end)])
+                halves = np.frombuffer(digests, np.int64).reshape(-1, 2)
+                columns = [np.full(len(first), key), np.full(len(first), body), first.astype(np.int32), halves[:, 0], halves[:, 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "body", "place", "high", "low"])
+
+    return rows.mapInArrow(split, "key long, body long, place int, high long, low long")
+
+
+def _covered(raw: bytes, places: list[dict], size: int) -> list[tuple[int, int, int]]:
+    """(start, end, words) of the words in windows at ``places``, up to the next word's start.
+
+    Where a text repeats itself, words of the first occurrence are not covered by one that overlaps it.
+    """
+    data = np.frombuffer(raw, np.uint8)
+    starts, ends, _ = word_spans(data, np.array([0, len(raw)]))
+    edge = np.zeros(len(starts) + 2, np.int64)
+    for p in places:
+        edge[max(p["place"], p["own"] + size)] += 1
+        edge[p["place"] + size] -= 1
+    gone = np.cumsum(edge) > 0
+    turns = np.flatnonzero(gone != np.concatenate(([False], gone[:-1])))
+    until = np.append(starts, ends[-1])
+    return [(int(starts[a]), int(until[b]), b - a) for a, b in zip(turns[::2].tolist(), turns[1::2].tolist())]
+
+
+def remove_passages(docs: DataFrame, passage: int = PASSAGE, text: str = "text") -> DataFrame:
+    """Like ``remove_repeats``, but exact: the words of every run of more than ``passage`` words go
+
+    whose bytes occur earlier, in a smaller document or before in the same one, from the
+    first word to the last; shorter repeats stay whole.
+    """
+    ready(docs.sparkSession)
+    size = passage + 1
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(row_key().alias("key"), F.xxhash64(body).alias("body"), body.alias("text"))
+    found = stored(_anchor_rows(rows, size), "cdc-anchors")
+    twice = stored(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "cdc-twice")
+    wanted = found.join(twice, "anchor").groupBy("key", "body").agg(F.collect_set("anchor").alias("anchors"))
+    packed = deflated(rows.select("key", F.col("text").alias("_text"), "body"))
+    windows = stored(_window_rows(packed.join(wanted, ["key", "body"]), size), "cdc-windows")
+    here = F.struct("key", "body", "place")
+    owners = windows.groupBy("high", "low").agg(F.min(here).alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    owners = stored(owners.select("high", "low", "owner"), "cdc-owners")
+    later = windows.join(owners, ["high", "low"]).where(here != F.col("owner"))
+    same = (F.col("owner.key") == F.col("key")) & (F.col("owner.body") == F.col("body"))
+    own = F.when(same, F.col("owner.place")).otherwise(F.lit(-size))
+    places = later.groupBy("key", "body").agg(F.collect_list(F.struct("place", own.alias("own"))).alias("places"))
+    return _without(docs, places, lambda raw, found_at: _covered(raw, found_at, size), text)

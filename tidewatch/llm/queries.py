@@ -82,7 +82,7 @@ def op6_cdc_dedup(spark, sf_dir):
     from tidewatch.llm import cdc
 
     docs = table(ready(spark), sf_dir, "documents").select("doc_id", "text")
-    return cdc.remove_repeats(docs)
+    return cdc.remove_passages(docs)
 
 
 PROBE = "</s>[INST] ok [/INST]"
