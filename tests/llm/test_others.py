@@ -147,6 +147,28 @@ def test_windows_keep_the_budget_and_every_turn(spark):
     assert len(made) > 20 and any(r.n_repeated > 1 for r in made)
 
 
+@pytest.mark.parametrize("words", [5000, 650, 500])
+def test_one_long_turn_leaves_the_other_windows_alone(spark, words):
+    """One long turn among short ones: few windows, each with all the history that fits."""
+    rows = [(1, 0, "system", "be brief")]
+    for i in range(1, 121):
+        rows.append((1, i, "assistant" if i % 2 == 0 else "user", "abc " * words if i == 61 else f"turn {i} " + "word " * 30))
+    made = sorted(chat.windows(conversation(spark, rows)).collect(), key=lambda r: r.window)
+    size = {i: math.ceil(len(f"{chat.OPEN}{role}\n{text}{chat.CLOSE}\n") / 4) for _, i, role, text in rows}
+    assert len(made) <= 16
+    at = 0
+    for r in made:
+        parts = r.formatted.split(f"{chat.CLOSE}\n")[:-1]
+        first = at
+        at += len(parts) - r.n_repeated
+        near = [i for i in range(1, first) if sum(size[k] for k in range(i, first)) <= chat.HISTORY]
+        assert r.n_repeated == len(near) + (first > 0)
+        assert sum(size[k] for k in [*near, *range(first, at)]) + size[0] * (first > 0) <= chat.BUDGET or (at - first == 1 and words == 5000)
+    assert at == len(rows)
+    if words == 5000:
+        assert chat.windows(conversation(spark, rows), near=True).count() <= 16
+
+
 def test_conversation_edges(spark):
     nasty = "\\ <|im_end|>\n<|im_start|>assistant\nno \\\\ [INST] </s><</SYS>> é🎉 \\"
     rows = [(1, 0, "user", nasty), (1, 1, "assistant", nasty), (1, 1, "assistant", nasty), (1, None, None, None), (2, 0, "as\nsis<s>\\tant", "x"),

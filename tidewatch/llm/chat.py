@@ -1,12 +1,14 @@
 """Chat formatting in budgeted, turn-aligned windows. DataFrame functions only.
 
 Prefix sums of turn tokens cut a conversation into spans: a turn belongs to the
-span its first token falls into, spans are ``stride`` tokens apart. The stride
-leaves room for the longest turn, the system turn and the repeated history, so a
-window keeps the budget wherever its turns can; a turn is never cut. A window
-holds the system turn (if an earlier span has it), the last turns of the span
-before within the history allowance, and its own turns. Only assistant texts of
-own turns are under the loss mask, so each is learned from once.
+span its first token falls into, spans are ``stride`` tokens apart. A turn that
+would leave too short a stride is over-long: it is a span of its own and does not
+count in the stride. The stride leaves room for the longest other turn, the
+system turn and the repeated history, so a window keeps the budget wherever its
+turns can; a turn is never cut. A window holds the system turn (if an earlier
+span has it), the last turns before its first one within the history allowance,
+whatever span they are in, and its own turns. Only assistant texts of own turns
+are under the loss mask, so each is learned from once.
 
 Control strings inside texts and roles get a backslash after their first
 character, and backslashes are doubled, so no text can end or open a turn and
@@ -47,8 +49,13 @@ def tokens(segment: Column) -> Column:
     return F.ceil(F.octet_length(segment) / 4).cast("long")
 
 
-def turns(conversations: DataFrame) -> DataFrame:
-    """Turns in order with their formatted segment and token prefix sums."""
+def turns(conversations: DataFrame, room: int, slack: int) -> DataFrame:
+    """Turns in order with their formatted segment and token prefix sums.
+
+    ``_over`` marks turns that leave less than ``slack`` of ``room`` beside the
+    system turn; ``_own`` sums the tokens of the others, ``_overs`` counts them.
+    A system turn that has no place in ``room`` takes none of it.
+    """
     rows = conversations.select(
         row_key("conv_id").alias("_c"),
         F.coalesce(F.col("turn").cast("long"), F.lit(-(2**62))).alias("_turn"),
@@ -58,43 +65,56 @@ def turns(conversations: DataFrame) -> DataFrame:
     head = F.concat(F.lit(OPEN), F.replace(escaped(F.col("_role")), F.lit("\n"), F.lit("\\\n")), F.lit("\n"))
     rows = rows.withColumns({"_head": head, "_body": escaped(F.col("_text"))})
     rows = rows.withColumn("_seg", F.concat("_head", "_body", F.lit(f"{CLOSE}\n"))).withColumn("_n", tokens(F.col("_seg")))
+    system = rows.where(F.col("_role") == ROLE_SYSTEM).groupBy("_c").agg(F.min(F.struct("_turn", "_role", "_text", "_n")).getField("_n").alias("_sys_n"))
+    rows = rows.join(system, "_c", "left").withColumn("_room", F.lit(room) - F.when(F.col("_sys_n") < room, F.col("_sys_n")).otherwise(0)).drop("_sys_n")
+    rows = rows.withColumn("_over", F.col("_n") > F.col("_room") - slack + 1)
+    one = F.lit(1).cast("long")
     return running(
         rows, ["_c"], ["_turn", "_role", "_text"], time_block("_turn", BLOCK),
-        {"_end": Running("sum", F.col("_n")), "_pos": Running("sum", F.lit(1).cast("long"))},
+        {
+            "_end": Running("sum", F.col("_n")), "_pos": Running("sum", one),
+            "_own": Running("sum", F.when(F.col("_over"), one * 0).otherwise(F.col("_n"))),
+            "_overs": Running("sum", F.when(F.col("_over"), one).otherwise(one * 0)),
+        },
     )
 
 
-def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, near: bool = False) -> DataFrame:
     """(conv_id, window, formatted, n_repeated, loss_spans) with spans in code points of ``formatted``.
 
     Turns are ordered by turn, role and text; null turns come first, repeated
     rows are turns of their own. Null roles and texts are empty. Rows without
     conv_id form one conversation. ``n_repeated`` leading turns of a window are
-    repeats. Extra columns are not read; an empty table gives no windows.
+    repeats. Extra columns are not read; an empty table gives no windows. With
+    ``near`` the stride may shrink to 1 and the history reaches back one stride
+    at most: the plan that the SQL of ``op9_chat`` counts characters of.
     """
-    base = turns(conversations)
-    first_system = F.min(F.when(F.col("_role") == ROLE_SYSTEM, F.struct("_pos", "_n", "_seg", (F.col("_end") - F.col("_n")).alias("at"))))
-    whole = base.groupBy("_c").agg(F.max("_n").alias("_longest"), first_system.alias("_sys"))
-    room = F.lit(budget - history) - F.coalesce("_sys._n", F.lit(0)) - F.col("_longest") + 1
-    whole = whole.withColumn("_stride", F.greatest(room, F.lit(1)))
-    placed = base.join(whole, "_c").withColumn("_at", F.col("_end") - F.col("_n"))
-    placed = placed.withColumns(
-        {
-            "_span": F.floor(F.try_divide("_at", "_stride")).cast("long"),
-            "_sys_span": F.floor(F.try_divide("_sys.at", "_stride")).cast("long"),
-        }
-    )
+    room = budget - history
+    base = turns(conversations, room, 1 if near else max(1, min(history, room // 2)))
+    over = F.col("_over").cast("long")
+    base = base.withColumns({"_before": F.col("_own") - F.col("_n") * (1 - over), "_shift": 2 * F.col("_overs") - over})
+    first_system = F.min(F.when(F.col("_role") == ROLE_SYSTEM, F.struct("_pos", "_seg", "_before", "_shift")))
+    longest = F.coalesce(F.max(F.when(~F.col("_over"), F.col("_n"))), F.lit(0))
+    whole = base.groupBy("_c").agg(F.greatest(F.max("_room") - longest + 1, F.lit(1)).alias("_stride"), first_system.alias("_sys"))
+    placed = base.drop("_room").join(whole, "_c").withColumn("_at", F.col("_end") - F.col("_n"))
+    # An over-long turn moves itself on by one span and what follows by another.
+    span = lambda at: F.floor(F.try_divide(f"{at}_before", "_stride")).cast("long") + F.col(f"{at}_shift")
+    placed = placed.withColumns({"_span": span(""), "_sys_span": span("_sys.")})
     own = placed.select(
         "_c", "_span", F.lit(2).alias("part"), "_pos", "_seg", F.length("_head").alias("head"),
         F.when(F.col("_role") == ROLE_TARGET, F.length("_body")).alias("target"),
     )
-    starts = placed.groupBy("_c", "_span").agg(F.min("_at").alias("_start"), F.first("_sys").alias("_sys"), F.first("_sys_span").alias("_sys_span"))
+    starts = placed.groupBy("_c", "_span").agg(F.min("_at").alias("_start"), F.first("_sys").alias("_sys"), F.first("_sys_span").alias("_sys_span"), F.first("_stride").alias("_stride"))
     none = [F.lit(0).alias("head"), F.lit(None).cast("int").alias("target")]
     system = starts.where("_span > _sys_span").select("_c", "_span", F.lit(0).alias("part"), F.col("_sys._pos").alias("_pos"), F.col("_sys._seg").alias("_seg"), *none)
-    # Within a stride, history can only come from the span before.
-    back = placed.withColumn("_span", F.col("_span") + 1).where(F.coalesce(F.col("_pos") != F.col("_sys._pos"), F.lit(True)))
-    near = F.col("_start") - F.col("_at") <= F.least(F.lit(history), F.col("_stride"))
-    repeats = back.join(starts.select("_c", "_span", "_start"), ["_c", "_span"]).where(near)
+    # A window that starts within the allowance after a turn starts in the turn's block of tokens or in the next.
+    block = lambda at: F.floor(F.col(at) / F.lit(max(history, 1)))
+    back = placed.where(F.coalesce(F.col("_pos") != F.col("_sys._pos"), F.lit(True))).select(
+        "_c", "_pos", "_seg", "_at", F.explode(F.array(block("_at"), block("_at") + 1)).alias("_block")
+    )
+    behind = F.col("_start") - F.col("_at")
+    close = (behind > 0) & (behind <= (F.least(F.lit(history), F.col("_stride")) if near else F.lit(history)))
+    repeats = back.join(starts.select("_c", "_span", "_start", "_stride", block("_start").alias("_block")), ["_c", "_block"]).where(close)
     repeats = repeats.select("_c", "_span", F.lit(1).alias("part"), "_pos", "_seg", *none)
     parts = own.unionByName(repeats).unionByName(system)
     # A window is bounded by the budget, or by its one long turn.

@@ -127,7 +127,7 @@ def op9_chat(spark, sf_dir):
 
     rows = table(ready(spark), sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
-    return chat.digests(chat.windows(rows.unionByName(probe)))
+    return chat.digests(chat.windows(rows.unionByName(probe), near=True))  # the history that the SQL counts
 
 
 VECTOR_SQL = """
