@@ -40,6 +40,18 @@ def test_stages_keep_what_their_operators_keep(spark):
         assert run(spark, empty, SF).count() == 0, name
 
 
+def test_rules_are_learned_from_raw_documents(spark, monkeypatch):
+    """The second stage of a run has rules, though the classifier left it hardly a bad document."""
+    seen, judge = [], rules.judge
+    monkeypatch.setattr(rules, "judge", lambda docs, learned, *a, **b: (seen.append(learned), judge(docs, learned, *a, **b))[1])
+    stage = dict(corpus_pipeline.STAGES)
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    survivors = stage["quality classifier"](spark, docs, SF)
+    stage["quality rules"](spark, survivors, SF)
+    print("rules of survivors, of the stage:", len(rules.fit(survivors, labels)), len(seen[0]))
+    assert seen == [rules.fit(docs, labels)] and seen[0]
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
