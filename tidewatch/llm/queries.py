@@ -179,3 +179,14 @@ def op7_spm_wfst(spark, sf_dir):
     both = spm.decode(spm.encode(docs, model), model)
     plain = F.replace("text", F.lit(spm.SPACE), F.lit(" "))
     return both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.col("decoded").eqNullSafe(plain).alias("restored"))
+
+
+@query("op12_bpe_words")
+def op12_bpe_words(spark, sf_dir):
+    """Token counts of every document, digests of its ids and of the text decoded from them."""
+    from tidewatch.llm import bpe
+
+    path = vocabulary(bpe.VOCABULARY)
+    docs = table(ready(spark), sf_dir, "documents").select("doc_id", "text")
+    both = bpe.decode(bpe.encode(docs, path), path)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
