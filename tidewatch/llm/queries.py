@@ -190,3 +190,11 @@ def op12_bpe_words(spark, sf_dir):
     docs = table(ready(spark), sf_dir, "documents").select("doc_id", "text")
     both = bpe.decode(bpe.encode(docs, path), path)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark, sf_dir):
+    """Every vector whitened along the leading components."""
+    from tidewatch.llm import whiten
+
+    return whiten.whiten(table(ready(spark), sf_dir, "embeddings"))
