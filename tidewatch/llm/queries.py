@@ -198,3 +198,61 @@ def op13_whitening(spark, sf_dir):
     from tidewatch.llm import whiten
 
     return whiten.whiten(table(ready(spark), sf_dir, "embeddings"))
+
+
+def _repair_sql() -> str:
+    blank = r"[\x20\x09-\x0D]"
+    ink = r"[^\x20\x09-\x0D]"
+    spoken = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+
+    def edit(letter: str, cost: str, rest: str) -> str:
+        return f"printf('%09d', CAST(substr({rest}, 1, 9) AS BIGINT) + {cost}) || '{letter}' || substr({rest}, 10)"
+
+    def read(state: str, to: str, keeps: str) -> str:
+        more = "CASE fault WHEN 'truncated' THEN 3 ELSE 0 END"
+        kept = "".join(f" WHEN initial = '{i}' THEN {edit('K', more, s)}" for i, s in (k.split(">") for k in keeps.split()))
+        sound = f"least({edit('R', f'3 + {more}', to)}, CASE{kept} END)"
+        return f"least({edit('D', '4', state)}, CASE WHEN fault IN ('truncated', '') THEN {sound} END)"
+
+    def closed(state: str, one: str, two: str) -> str:
+        return f"least({state}, {edit('I', '3', one)}, {edit('I', '3', '(' + edit('I', '3', two) + ')')})"
+
+    return rf"""
+WITH RECURSIVE base AS (SELECT conv_id, coalesce(conv_id, -9223372036854775807) AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split({spoken}, ''),
+      lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, CAST(3988292384 AS BIGINT) * (a & 1)) END), CAST(4294967295 AS BIGINT)) % 20 AS h FROM conversations),
+damaged AS (SELECT c, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN h = 3 THEN [0, 1] ELSE [0] END) AS copy FROM base WHERE h <> 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+flagged AS (SELECT c, i, turn, role, text, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS earlier,
+    CASE WHEN NOT regexp_matches(text, '{ink}') THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN regexp_extract(text, '({ink}){blank}*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM numbered),
+counted AS (SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM flagged GROUP BY c),
+paths AS (SELECT c, n + 1 AS i, '000000000' AS q0, '000000006II' AS qs, '000000003I' AS qu, '000000000' AS qa FROM counted
+  UNION ALL SELECT c, i, {closed("r0", "ru", "ra")}, {closed("rs", "ru", "ra")}, {closed("ru", "ra", "ru")}, {closed("ra", "ru", "ra")} FROM
+    (SELECT p.c, f.i, {read("q0", "qu", "s>qs u>qu")} AS r0, {read("qs", "qu", "u>qu")} AS rs, {read("qu", "qa", "a>qa")} AS ru, {read("qa", "qu", "u>qu")} AS ra
+     FROM paths p JOIN flagged f ON f.c = p.c AND f.i = p.i - 1)),
+audits AS (SELECT c, CAST(substr(q0, 1, 9) AS BIGINT) AS cost, substr(q0, 10) AS audit FROM paths WHERE i = 1),
+letters AS (SELECT c, audit, k, substr(audit, k, 1) AS letter, 1 + length(replace(substr(audit, 1, k - 1), 'I', '')) AS i,
+    length(replace(substr(audit, 1, k), 'D', '')) AS place FROM (SELECT c, audit, unnest(range(1, length(audit) + 1)) AS k FROM audits)),
+steps AS (SELECT l.c, l.k, l.place, l.letter, f.role, f.text,
+    bool_or(l.place = 1 AND l.letter = 'K' AND f.initial = 's') OVER (PARTITION BY l.c) AS headed
+  FROM letters l LEFT JOIN flagged f ON l.c = f.c AND l.i = f.i AND l.letter <> 'I' WHERE l.letter <> 'D'),
+texts AS (SELECT c, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place + CAST(headed AS INTEGER)) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+    CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS repaired FROM steps GROUP BY c)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, c FROM base) LEFT JOIN counted USING (c) LEFT JOIN audits USING (c) LEFT JOIN texts USING (c)
+"""
+
+
+@query("op11_repair", _repair_sql())
+def op11_repair(spark, sf_dir):
+    """Every conversation damaged by a fixed rule and repaired by the cheapest edits."""
+    from tidewatch.llm import repair
+
+    return repair.digests(repair.repair(repair.damage(table(ready(spark), sf_dir, "conversations"))))
