@@ -8,31 +8,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.functions.scan import value_bin
+from tidewatch.functions.scan import BLOCK_ROWS, split_blocks, value_bin
+from tidewatch.session import written
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], limit: int = BLOCK_ROWS
 ) -> DataFrame:
     """One row per group with the percentiles named in ``probs``.
 
     The built-in exact ``percentile`` keeps every distinct value of a group in
-    one buffer. Here values are first counted (map-side combined), then bins of
-    the value range are counted per group, and only the bins that hold a wanted
-    rank are ordered. No task sees a whole group.
+    one buffer. Here values are first counted (map-side combined) and the counts
+    written. Bins of the value range are counted per group; a bin with more than
+    ``limit`` distinct values, however close they lie, is cut at sampled order
+    statistics. Only blocks that hold a wanted rank are ordered.
     """
     names = list(probs)
     v = F.col(value).cast("double")
-    counts = (
-        df.where(v.isNotNull())
-        .groupBy(F.struct(*[F.col(k) for k in keys]).alias("_key"), v.alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        # Never NULL: a NULL check on one side only would keep the two uses of
-        # the counts from sharing one shuffle.
-        .withColumn("_bin", F.coalesce(value_bin("_v"), F.lit(0).cast("long")))
-    )
+    counts = written(df.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
+    counts = split_blocks(counts, keys, ["_v"], F.coalesce(value_bin("_v"), F.lit(0).cast("long")), limit).select("_key", "_block", "_v", "_n")
     group = Window.partitionBy("_key")
-    before = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    before = group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     # Rank of p among n values is p * (n - 1), between its floor and its ceiling.
     ranks = F.array(
         *[
@@ -45,38 +41,21 @@ def exact_percentiles(
             for side in ("floor", "ceil")
         ]
     )
-    bins = (
-        counts.groupBy("_key", "_bin")
-        .agg(F.sum("_n").alias("_bin_n"))
-        .withColumns(
-            {
-                "_before": F.coalesce(F.sum("_bin_n").over(before), F.lit(0)),
-                "_total": F.sum("_bin_n").over(group),
-            }
-        )
-        .withColumn(
-            "_ranks",
-            F.filter(
-                ranks,
-                lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_bin_n")),
-            ),
-        )
+    wanted = lambda low, high: F.filter(ranks, lambda r: (r["rank"] >= low) & (r["rank"] < high))
+    blocks = (
+        counts.groupBy("_key", "_block")
+        .agg(F.sum("_n").alias("_block_n"))
+        .withColumns({"_before": F.coalesce(F.sum("_block_n").over(before), F.lit(0)), "_total": F.sum("_block_n").over(group)})
+        .withColumn("_ranks", wanted(F.col("_before"), F.col("_before") + F.col("_block_n")))
         .where(F.size("_ranks") > 0)
-        .select("_key", "_bin", "_before", "_total", "_ranks")
+        .select("_key", "_block", "_before", "_total", "_ranks")
     )
-    inside = Window.partitionBy("_key", "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_key", "_block").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    held = lambda r: (r["rank"] >= F.col("_upto") - F.col("_n")) & (r["rank"] < F.col("_upto"))
     hits = (
-        counts.join(bins, ["_key", "_bin"])
+        counts.join(blocks, ["_key", "_block"])
         .withColumn("_upto", F.col("_before") + F.sum("_n").over(inside))
-        .withColumn(
-            "_rank",
-            F.explode(
-                F.filter(
-                    "_ranks",
-                    lambda r: (r["rank"] >= F.col("_upto") - F.col("_n")) & (r["rank"] < F.col("_upto")),
-                )
-            ),
-        )
+        .withColumn("_rank", F.explode(F.filter("_ranks", held)))
     )
     picks = []
     for i, n in enumerate(names):

@@ -1,15 +1,17 @@
-"""Running values over ordered data that survive a hot key.
+"""Running values over ordered data that survive a hot key and a hot instant.
 
 A plain ``sum().over(partitionBy(key).orderBy(time))`` sends a whole key to one
 task. Here each key is cut into blocks (a time slice or a value bin). Rows are
 scanned inside ``(key, block)``; block totals are aggregated map-side and
 scanned per key; the carry of earlier blocks is joined back. The second scan
 sees one row per block, so its size depends on the covered span and not on the
-number of rows.
+number of rows. A block with too many rows is cut again at edges taken from the
+data (``split_blocks``).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -17,10 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidewatch.session import written
+
 MICROS = 1_000_000
 MINUTE = 60 * MICROS
 HOUR = 60 * MINUTE
 DAY = 24 * HOUR
+# Rows of a key that one task may scan.
+BLOCK_ROWS = 1_000_000
+# Lists of crowded blocks are broadcast up to this length.
+BROADCAST_BLOCKS = 100_000
 
 
 @dataclass(frozen=True)
@@ -51,25 +59,52 @@ def value_bin(value: Column | str, per_e: int = 1024) -> Column:
     return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, size).otherwise(-size)
 
 
+def _key_of(keys: Sequence[str]) -> Column:
+    return F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("g"))
+
+
+def split_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, limit: int = BLOCK_ROWS) -> DataFrame:
+    """Add ``_key`` and ``_block``: the blocks of ``block``, those of more than ``limit`` rows cut into parts.
+
+    Rows are counted per key and block. The rows of crowded blocks alone are then
+    range-partitioned by key and the whole ``order``: Spark samples the order
+    statistics and cuts wherever the rows are, inside one instant too, as long
+    as ``order`` tells rows apart. The parts are written, so that every later
+    use sees the same edges. ``_block`` orders by block, then by part.
+    """
+    on = ["_key", "_coarse"]
+    base = df.withColumns({"_key": _key_of(keys), "_coarse": block})
+    crowded = base.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    found = crowded.agg(F.count(F.lit(1)).alias("blocks"), F.sum("_n").alias("rows")).first()
+    whole = F.struct("_coarse", F.lit(-1).alias("_part"))
+    if not found["blocks"]:
+        return base.withColumn("_block", whole).drop("_coarse")
+    listed = written(crowded.select(*on), "crowded")
+    side = F.broadcast(listed) if found["blocks"] <= BROADCAST_BLOCKS else listed
+    # Half of the limit leaves room for the error of the sampled edges.
+    parts = math.ceil(2 * found["rows"] / limit)
+    cut = base.join(side, on, "left_semi").repartitionByRange(parts, "_key", *order).withColumn("_part", F.spark_partition_id())
+    cut = written(cut, "blocks").withColumn("_block", F.struct("_coarse", "_part")).drop("_part")
+    return base.join(side, on, "left_anti").withColumn("_block", whole).unionByName(cut).drop("_coarse")
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     block: Column,
     values: Mapping[str, Running],
+    limit: int | None = None,
 ) -> DataFrame:
     """Add the running columns ``values`` per ``keys`` in the order ``order``.
 
-    ``block`` must be monotone in ``order[0]``. Null keys form a group.
+    ``block`` must be monotone in ``order[0]``. Null keys form a group. With
+    ``limit`` no block holds many more rows than that, however close they lie;
+    the rows are then counted before the plan is made.
     """
     names = list(values)
-    base = df.withColumns(
-        {
-            "_key": F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("g")),
-            "_block": block,
-            **{f"_v{i}": values[n].expr for i, n in enumerate(names)},
-        }
-    )
+    placed = df.withColumns({"_key": _key_of(keys), "_block": block}) if limit is None else split_blocks(df, keys, order, block, limit)
+    base = placed.withColumns({f"_v{i}": values[n].expr for i, n in enumerate(names)})
     rows = Window.partitionBy("_key", "_block").orderBy(*order)
     first = Window.unboundedPreceding
     local, totals, carries, combined = {}, [], {}, {}
@@ -160,6 +195,25 @@ def islands(df: DataFrame, keys: Sequence[str], us: str, gap: Column, block_widt
     return merged.select(*[F.col(f"_key.{k}").alias(k) for k in keys], *[c for c in merged.columns if not c.startswith("_")])
 
 
+def merged_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, block_width: int) -> DataFrame:
+    """The union of the intervals of each key as disjoint stretches ``keys, start, end``; touching ones join.
+
+    Intervals are merged inside blocks of their start with a running maximum of
+    the ends, then the merged ones across blocks.
+    """
+    first = Window.unboundedPreceding
+    base = df.select(_key_of(keys).alias("_key"), start, end, time_block(start, block_width).alias("_block"))
+
+    def merged(rows: DataFrame, within: list[str]) -> DataFrame:
+        w = Window.partitionBy(*within).orderBy(start, end)
+        opens = F.when(F.max(end).over(w.rowsBetween(first, -1)) >= F.col(start), 0).otherwise(1)
+        tagged = rows.withColumn("_opens", opens).withColumn("_n", F.sum("_opens").over(w.rowsBetween(first, 0)))
+        return tagged.groupBy(*within, "_n").agg(F.min(start).alias(start), F.max(end).alias(end))
+
+    whole = merged(merged(base, ["_key", "_block"]), ["_key"])
+    return whole.select(*[F.col(f"_key.{k}").alias(k) for k in keys], start, end)
+
+
 def overlapping(
     df: DataFrame, keys: Sequence[str], start: str, end: str, tie: Sequence[str], block_width: int, name: str
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewatch.functions.labels import series_key
-from tidewatch.functions.scan import HOUR, Running, running, time_block
+from tidewatch.functions.scan import BLOCK_ROWS, HOUR, Running, running, time_block
 
 # Histogram bounds per metric.
 BOUNDS: dict[str, list[float]] = {
@@ -96,11 +96,13 @@ def context_utilization(tokens: Column, model: Column | str) -> Column:
 
 
 def queue_depth(
-    intervals: DataFrame, by: Sequence[str], start_us: str, end_us: str, row_id: Sequence[str], block_us: int = HOUR
-) -> DataFrame:
+    intervals: DataFrame, by: Sequence[str], start_us: str, end_us: str, row_id: Sequence[str], block_us: int = HOUR,
+    limit: int = BLOCK_ROWS,
+) -> DataFrame:
     """Open work after each start (+1) and end (-1): ``by, us, delta, depth``.
 
-    An end at the same instant as a start is counted first.
+    An end at the same instant as a start is counted first. ``limit`` bounds the
+    moves that one task scans, also those of one service within one instant.
     """
     moves = F.array(
         F.struct(F.col(start_us).alias("us"), F.lit(1).alias("delta")),
@@ -108,7 +110,7 @@ def queue_depth(
     )
     points = intervals.select(*by, *row_id, F.explode(moves).alias("m")).select(*by, *row_id, "m.us", "m.delta")
     depth = {"depth": Running("sum", F.col("delta").cast("long"))}
-    return running(points, by, ["us", "delta", *row_id], time_block("us", block_us), depth)
+    return running(points, by, ["us", "delta", *row_id], time_block("us", block_us), depth, limit)
 
 
 def rolling_accuracy(
@@ -120,6 +122,7 @@ def rolling_accuracy(
     n: int = 100,
     block_us: int = HOUR,
     block_rows: int = 100_000,
+    limit: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Share of correct results among the last ``n`` rows of the group.
 
@@ -134,6 +137,7 @@ def rolling_accuracy(
         order,
         time_block(us, block_us),
         {"_i": Running("sum", F.lit(1).cast("long")), "_hits": Running("sum", F.col("_hit"))},
+        limit,
     )
     home = F.floor(F.col("_i") / size)
     placed = scanned.withColumn("_home", home).withColumn(

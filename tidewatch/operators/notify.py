@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.functions.scan import DAY, HOUR, MICROS, MINUTE, Running, overlapping, running, time_block
+from tidewatch.functions.scan import DAY, HOUR, MICROS, MINUTE, Running, merged_intervals, overlapping, running, time_block
 from tidewatch.functions.skew import salted_join
 
 
@@ -72,6 +72,28 @@ def route(alerts: DataFrame, routes: Sequence[Route] = tuple(ROUTES)) -> DataFra
     return alerts.withColumn("_route", picked).select(*alerts.columns, "_route.*")
 
 
+def _matches(labels: dict[str, str], patterns: dict[str, str] | None = None) -> Column:
+    return _all([F.col(k) == v for k, v in labels.items()] + [F.col(k).rlike(f"^(?:{p})$") for k, p in (patterns or {}).items()])
+
+
+def _mute_keys(rules: Sequence[Inhibition], side: str) -> Column:
+    """Keys under which an alert mutes (``source``) or can be muted (``target``), over all rules at once.
+
+    A key is the number of the rule, which of its sources count, and the values of the equal labels (absent
+    equals absent). One that is on both sides of a rule meets the sources that are no targets themselves.
+    """
+    keys = []
+    for i, rule in enumerate(rules):
+        source, target = _matches(rule.source), _matches(rule.target, rule.target_pattern)
+        values = F.array(*[F.coalesce(F.concat(F.lit("="), F.col(k)), F.lit("")) for k in rule.equal])
+        key = lambda when, kind: F.when(when, F.struct(F.lit(i).alias("rule"), F.lit(kind).alias("kind"), values.alias("labels")))  # noqa: B023, E731
+        if side == "source":
+            keys += [key(source, "all"), key(source & ~target, "pure")]
+        else:
+            keys += [key(target & ~source, "all"), key(target & source, "pure")]
+    return F.array_compact(F.array(*keys))
+
+
 def inhibit(alerts: DataFrame, rules: Sequence[Inhibition] = tuple(INHIBITIONS), block_us: int = DAY) -> DataFrame:
     """The times at which firing alerts are not muted by another firing alert.
 
@@ -79,49 +101,47 @@ def inhibit(alerts: DataFrame, rules: Sequence[Inhibition] = tuple(INHIBITIONS),
     fires. An alert comes back as one row per interval left of it, its begin and
     end in ``firing_us`` and ``resolved_us``; one that is muted throughout has
     none. Every firing alert is a source, muted or not; one that matches both
-    sides of a rule mutes only alerts that match the target side alone.
+    sides of a rule mutes only alerts that match the target side alone. Rows
+    that repeat come back as often as they went in.
+
+    All rules go in one pass: alerts are tagged with the keys of the rules they
+    meet, the sources of a key are merged to disjoint stretches, both sides are
+    cut at block borders, which makes the interval join an equi-join, and the
+    stretches of all rules are taken from the alert together. The number of
+    scans does not depend on the number of rules.
     """
+    if not rules:
+        return alerts.where(F.col("firing_us").isNotNull())
+    names = alerts.columns
     firing = alerts.where(F.col("firing_us").isNotNull())
-    left = firing
-    for rule in rules:
-        source = _all([F.col(k) == v for k, v in rule.source.items()])
-        target = _all(
-            [F.col(k) == v for k, v in rule.target.items()]
-            + [F.col(k).rlike(f"^(?:{p})$") for k, p in rule.target_pattern.items()]
-        )
-        alone = _without(left.where(target & ~source), firing.where(source), rule.equal, block_us)
-        both = _without(left.where(target & source), firing.where(source & ~target), rule.equal, block_us)
-        left = left.where(~target).unionByName(alone).unionByName(both)
-    return left
-
-
-def _without(targets: DataFrame, sources: DataFrame, equal: Sequence[str], block_us: int) -> DataFrame:
-    """The intervals of ``targets`` outside the union of the ``sources`` with equal labels.
-
-    Sources are merged first, so a target meets each stretch of muted time once.
-    Both sides are cut at block borders, which makes the interval join an
-    equi-join; what a target meets is bounded by its own length.
-    """
-    labels = [f"_l{i}" for i in range(len(equal))]
-    # A label that is absent must equal an absent one in a join.
-    named = {n: F.coalesce(F.concat(F.lit("="), F.col(k)), F.lit("")) for n, k in zip(labels, equal)}
-    on = [*labels, "_block"]
     blocks = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / block_us), F.floor((F.col(b) - 1) / block_us)))
-    busy = sources.withColumns(named).where("firing_us < resolved_us")
-    busy = overlapping(busy.select(*labels, "firing_us", "resolved_us"), labels, "firing_us", "resolved_us", [], block_us, "_n")
-    busy = busy.groupBy(*labels, "_n").agg(F.min("firing_us").alias("_from"), F.max("resolved_us").alias("_to"))
-    busy = busy.select(*labels, "_from", "_to", blocks("_from", "_to").alias("_block"))
-    rows = targets.where("firing_us < resolved_us").withColumns(named).withColumn("_block", blocks("firing_us", "resolved_us"))
+    sources = firing.where("firing_us < resolved_us").select(F.explode(_mute_keys(rules, "source")).alias("_mute"), "firing_us", "resolved_us")
+    busy = merged_intervals(sources, ["_mute"], "firing_us", "resolved_us", block_us)
+    busy = busy.select("_mute", F.col("firing_us").alias("_from"), F.col("resolved_us").alias("_to")).withColumn("_block", blocks("_from", "_to"))
+    distinct = firing.groupBy(*[F.col(c) for c in names]).agg(F.count(F.lit(1)).alias("_copies"))
+    tagged = distinct.withColumn("_keys", _mute_keys(rules, "target"))
+    # What no rule has as a target, and what has no length, is left as it is.
+    free = (F.size("_keys") == 0) | ~F.coalesce(F.col("firing_us") < F.col("resolved_us"), F.lit(False))
+    targets = tagged.withColumn("_mute", F.explode_outer(F.when(~free, F.col("_keys")))).drop("_keys")
+    placed = targets.withColumn("_block", F.explode(F.when(F.col("_mute").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
+        F.sequence(F.floor(F.col("firing_us") / block_us), F.floor((F.col("resolved_us") - 1) / block_us))
+    )))
     meets = (F.col("_from") < F.col("resolved_us")) & (F.col("_to") > F.col("firing_us"))
     met = F.array_compact(F.sort_array(F.collect_set(F.when(meets, F.struct("_from", "_to")))))
-    held = rows.join(busy, on, "left").groupBy(*[F.col(c) for c in targets.columns]).agg(met.alias("_met"))
-    # Before the first muted stretch, between two of them, after the last.
-    begins = F.concat(F.array("firing_us"), F.transform("_met", lambda m: m["_to"]))
-    ends = F.concat(F.transform("_met", lambda m: m["_from"]), F.array("resolved_us"))
-    free = F.filter(F.arrays_zip(begins.alias("a"), ends.alias("b")), lambda x: x["a"] < x["b"])
-    rest = held.select(*targets.columns, F.inline(free))
+    held = placed.join(busy, ["_mute", "_block"], "left").groupBy(*[F.col(c) for c in names], "_copies").agg(
+        met.alias("_met"), F.max(F.col("_mute").isNull()).alias("_free")
+    )
+    # Stretches of different rules may overlap: a gap opens at the latest end so far.
+    latest = lambda so_far, m: F.array_append(so_far, F.greatest(F.try_element_at(so_far, F.lit(-1)), m["_to"]))
+    held = held.withColumn("_ends", F.aggregate("_met", F.array().cast("array<bigint>"), latest))
+    gaps = F.arrays_zip(
+        F.concat(F.array("firing_us"), F.col("_ends")).alias("a"),
+        F.concat(F.transform("_met", lambda m: m["_from"]), F.array("resolved_us")).alias("b"),
+    )
+    rest = F.when(F.col("_free"), F.array(F.struct(F.col("firing_us").alias("a"), F.col("resolved_us").alias("b")))).otherwise(F.filter(gaps, lambda x: x["a"] < x["b"]))
+    left = held.select(*names, "_copies", F.inline(rest)).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))))
     times = {"firing_us": "a", "resolved_us": "b"}
-    return rest.select(*[F.col(times.get(c, c)).alias(c) for c in targets.columns])
+    return left.select(*[F.col(times.get(c, c)).alias(c) for c in names])
 
 
 def with_life(routed: DataFrame, group_by: Sequence[str] = tuple(GROUP_BY), block_us: int = DAY) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.functions.scan import HOUR, merged_intervals
 from tidewatch.functions.skew import salted_join
 
 SPAN_KEY = ["trace_id", "span_id"]
@@ -39,20 +40,35 @@ def rollup(spans: DataFrame) -> DataFrame:
     )
 
 
-def self_time(spans: DataFrame) -> DataFrame:
-    """Duration without the children. Children are summed per parent before the
-    join, which then matches one row with one row."""
-    children = (
-        spans.where(F.col("parent_span_id").isNotNull())
-        .groupBy("trace_id", F.col("parent_span_id").alias("span_id"))
-        .agg(F.sum("duration_ms").alias("child_ms"), F.count(F.lit(1)).alias("children"))
-    )
-    zero = F.lit(0)
-    return spans.join(children, SPAN_KEY, "left").withColumns(
+def _end_us(start: str = "start_us") -> Column:
+    return F.col(start) + F.round(F.col("duration_ms") * 1000).cast("long")
+
+
+def self_time(spans: DataFrame, block_us: int = HOUR) -> DataFrame:
+    """Duration in which no child runs: ``child_ms`` (sum), ``covered_ms`` (union) and ``self_ms``.
+
+    Children that overlap count once. The child intervals of a parent are merged
+    to disjoint stretches first (inside time blocks, then across them), so a
+    parent with very many children is no single task; the stretches are cut to
+    the parent's own time and summed. A span whose parent is not there is a
+    child of none.
+    """
+    parent = ["trace_id", "parent_span_id"]
+    steps = spans.where(F.col("parent_span_id").isNotNull()).withColumn("_end", _end_us())
+    sums = steps.groupBy(*parent).agg(F.sum("duration_ms").alias("child_ms"), F.count(F.lit(1)).alias("children"))
+    stretches = merged_intervals(steps.select(*parent, "start_us", "_end"), parent, "start_us", "_end", block_us)
+    own = spans.select("trace_id", F.col("span_id").alias("parent_span_id"), F.col("start_us").alias("_from"), _end_us().alias("_to"))
+    met = salted_join(stretches, own, parent, ["start_us"], "inner")
+    part = F.greatest(F.least("_end", "_to") - F.greatest("start_us", "_from"), F.lit(0))
+    covered = met.groupBy(*parent).agg((F.sum(part) / 1000).alias("covered_ms"))
+    both = sums.join(covered, parent, "left").withColumnRenamed("parent_span_id", "span_id")
+    none = F.lit(0.0)
+    return spans.join(both, SPAN_KEY, "left").withColumns(
         {
-            "child_ms": F.coalesce("child_ms", F.lit(0.0)),
-            "children": F.coalesce("children", zero),
-            "self_ms": F.greatest(F.col("duration_ms") - F.coalesce("child_ms", F.lit(0.0)), F.lit(0.0)),
+            "child_ms": F.coalesce("child_ms", none),
+            "children": F.coalesce("children", F.lit(0)),
+            "covered_ms": F.coalesce("covered_ms", none),
+            "self_ms": F.greatest(F.col("duration_ms") - F.coalesce("covered_ms", none), none),
         }
     )
 

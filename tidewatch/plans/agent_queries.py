@@ -155,18 +155,32 @@ def trace_rollup(spark, sf_dir):
     return traces.rollup(views.spans(spark, sf_dir))
 
 
+SELF_TIME = {
+    "timed": "SELECT *, start_us + CAST(round(duration_ms * 1000) AS BIGINT) AS end_us FROM spans",
+    "children": """
+SELECT c.trace_id, c.parent_span_id, greatest(c.start_us, p.start_us) AS f, least(c.end_us, p.end_us) AS t
+FROM timed c JOIN timed p ON c.trace_id = p.trace_id AND c.parent_span_id = p.span_id WHERE least(c.end_us, p.end_us) > greatest(c.start_us, p.start_us)""",
+    "uncovered": """
+SELECT *, max(t) OVER (PARTITION BY trace_id, parent_span_id ORDER BY f, t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM children""",
+    "covered": """
+SELECT trace_id, parent_span_id, sum(greatest(t - greatest(f, coalesce(seen, f)), 0)) / 1000 AS covered_ms FROM uncovered GROUP BY 1, 2""",
+}
+
+
 @query(
     "span_self_time",
     """SELECT p.trace_id, p.span_id, p.duration_ms, round(coalesce(c.child_ms, 0), 6) AS child_ms, coalesce(c.children, 0) AS children,
-  round(greatest(p.duration_ms - coalesce(c.child_ms, 0), 0), 6) AS self_ms
+  round(coalesce(u.covered_ms, 0), 6) AS covered_ms, round(greatest(p.duration_ms - coalesce(u.covered_ms, 0), 0), 6) AS self_ms
 FROM spans p LEFT JOIN (SELECT trace_id, parent_span_id, sum(duration_ms) AS child_ms, count(*) AS children FROM spans GROUP BY 1, 2) c
-  ON c.trace_id = p.trace_id AND c.parent_span_id = p.span_id""",
+  ON c.trace_id = p.trace_id AND c.parent_span_id = p.span_id
+LEFT JOIN covered u ON u.trace_id = p.trace_id AND u.parent_span_id = p.span_id""",
+    SELF_TIME,
 )
 def span_self_time(spark, sf_dir):
+    """Time of a span in which none of its children runs."""
     timed = traces.self_time(views.spans(spark, sf_dir))
-    return timed.select(
-        "trace_id", "span_id", "duration_ms", F.round("child_ms", 6).alias("child_ms"), "children", F.round("self_ms", 6).alias("self_ms")
-    )
+    rounded = [F.round(c, 6).alias(c) for c in ("child_ms", "covered_ms", "self_ms")]
+    return timed.select("trace_id", "span_id", "duration_ms", "children", *rounded)
 
 
 @query(

@@ -9,6 +9,7 @@ from tidewatch.operators.features import FEATURE_NAMES, fraud_label
 from tidewatch.plans import views
 from tidewatch.plans.metric_queries import LABEL_SQL
 from tidewatch.plans.registry import query
+from tidewatch.plans.samples import stored
 
 NAMES = ", ".join(n for n in FEATURE_NAMES if n != "amount_deviation")
 
@@ -73,17 +74,26 @@ f AS (SELECT feature, sum(a) OVER w / sum(a) OVER (PARTITION BY feature) AS fa,
 SELECT feature, CAST(na AS BIGINT) AS reference_rows, CAST(nb AS BIGINT) AS current_rows, round(max(abs(fa - fb)), 9) AS drift_score FROM f GROUP BY 1, 2, 3"""
 
 
-def _exact(features):
-    return features.withColumn("amount_deviation", F.round("amount_deviation", 9))
+def feature_counts(spark, sf_dir):
+    """(feature, log_date, late, value, n): every feature value counted per day, as a stored table.
+
+    The feature rows are engineered once; both drift queries read their counts.
+    """
+
+    def build():
+        rows = views.ml_features(spark, sf_dir).withColumn("amount_deviation", F.round("amount_deviation", 9))
+        late = (F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz")).alias("late")
+        values = drift.long_values(rows.select("*", F.to_date("ts").alias("log_date"), late), FEATURE_NAMES, ["log_date", "late"])
+        return values.groupBy("feature", "log_date", "late", "value").agg(F.count(F.lit(1)).alias("n"))
+
+    return stored(spark, "feature-counts", sf_dir, build, "feature")
 
 
 @query("ks_drift", _ks_sql("0", "feature"))
 def ks_drift(spark, sf_dir):
     """First half of the month as reference, second half as current rows."""
-    rows = _exact(views.ml_features(spark, sf_dir))
-    late = F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz")
-    values = drift.long_values(rows.withColumn("_late", late), FEATURE_NAMES, ["_late"])
-    return drift.ks_drift(values, F.col("_late")).withColumn("drift_score", F.round("drift_score", 9))
+    scores = drift.ks_drift(feature_counts(spark, sf_dir), F.col("late"), rows=F.col("n"))
+    return scores.withColumn("drift_score", F.round("drift_score", 9))
 
 
 _DAILY = " UNION ALL ".join(f"SELECT '{n}' AS feature, ts, {c} AS v FROM ml_features WHERE {n} IS NOT NULL" for n, c in EXACT_SQL.items())
@@ -103,11 +113,9 @@ SELECT feature, log_date, round(max(abs(fa - fb)), 9) AS drift_score FROM f GROU
 )
 def ks_drift_daily(spark, sf_dir):
     """Every day of the second half against the whole first half, for all nine features."""
-    rows = _exact(views.ml_features(spark, sf_dir))
-    split = F.lit(SPLIT).cast("timestamp_ntz")
-    values = drift.long_values(rows, FEATURE_NAMES, ["ts"])
-    current = values.where(F.col("ts") >= split).select("feature", F.to_date("ts").alias("log_date"), "value")
-    scores = drift.ks_windows(values.where(F.col("ts") < split).select("feature", "value"), current, "log_date", ["feature"])
+    counts = feature_counts(spark, sf_dir)
+    n = F.col("n")
+    scores = drift.ks_windows(counts.where("NOT late"), counts.where("late"), "log_date", ["feature"], n, n)
     return scores.select("feature", "log_date", F.round("drift_score", 9).alias("drift_score"))
 
 
