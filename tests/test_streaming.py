@@ -268,3 +268,33 @@ def test_missing_rates_count_nan_and_null(spark):
     df = spark.createDataFrame([(1.0, 1), (float("nan"), None), (None, 2), (2.0, 3)], "a DOUBLE, b INT")
     assert rows(missing_rates(df, ["a", "b"]), "feature_name", "missing", "missing_rate") == [("a", 2, 0.5), ("b", 1, 0.25)]
     assert long_values(df, ["a", "b"]).count() == 5
+
+
+def test_sessions_end_by_event_or_gap(spark, tmp_path):
+    schema = "session_id STRING, us BIGINT, row_id BIGINT, agent_name STRING, failed BOOLEAN, completes BOOLEAN, ts TIMESTAMP"
+
+    def row(second, i=0, key="s", failed=False, completes=False, agent="a"):
+        return (key, second * S, i, agent, failed, completes, dt.datetime.fromtimestamp(second))
+
+    whole = [
+        row(1000), row(1010, failed=True), row(1020, completes=True),  # closed by its event
+        row(1030), row(1040), row(1200),  # a new one in the same key; a gap closes it, and then the last
+        row(1000, key="alone", completes=True),
+        row(1005, 1, key="tie"), row(1005, 2, key="tie", completes=True), row(1005, 3, key="tie", agent="b"),
+    ]
+    want = [
+        ("alone", 1000 * S, 1000 * S, "completed", "a", 0, 0),
+        ("s", 1000 * S, 1020 * S, "completed", "a", 2, 1),
+        ("s", 1030 * S, 1140 * S, "gap", "a", 2, 0),
+        ("s", 1200 * S, 1300 * S, "gap", "a", 1, 0),
+        ("tie", 1005 * S, 1005 * S, "completed", "a", 1, 0),
+        ("tie", 1005 * S, 1105 * S, "gap", "b", 1, 0),
+    ]
+    end = [[row(90_000, key="clock")], [row(90_001, key="clock")]]
+    for n, batches in enumerate(([whole], [whole[::-2], whole[-2::-2]])):
+        root = tmp_path / str(n)
+        root.mkdir()
+        path = write_batches(spark, str(root), schema, [*batches, *end])
+        stream = jobs.event_stream(spark, path, spark.read.parquet(path).schema, max_files=1).withWatermark("ts", "10 minutes")
+        got = run(spark, str(root), states.closed_sessions(stream, 100 * S))
+        assert rows(got.where("session_id <> 'clock'").drop("batch")) == want

@@ -55,21 +55,48 @@ def stream_sliding_rates(spark, sf_dir):
 
 
 @query(
-    "stream_agent_sessions",
+    "stream_gap_sessions",
     f"""WITH s AS (SELECT concat('user-', user_id) AS session_id, CASE WHEN user_id % 2 = 0 THEN 'research-agent' ELSE 'analysis-agent' END AS agent_name, event_type, ts FROM ev),
 o AS (SELECT *, CASE WHEN ts <= lag(ts) OVER w + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM s WINDOW w AS (PARTITION BY session_id ORDER BY ts)),
 n AS (SELECT *, sum(opens) OVER (PARTITION BY session_id ORDER BY ts) AS i FROM o)
 SELECT session_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS closed_at, max(agent_name) AS agent_name, count(*) AS steps_taken,
   count(*) FILTER (WHERE event_type = 'error') AS errors FROM n GROUP BY session_id, i HAVING max(ts) + INTERVAL 6 HOUR <= {DONE}""",
 )
-def stream_agent_sessions(spark, sf_dir):
+def stream_gap_sessions(spark, sf_dir):
+    """Sessions that only a quiet gap closes."""
     steps = events(spark, sf_dir).withColumns(
         {
             "session_id": F.concat(F.lit("user-"), F.col("user_id").cast("string")),
             "agent_name": F.when(F.col("user_id") % 2 == 0, "research-agent").otherwise("analysis-agent"),
         }
     )
-    return _finished(spark, jobs.agent_sessions(steps, "6 hours"), "sessions")
+    return _finished(spark, jobs.agent_sessions(steps, "6 hours"), "gap-sessions")
+
+
+SESSION_GAP = 6 * HOUR
+
+
+@query(
+    "stream_agent_sessions",
+    f"""WITH mark AS (SELECT epoch_us(max(ts)) // 1000 * 1000 - {600 * MICROS} AS passed FROM ev),
+s AS (SELECT concat('user-', user_id) AS session_id, CASE WHEN user_id % 2 = 0 THEN 'research-agent' ELSE 'analysis-agent' END AS agent_name, event_type, us, event_id,
+  event_type = 'signup' AND k >= 50 AS completes FROM ev, mark WHERE us < passed),
+o AS (SELECT *, CASE WHEN us - lag(us) OVER w <= {SESSION_GAP} AND NOT lag(completes) OVER w THEN 0 ELSE 1 END AS opens FROM s WINDOW w AS (PARTITION BY session_id ORDER BY us, event_id)),
+n AS (SELECT *, sum(opens) OVER (PARTITION BY session_id ORDER BY us, event_id) AS i FROM o),
+c AS (SELECT session_id, min(us) AS session_start_us, bool_or(completes) AS ended, max(us) AS last_us, max(agent_name) AS agent_name, count(*) FILTER (WHERE NOT completes) AS steps_taken,
+  count(*) FILTER (WHERE event_type = 'error') AS errors FROM n GROUP BY session_id, i)
+SELECT session_id, session_start_us, CASE WHEN ended THEN last_us ELSE last_us + {SESSION_GAP} END AS closed_us, CASE WHEN ended THEN 'completed' ELSE 'gap' END AS ended_by,
+  agent_name, steps_taken, errors FROM c, mark WHERE ended OR last_us + {SESSION_GAP} < passed OR EXISTS (SELECT 1 FROM c AS d WHERE d.session_id = c.session_id AND d.session_start_us > c.last_us)""",
+)
+def stream_agent_sessions(spark, sf_dir):
+    """Sessions closed by their completion event or, without one, by a quiet gap."""
+    kind = F.col("event_type")
+    steps = events(spark, sf_dir).select(
+        F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("session_id"),
+        F.when(F.col("user_id") % 2 == 0, "research-agent").otherwise("analysis-agent").alias("agent_name"),
+        "us", F.col("event_id").alias("row_id"), (kind == "error").alias("failed"), ((kind == "signup") & (F.col("k") >= 50)).alias("completes"), "ts",
+    )
+    return _finished(spark, states.closed_sessions(steps.withWatermark("ts", jobs.LATENESS), SESSION_GAP), "sessions")
 
 
 @query("stream_deduplicated", "SELECT event_id, event_type, value FROM ev")

@@ -1,4 +1,4 @@
-"""Keyed state: the ``for`` clause of alerts and the notification timers.
+"""Keyed state: the ``for`` clause of alerts, the notification timers and agent sessions.
 
 State is a few numbers per key. The pandas functions see the rows of one key in
 one micro-batch, which are the evaluations or transitions since the last one.
@@ -174,3 +174,58 @@ def _notify(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
     elif state.exists:
         state.remove()
     yield pd.DataFrame(out, columns=[c.split()[0] for c in NOTICES.split(", ")])
+
+
+SESSIONS = "session_id STRING, session_start_us BIGINT, closed_us BIGINT, ended_by STRING, agent_name STRING, steps_taken BIGINT, errors BIGINT"
+SESSION_STATE = "start_us BIGINT, last_us BIGINT, agent_name STRING, steps BIGINT, errors BIGINT, waiting STRING"
+
+
+def closed_sessions(steps: DataFrame, gap_us: int) -> DataFrame:
+    """Agent sessions, closed by their completion event; a quiet gap closes one that has none.
+
+    Input: ``session_id, us, row_id, agent_name, failed, completes`` and the
+    watermarked time. Rows wait until the watermark has passed them and are
+    then read by time and row, so it makes no difference in which batch one
+    arrives. A completion closes the session at its own time (``completed``); a
+    row more than ``gap_us`` after the last one, or the watermark, closes it at
+    the end of the gap (``gap``). A completion without steps closes a session of
+    none. State is a few numbers per key and what waits, which the watermark's
+    delay bounds.
+    """
+
+    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        start, last, agent, count, errors, waiting = state.get if state.exists else (None, None, None, 0, 0, "[]")
+        out: list[tuple] = []
+
+        def close(at: int, by: str) -> None:
+            nonlocal start, last, agent, count, errors
+            out.append((*key, start, at, by, agent, count, errors))
+            start, last, agent, count, errors = None, None, None, 0, 0
+
+        rows = [tuple(r) for r in json.loads(waiting)]
+        if not state.hasTimedOut:
+            for batch in batches:
+                columns = (batch[c].tolist() for c in ("us", "row_id", "agent_name", "failed", "completes"))
+                rows += [(int(us), int(i), a, bool(f), bool(c)) for us, i, a, f, c in zip(*columns)]
+        passed = state.getCurrentWatermarkMs() * 1000
+        rows.sort(key=lambda r: r[:2])
+        for us, _, name, failed, completes in (r for r in rows if r[0] < passed):
+            if last is not None and us - last > gap_us:
+                close(last + gap_us, "gap")
+            start, last = us if start is None else start, us
+            agent = name if agent is None or (name is not None and name > agent) else agent
+            count, errors = count + (not completes), errors + failed
+            if completes:
+                close(us, "completed")
+        rows = [r for r in rows if r[0] >= passed]
+        if last is not None and last + gap_us < passed:
+            close(last + gap_us, "gap")
+        times = [r[0] for r in rows[:1]] + ([last + gap_us] if last is not None else [])
+        if times:
+            state.update((start, last, agent, count, errors, json.dumps(rows)))
+            state.setTimeoutTimestamp(max(min(times) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in SESSIONS.split(", ")])
+
+    return steps.groupBy("session_id").applyInPandasWithState(advance, SESSIONS, SESSION_STATE, "append", GroupStateTimeout.EventTimeTimeout)
