@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidewatch.functions.formatting import humanize, humanize_duration, humanize_percentage, plain
+from tidewatch.functions.labels import series_key
+from tidewatch.functions.scan import HOUR
 from tidewatch.operators import alerts as al
 from tidewatch.operators import notify
 from tidewatch.operators import timeseries as ts
@@ -303,3 +305,47 @@ def test_replaced_inputs_are_read_again(spark, tmp_path):
     assert read(1) == [1] and read(2) == [1] and made == [1]
     (source / "a").write_text("12")
     assert read(3) == [3] and made == [1, 3]
+
+
+def test_every_derivable_rule_is_evaluated(spark):
+    """The five metrics that are evaluated at scrape instants have samples, and their rules give alerts with texts."""
+    from tidewatch.plans import registry
+
+    registry.load_all()
+    sf = "/root/testdata/sf0.001"
+    seen = {r[0] for r in registry.QUERIES["telemetry_samples"](spark, sf).select("metric").distinct().collect()}
+    metrics = {"agent_queue_depth", "agent_hallucinations_detected_total", "ml_data_drift_score", "ml_model_accuracy", "ml_feature_missing_rate"}
+    assert metrics <= seen
+    texts = registry.QUERIES["alert_texts"](spark, sf).collect()
+    fired = {r.alertname for r in texts}
+    assert {"MLDataDriftDetected", "MLModelAccuracyDrop", "MLHighFeatureMissingRate"} <= fired
+    assert all(r.summary and r.description and "$" not in r.summary + r.description for r in texts)
+    assert any("Feature: device_trust_score" in r.description for r in texts if r.alertname == "MLDataDriftDetected")
+
+
+def test_queue_depth_and_hallucination_rules_fire(spark):
+    """The tables stay below these thresholds; samples of the same metrics above them fire."""
+    samples = [("agent_queue_depth", "service=agentic-pipeline", None, h * HOUR, 60.0) for h in range(1, 9)]
+    samples += [("agent_hallucinations_detected_total", "agent_name=a,service=agentic-pipeline", None, h * HOUR, h * 4000.0) for h in range(1, 30)]
+    df = spark.createDataFrame(samples, "metric string, series string, le double, us long, value double")
+    df = df.withColumn("series", series_key(F.transform_values(F.str_to_map("series", F.lit(","), F.lit("=")), lambda _, v: v)))
+    rules = [r.slowed(60) for r in RULES]
+    got = al.alert_rows(al.evaluate_rules(df, rules, 300 * 60 * S), rules).where("state = 'firing'").collect()
+    assert {r.alertname for r in got} == {"AgentQueueDepthGrowing", "AgentHallucinationSpike"}
+    assert {r.description for r in got if r.alertname == "AgentQueueDepthGrowing"} == {"Queue depth: 60 pending tasks.\nConsider scaling up agent workers.\n"}
+
+
+def test_health_query_has_all_bands(spark):
+    from tidewatch.operators.search import HEALTH_BANDS
+    from tidewatch.plans import registry
+
+    registry.load_all()
+    rows_ = registry.QUERIES["health_bands"](spark, "/root/testdata/sf0.01").collect()
+    assert {r.metric for r in rows_} == {name for name, _, _ in HEALTH_BANDS} and all(r.band in ("Healthy", "Warning", "Critical") for r in rows_)
+
+
+def test_seasonal_baseline_is_the_median_of_earlier_days(spark):
+    data = [("m", d, h, float(v)) for d, h, v in [(0, 1, 10), (1, 1, 12), (2, 1, 1000), (3, 1, 11), (3, 2, 5), (12, 1, 7), (13, 1, 8)]]
+    df = spark.createDataFrame(data, "model string, day long, slot int, value double")
+    got = {(r.day, r.slot): r.baseline for r in ts.seasonal_baseline(df, ["model"], "day", "slot", "value", 7).collect()}
+    assert got == {(0, 1): None, (1, 1): 10.0, (2, 1): 11.0, (3, 1): 12.0, (3, 2): None, (12, 1): None, (13, 1): 7.0}

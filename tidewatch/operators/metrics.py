@@ -174,6 +174,9 @@ def _series(labels: Mapping[str, Column]) -> Column:
     return series_key(F.create_map(*[x for name, c in labels.items() for x in (F.lit(name), c)]))
 
 
+series_of = _series
+
+
 def _scrape_time(us: str, every: int) -> Column:
     """The scrape that first sees a row."""
     return ((time_block(us, every) + 1) * F.lit(every)).alias("us")

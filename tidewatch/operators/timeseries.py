@@ -229,3 +229,21 @@ def ratio_of(vector: DataFrame, part: Column, by: Sequence[str]) -> DataFrame:
 def age(vector: DataFrame) -> DataFrame:
     """Seconds between the evaluation time and a gauge that holds Unix seconds."""
     return vector.withColumn("value", F.col("eval_us") / 1e6 - F.col("value"))
+
+
+def seasonal_baseline(
+    df: DataFrame, by: Sequence[str], day: str, slot: str, value: str, days: int = 7, name: str = "baseline"
+) -> DataFrame:
+    """Add the median of ``value`` at the same ``slot`` of the ``days`` days before.
+
+    ``day`` is a day number, one row per group, day and slot. A day without a
+    row counts as absent; without any earlier day the baseline is NULL. The
+    median does not follow a single spike, as a mean would. A window holds at
+    most ``days`` rows, and its partitions one row a day.
+    """
+    before = Window.partitionBy(*by, slot).orderBy(day).rangeBetween(-days, -1)
+    held = F.array_sort(F.collect_list(F.col(value).cast("double")).over(before))
+    n = F.size("_held")
+    at = lambda i: F.try_element_at("_held", i.cast("int") + 1)
+    middle = (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2
+    return df.withColumn("_held", held).withColumn(name, F.when(n > 0, middle)).drop("_held")

@@ -131,32 +131,47 @@ def alerts_routed(spark, sf_dir):
     return notify.route(firing).groupBy("alertname", "receiver").agg(F.count(F.lit(1)).alias("alerts"))
 
 
-DURATION_SQL = """CASE WHEN abs(value) >= 60 THEN concat(CASE WHEN value >= 86400 THEN CAST(floor(value / 86400) AS BIGINT) || 'd ' ELSE '' END,
+def _scaled_sql(v: str) -> str:
+    """Four significant digits with a prefix for thousands or thousandths."""
+    steps = [("1e6", "M"), ("1e3", "k"), ("1", ""), ("1e-3", "m"), ("1e-6", "u"), ("1e-9", "n")]
+    return f"CASE WHEN {v} = 0 THEN '0' " + " ".join(f"WHEN abs({v}) >= {size}::DOUBLE THEN printf('%.4g', {v} / {size}::DOUBLE) || '{unit}'" for size, unit in steps) + " END"
+
+
+VALUE_SQL = {
+    "plain": "regexp_replace(CAST(value AS VARCHAR), '[.]0$', '')",
+    "percentage": "printf('%.4g%%', value * 100)",
+    "humanize": _scaled_sql("value"),
+    "duration": f"""CASE WHEN abs(value) >= 60 THEN concat(CASE WHEN value >= 86400 THEN CAST(floor(value / 86400) AS BIGINT) || 'd ' ELSE '' END,
   CASE WHEN value >= 3600 THEN CAST(floor(value / 3600) AS BIGINT) % 24 || 'h ' ELSE '' END, CAST(floor(value / 60) AS BIGINT) % 60 || 'm ', CAST(floor(value) AS BIGINT) % 60 || 's')
-  ELSE printf('%.4gs', value) END"""
+  WHEN value = 0 THEN '0s' WHEN abs(value) >= 1 THEN printf('%.4gs', value) ELSE ({_scaled_sql("value")}) || 's' END""",
+}
+
+
+def _text_sql(field: str) -> str:
+    """The text of every rule, from the same templates that the rules carry."""
+    cases = []
+    for rule in RULES:
+        parts = []
+        for kind, text in al.template_parts(getattr(rule, field)):
+            quoted = text.replace("'", "''")
+            if kind == "literal":
+                parts.append("'" + quoted.replace("\n", "' || chr(10) || '") + "'")
+            elif kind == "label":
+                parts.append(f"coalesce(regexp_extract(series, '(?:^|,){text}=([^,]*)', 1), '')")
+            else:
+                parts.append(f"({VALUE_SQL[text]})")
+        cases.append(f"WHEN '{rule.name}' THEN {' || '.join(parts)}")
+    return "CASE alertname " + "\n  ".join(cases) + " END"
 
 
 @query(
     "alert_texts",
-    f"""SELECT alertname, series, active_us, CASE alertname
-  WHEN 'GenAIHighErrorRate' THEN 'GenAI error rate above 5% for ' || regexp_extract(series, 'model=([^,]*)', 1)
-  WHEN 'GenAIHighLatency' THEN 'GenAI P99 latency above 10s for genai-pipeline'
-  WHEN 'GenAIContextWindowHigh' THEN 'LLM context window above 85% — risk of truncation'
-  WHEN 'KafkaConsumerLagHigh' THEN 'Kafka consumer group logstash_consumer lagging' END AS summary,
-  CASE alertname
-  WHEN 'GenAIHighErrorRate' THEN 'LLM inference error rate is ' || printf('%.4g%%', value * 100) || ' over the last 5 minutes.' || chr(10) || 'Service: genai-pipeline, Model: ' || regexp_extract(series, 'model=([^,]*)', 1) || chr(10)
-  WHEN 'GenAIHighLatency' THEN 'P99 latency is ' || {DURATION_SQL} || '.' || chr(10) || 'This breaches the 10s SLO for real-time inference.' || chr(10) || 'Model: ' || regexp_extract(series, 'model=([^,]*)', 1) || chr(10)
-  WHEN 'GenAIContextWindowHigh' THEN 'Context utilization: ' || printf('%.4g%%', value * 100) || '.' || chr(10) || 'Long documents or agent histories may get truncated silently.' || chr(10)
-  WHEN 'KafkaConsumerLagHigh' THEN 'Consumer lag: ' || printf('%.4gk', value / 1000) || ' messages.' || chr(10) || 'Topic: ' || regexp_extract(series, 'topic=([^,]*)', 1) || ', Partition: ' || regexp_extract(series, 'partition=([^,]*)', 1) || '.' || chr(10)
-    || 'Pipeline is falling behind real-time. Scale consumers or check for slow processing.' || chr(10) END AS description
-FROM rule_alerts WHERE alertname IN ('GenAIHighErrorRate', 'GenAIHighLatency', 'GenAIContextWindowHigh', 'KafkaConsumerLagHigh')""",
+    f"SELECT alertname, series, active_us, state, {_text_sql('summary')} AS summary, {_text_sql('description')} AS description FROM rule_alerts",
     ALERTS,
 )
 def alert_texts(spark, sf_dir):
-    """Rendered texts of the rules whose templates take labels and values."""
-    named = ["GenAIHighErrorRate", "GenAIHighLatency", "GenAIContextWindowHigh", "KafkaConsumerLagHigh"]
-    rows = _named(alert_table(spark, sf_dir)).where(F.col("alertname").isin(named))
-    return rows.select("alertname", "series", "active_us", "summary", "description")
+    """Rendered texts of every alert of every rule."""
+    return _named(alert_table(spark, sf_dir)).select("alertname", "series", "active_us", "state", "summary", "description")
 
 
 SPIKES = {

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.labels import render
+from tidewatch.functions.scan import DAY
 from tidewatch.operators import enrich as en
 from tidewatch.operators import relabel, search
 from tidewatch.plans import views
@@ -156,37 +159,82 @@ _search(
 )
 
 
-@query(
-    "health_bands",
-    """WITH m AS (
-  SELECT CAST(ts AS DATE) AS log_date, model, 100.0::DOUBLE * count(*) FILTER (WHERE level IN ('ERROR', 'CRITICAL')) / count(*) AS error_rate_pct,
-    quantile_cont(latency_ms, 0.99) / 1000 AS p99_latency_s, count(*) FILTER (WHERE event = 'llm_rate_limited') / 86400.0::DOUBLE AS rate_limit_per_s,
-    100.0::DOUBLE * max(ctx_utilization) AS context_window_pct FROM genai_logs GROUP BY 1, 2)
-SELECT log_date, model, metric, round(value, 6) AS value, CASE metric
-  WHEN 'error_rate_pct' THEN CASE WHEN value < 1 THEN 'Healthy' WHEN value > 5 THEN 'Critical' ELSE 'Warning' END
-  WHEN 'p99_latency_s' THEN CASE WHEN value < 3 THEN 'Healthy' WHEN value > 10 THEN 'Critical' ELSE 'Warning' END
-  WHEN 'rate_limit_per_s' THEN CASE WHEN value <= 0 THEN 'Healthy' WHEN value > 0.5 THEN 'Critical' ELSE 'Warning' END
-  ELSE CASE WHEN value < 70 THEN 'Healthy' WHEN value > 85 THEN 'Critical' ELSE 'Warning' END END AS band
-FROM (SELECT log_date, model, 'error_rate_pct' AS metric, error_rate_pct AS value FROM m
-  UNION ALL SELECT log_date, model, 'p99_latency_s', p99_latency_s FROM m
-  UNION ALL SELECT log_date, model, 'rate_limit_per_s', rate_limit_per_s FROM m
-  UNION ALL SELECT log_date, model, 'context_window_pct', context_window_pct FROM m) u WHERE value IS NOT NULL""",
-)
+def _band_sql() -> str:
+    cases = []
+    for name, healthy, critical in search.HEALTH_BANDS:
+        if healthy > critical:
+            good, bad = f"value > {healthy}", f"value < {critical}"
+        else:
+            good, bad = f"value {'<=' if name in search.CLOSED_BANDS else '<'} {healthy}", f"value > {critical}"
+        cases.append(f"WHEN '{name}' THEN CASE WHEN {good} THEN 'Healthy' WHEN {bad} THEN 'Critical' ELSE 'Warning' END")
+    return "CASE metric " + "\n  ".join(cases) + " END"
+
+
+BASELINE_DAYS = 7
+HEALTH = {
+    "calls": """
+SELECT CAST(ts AS DATE) AS log_date, model AS scope, 100.0::DOUBLE * count(*) FILTER (WHERE level IN ('ERROR', 'CRITICAL')) / count(*) AS error_rate_pct,
+  quantile_cont(latency_ms, 0.99) / 1000 AS p99_latency_s, count(*) FILTER (WHERE event = 'llm_rate_limited') / 86400.0::DOUBLE AS rate_limit_per_s,
+  100.0::DOUBLE * max(ctx_utilization) AS context_window_pct FROM genai_logs GROUP BY 1, 2""",
+    "moves": """
+SELECT service, request_id AS id, us - CAST(floor(latency_ms * 1000) AS BIGINT) AS us, 1 AS delta FROM genai_logs UNION ALL SELECT service, request_id, us, -1 FROM genai_logs""",
+    "depths": "SELECT service, us, sum(delta) OVER (PARTITION BY service ORDER BY us, delta, id ROWS UNBOUNDED PRECEDING) AS depth FROM moves",
+    "hourly": """
+SELECT model, CAST(floor(us / 86400000000) AS BIGINT) AS day, hour(ts) AS slot, CAST(sum(output_tokens) AS DOUBLE) AS tokens FROM genai_logs
+WHERE event = 'llm_inference_success' GROUP BY ALL""",
+    "compared": f"""
+SELECT model, day, tokens / median(tokens) OVER (PARTITION BY model, slot ORDER BY day RANGE BETWEEN {BASELINE_DAYS} PRECEDING AND 1 PRECEDING) AS times FROM hourly""",
+    "bands": """
+SELECT log_date, scope, 'error_rate_pct' AS metric, error_rate_pct AS value FROM calls
+UNION ALL SELECT log_date, scope, 'p99_latency_s', p99_latency_s FROM calls
+UNION ALL SELECT log_date, scope, 'rate_limit_per_s', rate_limit_per_s FROM calls
+UNION ALL SELECT log_date, scope, 'context_window_pct', context_window_pct FROM calls
+UNION ALL SELECT CAST(make_timestamp(us) AS DATE), service, 'queue_depth', CAST(max(depth) AS DOUBLE) FROM depths GROUP BY 1, 2
+UNION ALL SELECT CAST(make_timestamp(day * 86400000000) AS DATE), model, 'token_rate_x_baseline', max(times) FROM compared GROUP BY 1, 2
+UNION ALL SELECT CAST(end_ts AS DATE), agent_name, 'session_success_pct', 100.0::DOUBLE * count(*) FILTER (WHERE status = 'completed') / count(*) FROM agent_sessions GROUP BY 1, 2
+UNION ALL SELECT CAST(end_ts AS DATE), agent_name, 'agent_loops_per_min', count(*) FILTER (WHERE status = 'max_steps_reached') / 1440.0::DOUBLE FROM agent_sessions GROUP BY 1, 2
+UNION ALL SELECT CAST(ts AS DATE), tool_name, 'tool_failure_pct', 100.0::DOUBLE * count(*) FILTER (WHERE tool_status = 'error') / count(*) FROM agent_steps WHERE tool_name IS NOT NULL GROUP BY 1, 2""",
+}
+
+
+@query("health_bands", f"SELECT log_date, scope, metric, round(value, 6) AS value, {_band_sql()} AS band FROM bands WHERE value IS NOT NULL", HEALTH)
 def health_bands(spark, sf_dir):
+    """All nine health values per day and model, service, agent or tool, with their bands."""
     from tidewatch.functions.quantiles import exact_percentiles
+    from tidewatch.operators.metrics import queue_depth
+    from tidewatch.operators.timeseries import seasonal_baseline
 
-    logs = views.genai_logs(spark, sf_dir).withColumn("log_date", F.to_date("ts"))
-    keys = ["log_date", "model"]
     n = F.count(F.lit(1))
-    wide = logs.groupBy(*keys).agg(
-        (F.lit(100.0) * F.count_if(F.col("level").isin("ERROR", "CRITICAL")) / n).alias("error_rate_pct"),
+    share = lambda condition: F.lit(100.0) * F.count_if(condition) / n
+    logs = views.genai_logs(spark, sf_dir).withColumn("log_date", F.to_date("ts"))
+    keys = ["log_date", "scope"]
+    calls = logs.withColumn("scope", F.col("model"))
+    wide = calls.groupBy(*keys).agg(
+        share(F.col("level").isin("ERROR", "CRITICAL")).alias("error_rate_pct"),
         (F.count_if(F.col("event") == "llm_rate_limited") / F.lit(86400.0)).alias("rate_limit_per_s"),
         (F.lit(100.0) * F.max("ctx_utilization")).alias("context_window_pct"),
     )
-    tail = exact_percentiles(logs, keys, "latency_ms", {"p99": 0.99}).withColumn("p99_latency_s", F.col("p99") / 1000).drop("p99")
-    metrics = ["error_rate_pct", "p99_latency_s", "rate_limit_per_s", "context_window_pct"]
-    long = wide.join(tail, keys).unpivot(keys, metrics, "metric", "value").where(F.col("value").isNotNull())
-    return search.health_bands(long).withColumn("value", F.round("value", 6))
+    tail = exact_percentiles(calls, keys, "latency_ms", {"p99": 0.99}).withColumn("p99_latency_s", F.col("p99") / 1000).drop("p99")
+    long = lambda df, *names: df.unpivot(keys, list(names), "metric", "value")
+    parts = [long(wide, "error_rate_pct", "rate_limit_per_s", "context_window_pct"), long(tail, "p99_latency_s")]
+    work = logs.select("service", "request_id", (F.col("us") - F.floor(F.col("latency_ms") * 1000).cast("long")).alias("start_us"), F.col("us").alias("end_us"))
+    depths = queue_depth(work, ["service"], "start_us", "end_us", ["request_id"])
+    day_of = lambda us: F.timestamp_micros(us).cast("date")
+    parts.append(long(depths.groupBy(day_of(F.col("us")).alias("log_date"), F.col("service").alias("scope")).agg(F.max("depth").cast("double").alias("queue_depth")), "queue_depth"))
+    hours = logs.where(F.col("event") == "llm_inference_success").groupBy("model", F.floor(F.col("us") / DAY).alias("day"), F.hour("ts").alias("slot"))
+    rated = seasonal_baseline(hours.agg(F.sum("output_tokens").cast("double").alias("tokens")), ["model"], "day", "slot", "tokens", BASELINE_DAYS)
+    times = rated.withColumn("times", F.col("tokens") / F.nullif(F.col("baseline"), F.lit(0.0)))
+    spread = times.groupBy(day_of(F.col("day") * DAY).alias("log_date"), F.col("model").alias("scope")).agg(F.max("times").alias("token_rate_x_baseline"))
+    parts.append(long(spread, "token_rate_x_baseline"))
+    sessions = views.agent_sessions(spark, sf_dir).groupBy(F.to_date("end_ts").alias("log_date"), F.col("agent_name").alias("scope")).agg(
+        share(F.col("status") == "completed").alias("session_success_pct"),
+        (F.count_if(F.col("status") == "max_steps_reached") / F.lit(1440.0)).alias("agent_loops_per_min"),
+    )
+    parts.append(long(sessions, "session_success_pct", "agent_loops_per_min"))
+    tools = views.agent_events(spark, sf_dir).where(F.col("tool_name").isNotNull()).groupBy(F.to_date("ts").alias("log_date"), F.col("tool_name").alias("scope"))
+    parts.append(long(tools.agg(share(F.col("tool_status") == "error").alias("tool_failure_pct")), "tool_failure_pct"))
+    values = reduce(DataFrame.unionByName, parts).where(F.col("value").isNotNull())
+    return search.health_bands(values).withColumn("value", F.round("value", 6))
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.skew import salted_join
 from tidewatch.operators import metrics as m
-from tidewatch.operators.features import FEATURE_NAMES, fraud_label, missing_rates
+from tidewatch.operators.features import FEATURE_NAMES, missing_rates
 from tidewatch.plans import views
 from tidewatch.plans.registry import query
 
@@ -227,22 +227,13 @@ FROM scored""".replace("is_international", "f.is_international"),
 )
 def metric_model_accuracy(spark, sf_dir):
     """Accuracy over the last 100 predictions of the model version."""
-    truth = views.ml_features(spark, sf_dir).select("transaction_id", fraud_label().alias("label"))
-    scored = views.ml_logs(spark, sf_dir).select("model_version", "transaction_id", "us", "is_fraud").join(truth, "transaction_id")
+    scored = views.scored_rows(spark, sf_dir)
     rolled = m.rolling_accuracy(scored, ["model_version"], "us", ["transaction_id"], F.col("is_fraud") == F.col("label"), 100)
     return rolled.select("model_version", "transaction_id", F.round("rolling_accuracy", 6).alias("rolling_accuracy"))
 
 
-NULLED = {"transaction_amount": 7, "merchant_category": 11, "device_trust_score": 5}
-
-
-def with_gaps(features: DataFrame) -> DataFrame:
-    """Feature rows with absent values at known places."""
-    return features.withColumns({n: F.when(F.col("event_id") % d != 0, F.col(n)) for n, d in NULLED.items()})
-
-
 def _missing_sql(name: str) -> str:
-    gap = f"event_id % {NULLED[name]} = 0 OR " if name in NULLED else ""
+    gap = f"event_id % {views.NULLED[name]} = 0 OR " if name in views.NULLED else ""
     absent = f"count(*) FILTER (WHERE {gap}{name} IS NULL OR isnan(CAST({name} AS DOUBLE)))"
     return f"SELECT CAST(ts AS DATE) AS log_date, '{name}' AS feature_name, count(*) AS \"rows\", {absent} AS missing, round({absent} / count(*), 9) AS missing_rate FROM ml_features GROUP BY 1"
 
@@ -250,7 +241,7 @@ def _missing_sql(name: str) -> str:
 @query("metric_feature_missing_rate", "\nUNION ALL ".join(_missing_sql(f) for f in FEATURE_NAMES))
 def metric_feature_missing_rate(spark, sf_dir):
     """Share of absent values per day, for all nine features."""
-    rows = with_gaps(views.ml_features(spark, sf_dir)).withColumn("log_date", F.to_date("ts"))
+    rows = views.with_gaps(views.ml_features(spark, sf_dir)).withColumn("log_date", F.to_date("ts"))
     return missing_rates(rows, list(FEATURE_NAMES), ["log_date"]).withColumn("missing_rate", F.round("missing_rate", 9))
 
 

@@ -9,7 +9,8 @@ from tidewatch.operators.features import FEATURE_NAMES, fraud_label
 from tidewatch.plans import views
 from tidewatch.plans.metric_queries import LABEL_SQL
 from tidewatch.plans.registry import query
-from tidewatch.plans.samples import stored
+from tidewatch.plans.samples import EVERY, SPLIT, feature_counts
+from tidewatch.plans.series_queries import EXACT_SQL
 
 NAMES = ", ".join(n for n in FEATURE_NAMES if n != "amount_deviation")
 
@@ -56,9 +57,6 @@ def scaled_features(spark, sf_dir):
     return rows.select("transaction_id", *[F.round(f"{n}_scaled", 6).alias(f"{n}_scaled") for n in FEATURE_NAMES])
 
 
-# The deviation is a quotient; both engines agree on it to nine digits, and equal values must stay equal.
-EXACT_SQL = {n: f"round(CAST({n} AS DOUBLE), 9)" if n == "amount_deviation" else f"CAST({n} AS DOUBLE)" for n in FEATURE_NAMES}
-SPLIT = "2024-01-16 00:00:00"
 # Share of right decisions that the model must pass for either label.
 ACCURACY_FLOOR = 0.5
 
@@ -74,21 +72,6 @@ f AS (SELECT feature, sum(a) OVER w / sum(a) OVER (PARTITION BY feature) AS fa,
 SELECT feature, CAST(na AS BIGINT) AS reference_rows, CAST(nb AS BIGINT) AS current_rows, round(max(abs(fa - fb)), 9) AS drift_score FROM f GROUP BY 1, 2, 3"""
 
 
-def feature_counts(spark, sf_dir):
-    """(feature, log_date, late, value, n): every feature value counted per day, as a stored table.
-
-    The feature rows are engineered once; both drift queries read their counts.
-    """
-
-    def build():
-        rows = views.ml_features(spark, sf_dir).withColumn("amount_deviation", F.round("amount_deviation", 9))
-        late = (F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz")).alias("late")
-        values = drift.long_values(rows.select("*", F.to_date("ts").alias("log_date"), late), FEATURE_NAMES, ["log_date", "late"])
-        return values.groupBy("feature", "log_date", "late", "value").agg(F.count(F.lit(1)).alias("n"))
-
-    return stored(spark, "feature-counts", sf_dir, build, "feature")
-
-
 @query("ks_drift", _ks_sql("0", "feature"))
 def ks_drift(spark, sf_dir):
     """First half of the month as reference, second half as current rows."""
@@ -113,8 +96,8 @@ SELECT feature, log_date, round(max(abs(fa - fb)), 9) AS drift_score FROM f GROU
 )
 def ks_drift_daily(spark, sf_dir):
     """Every day of the second half against the whole first half, for all nine features."""
-    counts = feature_counts(spark, sf_dir)
-    n = F.col("n")
+    day = F.timestamp_micros(F.col("scrape_us") - EVERY).cast("date")
+    counts, n = feature_counts(spark, sf_dir).withColumn("log_date", day), F.col("n")
     scores = drift.ks_windows(counts.where("NOT late"), counts.where("late"), "log_date", ["feature"], n, n)
     return scores.select("feature", "log_date", F.round("drift_score", 9).alias("drift_score"))
 

@@ -9,12 +9,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.scan import DAY, HOUR
+from tidewatch.functions.scan import DAY, HOUR, time_block
+from tidewatch.operators import drift
 from tidewatch.operators import metrics as m
+from tidewatch.operators.features import FEATURE_NAMES, missing_rates
 from tidewatch.plans import views
 from tidewatch.session import fresh_path
 
 EVERY = HOUR
+# Rows before this time are the reference of the drift scores.
+SPLIT = "2024-01-16 00:00:00"
 
 
 def _growth(spark: SparkSession, sf_dir: str, every: int, wanted: set[str]) -> list[DataFrame]:
@@ -43,6 +47,7 @@ def _growth(spark: SparkSession, sf_dir: str, every: int, wanted: set[str]) -> l
         ]),
         ("agent_events", "us", same("agent_name", "tool_name", "tool_status"), [
             m.Count("agent_steps_total", agent, one()),
+            m.Count("agent_hallucinations_detected_total", agent, one((c("event_type") == "signup") & (c("k") >= 90))),
             m.Count("agent_tool_calls_total", {**agent, "tool_name": c("tool_name"), "status": c("tool_status")}, one(c("tool_name").isNotNull())),
         ]),
         ("ml_logs", "us", same("service", "model_version", "event"), [
@@ -51,7 +56,13 @@ def _growth(spark: SparkSession, sf_dir: str, every: int, wanted: set[str]) -> l
             m.Spread("ml_prediction_confidence", model, F.when(scored, c("confidence"))),
         ]),
     ]
+    queue = {"service": lit("agentic-pipeline")}
     out = []
+    if not wanted or "agent_queue_depth" in wanted:
+        # Depth at a scrape is what began before it less what ended: a running total of two counters.
+        sessions = views.agent_sessions(spark, sf_dir)
+        moves = [m.increments(sessions, {}, us, every, [m.Count("agent_queue_depth", queue, lit(n))]) for us, n in (("start_us", 1), ("end_us", -1))]
+        out.append(moves[0].unionByName(moves[1]).groupBy("metric", "series", "le", "us").agg(F.sum("growth").alias("growth")))
     for name, us, dims, specs in tables:
         kept = [s for s in specs if s.metric in wanted or f"{s.metric}_bucket" in wanted or not wanted]
         if kept:
@@ -81,11 +92,54 @@ def _levels(spark: SparkSession, sf_dir: str, every: int, wanted: set[str]) -> l
     ]
 
 
+def feature_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(feature, scrape_us, late, value, n): every feature value counted per scrape interval, as a stored table.
+
+    The feature rows are engineered once; the drift samples and both drift queries read their counts.
+    """
+
+    def build():
+        # Both engines agree on the deviation to nine digits, and equal values must stay equal.
+        rows = views.ml_features(spark, sf_dir).withColumn("amount_deviation", F.round("amount_deviation", 9))
+        late = (F.col("ts") >= F.lit(SPLIT).cast("timestamp_ntz")).alias("late")
+        scrape = ((time_block("us", EVERY) + 1) * EVERY).alias("scrape_us")
+        values = drift.long_values(rows.select("*", scrape, late), FEATURE_NAMES, ["scrape_us", "late"])
+        return values.groupBy("feature", "scrape_us", "late", "value").agg(F.count(F.lit(1)).alias("n"))
+
+    return stored(spark, "feature-counts", sf_dir, build, "feature")
+
+
+def _model_levels(spark: SparkSession, sf_dir: str, wanted: set[str]) -> list[DataFrame]:
+    """Gauges of the model: drift against the reference half, rolling accuracy and missing rates at each scrape."""
+    service, name = F.lit("ml-pipeline"), F.lit(m.MODEL_NAME)
+    feature = {"service": service, "model_name": name, "feature_name": F.col("feature_name")}
+
+    def sample(rows: DataFrame, metric: str, labels: dict, value: str) -> DataFrame:
+        series = m.series_of(labels).alias("series")
+        return rows.select(F.lit(metric).alias("metric"), series, F.lit(None).cast("double").alias("le"), "us", F.col(value).cast("double").alias("value"))
+
+    out = []
+    if not wanted or "ml_data_drift_score" in wanted:
+        counts, n = feature_counts(spark, sf_dir), F.col("n")
+        current = counts.where("late").withColumnRenamed("scrape_us", "us")
+        scores = drift.ks_windows(counts.where("NOT late"), current, "us", ["feature"], n, n).withColumnRenamed("feature", "feature_name")
+        out.append(sample(scores, "ml_data_drift_score", feature, "drift_score"))
+    if not wanted or "ml_model_accuracy" in wanted:
+        scored = views.scored_rows(spark, sf_dir)
+        rolled = m.rolling_accuracy(scored, ["model_version"], "us", ["transaction_id"], F.col("is_fraud") == F.col("label"), 100)
+        model = {"service": service, "model_name": name, "model_version": F.col("model_version")}
+        out.append(m.gauge_samples(rolled, "ml_model_accuracy", model, "us", EVERY, F.col("rolling_accuracy"), ["us", "transaction_id"]))
+    if not wanted or "ml_feature_missing_rate" in wanted:
+        rows = views.with_gaps(views.ml_features(spark, sf_dir)).withColumn("us", (time_block("us", EVERY) + 1) * EVERY)
+        out.append(sample(missing_rates(rows, list(FEATURE_NAMES), ["us"]), "ml_feature_missing_rate", feature, "missing_rate"))
+    return out
+
+
 def derive_samples(spark: SparkSession, sf_dir: str, only: Iterable[str] = (), every: int = EVERY) -> DataFrame:
     """``metric, series, le, us, value``; all derivable metrics, or ``only`` some."""
     wanted = set(only)
     union = lambda parts: reduce(DataFrame.unionByName, parts)
-    growth, levels = _growth(spark, sf_dir, every, wanted), _levels(spark, sf_dir, every, wanted)
+    growth, levels = _growth(spark, sf_dir, every, wanted), _levels(spark, sf_dir, every, wanted) + _model_levels(spark, sf_dir, wanted)
     out = []
     if growth:
         horizon = views.ev(spark, sf_dir).agg(F.max("us") + every).scalar()

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 from tidewatch.functions.labels import labels_of, render
 from tidewatch.functions.scan import HOUR
 from tidewatch.operators import timeseries as ts
+from tidewatch.operators.features import FEATURE_NAMES
 from tidewatch.plans import views
+from tidewatch.plans.metric_queries import LABEL_SQL
 from tidewatch.plans.registry import query
-from tidewatch.plans.samples import derive_samples
+from tidewatch.plans.samples import SPLIT, derive_samples
 
+# The deviation is a quotient; both engines agree on it to nine digits, and equal values must stay equal.
+EXACT_SQL = {n: f"round(CAST({n} AS DOUBLE), 9)" if n == "amount_deviation" else f"CAST({n} AS DOUBLE)" for n in FEATURE_NAMES}
 KEYS = ["model", "status"]
 RANGE, STEP = 6 * HOUR, HOUR // 2
 
@@ -125,6 +129,9 @@ def _sample_sql() -> dict[str, str]:
         ("genai_rate_limit_hits_total", call, "us", "1", "genai_logs WHERE event = 'llm_rate_limited'"),
         ("agent_sessions_total", f"{agent},status=' || status", "end_us", "1", "agent_sessions"),
         ("agent_steps_total", f"{agent}'", "us", "1", "agent_steps"),
+        ("agent_hallucinations_detected_total", f"{agent}'", "us", "1", "agent_steps WHERE event_type = 'signup' AND k >= 90"),
+        ("agent_queue_depth", "'service=agentic-pipeline'", "start_us", "1", "agent_sessions"),
+        ("agent_queue_depth", "'service=agentic-pipeline'", "end_us", "-1", "agent_sessions"),
         ("agent_tool_calls_total", f"{agent},status=' || tool_status || ',tool_name=' || tool_name", "us", "1", "agent_steps WHERE tool_name IS NOT NULL"),
         ("agent_max_steps_reached_total", f"{agent}'", "end_us", "1", "agent_sessions WHERE status = 'max_steps_reached'"),
         ("ml_inference_requests_total", f"{model} || ',status=' || CASE event WHEN 'ml_inference_success' THEN 'success' ELSE 'error' END", "us", "1", "ml_logs"),
@@ -152,14 +159,40 @@ def _sample_sql() -> dict[str, str]:
         f"SELECT '{n}' AS metric, {s} AS series, NULL::DOUBLE AS le, (CAST(floor(us / {HOUR}) AS BIGINT) + 1) * {HOUR} AS us, CAST(arg_max({v}, {o}) AS DOUBLE) AS value FROM {f} GROUP BY ALL"
         for n, s, v, o, f in gauges
     ]
+    scrape = f"(CAST(floor(us / {HOUR}) AS BIGINT) + 1) * {HOUR}"
+    feature = "'feature_name=' || feature || ',model_name=fraud-detector,service=ml-pipeline'"
+    values = " UNION ALL ".join(f"SELECT '{n}' AS feature, us, ts, {c} AS v FROM ml_features WHERE {n} IS NOT NULL" for n, c in EXACT_SQL.items())
+    gap = lambda n: f"event_id % {views.NULLED[n]} = 0 OR " if n in views.NULLED else ""
+    missing = " UNION ALL ".join(
+        f"SELECT '{n}' AS feature, {scrape} AS us, count(*) FILTER (WHERE {gap(n)}{n} IS NULL OR isnan(CAST({n} AS DOUBLE))) / count(*) AS value FROM ml_features GROUP BY 2" for n in EXACT_SQL
+    )
+    levels = [
+        f"SELECT 'ml_data_drift_score', {feature}, NULL::DOUBLE, us, value FROM drift_scores",
+        f"SELECT 'ml_feature_missing_rate', {feature}, NULL::DOUBLE, us, CAST(value AS DOUBLE) FROM ({missing}) x",
+        f"SELECT 'ml_model_accuracy', 'model_name=fraud-detector,model_version=' || model_version || ',service=ml-pipeline', NULL::DOUBLE, {scrape}, arg_max(hit, (us, transaction_id)) FROM rolled GROUP BY ALL",
+    ]
     return {
+        "drift_values": values,
+        "drift_reference": f"""
+SELECT feature, v, n, sum(n) OVER (PARTITION BY feature ORDER BY v) AS upto FROM (SELECT feature, v, count(*) AS n FROM drift_values WHERE ts < TIMESTAMP '{SPLIT}' GROUP BY 1, 2) x""",
+        "drift_current": f"""
+SELECT *, sum(n) OVER (PARTITION BY feature, us ORDER BY v) AS upto, sum(n) OVER (PARTITION BY feature, us) AS total
+FROM (SELECT feature, {scrape} AS us, v, count(*) AS n FROM drift_values WHERE ts >= TIMESTAMP '{SPLIT}' GROUP BY ALL) x""",
+        "drift_met": """
+SELECT c.feature, c.us, c.n, c.upto, c.total, coalesce(r.upto, 0) AS ref_upto, CASE WHEN r.v = c.v THEN r.n ELSE 0 END AS ref_n, w.total AS ref_total
+FROM drift_current c ASOF LEFT JOIN drift_reference r ON c.feature = r.feature AND c.v >= r.v JOIN (SELECT feature, sum(n) AS total FROM drift_reference GROUP BY 1) w ON c.feature = w.feature""",
+        "drift_scores": """
+SELECT feature, us, max(greatest(abs(ref_upto / ref_total - upto / total), abs((ref_upto - ref_n) / ref_total - (upto - n) / total))) AS value FROM drift_met GROUP BY 1, 2""",
+        "rolled": f"""
+SELECT model_version, transaction_id, us, avg(hit) OVER (PARTITION BY model_version ORDER BY us, transaction_id ROWS 99 PRECEDING) AS hit
+FROM (SELECT p.model_version, p.transaction_id, p.us, CASE WHEN p.is_fraud = ({LABEL_SQL.replace('is_international', 'f.is_international')}) THEN 1 ELSE 0 END AS hit FROM ml_logs p JOIN ml_features f ON p.transaction_id = f.transaction_id) x""",
         "growth_rows": "\nUNION ALL ".join(parts),
         "growth_hours": f"SELECT metric, series, le, (CAST(floor(us / {HOUR}) AS BIGINT) + 1) * {HOUR} AS us, sum(n) AS growth FROM growth_rows GROUP BY ALL",
         "growth_grid": f"SELECT metric, series, le, unnest(range(min(us), (SELECT CAST(floor((max(us) + {HOUR}) / {HOUR}) AS BIGINT) * {HOUR} FROM ev) + 1, {HOUR})) AS us FROM growth_hours GROUP BY 1, 2, 3",
         "telemetry": f"""
 SELECT g.metric, g.series, g.le, g.us, CAST(sum(coalesce(h.growth, 0)) OVER (PARTITION BY g.metric, g.series, g.le ORDER BY g.us) AS DOUBLE) AS value
 FROM growth_grid g LEFT JOIN growth_hours h ON g.metric = h.metric AND g.series = h.series AND g.le IS NOT DISTINCT FROM h.le AND g.us = h.us
-UNION ALL {chr(10).join([' UNION ALL '.join(gauge_sql)])}""",
+UNION ALL {' UNION ALL '.join(gauge_sql + levels)}""",
     }
 
 

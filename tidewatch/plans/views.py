@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewatch.functions.scan import DAY, HOUR, running_number, time_block
-from tidewatch.operators.features import amount_deviation, trailing_count
+from tidewatch.operators.features import amount_deviation, fraud_label, trailing_count
 from tidewatch.session import prepare
 
 
@@ -206,6 +206,21 @@ def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("value")
 
 
+def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions with their true label: the label needs the day's count alone of the engineered features."""
+    counted = trailing_count(transactions(spark, sf_dir), "user_id", "us", ["event_id"], DAY, "tx_count_24h")
+    truth = counted.select("transaction_id", fraud_label().alias("label"))
+    return ml_logs(spark, sf_dir).select("model_version", "transaction_id", "us", "is_fraud").join(truth, "transaction_id")
+
+
+NULLED = {"transaction_amount": 7, "merchant_category": 11, "device_trust_score": 5}
+
+
+def with_gaps(features: DataFrame) -> DataFrame:
+    """Feature rows with absent values at known places."""
+    return features.withColumns({n: F.when(F.col("event_id") % d != 0, F.col(n)) for n, d in NULLED.items()})
+
+
 def kafka_consumer_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     keyed = ev(spark, sf_dir).select(
