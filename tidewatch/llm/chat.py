@@ -79,18 +79,16 @@ def turns(conversations: DataFrame, room: int, slack: int) -> DataFrame:
     )
 
 
-def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, near: bool = False) -> DataFrame:
+def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """(conv_id, window, formatted, n_repeated, loss_spans) with spans in code points of ``formatted``.
 
     Turns are ordered by turn, role and text; null turns come first, repeated
     rows are turns of their own. Null roles and texts are empty. Rows without
     conv_id form one conversation. ``n_repeated`` leading turns of a window are
-    repeats. Extra columns are not read; an empty table gives no windows. With
-    ``near`` the stride may shrink to 1 and the history reaches back one stride
-    at most: the plan that the SQL of ``op9_chat`` counts characters of.
+    repeats. Extra columns are not read; an empty table gives no windows.
     """
     room = budget - history
-    base = turns(conversations, room, 1 if near else max(1, min(history, room // 2)))
+    base = turns(conversations, room, max(1, min(history, room // 2)))
     over = F.col("_over").cast("long")
     base = base.withColumns({"_before": F.col("_own") - F.col("_n") * (1 - over), "_shift": 2 * F.col("_overs") - over})
     first_system = F.min(F.when(F.col("_role") == ROLE_SYSTEM, F.struct("_pos", "_seg", "_before", "_shift")))
@@ -104,7 +102,7 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
         "_c", "_span", F.lit(2).alias("part"), "_pos", "_seg", F.length("_head").alias("head"),
         F.when(F.col("_role") == ROLE_TARGET, F.length("_body")).alias("target"),
     )
-    starts = placed.groupBy("_c", "_span").agg(F.min("_at").alias("_start"), F.first("_sys").alias("_sys"), F.first("_sys_span").alias("_sys_span"), F.first("_stride").alias("_stride"))
+    starts = placed.groupBy("_c", "_span").agg(F.min("_at").alias("_start"), F.first("_sys").alias("_sys"), F.first("_sys_span").alias("_sys_span"))
     none = [F.lit(0).alias("head"), F.lit(None).cast("int").alias("target")]
     system = starts.where("_span > _sys_span").select("_c", "_span", F.lit(0).alias("part"), F.col("_sys._pos").alias("_pos"), F.col("_sys._seg").alias("_seg"), *none)
     # A window that starts within the allowance after a turn starts in the turn's block of tokens or in the next.
@@ -113,8 +111,8 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
         "_c", "_pos", "_seg", "_at", F.explode(F.array(block("_at"), block("_at") + 1)).alias("_block")
     )
     behind = F.col("_start") - F.col("_at")
-    close = (behind > 0) & (behind <= (F.least(F.lit(history), F.col("_stride")) if near else F.lit(history)))
-    repeats = back.join(starts.select("_c", "_span", "_start", "_stride", block("_start").alias("_block")), ["_c", "_block"]).where(close)
+    close = (behind > 0) & (behind <= history)
+    repeats = back.join(starts.select("_c", "_span", "_start", block("_start").alias("_block")), ["_c", "_block"]).where(close)
     repeats = repeats.select("_c", "_span", F.lit(1).alias("part"), "_pos", "_seg", *none)
     parts = own.unionByName(repeats).unionByName(system)
     # A window is bounded by the budget, or by its one long turn.

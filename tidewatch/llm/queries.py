@@ -97,21 +97,25 @@ def _chat_sql() -> str:
             out = rf"replace({out}, '{c}', '{c[0]}\{c[1:]}')"
         return out
 
+    room = chat.BUDGET - chat.HISTORY
+    slack = max(1, min(chat.HISTORY, room // 2))
     return rf"""
 WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '{PROBE}' UNION ALL SELECT -7, 1, 'assistant', '{PROBE}'),
 s AS (SELECT *, '{chat.OPEN}' || replace({escaped("role")}, chr(10), '\' || chr(10)) || chr(10) || {escaped("text")} || '{chat.CLOSE}' || chr(10) AS seg FROM r),
 n AS (SELECT *, CAST(ceil(strlen(seg) / 4.0) AS BIGINT) AS n, row_number() OVER o AS pos, sum(CAST(ceil(strlen(seg) / 4.0) AS BIGINT)) OVER (o ROWS UNBOUNDED PRECEDING) AS til
   FROM s WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
-w AS (SELECT conv_id, max(n) AS longest, min(CASE WHEN role = '{chat.ROLE_SYSTEM}' THEN pos END) AS sys_pos,
-    arg_min(n, pos) FILTER (role = '{chat.ROLE_SYSTEM}') AS sys_n, arg_min(til - n, pos) FILTER (role = '{chat.ROLE_SYSTEM}') AS sys_begin,
-    arg_min(length(seg), pos) FILTER (role = '{chat.ROLE_SYSTEM}') AS sys_len FROM n GROUP BY conv_id),
-g AS (SELECT *, greatest(1, {chat.BUDGET - chat.HISTORY} - coalesce(sys_n, 0) - longest + 1) AS stride FROM w),
-p AS (SELECT n.*, g.* EXCLUDE (conv_id), til - n AS begins, (til - n) // stride AS span, sys_begin // stride AS sys_span FROM n JOIN g ON n.conv_id IS NOT DISTINCT FROM g.conv_id),
-spans AS (SELECT conv_id, span, min(begins) AS first_at, any_value(sys_span) AS sys_span, any_value(sys_len) AS sys_len FROM p GROUP BY ALL),
+w AS (SELECT conv_id, min(pos) FILTER (role = '{chat.ROLE_SYSTEM}') AS sys_pos, arg_min(length(seg), pos) FILTER (role = '{chat.ROLE_SYSTEM}') AS sys_len,
+    {room} - coalesce(CASE WHEN arg_min(n, pos) FILTER (role = '{chat.ROLE_SYSTEM}') < {room} THEN arg_min(n, pos) FILTER (role = '{chat.ROLE_SYSTEM}') END, 0) AS room FROM n GROUP BY conv_id),
+o AS (SELECT n.*, w.* EXCLUDE (conv_id), CASE WHEN n > room - {slack} + 1 THEN 1 ELSE 0 END AS is_over FROM n JOIN w ON n.conv_id IS NOT DISTINCT FROM w.conv_id),
+q AS (SELECT *, til - n AS begins, sum(n * (1 - is_over)) OVER u - n * (1 - is_over) AS before, 2 * sum(is_over) OVER u - is_over AS shift,
+    greatest(max(room) OVER c - coalesce(max(n) FILTER (is_over = 0) OVER c, 0) + 1, 1) AS stride
+  FROM o WINDOW u AS (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING), c AS (PARTITION BY conv_id)),
+p AS (SELECT *, before // stride + shift AS span FROM q),
+spans AS (SELECT conv_id, span, min(begins) AS first_at, max(max(span) FILTER (pos = sys_pos)) OVER (PARTITION BY conv_id) AS sys_span, any_value(sys_len) AS sys_len FROM p GROUP BY conv_id, span),
 chars AS (SELECT conv_id, length(seg) AS c FROM p UNION ALL SELECT conv_id, sys_len FROM spans WHERE span > sys_span
-  UNION ALL SELECT p.conv_id, length(p.seg) FROM p JOIN spans ON p.conv_id IS NOT DISTINCT FROM spans.conv_id AND spans.span = p.span + 1
-    WHERE first_at - begins <= least({chat.HISTORY}, stride) AND pos IS DISTINCT FROM sys_pos),
+  UNION ALL SELECT p.conv_id, length(p.seg) FROM p JOIN spans ON p.conv_id IS NOT DISTINCT FROM spans.conv_id
+    AND first_at - begins BETWEEN 1 AND {chat.HISTORY} WHERE pos IS DISTINCT FROM sys_pos),
 total AS (SELECT conv_id, CAST(sum(c) AS BIGINT) AS formatted_chars FROM chars GROUP BY conv_id),
 said AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
   coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = '{chat.ROLE_TARGET}'), '') AS loss FROM n GROUP BY conv_id)
@@ -127,7 +131,7 @@ def op9_chat(spark, sf_dir):
 
     rows = table(ready(spark), sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
-    return chat.digests(chat.windows(rows.unionByName(probe), near=True))  # the history that the SQL counts
+    return chat.digests(chat.windows(rows.unionByName(probe)))
 
 
 VECTOR_SQL = """
