@@ -228,6 +228,36 @@ def test_passages_equal_brute_force(spark, docs):
     assert cdc.remove_passages(df.limit(0)).count() == 0
 
 
+def test_equal_windows_have_equal_chunks():
+    """Whatever stands around a run of words, its windows get the same chunks, each inside its window."""
+    run = prose(80, 31) + " a a a a a a a a a a a a a b a a a a a a a a a a a " + prose(60, 32)
+    n = len(WORD.findall(run))
+    found = []
+    for before, after in ((prose(40, 33), prose(30, 34)), ("x", "y"), (prose(7, 35) + "  é", "")):
+        raw = f"{before} {run} {after}".encode()
+        starts, ends, first, _, chunk, begin = cdc.anchors(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 51)
+        skip = len(WORD.findall(before))
+        found.append([(int(c), int(b) - skip) for c, b in zip(chunk[skip : skip + n - 50], begin[skip : skip + n - 50])])
+    assert found[0] == found[1] == found[2] and len(found[0]) == n - 50
+    assert all(i + cdc.MARGIN_WORDS <= b < i + 51 - cdc.CHUNK_WORDS for i, (_, b) in enumerate(found[0]))
+    assert len({b for _, b in found[0]}) < n / 5
+    for size in range(cdc.MARGIN_WORDS + 2, 80):
+        shortest, head, tail = cdc.spans_of(size)
+        assert min(shortest, head, tail) >= 1 and cdc.MARGIN_WORDS + head - 1 + shortest + tail - 1 <= size - 1
+    with pytest.raises(ValueError):
+        cdc.spans_of(9)
+
+
+def test_passages_of_repeated_rows_and_null_ids(spark):
+    text, other = prose(120, 41), prose(70, 42)
+    rows = [(None, text), (5, text), (5, text), (7, f"{other} {text}"), (8, other), (9, other), (9, prose(30, 43)), (9, prose(30, 43)), (10, None), (10, "")]
+    df = spark.createDataFrame([(*r, 3, "k", 1) for r in rows], "doc_id long, text string, key int, body string, removed_words int")
+    got = sorted(((r.doc_id is not None, r.doc_id, r.text, r.n_removed) for r in cdc.remove_passages(df).collect()), key=str)
+    want = [(None, text, 0), (5, "", 1), (5, "", 1), (7, f"{other} ", 1), (8, "", 1), (9, "", 1), (9, prose(30, 43), 0), (9, prose(30, 43), 0), (10, None, 0), (10, "", 0)]
+    assert got == sorted(((d is not None, d, t, n) for d, t, n in want), key=str)
+    assert all(r.key == 3 and r.body == "k" for r in cdc.remove_passages(df).collect())
+
+
 def test_cuts_resist_shifts_and_cover_the_text():
     body = prose(2000, 3).encode()
     for text in (body, b"inserted words here " + body, b"\xc3\xa9" * 3000):

@@ -11,9 +11,10 @@ those two. Shorter repeats (common lines, licence notes, short copies) stay.
 
 ``remove_passages`` is exact instead: every run of more than ``passage`` words
 whose bytes occur earlier goes, and nothing else. Its unit is the window of
-``passage`` + 1 words. The least hash of the word groups in a window depends on
-the window's words alone, so equal windows have equal anchors; only windows whose
-anchor occurs twice are hashed and compared, by 128-bit digests of their bytes.
+``passage`` + 1 words. Every window has a chunk between two cuts that are least
+gear hashes of neighbouring word starts and lie inside the window, so equal
+windows have equal chunks, whatever stands around them; only windows whose chunk
+occurs twice are compared, by 128-bit digests of their bytes.
 """
 
 from __future__ import annotations
@@ -38,6 +39,9 @@ CUT_EVERY = 8
 PASSAGE = 50
 MIN_WORDS = 12
 WINDOW = 16
+# Words that hold the bytes of a gear hash, a word and a blank being two bytes at least; least words of a window's chunk.
+MARGIN_WORDS = WINDOW // 2
+CHUNK_WORDS = 10
 
 _GEAR = mix(np.arange(512, 768, dtype=np.uint64)).astype(np.uint16)
 
@@ -196,26 +200,49 @@ def deflated(wide: DataFrame) -> DataFrame:
     return wide.mapInArrow(deflate, schema)
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word starts and ends, and of every window of ``size`` words in one text: first word, text, anchor hash and place."""
-    starts, ends, doc = word_spans(data, offsets)
-    many = len(starts) - size + 1
-    if many < 1:
-        return starts, ends, *[np.zeros(0, kind) for kind in (np.int64, np.int64, np.uint64, np.int64)]
-    group = max(1, size * 2 // 5)
-    least = word_hashes(data, starts[: len(starts) - group + 1], ends[group - 1 :])
-    place, wide, span = np.arange(len(least)), 1, size - group + 1
+def least_places(values: np.ndarray, span: int) -> np.ndarray:
+    """For each place, where the first least value of the ``span`` places from it on lies."""
+    least, place, wide = values, np.arange(len(values)), 1
     while wide < span:
         step = min(wide, span - wide)
         left = least[:-step] <= least[step:]
         least, place = np.where(left, least[:-step], least[step:]), np.where(left, place[:-step], place[step:])
         wide += step
+    return place
+
+
+def spans_of(size: int) -> tuple[int, int, int]:
+    """(least words of a chunk, word starts its first cut is the least of, and the same of its end) for windows of ``size`` words."""
+    shortest = min(CHUNK_WORDS, size - MARGIN_WORDS - 1)
+    if shortest < 1:
+        raise ValueError(f"windows need at least {MARGIN_WORDS + 2} words")
+    free = size + 1 - MARGIN_WORDS - shortest
+    return shortest, free - max(1, free // 3), max(1, free // 3)
+
+
+def anchors(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word starts and ends, and of every window of ``size`` words in one text: first word, text, hash of its chunk and first word of that.
+
+    The chunk of a window begins at the word start with the least gear hash among the first ones that
+    have their hashed bytes inside the window, and ends at the least one among those that follow the
+    shortest chunk. Both lie in the window and depend on its bytes alone.
+    """
+    starts, ends, doc = word_spans(data, offsets)
+    many = len(starts) - size + 1
+    if many < 1:
+        return starts, ends, *[np.zeros(0, kind) for kind in (np.int64, np.int64, np.uint64, np.int64)]
+    shortest, head, tail = spans_of(size)
+    rolled = gear(data)[np.maximum(starts - 1, 0)]
+    begin = least_places(rolled, head)[MARGIN_WORDS : MARGIN_WORDS + many]
+    places, at = np.unique(begin, return_inverse=True)
+    until = least_places(rolled, tail)[places + shortest]
+    hashes = word_hashes(data, starts[places], ends[until - 1])
     first = np.flatnonzero(doc[:many] == doc[size - 1 :])
-    return starts, ends, first, doc[first], least[first], place[first]
+    return starts, ends, first, doc[first], hashes[at[first]], begin[first]
 
 
 def _anchor_rows(docs: DataFrame, size: int) -> DataFrame:
-    """(key, body, anchor) of every anchor place of (key, body, text)."""
+    """(key, body, anchor, again) of every window chunk of (key, body, text); ``again`` where its text has it elsewhere too."""
 
     def split(batches):
         for batch in batches:
@@ -225,10 +252,15 @@ def _anchor_rows(docs: DataFrame, size: int) -> DataFrame:
                 if not len(doc):
                     continue
                 new = np.concatenate(([True], (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])))
-                columns = [pa.array(keys[a + doc[new]]), pa.array(bodies[a + doc[new]]), pa.array(least[new].view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "body", "anchor"])
+                doc, least = doc[new], least[new]
+                order = np.lexsort((least, doc))
+                same = (least[order][1:] == least[order][:-1]) & (doc[order][1:] == doc[order][:-1])
+                again = np.zeros(len(order), bool)
+                again[order[1:]] = same
+                columns = [pa.array(keys[a + doc]), pa.array(bodies[a + doc]), pa.array(least.view(np.int64)), pa.array(again)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "body", "anchor", "again"])
 
-    return docs.mapInArrow(split, "key long, body long, anchor long")
+    return docs.mapInArrow(split, "key long, body long, anchor long, again boolean")
 
 
 def _window_rows(rows: DataFrame, size: int) -> DataFrame:
@@ -254,9 +286,12 @@ def _covered(raw: bytes, places: list[dict], size: int) -> list[tuple[int, int,
     """(start, end, words) of the words in windows at ``places``, up to the next word's start.
 
     Where a text repeats itself, words of the first occurrence are not covered by one that overlaps it.
+    A place of -1 stands for all windows.
     """
     data = np.frombuffer(raw, np.uint8)
     starts, ends, _ = word_spans(data, np.array([0, len(raw)]))
+    if places[0]["place"] < 0:
+        return [(int(starts[0]), int(ends[-1]), len(starts))] if len(starts) >= size else []
     edge = np.zeros(len(starts) + 2, np.int64)
     for p in places:
         edge[max(p["place"], p["own"] + size)] += 1
@@ -267,19 +302,37 @@ def _covered(raw: bytes, places: list[dict], size: int) -> list[tuple[int, int,
     return [(int(starts[a]), int(until[b]), b - a) for a, b in zip(turns[::2].tolist(), turns[1::2].tolist())]
 
 
-def remove_passages(docs: DataFrame, passage: int = PASSAGE, text: str = "text") -> DataFrame:
-    """Like ``remove_repeats``, but exact: the words of every run of more than ``passage`` words go
+def equal_texts(rows: DataFrame) -> DataFrame:
+    """(key, body) of the texts that a smaller key has too, from (key, body, text)."""
+    named = rows.select("key", "body", F.unhex(F.md5(F.col("text").cast("binary"))).alias("_digest"))
+    owners = named.groupBy("body", "_digest").agg(F.min("key").alias("_first"), F.max("key").alias("_last")).where("_first < _last")
+    return named.join(owners, ["body", "_digest"]).where("key > _first").select("key", "body").distinct()
 
-    whose bytes occur earlier, in a smaller document or before in the same one, from the
-    first word to the last; shorter repeats stay whole.
+
+def remove_passages(docs: DataFrame, passage: int = PASSAGE, text: str = "text") -> DataFrame:
+    """``docs`` without the words of every run of more than ``passage`` words whose bytes occur earlier,
+
+    in a smaller document or before in the same one, from the first word to the last; shorter
+    repeats stay whole. Columns ``n_removed`` (runs), ``removed_words`` and ``removed_bytes`` are
+    added; they replace columns of these names, others pass through unread. A null text stays null,
+    an empty one or one of at most ``passage`` words is never cut. A null doc_id comes first. Rows with
+    the same doc_id and text are one document. An empty table gives no rows; a very long text is
+    worked on by itself.
+
+    Chunks decide what is compared: texts equal to an earlier one go as a whole, the others give the
+    chunk of each of their windows, and only windows whose chunk occurs in two different texts, or
+    twice in one, are compared byte by byte, through 128-bit digests.
     """
     ready(docs.sparkSession)
     size = passage + 1
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(row_key().alias("key"), F.xxhash64(body).alias("body"), body.alias("text"))
+    copies = stored(equal_texts(rows), "cdc-copies")
     found = stored(_anchor_rows(rows, size), "cdc-anchors")
-    twice = stored(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "cdc-twice")
-    wanted = found.join(twice, "anchor").groupBy("key", "body").agg(F.collect_set("anchor").alias("anchors"))
+    # Equal texts have equal bodies: what they alone share needs no window.
+    shared = found.groupBy("anchor").agg((F.min("body") < F.max("body")).alias("differ"), F.max("again").alias("again"))
+    twice = stored(shared.where("differ OR again").select("anchor"), "cdc-twice")
+    wanted = found.join(twice, "anchor").join(copies, ["key", "body"], "left_anti").groupBy("key", "body").agg(F.collect_set("anchor").alias("anchors"))
     packed = deflated(rows.select("key", F.col("text").alias("_text"), "body"))
     windows = stored(_window_rows(packed.join(wanted, ["key", "body"]), size), "cdc-windows")
     here = F.struct("key", "body", "place")
@@ -288,5 +341,7 @@ def remove_passages(docs: DataFrame, passage: int = PASSAGE, text: str = "text")
     later = windows.join(owners, ["high", "low"]).where(here != F.col("owner"))
     same = (F.col("owner.key") == F.col("key")) & (F.col("owner.body") == F.col("body"))
     own = F.when(same, F.col("owner.place")).otherwise(F.lit(-size))
-    places = later.groupBy("key", "body").agg(F.collect_list(F.struct("place", own.alias("own"))).alias("places"))
-    return _without(docs, places, lambda raw, found_at: _covered(raw, found_at, size), text)
+    place = F.struct("place", own.alias("own"))
+    places = later.groupBy("key", "body").agg(F.collect_list(place).alias("places"))
+    whole = copies.select("key", "body", F.array(F.struct(F.lit(-1).alias("place"), F.lit(-size).alias("own"))).alias("places"))
+    return _without(docs, places.unionByName(whole), lambda raw, found_at: _covered(raw, found_at, size), text)
