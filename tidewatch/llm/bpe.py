@@ -17,6 +17,7 @@ no task sees more than one block or one part, however common a word is.
 from __future__ import annotations
 
 import math
+import os
 import uuid
 
 import numpy as np
@@ -27,17 +28,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidewatch.llm.common import ready, text_slices, word_hashes
+from tidewatch.llm.common import SLICE_BYTES, ready, text_slices, word_hashes
 from tidewatch.session import fresh_path
 
 VOCABULARY = "byte_bpe_50k.json"
 # Text in a block, and words in a part of the word table; both bound the memory of a task.
-BLOCK_BYTES = 24_000_000
-PART_WORDS = 400_000
+BLOCK_BYTES = 28_000_000
+PART_WORDS = 150_000
 # Buckets of the table of blocks; a task takes the blocks of a bucket one after another.
 MAX_BUCKETS = 20_000
 # Words put together in one step of ``encode``.
-STEP_WORDS = 400_000
+STEP_WORDS = 100_000
+# Words handed to the tokenizer at once.
+CALL_WORDS = 4_000
 ID = np.dtype("<u4")
 
 # Bytes that open a visible character; others, such as the first bytes of wide spaces, open no word.
@@ -50,6 +53,8 @@ _tokenizers: dict[str, object] = {}
 def tokenizer_of(path: str):
     """The tokenizer of a vocabulary file without truncation and padding, one per worker."""
     if path not in _tokenizers:
+        # A task has one core; threads of its own would only hold memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -75,13 +80,13 @@ def word_starts(data: np.ndarray, offsets: np.ndarray, added: list[bytes]) -> np
             cut[max(at - 1, 0)] = False
             at = raw.find(token, at + 1)
     cut[offsets] = True
-    return np.flatnonzero(cut[:-1])
+    return np.flatnonzero(cut[:-1])  # no start for the empty texts at the end
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays of unsigned numbers, byte plane by byte plane, compressed."""
-    planes = [np.ascontiguousarray(a.astype(ID).view(np.uint8).reshape(-1, 4).T) for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in planes))
+    planes = [a.astype(ID, copy=False).view(np.uint8).reshape(-1, 4).T.tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(planes[0] if len(planes) == 1 else b"".join(planes))
 
 
 def _unpack(blob: bytes, sizes: list[int]) -> list[np.ndarray]:
@@ -102,36 +107,35 @@ def _binary(data: bytes, lengths: np.ndarray) -> pa.Array:
 BLOCKS = "block string, n_docs int, n_words int, n_distinct int, docs binary, places binary, lengths binary, words binary"
 
 
-def _block(ids: list, columns: list[tuple[np.ndarray, np.ndarray]], added: list[bytes]) -> dict:
+def _block(ids: list, data: bytearray, starts: list[np.ndarray], per_doc: list[np.ndarray]) -> dict:
     """One row of a block: document ids, words of each, number of the word at each place, distinct words."""
-    data = np.concatenate([d for d, _ in columns])
-    shift, offsets = 0, []
-    for d, o in columns:
-        offsets.append(o[:-1] + shift)
-        shift += len(d)
-    offsets = np.append(np.concatenate(offsets), shift)
-    starts = word_starts(data, offsets[:-1][offsets[:-1] < shift], added)
-    words = _binary(data.tobytes(), np.diff(np.append(starts, shift))).dictionary_encode()
-    numbers = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    edges = np.append(np.concatenate(starts), np.int32(len(data)))
+    joined = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(data)])
+    words = joined.dictionary_encode()
+    del joined, edges
+    numbers = words.indices.to_numpy(zero_copy_only=False)
     # Common words get small numbers, which pack well.
     order = np.argsort(-np.bincount(numbers, minlength=len(words.dictionary)), kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
     table = words.dictionary.take(pa.array(order))
-    per_doc = np.diff(np.append(np.searchsorted(starts, offsets[:-1]), len(starts)))
-    # The last text of a run of empty ones is the one that has words.
     nulls = np.array([i is None for i in ids])
     keys = np.array([0 if i is None else i for i in ids], np.int64)
     compress = zstandard.ZstdCompressor(level=3).compress
     return {
         "block": uuid.uuid4().hex, "n_docs": len(ids), "n_words": len(numbers), "n_distinct": len(order),
-        "docs": compress(keys.tobytes() + nulls.tobytes() + per_doc.astype(np.int64).tobytes()),
+        "docs": compress(keys.tobytes() + nulls.tobytes() + np.concatenate(per_doc).astype(np.int64).tobytes()),
         "places": _pack(rank[numbers]),
         "lengths": _pack(pc.binary_length(table).to_numpy(zero_copy_only=False)),
         "words": compress(b"".join(table.to_pylist())),
     }
 
 
+def released() -> None:
+    """Give freed memory back: the workers of an executor outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def _row(values: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: [v] for k, v in values.items()}, schema=schema)
 
@@ -161,18 +165,27 @@ def split(docs: DataFrame, vocabulary: str, text: str = "text", block_bytes: int
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
 
     def cut(batches):
-        ids, columns, held = [], [], 0
+        ids, held, starts, per_doc = [], bytearray(), [], []
+
+        def made():
+            nonlocal ids, held, starts, per_doc
+            row = _row(_block(ids, held, starts, per_doc), schema)
+            ids, held, starts, per_doc = [], bytearray(), [], []
+            released()
+            return row
+
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            for a, b, data, offsets in text_slices(batch.column(1), block_bytes):
-                if held and held + len(data) > block_bytes:
-                    yield _row(_block(ids, columns, added), schema)
-                    ids, columns, held = [], [], 0
+            for a, b, data, offsets in text_slices(batch.column(1), min(block_bytes, SLICE_BYTES)):
+                if held and len(held) + len(data) > block_bytes:
+                    yield made()
                 ids += keys[a:b]
-                columns.append((data.copy(), offsets))
-                held += len(data)
+                begins = word_starts(data, offsets, added)
+                per_doc.append(np.diff(np.append(np.searchsorted(begins, offsets[:-1]), len(begins))))
+                starts.append((begins + len(held)).astype(np.int32))
+                held += data.tobytes()
         if ids:
-            yield _row(_block(ids, columns, added), schema)
+            yield made()
 
     name = f"bpe_blocks_{uuid.uuid4().hex}"
     writer = rows.mapInArrow(cut, BLOCKS).write.format("parquet").option("path", fresh_path(spark, "bpe-blocks"))
@@ -221,6 +234,7 @@ def word_ids(blocks: Blocks, vocabulary: str, part_words: int = PART_WORDS) -> D
             which = table.indices[at : at + n].to_numpy(zero_copy_only=False)
             at += n
             held = gathered(flat, starts[which], counts[which])
+            released()
             yield _row({"block": block, "n": n, "n_ids": len(held), "numbers": numbers, "counts": _pack(counts[which]), "ids": _pack(held)}, ids_schema)
 
     sent = blocks.rows.select("block", "n_distinct", "lengths", "words").mapInArrow(spread, PARTS)
@@ -240,8 +254,8 @@ def word_table(words: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray
     """Ids of distinct words, joined, and how many each has."""
     tokenizer = tokenizer_of(vocabulary)
     flat, counts = [], []
-    for at in range(0, len(words), 20_000):
-        some = words[at : at + 20_000].cast(pa.string()).to_pylist()
+    for at in range(0, len(words), CALL_WORDS):
+        some = words[at : at + CALL_WORDS].cast(pa.string()).to_pylist()
         lists = [e.ids for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
         counts.append(np.fromiter(map(len, lists), np.int64, len(lists)))
         flat.append(np.fromiter((i for ids in lists for i in ids), ID, int(counts[-1].sum())))
@@ -301,6 +315,8 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", block_bytes: in
                     [pa.array(keys[a:b], mask=nulls[a:b]), pa.array(tokens), _binary(ids.tobytes(), 4 * tokens)], schema=schema
                 ))
                 a = b
+            del places, flat, held
+        released()
         return pa.Table.from_batches(batches, schema=schema)
 
     own = blocks.rows.select("block", "n_docs", "n_words", "n_distinct", "docs", "places")
