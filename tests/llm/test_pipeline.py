@@ -14,7 +14,7 @@ def test_contract():
 
     names = list(contract.queries())
     assert [n for n in names if n.startswith("op")] and "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
     assert [k for k, _ in corpus_pipeline.STAGES] == ["quality classifier", "quality rules", "near duplicates", "repeated passages", "packing"]
     assert set(contract.oracle_sql()) <= set(names)
 
