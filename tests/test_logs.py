@@ -1,7 +1,9 @@
 """Scans, malformed input, enrichment, search and relabelling."""
 
 import datetime as dt
+import ipaddress
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,6 +156,52 @@ def test_ip_ranges(spark):
     assert rows(got) == [(1, "X"), (2, "X"), (3, None), (4, None), (5, None), (6, None)]
 
 
+def test_address_keys_against_the_standard_library(spark):
+    texts = ["::", "::1", "1::", "2001:DB8::ff00:42:8329", "2001:db8:0:0:1:0:0:1", "::ffff:10.1.2.3", "64:ff9b::192.0.2.33", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8",
+             "1:2:3:4:5:6:1.2.3.4", "10.0.0.1", "255.255.255.255", "1:2:3", "1::2::3", ":::", "12345::", "g::", "::ffff:10.1.2.300", "::1.2.3", "1:2:3:4:5:6:7:8:9",
+             "1:2:3:4:5:6:7:8::", ":1:2:3:4:5:6:7", "10.0.0", "10.0.0.256", "", "not an ip", None, "1.2.3.4::", "::1.2.3.4:5"]
+
+    def want(text):
+        try:
+            a = ipaddress.ip_address(text)
+        except ValueError:
+            return None
+        return f"{int(a) if a.version == 6 else int(a) + 0xFFFF00000000:032x}"
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, ip STRING").select("i", "ip", en.address_key("ip").alias("key"))
+    assert {r.ip: r.key for r in df.collect()} == {t: want(t) for t in texts}
+
+
+def test_longest_network(spark):
+    rng = random.Random(3)
+    nets = [("::/0", "all"), ("10.0.0.0/8", "ten"), ("10.1.0.0/17", "half"), ("10.1.2.3", "one"), ("2001:db8::/32", "doc"), ("2001:db8:8000::/33", "upper"),
+            ("2001:db8:ffff::1/47", "host bits"), ("10.0.0.0/8", "zen"), ("10.0.0.0/33", "bad"), ("bad/8", "bad"), ("10.0.0.0/8/8", "bad"), (None, "bad")]
+    ips = [f"10.{rng.choice([0, 1])}.{rng.choice([2, 127, 128])}.{rng.choice([3, 4])}" for _ in range(40)]
+    ips += [f"2001:db8:{rng.choice([0, 0x7fff, 0x8000, 0xfffe, 0xffff]):x}::{rng.randrange(9)}" for _ in range(40)] + ["::ffff:10.1.2.3", "9.9.9.9", "x", None]
+
+    def want(text):
+        try:
+            a = ipaddress.ip_address(text)
+        except ValueError:
+            return None
+        held = []
+        for net, area in nets[:8]:
+            n = ipaddress.ip_network(net, strict=False)
+            wide = int(n.network_address) + (0xFFFF00000000 if n.version == 4 else 0)
+            bits = n.prefixlen + (96 if n.version == 4 else 0)
+            own = int(a) + (0xFFFF00000000 if a.version == 4 else 0)
+            if own >> (128 - bits) == wide >> (128 - bits):
+                held.append((-bits, area))
+        return min(held)[1] if held else None
+
+    hits = spark.createDataFrame(list(enumerate(ips)), "event_id INT, client_ip STRING")
+    networks = spark.createDataFrame(nets, "network STRING, area STRING")
+    got = {r.event_id: r.area for r in en.locate_networks(hits, networks).select("event_id", "geoip.area").collect()}
+    assert got == {i: want(t) for i, t in enumerate(ips)}
+    none = en.locate_networks(hits, networks.limit(0))
+    assert none.count() == len(ips) and none.where("geoip IS NOT NULL").count() == 0
+
+
 def test_search_window(spark):
     df = spark.createDataFrame([(dt.datetime(2025, 1, 1, h), "ERROR") for h in range(4)], "ts TIMESTAMP, level STRING")
     assert search.search_logs(df, level="ERROR", now="2025-01-01 03:00:00", within="1 hour").count() == 1

@@ -6,6 +6,8 @@ Columns the input lacks count as absent values.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,3 +123,77 @@ def locate_ips(
     ).select("_prefix", "start_ip", "end_ip", F.struct(*attributes).alias(target))
     inside = F.col("f._ip").between(F.col("d.start_ip"), F.col("d.end_ip"))
     return salted_join(facts, cut, ["_prefix"], list(spread), "left", inside).drop("_ip", "_prefix", "start_ip", "end_ip")
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it occurs there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def address_key(text: Column | str) -> Column:
+    """IPv4 or IPv6 text as 32 hex digits, NULL when malformed; a v4 address is its mapped v6 address."""
+    c = F.lower(F.col(text) if isinstance(text, str) else text)
+    dotted = r"[0-9.]+\.[0-9.]+$"
+    # A dotted tail counts as the last two groups.
+    pair = lambda n: F.concat(F.lower(F.hex(F.shiftright(n, 16))), F.lit(":"), F.lower(F.hex(n.bitwiseAND(65535))))
+    tail = _let(ip_number(F.regexp_extract(c, f"({dotted})", 1)), pair)
+    plain = F.when(c.rlike(f":{dotted}"), F.concat(F.regexp_replace(c, dotted, ""), tail)).otherwise(c)
+    groups = lambda half: F.when(half == "", F.array().cast("array<string>")).otherwise(F.split(half, ":", -1))
+
+    def fill(sides: Column) -> Column:
+        """All eight groups: zeros stand for at least one group where the text has a double colon, else for none."""
+        missing = 8 - F.aggregate(sides, F.lit(0), lambda n, side: n + F.size(side))
+        fits = ((F.size(sides) == 2) & (missing >= 1)) | ((F.size(sides) == 1) & (missing == 0))
+        zeros = F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0)))
+        return F.when(fits, F.concat(F.get(sides, F.lit(0)), zeros, F.coalesce(F.get(sides, F.lit(1)), F.array().cast("array<string>"))))
+
+    joined = lambda whole: F.when(
+        F.forall(whole, lambda g: g.rlike("^[0-9a-f]{1,4}$")), F.array_join(F.transform(whole, lambda g: F.lpad(g, 4, "0")), "")
+    )
+    v6 = _let(_let(F.transform(F.split(plain, "::", -1), groups), fill), joined)
+    v4 = F.concat(F.lit("0" * 20 + "ffff"), F.lpad(F.lower(F.hex(ip_number(c))), 8, "0"))
+    return F.when(c.contains(":"), v6).otherwise(v4)
+
+
+def key_prefix(key: Column, length: Column) -> Column:
+    """The first ``length`` bits of an address key as hex digits, the last digit's other bits cleared."""
+    whole, rest = F.floor(length / 4).cast("int"), length % 4
+    nibble = F.substring(key, whole + 1, F.lit(1))
+    cleared = F.lit("")
+    for r in (1, 2, 3):
+        masked = "".join(f"{d & (16 - (16 >> r)):x}" for d in range(16))
+        cleared = F.when(rest == r, F.translate(nibble, "0123456789abcdef", masked)).otherwise(cleared)
+    return F.concat(F.substring(key, F.lit(1), whole), cleared)
+
+
+def locate_networks(
+    df: DataFrame, networks: DataFrame, ip: str = "client_ip", network: str = "network", spread: tuple[str, ...] = ("event_id",), target: str = "geoip"
+) -> DataFrame:
+    """Attach the attributes of the longest network that holds the address, v4 or v6.
+
+    ``networks`` has networks as text (``10.0.0.0/8``, ``2001:db8::/32``, or one
+    address) and attribute columns; they may nest. Bits behind the prefix are
+    ignored, malformed networks and addresses match nothing, and of a network
+    given twice the smallest attributes count. A v4 network is one of the mapped
+    v6 addresses, so that ``::ffff:10.0.0.1`` lies in ``10.0.0.0/8``.
+
+    Distinct texts are parsed and meet the networks by equality on each prefix
+    length that occurs (at most 129); the rows are then joined by text, hot ones salted.
+    Nothing is broadcast but the list of lengths.
+    """
+    attributes = [c for c in networks.columns if c != network]
+    parts = F.split(network, "/", -1)
+    first, size = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+    longest = F.when(first.contains(":"), 128).otherwise(32)
+    bits = F.when(F.size(parts) == 1, longest).when((F.size(parts) == 2) & size.rlike("^[0-9]{1,3}$"), size.try_cast("int"))
+    keyed = networks.select(
+        address_key(first).alias("_key"), F.when(bits <= longest, bits + 128 - longest).alias("_length"), F.struct(*attributes).alias(target)
+    ).where("_key IS NOT NULL AND _length IS NOT NULL")
+    nets = keyed.groupBy("_length", key_prefix(F.col("_key"), F.col("_length")).alias("_net")).agg(F.min(target).alias(target))
+    lengths = keyed.agg(F.collect_set("_length")).scalar()
+    # An address is parsed once, however many rows have it.
+    tried = df.select(F.col(ip).alias("_address")).where("_address IS NOT NULL").distinct().withColumn("_key", address_key("_address"))
+    tried = tried.withColumn("_lengths", lengths).select("_address", "_key", F.explode("_lengths").alias("_length"))
+    met = tried.withColumn("_net", key_prefix(F.col("_key"), F.col("_length"))).join(nets, ["_length", "_net"])
+    best = met.groupBy("_address").agg(F.max_by(target, "_length").alias(target))
+    return salted_join(df.withColumn("_address", F.col(ip)), best, ["_address"], list(spread), "left").drop("_address")

@@ -49,6 +49,19 @@ SEND_RESOLVED = ["pagerduty-ai-platform", "pagerduty-platform", "slack-default",
 TITLE_PREFIX = {"slack-default": "", "slack-ml-ops": "ML-OPS ", "slack-data-eng": "DATA-ENG "}
 
 
+@dataclass(frozen=True)
+class Page:
+    severity: str | None = None  # None: the one that all alerts of the group share
+    details: dict[str, str] = field(default_factory=dict)  # name on the page, column of the group
+
+
+# What the pages of a receiver carry.
+PAGES = {
+    "pagerduty-ai-platform": Page(details={"pipeline": "pipeline", "description": "common_description", "runbook": "common_runbook_url"}),
+    "pagerduty-platform": Page(severity="critical"),
+}
+
+
 def _all(conditions: Sequence[Column]) -> Column:
     out = F.lit(True)
     for c in conditions:
@@ -240,6 +253,39 @@ def chat_titles(groups: DataFrame, status: str = "firing") -> DataFrame:
     )
 
 
+def page_payloads(
+    notices: DataFrame, groups: DataFrame, group_by: Sequence[str] = tuple(GROUP_BY), pages: dict[str, Page] = PAGES
+) -> DataFrame:
+    """The page of every notice to a paging receiver.
+
+    ``notices`` are those of ``notifications``, ``groups`` those of
+    ``group_alerts``. A page has the action (trigger or resolve), the key under
+    which the paging service keeps the group, a severity, a description and a
+    map of details. The values are those that all alerts of the life share; one
+    that differs or is missing is empty. Receivers without pages give no row.
+    """
+    keys = ["receiver", *group_by, "life"]
+    paged = lambda df: df.where(F.col("receiver").isin(list(pages)))
+    g, n = paged(groups).alias("g"), paged(notices).alias("n")
+    # Group labels may be absent: absent equals absent.
+    same = [F.col(f"n.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys]
+    shared = [F.col(f"g.{c}") for c in groups.columns if c.startswith("common_")]
+    met = n.join(g, _all(same)).select("n.*", *shared)
+    safe = lambda name: F.coalesce(F.col(name), F.lit(""))
+    by_receiver = lambda value: F.coalesce(*[F.when(F.col("receiver") == r, value(p)) for r, p in pages.items()])
+    details = lambda p: F.create_map(*[x for name, c in p.details.items() for x in (F.lit(name), safe(c))]) if p.details else F.create_map().cast("map<string,string>")
+    labels = F.concat_ws(",", "receiver", *[F.concat(F.lit(f"{k}="), F.col(k)) for k in group_by])
+    return met.select(
+        *keys,
+        "sent_us",
+        F.when(F.col("status") == "firing", "trigger").otherwise("resolve").alias("action"),
+        F.sha2(labels, 256).alias("dedup_key"),
+        by_receiver(lambda p: F.lit(p.severity) if p.severity is not None else safe("common_severity")).alias("severity"),
+        safe("common_summary").alias("description"),
+        by_receiver(details).alias("details"),
+    )
+
+
 def chat_blocks(lived: DataFrame, group_by: Sequence[str] = tuple(GROUP_BY), block_us: int = DAY) -> DataFrame:
     """One numbered text block per alert. A message is the blocks of its group in
     this order; whoever delivers it joins them, so that a large group is never

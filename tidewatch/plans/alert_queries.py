@@ -315,19 +315,58 @@ def alert_blocks(spark, sf_dir):
     return blocks.select("receiver", "alertname", "series", "life", "position", "text")
 
 
-@query(
-    "notifications",
-    """SELECT receiver, alertname, pipeline, service, life, at_us AS sent_us, CASE WHEN at_us = sent_us THEN 'news' ELSE 'repeat' END AS reason, 'firing' AS status
+NOTICES_SQL = """SELECT receiver, alertname, pipeline, service, life, at_us AS sent_us, CASE WHEN at_us = sent_us THEN 'news' ELSE 'repeat' END AS reason, 'firing' AS status
 FROM (SELECT *, unnest(range(sent_us, stop_us, repeat_interval::BIGINT * 1000000)) AS at_us FROM spaced) x
 UNION ALL SELECT receiver, alertname, pipeline, service, life, first_us + CAST(ceil((ended_us - first_us) / (group_interval * 1000000)) AS BIGINT) * group_interval * 1000000, 'end', 'resolved'
-FROM known""",
-    GROUPS,
-)
+FROM known"""
+
+
+@query("notifications", NOTICES_SQL, GROUPS)
 def notifications(spark, sf_dir):
     """Times at which each group life is notified, repeated and closed."""
     return notify.notifications(_lived(spark, sf_dir))
 
 
+# The same from what inhibition leaves of the alerts.
+UNMUTED = {**GROUPS, "routed": GROUPS["routed"].replace("FROM event_alerts", "FROM second_left")}
+
+
+def _unmuted(spark, sf_dir) -> DataFrame:
+    return notify.with_life(notify.route(notify.inhibit(event_alerts(spark, sf_dir))))
+
+
+@query("notifications_inhibited", NOTICES_SQL, UNMUTED)
+def notifications_inhibited(spark, sf_dir):
+    """Notices of the alerts that no other alert mutes: inhibition, routes, groups and timers in one job."""
+    return notify.notifications(_unmuted(spark, sf_dir))
+
+
+@query(
+    "page_payloads",
+    """SELECT n.receiver, n.alertname, n.pipeline, n.service, n.life, n.sent_us, CASE WHEN n.status = 'firing' THEN 'trigger' ELSE 'resolve' END AS action,
+  sha256(concat_ws(',', n.receiver, 'alertname=' || n.alertname, 'pipeline=' || n.pipeline, 'service=' || n.service)) AS dedup_key,
+  CASE WHEN n.receiver = 'pagerduty-platform' THEN 'critical' ELSE coalesce(c.severity, '') END AS severity, coalesce(c.summary, '') AS description,
+  CASE WHEN n.receiver = 'pagerduty-ai-platform' THEN coalesce(n.pipeline, '') END AS detail_pipeline,
+  CASE WHEN n.receiver = 'pagerduty-ai-platform' THEN coalesce(c.description, '') END AS detail_description,
+  CASE WHEN n.receiver = 'pagerduty-ai-platform' THEN coalesce(c.runbook_url, '') END AS detail_runbook
+FROM notices n JOIN common_values c ON n.receiver = c.receiver AND n.alertname = c.alertname AND n.pipeline IS NOT DISTINCT FROM c.pipeline
+  AND n.service IS NOT DISTINCT FROM c.service AND n.life = c.life WHERE n.receiver LIKE 'pagerduty-%'""",
+    {
+        **UNMUTED,
+        "notices": NOTICES_SQL,
+        "common_values": "SELECT receiver, alertname, pipeline, service, life, "
+        + ", ".join(f"CASE WHEN min({c}) = max({c}) AND count({c}) = count(*) THEN min({c}) END AS {c}" for c in ("severity", "summary", "description", "runbook_url"))
+        + " FROM lived GROUP BY 1, 2, 3, 4, 5",
+    },
+)
+def page_payloads(spark, sf_dir):
+    """The page of every notice to a paging receiver, from the alerts that inhibition leaves."""
+    lived = _unmuted(spark, sf_dir)
+    pages = notify.page_payloads(notify.notifications(lived), notify.group_alerts(lived))
+    detail = [F.try_element_at("details", F.lit(name)).alias(f"detail_{name}") for name in ("pipeline", "description", "runbook")]
+    return pages.select("receiver", *notify.GROUP_BY, "life", "sent_us", "action", "dedup_key", "severity", "description", *detail)
+
+
 INCIDENT_GAP = 10 * MINUTE
 
 

@@ -130,6 +130,44 @@ def ip_regions(spark, sf_dir):
     return en.locate_ips(hits, ranges).select("event_id", "client_ip", "geoip.country", "geoip.continent")
 
 
+# Third group of a v6 address or second octet of a v4 address, and the networks as stretches of them.
+NETWORK_SQL = {
+    "mixed_hits": """
+SELECT event_id, CASE user_id % 3 WHEN 1 THEN concat('2001:DB8:', to_hex(user_id * 37 % 65536), '::', to_hex(k + 1))
+    ELSE concat(CASE user_id % 3 WHEN 2 THEN '::ffff:' ELSE '' END, '10.', user_id * 37 % 256, '.', k, '.', user_id % 256) END AS client_ip,
+  CASE user_id % 3 WHEN 1 THEN 6 ELSE 4 END AS family, CASE user_id % 3 WHEN 1 THEN user_id * 37 % 65536 ELSE user_id * 37 % 256 END AS place FROM ev""",
+    "networks": """
+SELECT 6 AS family, 37 AS bits, n_nationkey * 2048 AS low, n_nationkey * 2048 + 2047 AS high, n_name AS area FROM nation
+UNION ALL SELECT 6, 42, n_nationkey * 2048, n_nationkey * 2048 + 63, n_name || ' inner' FROM nation
+UNION ALL SELECT 4, 13, n_nationkey * 8, n_nationkey * 8 + 7, n_name FROM nation UNION ALL SELECT 4, 16, n_nationkey * 8, n_nationkey * 8, n_name || ' inner' FROM nation
+UNION ALL SELECT 4, 8, 0, 255, r_name FROM region WHERE r_regionkey = 0""",
+}
+
+
+@query(
+    "ip_networks",
+    """SELECT event_id, any_value(client_ip) AS client_ip, arg_max(area, bits) AS area FROM mixed_hits h
+LEFT JOIN networks n ON h.family = n.family AND place BETWEEN low AND high GROUP BY event_id""",
+    NETWORK_SQL,
+)
+def ip_networks(spark, sf_dir):
+    """Longest match of v4, v6 and mapped addresses in nested networks."""
+    user, text = F.col("user_id"), lambda c: c.cast("string")
+    dotted = F.concat_ws(".", F.lit("10"), text(user * 37 % 256), text(F.col("k")), text(user % 256))
+    v6 = F.concat(F.lit("2001:DB8:"), F.hex(user * 37 % 65536), F.lit("::"), F.hex(F.col("k") + 1))
+    address = F.when(user % 3 == 1, v6).when(user % 3 == 2, F.concat(F.lit("::ffff:"), dotted)).otherwise(dotted)
+    nation, region = views.table(spark, sf_dir, "nation"), views.table(spark, sf_dir, "region")
+    n, name = F.col("n_nationkey"), F.col("n_name")
+    third, second = F.hex(n * 2048), text(n * 8)
+    net = lambda head, place, tail, area: F.struct(F.concat(F.lit(head), place, F.lit(tail)).alias("network"), area.alias("area"))
+    inner = F.concat(name, F.lit(" inner"))
+    nets = nation.select(F.inline(F.array(
+        net("2001:db8:", third, "::/37", name), net("2001:db8:", third, "::/42", inner), net("10.", second, ".0.0/13", name), net("10.", second, ".0.0/16", inner),
+    ))).unionByName(region.where("r_regionkey = 0").select(F.lit("10.0.0.0/8").alias("network"), F.col("r_name").alias("area")))
+    hits = views.ev(spark, sf_dir).select("event_id", address.alias("client_ip"))
+    return en.locate_networks(hits, nets).select("event_id", "client_ip", "geoip.area")
+
+
 def _search(name, where, view="genai_logs", source=None, **predicates):
     columns = {
         "genai_logs": ["ts", "service", "level", "event", "request_id", "latency_ms", "error"],
