@@ -1,5 +1,6 @@
 """Time-series algebra, rules, texts, inhibition, routing and timers."""
 
+import json
 import math
 
 import pytest
@@ -277,6 +278,53 @@ def test_notification_times(spark):
         ]
 
 
+def test_pages_of_a_group(spark):
+    base = ("A", "p", "s", 10, 300, 3600)
+    life = [
+        ("pagerduty-ai-platform", *base, "a1", 0, 60 * S, "critical", "sum", "one", "url"),
+        ("pagerduty-ai-platform", *base, "a2", 1 * S, 60 * S, "critical", "sum", "two", None),
+        ("pagerduty-platform", "B", None, None, 10, 300, 3600, "b", 0, 60 * S, "warning", None, "d", "u"),
+        ("slack-default", *base, "c", 0, 60 * S, "warning", "sum", "d", "u"),
+    ]
+    lived = notify.with_life(spark.createDataFrame(
+        life,
+        "receiver STRING, alertname STRING, pipeline STRING, service STRING, group_wait INT, group_interval INT, repeat_interval INT, series STRING, "
+        "firing_us BIGINT, resolved_us BIGINT, severity STRING, summary STRING, description STRING, runbook_url STRING",
+    ))
+    got = notify.page_payloads(notify.notifications(lived), notify.group_alerts(lived)).orderBy("receiver", "sent_us").collect()
+    assert [(r.receiver, r.action, r.sent_us, r.severity, r.description, r.details) for r in got] == [
+        ("pagerduty-ai-platform", "trigger", 10 * S, "critical", "sum", {"pipeline": "p", "description": "", "runbook": ""}),
+        ("pagerduty-ai-platform", "resolve", 310 * S, "critical", "sum", {"pipeline": "p", "description": "", "runbook": ""}),
+        ("pagerduty-platform", "trigger", 10 * S, "critical", "", {}),
+        ("pagerduty-platform", "resolve", 310 * S, "critical", "", {}),
+    ]
+    assert len({r.dedup_key for r in got}) == 2
+
+
+def test_spikes_are_robust_and_keep_to_the_labels(spark):
+    hour, days = 3600 * S, 12
+    key = lambda **labels: json.dumps([{"key": k, "value": v} for k, v in sorted(labels.items())], separators=(",", ":"))
+    a, b = key(model="m", service="a"), key(service="b")
+    total, data = 0.0, []
+    for t in range(24 * days):
+        total += 100.0 + t // 24 % 3
+        data += [("grows_total", a, None, t * hour, total), ("depth", a, None, t * hour, 5.0 + t // 24 % 3 + 500.0 * (t == 200))]
+        data += [("depth", b, None, t * hour, 5.0 + t // 24 % 3 + 500.0 * (t == 200)), ("still", a, None, t * hour, 7.0)]
+        data += [("rare", key(), None, t * hour, 9.0 * (t == 200))]
+    samples = spark.createDataFrame(data, "metric STRING, series STRING, le DOUBLE, us BIGINT, value DOUBLE")
+    at = 200 * hour - 5 * 60 * S
+    alerts = spark.createDataFrame(
+        [("X", key(service="a"), at, at, at + 60 * S), ("Y", key(model="other", service="a"), at, at, at + 60 * S), ("Z", key(), at, at, at + 60 * S),
+         ("P", key(service="a"), at, None, at + 60 * S), ("Q", key(service="a"), 0, 100, 3 * hour)],
+        "alertname STRING, series STRING, active_us BIGINT, firing_us BIGINT, resolved_us BIGINT",
+    )
+    got = {(r.alertname, r.metric): r.peak for r in notify.spiking_metrics(alerts, samples).collect()}
+    # A growing counter and a constant are no spikes; another model's series does not explain Y.
+    assert {k for k in got} == {("X", "depth"), ("X", "rare"), ("Y", "rare"), ("Z", "depth"), ("Z", "rare")}
+    assert got["X", "depth"] == 505.0 + 200 // 24 % 3 and got["X", "rare"] == 9.0
+    assert notify.spiking_metrics(alerts.limit(0), samples).count() == 0
+
+
 def test_rendered_texts(spark):
     df = spark.createDataFrame(
         [("slack-default", "sum", "warning", None, "desc", "url"), ("slack-ml-ops", "sum", "warning", "p", "desc", None)],

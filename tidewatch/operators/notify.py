@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidewatch.functions.labels import labels_of
 from tidewatch.functions.scan import DAY, HOUR, MICROS, MINUTE, Running, merged_intervals, overlapping, running, time_block
 from tidewatch.functions.skew import salted_join
+from tidewatch.operators.timeseries import rate
 
 
 @dataclass(frozen=True)
@@ -324,32 +326,68 @@ def incidents(alerts: DataFrame, gap_us: int = 30 * MINUTE, block_us: int = HOUR
     )
 
 
-# A metric spikes when its peak is at least so many times its mean.
-SPIKE_RATIO = 2.0
+# A value spikes when it lies so many robust deviations above the median of its series at that hour of the day.
+SPIKE_SCORE = 3.5
+# By these name endings a metric is a counter, and is judged by its rate.
+COUNTER_ENDINGS = ("_total", "_bucket", "_count", "_sum", "_offset")
+# A standard deviation in median deviations, and in mean deviations where that median is zero.
+MEDIAN_SCALE, MEAN_SCALE = 1.4826, 1.2533
+
+
+def spike_scores(samples: DataFrame, bucket_us: int = HOUR) -> DataFrame:
+    """``metric, series, end_us, value, score``: robust score of every series and time bucket.
+
+    A counter's value is its rate over the bucket, a gauge's its highest sample.
+    The score is the distance from the median of the series at the same hour of
+    the day, over the median deviation there. Where more than half of the values
+    are equal the mean deviation stands in; a constant series has no score. A
+    histogram counts by its last bucket, which holds all observations. A median
+    sees one value a day and bucket of one series and hour.
+    """
+    counter = F.col("metric").rlike("(" + "|".join(COUNTER_ENDINGS) + ")$")
+    plain = samples.where((F.col("le").isNull() | (F.col("le") == float("inf"))) & ~F.isnan("value"))
+    rates = rate(plain.where(counter), ["metric", "series"], bucket_us, bucket_us).withColumnRenamed("eval_us", "end_us")
+    end = (F.ceil(F.col("us") / bucket_us) * bucket_us).cast("long").alias("end_us")
+    levels = plain.where(~counter).groupBy("metric", "series", end).agg(F.max("value").alias("value"))
+    hour = Window.partitionBy("metric", "series", F.floor(F.pmod(F.col("end_us"), F.lit(DAY)) / HOUR))
+    far = rates.unionByName(levels).withColumn("_median", F.median("value").over(hour)).withColumn("_far", F.abs(F.col("value") - F.col("_median")))
+    spread = far.withColumns({"_middle": F.median("_far").over(hour), "_mean": F.avg("_far").over(hour)})
+    # Deviations this small against the median are rounding.
+    real = lambda c: F.col(c) > F.abs(F.col("_median")) * 1e-9
+    scale = F.when(real("_middle"), F.col("_middle") * MEDIAN_SCALE).when(real("_mean"), F.col("_mean") * MEAN_SCALE)
+    return spread.select("metric", "series", "end_us", "value", ((F.col("value") - F.col("_median")) / scale).alias("score"))
 
 
 def spiking_metrics(
-    alerts: DataFrame, samples: DataFrame, before_us: int = 15 * MINUTE, bucket_us: int = HOUR, min_ratio: float = SPIKE_RATIO
+    alerts: DataFrame, samples: DataFrame, before_us: int = 15 * MINUTE, bucket_us: int = HOUR, min_score: float = SPIKE_SCORE
 ) -> DataFrame:
-    """The metrics that spike near each alert: peak there against the metric's mean, at least ``min_ratio`` times it.
+    """The metrics that spike near each firing alert, with the strongest score and its value.
 
-    Samples are first reduced to one row per metric and time bucket. Alerts are
-    cut into the same buckets, which makes the interval join an equi-join; a
-    bucket with very many alerts is salted.
+    A series counts when none of its labels contradicts the alert's: a label of
+    both has the same value. Only spikes go into the join, which is by bucket
+    and service (one that is absent meets every service); a bucket with very
+    many alerts is salted.
     """
-    reduced = samples.where(~F.isnan("value")).groupBy("metric", F.floor(F.col("us") / bucket_us).alias("bucket")).agg(
-        F.max("value").alias("peak"), F.sum("value").alias("total"), F.count(F.lit(1)).alias("n")
-    )
-    usual = reduced.groupBy("metric").agg((F.sum("total") / F.sum("n")).alias("mean"))
+    # Scores that differ in rounding alone are equal; of equal scores the higher value counts.
+    spikes = spike_scores(samples, bucket_us).withColumn("score", F.round("score", 6)).where(F.col("score") >= min_score)
+    any_service, none = F.lit("any"), F.lit("none")
+    is_ = lambda service: F.concat(F.lit("="), service)
+    own = F.try_element_at(labels_of("series"), F.lit("service"))
+    keyed = spikes.select(
+        "metric", F.col("series").alias("_series"), F.col("end_us").alias("bucket"), "value", "score",
+        F.explode(F.array(F.coalesce(is_(own), none), any_service)).alias("_service"),
+    )
+    round_up = lambda us: (F.ceil(us / bucket_us) * bucket_us).cast("long")
+    service = F.try_element_at(labels_of("series"), F.lit("service"))
     spans = alerts.where(F.col("firing_us").isNotNull()).select(
-        "alertname",
-        "series",
-        "active_us",
-        F.explode(
-            F.sequence(F.floor((F.col("active_us") - before_us) / bucket_us), F.floor(F.col("resolved_us") / bucket_us))
-        ).alias("bucket"),
+        "alertname", "series", "active_us", "resolved_us",
+        F.explode(F.when(service.isNull(), F.array(any_service)).otherwise(F.array(is_(service), none))).alias("_service"),
+    ).withColumn(
+        "bucket", F.explode(F.sequence(round_up(F.col("active_us") - before_us), round_up(F.col("resolved_us")), F.lit(bucket_us).cast("long")))
+    ).drop("resolved_us")
+    met = salted_join(spans, keyed, ["bucket", "_service"], ["alertname", "series", "active_us"], "inner")
+    theirs = labels_of("_series")
+    agree = F.forall(F.map_entries(labels_of("series")), lambda e: F.coalesce(F.try_element_at(theirs, e["key"]) == e["value"], F.lit(True)))
+    return met.where(agree).groupBy("alertname", "series", "active_us", "metric").agg(
+        F.max("score").alias("score"), F.max_by("value", F.struct("score", "value")).alias("peak")
     )
-    joined = salted_join(spans, reduced, ["bucket"], ["alertname", "series", "active_us"], "inner")
-    near = joined.groupBy("alertname", "series", "active_us", "metric").agg(F.max("peak").alias("peak"))
-    rated = near.join(usual, "metric").withColumn("ratio", F.col("peak") / F.nullif(F.col("mean"), F.lit(0.0)))
-    return rated.where(F.col("ratio") >= min_ratio)

@@ -176,22 +176,35 @@ def alert_texts(spark, sf_dir):
 
 SPIKES = {
     **ALERTS,
-    "reduced": f"SELECT metric, CAST(floor(us / {HOUR}) AS BIGINT) AS bucket, max(value) AS peak, sum(value) AS total, count(*) AS n FROM telemetry GROUP BY 1, 2",
+    "spike_values": f"""
+SELECT metric, series, us AS end_us, CASE WHEN value >= before THEN value - before ELSE value END / 3600 AS value FROM (
+  SELECT *, lag(value) OVER w AS before, lag(us) OVER w AS before_us FROM telemetry
+  WHERE (le IS NULL OR isinf(le)) AND regexp_matches(metric, '({"|".join(notify.COUNTER_ENDINGS)})$') WINDOW w AS (PARTITION BY metric, series ORDER BY us)) c WHERE before_us = us - {HOUR}
+UNION ALL SELECT metric, series, CAST(ceil(us / {HOUR}) AS BIGINT) * {HOUR}, max(value) FROM telemetry
+WHERE (le IS NULL OR isinf(le)) AND NOT regexp_matches(metric, '({"|".join(notify.COUNTER_ENDINGS)})$') GROUP BY 1, 2, 3""",
+    "spike_medians": f"SELECT metric, series, end_us // {HOUR} % 24 AS slot, median(value) AS mid FROM spike_values GROUP BY 1, 2, 3",
+    "spike_far": f"""
+SELECT v.*, m.slot, m.mid, abs(v.value - m.mid) AS far FROM spike_values v JOIN spike_medians m ON v.metric = m.metric AND v.series = m.series AND v.end_us // {HOUR} % 24 = m.slot""",
+    "spike_scales": "SELECT metric, series, slot, median(far) AS middle, avg(far) AS mean FROM spike_far GROUP BY 1, 2, 3",
+    "spikes": f"""
+SELECT * FROM (SELECT f.metric, f.series, f.end_us, f.value, round((f.value - f.mid) / CASE WHEN s.middle > abs(f.mid) * 1e-9 THEN s.middle * {notify.MEDIAN_SCALE}::DOUBLE
+  WHEN s.mean > abs(f.mid) * 1e-9 THEN s.mean * {notify.MEAN_SCALE}::DOUBLE END, 6) AS score
+FROM spike_far f JOIN spike_scales s ON f.metric = s.metric AND f.series = s.series AND f.slot = s.slot) x WHERE score >= {notify.SPIKE_SCORE}""",
 }
 
 
 @query(
     "alert_metric_spikes",
-    f"""SELECT a.alertname, a.series, a.active_us, r.metric, round(max(r.peak), 6) AS peak, round(max(r.peak) / nullif(any_value(m.mean), 0), 6) AS ratio
-FROM rule_alerts a JOIN reduced r ON r.bucket BETWEEN CAST(floor((a.active_us - {15 * MINUTE}) / {HOUR}) AS BIGINT) AND CAST(floor(a.resolved_us / {HOUR}) AS BIGINT)
-JOIN (SELECT metric, sum(total) / sum(n) AS mean FROM reduced GROUP BY 1) m ON r.metric = m.metric
-WHERE a.firing_us IS NOT NULL GROUP BY 1, 2, 3, 4 HAVING max(r.peak) / nullif(any_value(m.mean), 0) >= {notify.SPIKE_RATIO}""",
+    f"""SELECT a.alertname, a.series, a.active_us, s.metric, max(s.score) AS score, round(arg_max(s.value, (s.score, s.value)), 6) AS peak
+FROM rule_alerts a JOIN spikes s ON s.end_us BETWEEN CAST(ceil((a.active_us - {15 * MINUTE}) / {HOUR}) AS BIGINT) * {HOUR} AND CAST(ceil(a.resolved_us / {HOUR}) AS BIGINT) * {HOUR}
+WHERE a.firing_us IS NOT NULL AND len(list_filter(string_split(a.series, ','), lambda x: len(list_filter(string_split(s.series, ','), lambda y: split_part(y, '=', 1) = split_part(x, '=', 1) AND y <> x)) > 0)) = 0
+GROUP BY 1, 2, 3, 4""",
     SPIKES,
 )
 def alert_metric_spikes(spark, sf_dir):
-    """Metrics that peaked while an alert was on."""
+    """Metrics that spiked while an alert was on, by series that carry the alert's labels."""
     out = _named(notify.spiking_metrics(alert_table(spark, sf_dir), sample_table(spark, sf_dir)))
-    return out.select("alertname", "series", "active_us", "metric", F.round("peak", 6).alias("peak"), F.round("ratio", 6).alias("ratio"))
+    return out.select("alertname", "series", "active_us", "metric", F.round("score", 6).alias("score"), F.round("peak", 6).alias("peak"))
 
 
 def event_alerts(spark, sf_dir) -> DataFrame:
