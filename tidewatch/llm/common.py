@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ from tidewatch.session import fresh_path, prepare
 # A side is broadcast only when its counted rows stay below this.
 BROADCAST_ROWS = 1_000_000
 # Text handed to Python is worked on in slices of about this many bytes.
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 1_500_000
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -82,8 +83,19 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
     for a, b in slices(np.diff(offsets), limit):
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+    give_back()
 
 
+def give_back() -> None:
+    """Give freed memory back to the system: the workers of an executor outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+# glibc alone has it.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 
@@ -127,7 +139,7 @@ _powers: list[np.ndarray] = []
 def _power_tables(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, at least ``n`` of each."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, 2 * SLICE_BYTES)
+        size = max(n, SLICE_BYTES + 1)
         _powers[:] = [np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, b, np.uint64)))) for b in (_BASE, _BACK)]
     return _powers
 
