@@ -162,6 +162,87 @@ def test_index_splits_errors_and_rejects(spark, tmp_path):
     assert rows(read("rejects", "reject_reason STRING"), "reject_reason") == [("late",), ("no time",)]
 
 
+def index_rows(spark, hours, **changes):
+    """Log rows of day 1 at the given hours; an hour of None has no time."""
+    stamp = lambda h: None if h is None else f"2025-01-{1 + h // 24:02d}T{h % 24:02d}:00:00Z"
+    lines = [json.dumps({"timestamp": stamp(h), "service": f"s{h}", "level": changes.get("level", "INFO")}) for h in hours]
+    return spark.read.schema(STREAM_EVENT).json(spark.sparkContext.parallelize(lines)).withColumn("type", F.lit("pipeline_log"))
+
+
+def test_index_folders_ledger_and_repeated_batches(spark, tmp_path):
+    root = str(tmp_path / "index")
+    write = jobs.index_batch(root)
+    batches = [index_rows(spark, [10, 30], level="ERROR"), index_rows(spark, [None]), index_rows(spark, [11, 31])]
+    for i, batch in enumerate(batches):
+        write(batch, i)
+    write(batches[2], 2)  # a repeated batch replaces its own folders
+    schema = "service STRING"
+    assert rows(jobs.read_index(spark, root, "logs", schema), "service", "batch") == [("s10", 0), ("s30", 0), ("s31", 2)]
+    assert rows(jobs.read_index(spark, root, "errors", schema), "service") == [("s10",), ("s30",)]
+    # Batch 1 has no time of its own: the ledger carries the newest one on, and hour 11 is late in batch 2.
+    assert rows(spark.read.schema("reject_reason STRING").json(f"{root}/rejects"), "reject_reason") == [("late",), ("no time",)]
+    entry = lambda i: spark.read.schema("newest TIMESTAMP").json(f"{root}/progress/batch={i}").collect()
+    assert [len(entry(i)) for i in range(3)] == [1, 1, 1] and entry(0) == entry(1) < entry(2)
+    # The last entry alone is read, and a day is one folder.
+    assert sorted(f for f in os.listdir(f"{root}/logs") if not f.startswith((".", "_"))) == ["log_date=2025-01-01", "log_date=2025-01-02"]
+    day = jobs.read_index(spark, root, "logs", schema, "2025-01-02")
+    assert rows(day, "service", "batch") == [("s30", 0), ("s31", 2)]
+    assert all("log_date=2025-01-02" in f for f in day.inputFiles())
+
+
+def test_index_writes_few_files_of_many_tasks(spark, tmp_path):
+    root = str(tmp_path / "index")
+    jobs.index_batch(root)(index_rows(spark, [h % 20 for h in range(200)]).repartition(8), 0)
+    files = os.listdir(f"{root}/logs/log_date=2025-01-01/batch=0")
+    assert len([f for f in files if f.endswith(".json")]) == 1
+
+
+def flushes(lines, size, every):
+    """Brute force: a buffer per key, emptied when full and at every tick."""
+    out, held = [], {}
+    for key, us, i, text in sorted((r[0], r[1], r[2], r[3]) for r in lines if r[3] is not None):
+        tick = us // every
+        h = held.setdefault(key, {"tick": tick, "rows": [], "part": 0})
+        if h["tick"] != tick:
+            if h["rows"]:
+                out.append((key, h["tick"], h["part"], "time", (h["tick"] + 1) * every, "\n".join(h["rows"])))
+            h.update(tick=tick, rows=[], part=0)
+        h["rows"].append(text)
+        if len(h["rows"]) == size:
+            out.append((key, tick, h["part"], "size", us, "\n".join(h["rows"])))
+            h.update(rows=[], part=h["part"] + 1)
+    return sorted(out + [(k, h["tick"], h["part"], "time", (h["tick"] + 1) * every, "\n".join(h["rows"])) for k, h in held.items() if h["rows"]])
+
+
+def test_flush_by_size_or_time(spark, tmp_path):
+    schema = "source STRING, shard BIGINT, us BIGINT, row_id BIGINT, line STRING, ts TIMESTAMP"
+
+    def row(source, second, i, line=""):
+        return (source, 0, second * S, i, f"{source}{i}" if line == "" else line, dt.datetime.fromtimestamp(second))
+
+    whole = [row("a", 1200 + i % 50, i) for i in range(230)]  # two full buffers before the tick, 30 lines at it
+    whole += [row("a", 1260, 900), row("a", 1319, 901), row("b", 1201, 1), row("b", 1500, 2), row("b", 1501, 3, None), row("c", 1210, 5), row("c", 1210, 4)]
+    whole += [row("full", 1200, i) for i in range(100)]  # a full buffer leaves nothing for the tick
+    want = flushes([(r[0], r[2], r[3], r[4]) for r in whole], 100, MIN)
+    assert [(w[0], w[3]) for w in want] == [("a", "size"), ("a", "size"), ("a", "time"), ("a", "time"), ("b", "time"), ("b", "time"), ("c", "time"), ("full", "size")]
+    end = [[row("clock", 90_000, 1)], [row("clock", 90_001, 2)]]
+    for n, batches in enumerate(([whole], [whole[::-2], whole[-2::-2]])):
+        root = tmp_path / str(n)
+        root.mkdir()
+        path = write_batches(spark, str(root), schema, [*batches, *end])
+        stream = jobs.event_stream(spark, path, spark.read.parquet(path).schema, max_files=1).withWatermark("ts", "10 minutes")
+        got = run(spark, str(root), states.buffered_flushes(stream, 100, MIN)).where("source <> 'clock'")
+        assert rows(got, "source", "tick", "part", "reason", "flushed_us", "body") == want
+        if not n:
+            out = str(root / "export")
+            for _ in range(2):  # a repeated batch replaces its own folders
+                jobs.export_batch(out)(got, 0)
+            assert spark.read.text(out).count() == len([r for r in whole if r[4] is not None])
+            assert os.path.isdir(f"{out}/year=1970/month=01/day=01")
+    with pytest.raises(ValueError):
+        states.buffered_flushes(stream, 0, MIN)
+
+
 def test_export_partitions_by_day(spark, tmp_path):
     schema = "ts TIMESTAMP, event STRING"
     path = write_batches(spark, str(tmp_path), schema, [[(dt.datetime(2025, 1, 1), "a"), (dt.datetime(2025, 1, 2), "b")]])

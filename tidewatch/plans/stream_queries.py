@@ -118,13 +118,37 @@ def stream_index(spark, sf_dir):
     root = fresh_path(spark, "index")
     jobs.index_logs(logs, root, f"{root}/checkpoint", availableNow=True).awaitTermination()
     counts = [
-        spark.read.schema("event STRING, batch BIGINT, log_date DATE").json(f"{root}/{name}")
+        jobs.read_index(spark, root, name, "event STRING")
         .groupBy(F.lit(name).alias("target"), "log_date").agg(F.count(F.lit(1)).alias("documents"))
         for name in ("logs", "errors")
     ]
     return counts[0].unionByName(counts[1])
 
 
+FLUSH_EVERY = 120 * HOUR
+
+
+@query(
+    "stream_export_flushes",
+    f"""WITH mark AS (SELECT epoch_us(max(ts)) // 1000 * 1000 - {600 * MICROS} AS passed FROM ev),
+r AS (SELECT event_type AS source, user_id % 2 AS shard, us // {FLUSH_EVERY} AS tick, us, event_id,
+  (row_number() OVER (PARTITION BY event_type, user_id % 2, us // {FLUSH_EVERY} ORDER BY us, event_id) - 1) // {jobs.FLUSH_FILES} AS part FROM ev, mark WHERE us < passed),
+c AS (SELECT source, shard, tick, part, count(*) AS n, min(us) AS first_us, max(us) AS last_us,
+  string_agg(concat('{{"event_id":', event_id, '}}'), chr(10) ORDER BY us, event_id) AS body FROM r GROUP BY 1, 2, 3, 4)
+SELECT source, shard, tick, part, CASE WHEN n = {jobs.FLUSH_FILES} THEN 'size' ELSE 'time' END AS reason,
+  CASE WHEN n = {jobs.FLUSH_FILES} THEN last_us ELSE (tick + 1) * {FLUSH_EVERY} END AS flushed_us, n, first_us, last_us, body
+FROM c, mark WHERE n = {jobs.FLUSH_FILES} OR (tick + 1) * {FLUSH_EVERY} <= passed""",
+)
+def stream_export_flushes(spark, sf_dir):
+    """Export buffers flushed by their size, or by time."""
+    lines = events(spark, sf_dir).select(
+        F.col("event_type").alias("source"), (F.col("user_id") % 2).cast("long").alias("shard"), "us", F.col("event_id").alias("row_id"),
+        F.to_json(F.struct("event_id")).alias("line"), "ts",
+    )
+    flushes = states.buffered_flushes(lines.withWatermark("ts", jobs.LATENESS), jobs.FLUSH_FILES, FLUSH_EVERY)
+    return _finished(spark, flushes, "flushes")
+
+
 HOLD = 2 * HOUR
 
 

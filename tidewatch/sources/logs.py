@@ -185,16 +185,20 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     )
 
 
-def read_topics(spark: SparkSession, servers: str, topics: list[str], group: str = "logstash_consumer") -> DataFrame:
-    """Streaming source over several topics (needs the Kafka connector jar)."""
-    messages = (
+def read_topics(
+    spark: SparkSession, servers: str, topics: list[str], group: str = "logstash_consumer", start: str = "latest", max_offsets: int | None = None
+) -> DataFrame:
+    """Streaming source over several topics (needs the Kafka connector jar); ``start`` names the first offsets, ``max_offsets`` bounds a micro-batch."""
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics))
         .option("groupIdPrefix", group)
-        .load()
+        .option("startingOffsets", start)
     )
-    return parse_messages(messages)
+    if max_offsets:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+    return parse_messages(reader.load())
 
 
 def read_pushed_lines(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:

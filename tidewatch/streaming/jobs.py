@@ -92,6 +92,19 @@ def export_ndjson(logs: DataFrame, path: str, checkpoint: str, time: str = "ts",
     )
 
 
+def export_batch(path: str, time: str = "flushed_us") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: the bodies of flushes (``states.buffered_flushes``) as NDJSON files
+    below ``year=/month=/day=`` of the flush; a repeated batch replaces its own folders."""
+    parts = {"year": "yyyy", "month": "MM", "day": "dd"}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        at = F.timestamp_micros(F.col(time))
+        dated = batch.select(F.col("body").alias("value"), *[F.date_format(at, p).alias(n) for n, p in parts.items()], F.lit(batch_id).alias("batch"))
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "batch").text(path)
+
+    return write
+
+
 def publish(events: DataFrame, servers: str, topic: str, checkpoint: str) -> DataStreamWriter:
     """JSON values to a topic (needs the Kafka connector jar)."""
     return (
@@ -110,15 +123,18 @@ def as_messages(events: DataFrame) -> DataFrame:
 def index_batch(root: str, late_after: str = LATENESS, time: str = "event_time") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: daily logs, daily errors and a reject table.
 
-    The batch is kept once and written three times. Every batch owns its folder
-    and replaces it, so a repeated batch leaves no duplicates. Rejects are rows
-    without a readable time and rows older than the lateness behind the newest
-    time of earlier batches.
+    The batch is kept once and written three times. Folders are by day first and by
+    batch below it, so that the read of a day lists that day alone; a batch replaces
+    its own folders, so a repeated one leaves no duplicates. The rows of a day are put
+    together before they are written, in files of the advisory partition size: many
+    tasks leave no small files, and a day of many rows is still cut. Rejects are rows
+    without a readable time and rows older than the lateness behind the newest time of
+    earlier batches, which the ledger carries from batch to batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        kept = enrich(batch).withColumn("log_date", F.to_date(time)).persist()
+        kept = enrich(batch).withColumns({"log_date": F.to_date(time), "batch": F.lit(batch_id).cast("long")}).persist()
         try:
             newest = _newest_before(spark, f"{root}/progress", batch_id)
             reason = F.when(F.col(time).isNull(), "no time")
@@ -128,9 +144,12 @@ def index_batch(root: str, late_after: str = LATENESS, time: str = "event_time")
             good = judged.where(F.col("reject_reason").isNull()).drop("reject_reason")
             errors = good.where(F.col("is_error"))
             for name, rows in (("logs", good), ("errors", errors)):
-                rows.write.mode("overwrite").partitionBy("log_date").json(f"{root}/{name}/batch={batch_id}")
-            judged.where(F.col("reject_reason").isNotNull()).write.mode("overwrite").json(f"{root}/rejects/batch={batch_id}")
-            good.agg(F.max(time).alias("newest")).write.mode("overwrite").json(f"{root}/progress/batch={batch_id}")
+                writer = rows.hint("rebalance", "log_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                writer.partitionBy("log_date", "batch").json(f"{root}/{name}")
+            judged.where(F.col("reject_reason").isNotNull()).drop("batch").write.mode("overwrite").json(f"{root}/rejects/batch={batch_id}")
+            # Last of all: a batch that failed before has no entry and runs again.
+            known = F.greatest(F.max(time), F.lit(newest).cast("timestamp"))
+            good.agg(known.alias("newest")).write.mode("overwrite").json(f"{root}/progress/batch={batch_id}")
         finally:
             kept.unpersist()
 
@@ -138,11 +157,16 @@ def index_batch(root: str, late_after: str = LATENESS, time: str = "event_time")
 
 
 def _newest_before(spark: SparkSession, path: str, batch_id: int):
-    """Newest event time of earlier batches: one row of a table with one row per batch."""
+    """Newest event time of all earlier batches: the entry of the last one, whatever their number."""
     if batch_id == 0:
         return None
-    seen = spark.read.schema("newest TIMESTAMP, batch BIGINT").json(path)
-    return seen.where(F.col("batch") < batch_id).agg(F.max("newest")).first()[0]
+    return spark.read.schema("newest TIMESTAMP").json(f"{path}/batch={batch_id - 1}").agg(F.max("newest")).first()[0]
+
+
+def read_index(spark: SparkSession, root: str, name: str, schema: str, day: str | None = None) -> DataFrame:
+    """The rows of an index table (``logs`` or ``errors``) with their ``log_date`` and ``batch``; of one ``day``, only its folder is listed."""
+    reader = spark.read.schema(f"{schema}, log_date DATE, batch BIGINT").option("basePath", f"{root}/{name}")
+    return reader.json(f"{root}/{name}/log_date={day}" if day else f"{root}/{name}")
 
 
 def index_logs(events: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:

@@ -1,4 +1,4 @@
-"""Keyed state: the ``for`` clause of alerts, the notification timers and agent sessions.
+"""Keyed state: the ``for`` clause of alerts, the notification timers, agent sessions and export buffers.
 
 State is a few numbers per key. The pandas functions see the rows of one key in
 one micro-batch, which are the evaluations or transitions since the last one.
@@ -229,3 +229,61 @@ def closed_sessions(steps: DataFrame, gap_us: int) -> DataFrame:
         yield pd.DataFrame(out, columns=[c.split()[0] for c in SESSIONS.split(", ")])
 
     return steps.groupBy("session_id").applyInPandasWithState(advance, SESSIONS, SESSION_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+FLUSHES = "source STRING, shard BIGINT, tick BIGINT, part BIGINT, reason STRING, flushed_us BIGINT, n BIGINT, first_us BIGINT, last_us BIGINT, body STRING"
+FLUSH_STATE = "tick BIGINT, part BIGINT, held STRING, waiting STRING"
+
+
+def buffered_flushes(lines: DataFrame, size: int, every_us: int) -> DataFrame:
+    """Export buffers per (source, shard): flushed when they hold ``size`` lines, or at the next tick of ``every_us``.
+
+    Input: ``source, shard, us, row_id, line`` and the watermarked time. Rows
+    wait until the watermark has passed them and are then read by time and row,
+    so it makes no difference in which batch one arrives. A row at a tick belongs
+    to the next buffer; a tick without lines flushes nothing; null lines are left
+    out. ``part`` numbers the flushes inside a tick. A body has at most ``size``
+    lines. What waits is bounded by the watermark's delay; a source with very many
+    rows is cut into shards, each a buffer of its own, as each writing process is.
+    """
+    if size < 1 or every_us < 1:
+        raise ValueError("size and every_us are at least 1")
+
+    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        tick, part, held, waiting = state.get if state.exists else (None, 0, "[]", "[]")
+        buffer, out = [tuple(r) for r in json.loads(held)], []
+
+        def flush(reason: str, at: int) -> None:
+            nonlocal part, buffer
+            out.append((*key, tick, part, reason, at, len(buffer), buffer[0][0], buffer[-1][0], "\n".join(r[2] for r in buffer)))
+            part, buffer = part + 1, []
+
+        rows = [tuple(r) for r in json.loads(waiting)]
+        if not state.hasTimedOut:
+            for batch in batches:
+                rows += [(int(us), int(i), t) for us, i, t in zip(batch["us"].tolist(), batch["row_id"].tolist(), batch["line"].tolist()) if t is not None]
+        passed = state.getCurrentWatermarkMs() * 1000
+        rows.sort()
+        for row in (r for r in rows if r[0] < passed):
+            if row[0] // every_us != tick:
+                if buffer:
+                    flush("time", (tick + 1) * every_us)
+                tick, part = row[0] // every_us, 0
+            buffer.append(row)
+            if len(buffer) == size:
+                flush("size", row[0])
+        rows = [r for r in rows if r[0] >= passed]
+        # The number of the part lives as long as its tick.
+        if tick is not None and (tick + 1) * every_us <= passed:
+            if buffer:
+                flush("time", (tick + 1) * every_us)
+            tick, part = None, 0
+        times = [r[0] for r in rows[:1]] + ([(tick + 1) * every_us] if tick is not None else [])
+        if times:
+            state.update((tick, part, json.dumps(buffer), json.dumps(rows)))
+            state.setTimeoutTimestamp(max(min(times) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in FLUSHES.split(", ")])
+
+    return lines.groupBy("source", "shard").applyInPandasWithState(advance, FLUSHES, FLUSH_STATE, "append", GroupStateTimeout.EventTimeTimeout)
