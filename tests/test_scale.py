@@ -1,5 +1,6 @@
 """Hot keys, hot instants and close values: bounded rows per task and the same results."""
 
+import datetime as dt
 import random
 import re
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tidewatch.functions.quantiles import exact_percentiles
 from tidewatch.functions.scan import HOUR, MICROS, Running, merged_intervals, running, split_blocks, time_block, value_bin
-from tidewatch.operators import metrics, notify, traces
+from tidewatch.operators import metrics, notify, reports, traces
 from tidewatch.operators.drift import ks_drift, ks_windows
 
 
@@ -176,3 +177,35 @@ def test_inhibition_against_brute_force_keeps_repeated_alerts(spark):
     for block in (8, 10**9):
         got = [tuple(r) for r in notify.inhibit(spark.createDataFrame(data, ALERT), rules, block).collect()]
         assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_reports_read_the_logs_once(spark, tmp_path):
+    schema = "ts TIMESTAMP, service STRING, model STRING, event STRING, level STRING, latency_ms INT"
+    at = dt.datetime(2025, 1, 1, 10)
+    values = [1, 2, 2, 7, None]
+    data = [(at, "s", "m", "llm_inference_success", "ERROR" if v == 7 else "INFO", v) for v in values] + [(at, "t", "m", "llm_inference_success", "INFO", None)]
+    path = str(tmp_path / "raw-logs")
+    spark.createDataFrame(data, schema).write.parquet(path)
+    logs = spark.read.parquet(path)
+    rates = reports.error_rate(logs)
+    tail = reports.latency_percentiles(logs)
+    # What follows the counts of values reads those alone.
+    assert not [f for df in (rates, tail) for f in df.inputFiles() if "raw-logs" in f]
+    assert [tuple(r)[1:] for r in rates.collect()] == [("s", 5, 1, 20.0, 3.0, 6.85), ("t", 1, 0, 0.0, None, None)]
+    s, t = sorted(tail.collect())
+    assert (s.requests, s.p50_ms, s.min_ms, s.max_ms, s.avg_ms) == (5, 2.0, 1, 7, 3.0)
+    assert (t.requests, t.p50_ms, t.min_ms, t.avg_ms) == (1, None, None, None)
+    quick = reports.latency_percentiles(logs, approx=True)
+    assert [(r.requests, r.min_ms, r.avg_ms) for r in sorted(quick.collect())] == [(5, 1, 3.0), (1, None, None)]
+
+
+def test_agent_loops_beyond_the_broadcast_bound(spark, monkeypatch):
+    schema = "ts TIMESTAMP, event STRING, session_id STRING, agent_name STRING, steps_taken INT, duration_ms INT, status STRING, step INT, tool_name STRING"
+    at = dt.datetime(2025, 1, 1)
+    data = [(at, "agent_session_completed", s, "a", 9, 5, "ok", None, None) for s in ("x", "y")]
+    data += [(at, "agent_tool_call", "x", "a", None, None, None, i, f"t{i}") for i in (2, 1)]
+    logs = spark.createDataFrame(data, schema)
+    near = reports.agent_loops(logs).collect()
+    monkeypatch.setattr(reports, "BROADCAST_SESSIONS", 0)
+    assert reports.agent_loops(logs).collect() == near
+    assert [(r.session_id, r.tool_call_sequence) for r in near] == [("x", "t1 → t2"), ("y", None)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -23,9 +23,22 @@ def exact_percentiles(
     ``limit`` distinct values, however close they lie, is cut at sampled order
     statistics. Only blocks that hold a wanted rank are ordered.
     """
+    return percentiles_of_counts(value_counts(df.where(F.col(value).cast("double").isNotNull()), keys, value), keys, probs, limit)
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, more: Mapping[str, Column] | None = None) -> DataFrame:
+    """A written table with one row per group and distinct value, null included: the value as double in
+    ``_v``, its rows in ``_n``, and the aggregates ``more``. Whatever adds up can be read from it without
+    another pass over ``df``."""
+    extra = [c.alias(n) for n, c in (more or {}).items()]
+    counts = df.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"), *extra)
+    return written(counts, "value-counts")
+
+
+def percentiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: Mapping[str, float], limit: int = BLOCK_ROWS) -> DataFrame:
+    """``exact_percentiles`` of the values that ``value_counts`` has counted; nulls do not count."""
     names = list(probs)
-    v = F.col(value).cast("double")
-    counts = written(df.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
+    counts = counts.where(F.col("_v").isNotNull())
     counts = split_blocks(counts, keys, ["_v"], F.coalesce(value_bin("_v"), F.lit(0).cast("long")), limit).select("_key", "_block", "_v", "_n")
     group = Window.partitionBy("_key")
     before = group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -67,11 +80,3 @@ def exact_percentiles(
         picks.append((low + (high - low) * (position - F.floor(position))).alias(n))
     out = hits.groupBy("_key").agg(*picks)
     return out.select(*[F.col(f"_key.{k}").alias(k) for k in keys], *names)
-
-
-def approx_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], accuracy: int = 10000) -> DataFrame:
-    """Sketch-based percentiles: one pass, bounded state, relative rank error 1/accuracy."""
-    names = list(probs)
-    sketch = F.percentile_approx(value, [float(probs[n]) for n in names], accuracy).alias("_p")
-    out = df.groupBy(*keys).agg(sketch)
-    return out.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.quantiles import approx_percentiles, exact_percentiles
+from tidewatch.functions.quantiles import percentiles_of_counts, value_counts
 from tidewatch.functions.timeparse import bucketed, time_range, truncated
 
 # Level names and list prices in USD per million tokens.
@@ -19,6 +19,8 @@ FAILURE_LEVELS = ["ERROR", "CRITICAL"]
 INPUT_PRICE = 0.05
 OUTPUT_PRICE = 0.08
 SEQUENCE_SEPARATOR = " → "
+# A report of more sessions than this is joined by a shuffle.
+BROADCAST_SESSIONS = 10_000
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -29,8 +31,27 @@ def _rounded(df: DataFrame, names: list[str], digits: int | None) -> DataFrame:
     return df if digits is None else df.withColumns({n: F.round(n, digits) for n in names})
 
 
-def _percentiles(df, keys, value, probs, approx):
-    return approx_percentiles(df, keys, value, probs) if approx else exact_percentiles(df, keys, value, probs)
+def _levels(rows: DataFrame, keys: list[str], value: str, probs: dict[str, float], counted: dict[str, Column], approx: bool) -> DataFrame:
+    """Per group the counts ``counted``, ``_min``, ``_max`` and ``_avg`` of the value, and its percentiles.
+
+    The rows are read once: exact percentiles and all else come from the written
+    counts of the distinct values, approximate ones from a sketch beside the rest.
+    """
+    if approx:
+        sketch = F.percentile_approx(value, [float(p) for p in probs.values()], 10000).alias("_p")
+        own = [F.min(value).alias("_min"), F.max(value).alias("_max"), F.avg(value).alias("_avg")]
+        out = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in counted.items()], *own, sketch)
+        return out.select("*", *[F.col("_p")[i].alias(n) for i, n in enumerate(probs)]).drop("_p")
+    counts = value_counts(rows, keys, value, counted)
+    plain = rows.schema[value].dataType
+    known = F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")))
+    totals = counts.groupBy(*keys).agg(
+        *[F.sum(n).alias(n) for n in counted],
+        F.min("_v").cast(plain).alias("_min"),
+        F.max("_v").cast(plain).alias("_max"),
+        (F.sum(F.col("_v") * F.col("_n")) / known).alias("_avg"),
+    )
+    return totals.join(percentiles_of_counts(counts, keys, probs), keys, "left")
 
 
 def error_rate(logs: DataFrame, start=None, end=None, bucket="15 minutes", approx=False, digits=6) -> DataFrame:
@@ -39,18 +60,12 @@ def error_rate(logs: DataFrame, start=None, end=None, bucket="15 minutes", appro
         bucketed(logs, bucket).alias("time_bucket"), "service", "level", "latency_ms"
     )
     keys = ["time_bucket", "service"]
-    totals = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_requests"),
-        F.count_if(F.col("level") == "ERROR").alias("errors"),
-        F.avg("latency_ms").alias("avg_latency_ms"),
-    )
-    tail = _percentiles(rows, keys, "latency_ms", {"p99_latency_ms": 0.99}, approx)
-    out = totals.join(tail, keys, "left").select(
+    counted = {"total_requests": F.count(F.lit(1)), "errors": F.count_if(F.col("level") == "ERROR")}
+    out = _levels(rows, keys, "latency_ms", {"p99_latency_ms": 0.99}, counted, approx).select(
         *keys,
-        "total_requests",
-        "errors",
+        *counted,
         percent(F.col("errors"), F.col("total_requests")).alias("error_rate_pct"),
-        "avg_latency_ms",
+        F.col("_avg").alias("avg_latency_ms"),
         "p99_latency_ms",
     )
     out = _rounded(out, ["error_rate_pct", "avg_latency_ms", "p99_latency_ms"], digits)
@@ -112,7 +127,8 @@ def agent_loops(logs: DataFrame, start=None, end=None, min_steps=8, n=50) -> Dat
 
     Counts are reduced to the ``n`` reported sessions before any tool list is
     built, so lists exist for reported sessions only. The kept side has at most
-    ``n`` rows, which is why it can be broadcast.
+    ``n`` rows and is broadcast up to ``BROADCAST_SESSIONS`` of them; beyond, the
+    join shuffles.
     """
     wanted = time_range(logs, start, end).where(F.col("event").isin("agent_session_completed", "agent_tool_call"))
     order = [F.desc("steps_taken"), F.desc("total_duration_ms"), F.asc("session_id")]
@@ -131,8 +147,9 @@ def agent_loops(logs: DataFrame, start=None, end=None, min_steps=8, n=50) -> Dat
         .limit(n)
     )
     calls = wanted.where(F.col("tool_name").isNotNull()).select("session_id", "step", "tool_name")
+    ids = kept.select("session_id")
     lists = (
-        calls.join(F.broadcast(kept.select("session_id")), "session_id", "left_semi")
+        calls.join(F.broadcast(ids) if n <= BROADCAST_SESSIONS else ids, "session_id", "left_semi")
         .groupBy("session_id")
         .agg(F.array_sort(F.collect_list(F.struct("step", "tool_name"))).alias("calls"))
         .select("session_id", F.array_join(F.col("calls.tool_name"), SEQUENCE_SEPARATOR).alias("tool_call_sequence"))
@@ -163,14 +180,9 @@ def latency_percentiles(logs: DataFrame, start=None, end=None, approx=False, dig
     """Latency tail per service and model of successful calls."""
     keys = ["service", "model"]
     rows = time_range(logs, start, end).where(F.col("event") == "llm_inference_success").select(*keys, "latency_ms")
-    totals = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("requests"),
-        F.min("latency_ms").alias("min_ms"),
-        F.max("latency_ms").alias("max_ms"),
-        F.avg("latency_ms").alias("avg_ms"),
-    )
     probs = {"p50_ms": 0.5, "p90_ms": 0.9, "p99_ms": 0.99, "p999_ms": 0.999}
-    out = totals.join(_percentiles(rows, keys, "latency_ms", probs, approx), keys, "left")
+    out = _levels(rows, keys, "latency_ms", probs, {"requests": F.count(F.lit(1))}, approx)
+    out = out.withColumnsRenamed({"_min": "min_ms", "_max": "max_ms", "_avg": "avg_ms"})
     names = [*probs, "min_ms", "max_ms", "avg_ms"]
     return _rounded(out, names, digits).select(*keys, "requests", *names).orderBy(F.desc("p99_ms"), *keys)
 
