@@ -9,7 +9,7 @@ from conftest import rows
 from tidewatch.functions import scan
 from tidewatch.functions.quantiles import exact_percentiles
 from tidewatch.functions.skew import salted_join
-from tidewatch.operators.features import trailing_count
+from tidewatch.operators.features import amount_deviation, trailing_count
 from tidewatch.operators.metrics import histogram, rolling_accuracy, word_count
 
 
@@ -133,3 +133,21 @@ def test_word_count_splits_like_python(spark):
     texts = ["", "  a b\tc\n", "one", "a b　c", "x\x1cy", None]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING").select("i", word_count("t").alias("n"))
     assert rows(df) == [(i, len((t or "").split())) for i, t in enumerate(texts)]
+
+
+def test_deviation_from_an_equal_mean_follows_the_order_only(spark):
+    """0.1 + 0.2 + 0.3 ends above 0.6 and 0.3 + 0.2 + 0.1 at it: the sign of the zero is that of the summing order, however the rows are dealt."""
+    for n, values in enumerate([[0.1, 0.2, 0.3], [0.3, 0.2, 0.1]]):
+        total = 0.0
+        for v in values:
+            total += v
+        want = 0.2 - total / 3
+        assert want != 0
+        table = [("a", i, v) for i, v in enumerate(values)] + [("b", i, float(i * i)) for i in range(4)]
+        for parts in (1, 2, 5):
+            df = spark.createDataFrame(table, "u STRING, us BIGINT, v DOUBLE").repartition(parts, F.col("us") * 7)
+            out = amount_deviation(df, "u", "v", ["us"], "d", order=["us"])
+            assert out.count() == 7
+            got = out.where("u = 'a' AND v = 0.2").first().d
+            assert (got < 0) == (want < 0) and abs(got) < 1e-12
+            assert out.where("u = 'b' AND v = 9").first().d == pytest.approx(5.5 / 4.041451884327381)

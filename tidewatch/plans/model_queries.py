@@ -37,7 +37,7 @@ def feature_vectors(spark, sf_dir):
     """Assembled vectors, shown as text."""
     from pyspark.ml.functions import vector_to_array
 
-    rows = scoring.assembler(keep_invalid=True).transform(scoring.numeric(views.ml_features(spark, sf_dir)))
+    rows = scoring.assembler(keep_invalid=True).transform(scoring.numeric(views.ml_features(spark, sf_dir, exact=True)))
     shown = F.transform(vector_to_array("features_raw"), lambda x: F.format_string("%.4f", x))
     return rows.select("transaction_id", F.array_join(shown, " ").alias("features"))
 
