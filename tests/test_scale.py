@@ -13,6 +13,7 @@ from tidewatch.functions.quantiles import exact_percentiles
 from tidewatch.functions.scan import HOUR, MICROS, Running, merged_intervals, running, split_blocks, time_block, value_bin
 from tidewatch.operators import metrics, notify, reports, traces
 from tidewatch.operators.drift import ks_drift, ks_windows
+from tidewatch.plans import samples, views
 
 
 def largest_block(df):
@@ -209,3 +210,20 @@ def test_agent_loops_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(reports, "BROADCAST_SESSIONS", 0)
     assert reports.agent_loops(logs).collect() == near
     assert [(r.session_id, r.tool_call_sequence) for r in near] == [("x", "t1 → t2"), ("y", None)]
+
+
+def test_samples_share_the_engineered_rows(spark, monkeypatch):
+    """The rows that cost most are made once for all metrics, not once for each that reads them."""
+    made = {"trailing_count": 0, "agent_sessions": 0}
+    for name in made:
+        plain = getattr(views, name)
+
+        def counted(*args, plain=plain, name=name, **kwargs):
+            made[name] += 1
+            return plain(*args, **kwargs)
+
+        monkeypatch.setattr(views, name, counted)
+    monkeypatch.setattr(samples, "_WRITTEN", {})
+    found = samples.derive_samples(spark, "/root/testdata/sf0.001")
+    assert made == {"trailing_count": 1, "agent_sessions": 1}
+    assert {"agent_queue_depth", "ml_model_accuracy", "ml_data_drift_score", "ml_feature_missing_rate"} <= {r[0] for r in found.select("metric").distinct().collect()}
