@@ -243,6 +243,32 @@ def test_flush_by_size_or_time(spark, tmp_path):
         states.buffered_flushes(stream, 0, MIN)
 
 
+def test_flush_tables_hold_no_key_whole(spark, tmp_path):
+    """The same buffers as the brute force, however the lines are cut into batches, and no keyed Python state."""
+    schema = "source STRING, shard BIGINT, us BIGINT, row_id BIGINT, line STRING, ts TIMESTAMP"
+
+    def row(source, second, i, line=""):
+        return (source, 0, second * S, i, f"{source}{i}" if line == "" else line, dt.datetime.fromtimestamp(second))
+
+    whole = [row("a", 1200 + i % 50, i) for i in range(230)] + [row("a", 1260, 900), row("a", 1319, 901), row("b", 1500, 2), row("b", 1501, 3, None)]
+    whole += [row("full", 1200, i) for i in range(100)] + [row(None, 1210, 5), row(None, 1210, 4)]
+    # Open buffers and counted parts pass from batch to batch: of the last tick a half is ready, then the rest.
+    split = [row("late", 3600 + i // 10, i) for i in range(590)]
+    end = [[row("clock", 90_000, 1)], [row("clock", 90_001, 2)]]
+    want = flushes([("" if r[0] is None else r[0], r[2], r[3], r[4]) for r in whole + split], 100, MIN)
+    step = [[row("clock", 3600 + 600 + s, s)] for s in (7, 25, 26)]
+    for n, batches in enumerate(([whole + split], [whole[::-2], whole[-2::-2] + split, *step])):
+        root = tmp_path / str(n)
+        root.mkdir()
+        path = write_batches(spark, str(root), schema, [*batches, *end])
+        stream = jobs.event_stream(spark, path, spark.read.parquet(path).schema, max_files=1)
+        jobs.flush_lines(stream, f"{root}/out", f"{root}/ck", 100, MIN, availableNow=True).awaitTermination()
+        got = jobs.read_flushes(spark, f"{root}/out").where("source IS NULL OR source <> 'clock'").withColumn("source", F.coalesce("source", F.lit("")))
+        assert rows(got, "source", "tick", "part", "reason", "flushed_us", "body") == want
+    with pytest.raises(ValueError):
+        jobs.flush_batch("x", 0, MIN)
+
+
 def test_export_partitions_by_day(spark, tmp_path):
     schema = "ts TIMESTAMP, event STRING"
     path = write_batches(spark, str(tmp_path), schema, [[(dt.datetime(2025, 1, 1), "a"), (dt.datetime(2025, 1, 2), "b")]])

@@ -145,8 +145,9 @@ def stream_export_flushes(spark, sf_dir):
         F.col("event_type").alias("source"), (F.col("user_id") % 2).cast("long").alias("shard"), "us", F.col("event_id").alias("row_id"),
         F.to_json(F.struct("event_id")).alias("line"), "ts",
     )
-    flushes = states.buffered_flushes(lines.withWatermark("ts", jobs.LATENESS), jobs.FLUSH_FILES, FLUSH_EVERY)
-    return _finished(spark, flushes, "flushes")
+    root = fresh_path(spark, "flushes")
+    jobs.flush_lines(lines, root, f"{root}/checkpoint", jobs.FLUSH_FILES, FLUSH_EVERY, availableNow=True).awaitTermination()
+    return jobs.read_flushes(spark, root)
 
 
 HOLD = 2 * HOUR

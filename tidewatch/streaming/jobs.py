@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tidewatch.functions.scan import HOUR, MINUTE, running_number, time_block
 from tidewatch.operators.drift import ks_windows, long_values
 from tidewatch.operators.enrich import enrich
 from tidewatch.operators.features import FEATURE_NAMES
@@ -105,6 +106,90 @@ def export_batch(path: str, time: str = "flushed_us") -> Callable[[DataFrame, in
     return write
 
 
+FLUSH_KEY = ["source", "shard"]
+FLUSH_LINES = "source STRING, shard BIGINT, us BIGINT, row_id BIGINT, line STRING"
+FLUSH_PARTS = "source STRING, shard BIGINT, tick BIGINT, parts BIGINT"
+FLUSH_BUFFERS = (
+    "source STRING, shard BIGINT, tick BIGINT, part BIGINT, reason STRING, flushed_us BIGINT, n BIGINT, first_us BIGINT, last_us BIGINT, "
+    "body STRING, held ARRAY<STRUCT<us: BIGINT, row_id: BIGINT, line: STRING>>"
+)
+
+
+def flush_batch(root: str, size: int, every_us: int, late_us: int = 10 * MINUTE, time: str = "ts") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: the buffers of ``states.buffered_flushes`` for batches of any size.
+
+    The keyed form holds all that a key brings in one batch in a Python process.
+    Here the lines that the watermark (the newest time less ``late_us``) has
+    passed are numbered per key and tick by the scan that no hot key binds to one
+    task, and put together by buffer, so that a group has at most ``size`` lines.
+    What waits, the lines of open buffers and the parts counted in open ticks go
+    from batch to batch as tables; a repeated batch replaces its own. Rows older
+    than the watermark of earlier batches are late and left out.
+    """
+    if size < 1 or every_us < 1:
+        raise ValueError("size and every_us are at least 1")
+    in_tick = [*FLUSH_KEY, "tick"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        at = lambda name, n: f"{root}/{name}/batch={n}"
+        read = lambda name, schema: spark.read.schema(schema).parquet(at(name, batch_id - 1))
+        before = spark.read.schema("passed_us BIGINT").json(at("progress", batch_id - 1)).first()[0] if batch_id else None
+        fresh = batch.select(*FLUSH_KEY, "us", "row_id", "line", time)
+        if before is not None:
+            fresh = fresh.where(F.col("us") >= before)
+        fresh.write.mode("overwrite").parquet(at("arrived", batch_id))
+        arrived = spark.read.schema(f"{FLUSH_LINES}, {time} TIMESTAMP").parquet(at("arrived", batch_id))
+        newest = arrived.agg(F.max(F.unix_millis(time)) * 1000).first()[0]
+        passed = max((p for p in (before, None if newest is None else newest - late_us) if p is not None), default=0)
+        rows = arrived.drop(time).where(F.col("line").isNotNull())
+        parts = spark.createDataFrame([], FLUSH_PARTS)
+        if batch_id:
+            held = read("buffers", FLUSH_BUFFERS).where(F.col("reason").isNull()).select(*FLUSH_KEY, F.inline("held"))
+            rows = rows.unionByName(read("waiting", FLUSH_LINES)).unionByName(held)
+            parts = read("parts", FLUSH_PARTS)
+        rows.where(F.col("us") >= passed).write.mode("overwrite").parquet(at("waiting", batch_id))
+        ready = rows.where(F.col("us") < passed).withColumn("tick", F.floor(F.col("us") / F.lit(every_us)).cast("long"))
+        numbered = running_number(ready, in_tick, ["us", "row_id", "line"], time_block("us", HOUR), "_i")
+        placed = numbered.withColumn("_own", F.floor((F.col("_i") - 1) / size)).drop("_i")
+        buffers = placed.groupBy(*in_tick, "_own").agg(
+            F.count(F.lit(1)).alias("n"), F.min("us").alias("first_us"), F.max("us").alias("last_us"),
+            F.array_sort(F.collect_list(F.struct("us", "row_id", "line"))).alias("held"),
+        )
+        ends = (F.col("tick") + 1) * every_us
+        reason = F.when(F.col("n") == size, "size").when(ends <= passed, "time")
+        same = [buffers[k].eqNullSafe(parts[k]) for k in in_tick]
+        joined = buffers.join(parts, same, "left").select(*[buffers[c] for c in buffers.columns], F.coalesce(parts["parts"], F.lit(0)).alias("_done"))
+        done = joined.withColumns({"reason": reason, "part": (F.col("_own") + F.col("_done")).cast("long")}).select(
+            *in_tick, "part", "reason", F.when(F.col("reason") == "size", F.col("last_us")).when(F.col("reason") == "time", ends).alias("flushed_us"),
+            "n", "first_us", "last_us", F.when(F.col("reason").isNotNull(), F.array_join(F.col("held.line"), "\n")).alias("body"),
+            F.when(F.col("reason").isNull(), F.col("held")).alias("held"),
+        )
+        done.write.mode("overwrite").parquet(at("buffers", batch_id))
+        own = spark.read.schema(FLUSH_BUFFERS).parquet(at("buffers", batch_id)).where(F.col("reason").isNotNull())
+        counted = own.select(*in_tick, (F.col("part") + 1).alias("parts")).unionByName(parts).where(ends > passed)
+        counted.groupBy(*in_tick).agg(F.max("parts").alias("parts")).write.mode("overwrite").parquet(at("parts", batch_id))
+        # Last of all: a batch that failed before has no entry and runs again.
+        spark.createDataFrame([(passed,)], "passed_us BIGINT").write.mode("overwrite").json(at("progress", batch_id))
+
+    return write
+
+
+def read_flushes(spark: SparkSession, root: str) -> DataFrame:
+    """The buffers that ``flush_batch`` has flushed below ``root``."""
+    return spark.read.schema(FLUSH_BUFFERS).parquet(f"{root}/buffers").where(F.col("reason").isNotNull()).drop("held", "batch")
+
+
+def flush_lines(lines: DataFrame, root: str, checkpoint: str, size: int, every_us: int, **trigger) -> StreamingQuery:
+    """Export buffers below ``root``, flushed by size or time."""
+    return (
+        lines.writeStream.foreachBatch(flush_batch(root, size, every_us))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": f"{FLUSH_SECONDS} seconds"}))
+        .start()
+    )
+
+
 def publish(events: DataFrame, servers: str, topic: str, checkpoint: str) -> DataStreamWriter:
     """JSON values to a topic (needs the Kafka connector jar)."""
     return (

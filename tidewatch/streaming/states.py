@@ -245,6 +245,8 @@ def buffered_flushes(lines: DataFrame, size: int, every_us: int) -> DataFrame:
     out. ``part`` numbers the flushes inside a tick. A body has at most ``size``
     lines. What waits is bounded by the watermark's delay; a source with very many
     rows is cut into shards, each a buffer of its own, as each writing process is.
+    A Python process holds what one key brings in a micro-batch; for batches without
+    a bound ``jobs.flush_batch`` makes the same buffers.
     """
     if size < 1 or every_us < 1:
         raise ValueError("size and every_us are at least 1")
