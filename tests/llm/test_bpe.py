@@ -87,3 +87,21 @@ def test_query_equals_the_tokenizer(spark, path):
         want.add((r.doc_id, len(ids), hashlib.sha256(np.array(ids, bpe.ID).tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
     got = [tuple(r) for r in QUERIES["op12_bpe_words"](spark, SF).collect()]
     assert len(got) == len(docs) and set(got) == want
+
+
+def test_the_unit_store_of_packing_stays_small():
+    """A worker keeps it beside what earlier stages left there; starting anew changes no ids."""
+    import public_tokenizers
+
+    from tidewatch.llm import packing
+
+    path = public_tokenizers.path(packing.VOCABULARY)
+    ids_of, store = packing.encoder(path)
+    assert store.limit <= 250_000
+    texts = [" ".join(f"w{i}x{k}" for i in range(40)) for k in range(50)]
+    held, store.limit = store.limit, 100
+    try:
+        assert [packing.text_ids(t, path) for t in texts] == [ids_of(t).tobytes() for t in texts]
+        assert len(store) <= 140
+    finally:
+        store.limit = held

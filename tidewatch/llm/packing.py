@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.llm.common import ready, stored
+from tidewatch.llm.common import give_back, ready, stored
 from tidewatch.llm.units import UnitStore
 
 BUDGET = 2048
@@ -32,6 +32,9 @@ VOCABULARY = "byte_bpe_50k.json"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task int, rank long"
 
+# Units kept by a worker: what one holds beside the models of earlier stages counts against its executor.
+STORED_UNITS = 250_000
+
 _encoders: dict[str, tuple] = {}
 
 
@@ -85,7 +88,7 @@ def encoder(path: str):
                 out += [ids_of(f" {u}").tobytes() for u in some]
             return out
 
-        _encoders[path] = ids_of, UnitStore(encode)
+        _encoders[path] = ids_of, UnitStore(encode, STORED_UNITS)
     return _encoders[path]
 
 
@@ -124,6 +127,8 @@ def pieces(docs: DataFrame, vocabulary: str, budget: int = BUDGET, end_id: int =
             yield pa.RecordBatch.from_pydict(
                 out, schema=pa.schema([(k, pa.int32() if k == "task" else pa.int64()) for k in out])
             )
+            out = None
+            give_back()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.mapInArrow(cut, PIECES)
