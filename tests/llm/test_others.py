@@ -230,6 +230,27 @@ def test_sums_of_scores_take_the_shortest_path():
         assert sum(-compiled.scores[i] for i in ids) == pytest.approx(best(word))
 
 
+def test_known_pairs_and_lists_cost_no_more_than_a_look(monkeypatch):
+    """A pair of pieces is merged once, whatever the words; the numbers of all texts come out of one array."""
+    import pyarrow as pa
+
+    compiled = spm.Transducer(vocabulary(spm.MODEL))
+    rng, asked = np.random.default_rng(7), []
+    words = ["▁" + "".join(rng.choice(list("etaoinshr"), rng.integers(1, 24))) for _ in range(2000)] + ["▁" + "a" * 200]
+    holds = compiled.holds
+    monkeypatch.setattr(compiled, "holds", lambda left, right: asked.append((left, right)) or holds(left, right))
+    first = [compiled.path(w) for w in words]
+    for word, path in zip(words, first):
+        assert [compiled.pieces[i] for i in np.frombuffer(path, np.uint32)] == compiled.merged(word)
+    assert len(asked) == len(set(asked)) > 0
+    asked.clear()
+    assert [compiled.path(w) for w in words] == first and not asked
+    ids = [None, *[np.frombuffer(p, np.uint32).tolist() for p in first[:5]], [], None]
+    lists = pa.array(ids, pa.list_(pa.int32()))
+    wanted = [None if i is None else compiled.text(i) for i in ids]
+    assert compiled.texts(lists) == wanted and compiled.texts(lists.slice(1, 5)) == wanted[1:6] and compiled.texts(lists.slice(0, 0)) == []
+
+
 def test_sql_of_long_turns_and_history(spark, tmp_path):
     """The query and its SQL on conversations with turns beyond the budget, many turns and system turns in odd places."""
     import duckdb

@@ -102,7 +102,9 @@ class Transducer:
                     node = children.setdefault(char, [None, {}])
                     children = node[1]
                 node[0] = (piece, number)
-        self.follows: dict[int, bool] = {}
+        # Left piece -> right piece -> whether the filter lets it follow.
+        self.follows: dict[int, dict[int, bool]] = {}
+        self.pairs = 0
         self.units = UnitStore(lambda units: [self.path(SPACE + u) for u in units], MAX_UNITS)
 
     def normalised(self, text: str) -> str:
@@ -126,33 +128,35 @@ class Transducer:
         return parts
 
     def holds(self, left: tuple[str, int], right: tuple[str, int]) -> bool:
-        """Whether the filter lets ``right`` follow ``left``; arcs are (text, piece number or -1)."""
-        key = (left[1] << 32) + right[1]
-        found = self.follows.get(key) if left[1] >= 0 and right[1] >= 0 else self.merged(left[0] + right[0]) == [left[0], right[0]]
-        if found is None:
-            if len(self.follows) > MAX_PAIRS:
+        """Whether the filter lets ``right`` follow ``left``; arcs are (text, piece number or -1). Kept for pieces."""
+        found = self.merged(left[0] + right[0]) == [left[0], right[0]]
+        if left[1] >= 0 and right[1] >= 0:
+            if self.pairs > MAX_PAIRS:
                 self.follows.clear()
-            found = self.follows[key] = self.merged(left[0] + right[0]) == [left[0], right[0]]
+                self.pairs = 0
+            self.follows.setdefault(left[1], {})[right[1]] = found
+            self.pairs += 1
         return found
 
     def arcs(self, text: str, at: int) -> list[tuple[str, int]]:
-        """The pieces that begin at a place, longest first, or its character where that is no piece."""
+        """The pieces that begin at a place, longest last, or its character first where that is no piece."""
         children, found = self.trie, []
         for char in text[at : at + self.longest]:
-            node = children.get(char)
-            if node is None:
+            if char not in children:
                 break
-            arc, children = node
+            arc, children = children[char]
             if arc is not None:
                 found.append(arc)
         if not found or len(found[0][0]) > 1:
             found.insert(0, (text[at], -1))
-        found.reverse()
         return found
 
     def path(self, text: str) -> bytes:
         """Piece numbers (unsigned 32-bit) of the best path through the composition with ``text``."""
         best = self.accepted(text) if self.merges else self.lightest(text)
+        out = [number for _, number in best]
+        if min(out, default=0) >= 0:
+            return array("I", out).tobytes()
         out = []
         for piece, number in best:
             if number >= 0:
@@ -166,28 +170,33 @@ class Transducer:
     def accepted(self, text: str) -> list[tuple[str, int]]:
         """The path of finite weight. With a merge filter there is one, so the first found is the shortest;
         states from which none leads on are remembered and left out."""
-        arcs: list = [None] * len(text)
-        taken: list[tuple[int, int]] = []  # (place, number of the arc taken there)
+        path: list[tuple[str, int]] = []
+        untried: list[list[tuple[str, int]]] = []  # for each arc of the path, the others at its place
         dead: set[tuple[int, str]] = set()
-        at, turn, last = 0, 0, None
-        while at < len(text):
-            if arcs[at] is None:
-                arcs[at] = self.arcs(text, at)
-            here = arcs[at]
-            for k in range(turn, len(here)):
-                arc = here[k]
-                if (last is None or self.holds(last, arc)) and not (dead and (at + len(arc[0]), arc[0]) in dead):
-                    taken.append((at, k))
-                    at, turn, last = at + len(arc[0]), 0, arc
+        at, last, here, size, none = 0, None, None, len(text), {}
+        while at < size:
+            if here is None:
+                here = self.arcs(text, at)
+            known = none if last is None else self.follows.get(last[1], none)
+            while here:
+                arc = here.pop()
+                holds = last is None or known.get(arc[1])
+                if holds is None:
+                    holds = self.holds(last, arc)
+                if holds and not (dead and (at + len(arc[0]), arc[0]) in dead):
+                    path.append(arc)
+                    untried.append(here)
+                    at += len(arc[0])
+                    last, here = arc, None
                     break
             else:
-                if not taken:
+                if not path:
                     raise ValueError(f"no path for {text!r}")
                 dead.add((at, last[0]))
-                at, turn = taken.pop()
-                turn += 1
-                last = arcs[taken[-1][0]][taken[-1][1]] if taken else None
-        return [arcs[place][k] for place, k in taken]
+                here = untried.pop()
+                at -= len(path.pop()[0])
+                last = path[-1] if path else None
+        return path
 
     def lightest(self, text: str) -> list[tuple[str, int]]:
         """The path with the least sum of weights (negative scores), place by place."""
@@ -217,6 +226,11 @@ class Transducer:
         out = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", errors="replace").replace(SPACE, " ")
         return out[1:] if self.prefix and out.startswith(" ") else out
 
+    def texts(self, lists: pa.ListArray) -> list[str | None]:
+        """The text of each list. The numbers are taken out by list, as a Python object for each by Arrow takes longer than decoding."""
+        values, edges = lists.values.to_numpy(), lists.offsets.to_pylist()
+        return [self.text(values[a:b].tolist()) if there else None for a, b, there in zip(edges, edges[1:], lists.is_valid().to_pylist())]
+
 
 _compiled: dict[str, Transducer] = {}
 
@@ -258,8 +272,7 @@ def decode(docs: DataFrame, model: str, ids: str = "ids", into: str = "decoded")
     def run(batches):
         compiled = transducer(model)
         for batch in batches:
-            made = [None if x is None else compiled.text(x) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], names=["_row", "_text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(compiled.texts(batch.column(1)), pa.string())], names=["_row", "_text"])
 
     done = rows.mapInArrow(run, rows.select("_row").schema.add("_text", "string"))
     return done.select(*[F.col("_row").getField(c).alias(c) for c in others], F.col("_text").alias(into))
