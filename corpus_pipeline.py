@@ -14,7 +14,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the classifier accepts."""
     ready(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    rows = quality.scored(docs.select(F.struct(*docs.columns).alias("_doc"), "text"), model, into="_score")
+    rows = quality.scored(docs.select(F.struct(*docs.columns).alias("_doc")), model, text="_doc.text", into="_score")
     return rows.where(F.col("_score") >= quality.THRESHOLD).select("_doc.*")
 
 

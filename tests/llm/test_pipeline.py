@@ -59,6 +59,37 @@ def test_run(spark):
     assert rows.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
 
 
+def test_workers_keep_only_what_the_running_operator_needs(spark):
+    """Tables of an earlier stage go when another stage runs in the same worker."""
+    import pyarrow as pa
+
+    from tidewatch.llm import common, packing
+    from tidewatch.llm.queries import vocabulary
+
+    def left(batches):
+        for _ in batches:
+            path = vocabulary(packing.VOCABULARY)
+            packing.text_ids("some words", path)
+            kept = [len(packing._encoders)]
+            for _, _, data, offsets in common.text_slices(pa.array(["some words"])):
+                common.word_hashes(data, *common.word_spans(data, offsets)[:2])
+            kept += [len(packing._encoders), len(common._powers)]
+            common.only(packing._encoders)
+            yield pa.RecordBatch.from_arrays([pa.array([*kept, len(common._powers)])], names=["n"])
+
+    assert [r.n for r in spark.range(1).mapInArrow(left, "n long").collect()] == [1, 0, 2, 0]
+
+
+def test_stages_start_no_python_on_lists(spark, monkeypatch):
+    """Small tables of the driver come as Arrow or from Spark itself, not through rows that Python workers turn over."""
+    import pyarrow as pa
+
+    made, create = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **b: made.append(data) or create(self, data, *a, **b))
+    corpus_pipeline.run(spark, SF).count()
+    assert made and all(isinstance(data, pa.Table) for data in made)
+
+
 def test_near_duplicate_stage_without_ids(spark):
     docs = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (1, "a b c"), (1, "a b c"), (2, "a b c")], "doc_id long, text string")
     assert sorted(str(r.doc_id) for r in minhash.one_of_each(docs).collect()) == ["1", "None", "None"]

@@ -14,14 +14,16 @@ from tidewatch.session import fresh_path, prepare
 
 # A side is broadcast only when its counted rows stay below this.
 BROADCAST_ROWS = 1_000_000
+# Rows handed to Python at once: buffers of such batches stay small enough to be reused, on both sides.
+BATCH_ROWS = 250
 # Text handed to Python is worked on in slices of about this many bytes.
-SLICE_BYTES = 1_500_000
+SLICE_BYTES = 750_000
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """Session settings of the text operators: UTC and Arrow batches of bounded size."""
     prepare(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
 
@@ -73,8 +75,27 @@ def slices(lengths: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         yield start, len(lengths)
 
 
+_caches: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """What a worker keeps from task to task for one operator, until another one runs in it."""
+    _caches.append({})
+    return _caches[-1]
+
+
+def only(cache: dict | None = None) -> None:
+    """Drop what other operators keep in this worker: its memory counts against one executor, whatever ran before."""
+    others = [c for c in _caches if c and c is not cache]
+    for other in others:
+        other.clear()
+    if others:
+        give_back()
+
+
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) over a string column without nulls, no copy."""
+    only(_powers)
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
@@ -133,15 +154,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BASE = 0xD6E8FEB86659FD93
 _BACK = pow(_BASE, -1, 1 << 64)
 _BYTE = mix(np.arange(256, dtype=np.uint64))
-_powers: list[np.ndarray] = []
+_powers = worker_cache()
 
 
 def _power_tables(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, at least ``n`` of each."""
-    if not _powers or len(_powers[0]) < n:
+    if len(_powers.get(_BASE, ())) < n:
         size = max(n, SLICE_BYTES + 1)
-        _powers[:] = [np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, b, np.uint64)))) for b in (_BASE, _BACK)]
-    return _powers
+        _powers.update({b: np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, b, np.uint64)))) for b in (_BASE, _BACK)})
+    return [_powers[_BASE], _powers[_BACK]]
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -226,7 +226,7 @@ def grouped(spark, docs: DataFrame, classes: DataFrame, members: DataFrame, simi
     sketch = stored(classes.select("rep", "signature", "bands").join(near, F.col("rep") == F.col("doc_id"), "left_semi"), "dart-signatures")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     sets = stored(unit_sets(texts.join(near, "doc_id")), "dart-units")
-    stars = spark.createDataFrame([], "node long, component long")
+    stars = spark.range(0).select(F.col("id").alias("node"), F.col("id").alias("component"))
 
     def take(pairs: DataFrame) -> None:
         nonlocal stars

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.llm.common import give_back, ready, stored
+from tidewatch.llm.common import give_back, only, ready, stored, worker_cache
 from tidewatch.llm.units import UnitStore
 
 BUDGET = 2048
@@ -35,7 +35,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 # Units kept by a worker: what one holds beside the models of earlier stages counts against its executor.
 STORED_UNITS = 250_000
 
-_encoders: dict[str, tuple] = {}
+_encoders = worker_cache()
 
 
 def byte_ranks(tokenizer) -> dict[bytes, int]:
@@ -112,6 +112,7 @@ def pieces(docs: DataFrame, vocabulary: str, budget: int = BUDGET, end_id: int =
 
     def cut(batches):
         task, seen = TaskContext.get().partitionId(), {}
+        only(_encoders)
         for batch in batches:
             out = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "rank")}
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -208,9 +209,10 @@ def pack(docs: DataFrame, vocabulary: str, budget: int = BUDGET, end_id: int = E
     offsets = counts.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     # At most ``budget`` rows, whatever the input.
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    places = docs.sparkSession.createDataFrame(
-        slots(plan(histogram, budget)), "length long, _first long, _end long, _base long, offset long"
-    )
+    # From an Arrow table: from a list, Python processes of another kind would start on the executors and stay.
+    names = ("length", "_first", "_end", "_base", "offset")
+    found = np.array(slots(plan(histogram, budget)), np.int64).reshape(-1, len(names))
+    places = docs.sparkSession.createDataFrame(pa.table({name: found[:, i] for i, name in enumerate(names)}))
     ranked = cut.join(offsets, ["task", "length"]).withColumn("rank", F.col("rank") + F.col("_before"))
     # The places follow from the histogram, so their number is bounded by the budget as well.
     p, s = ranked.alias("p"), F.broadcast(places).alias("s")

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.llm.common import only, worker_cache
 from tidewatch.llm.units import UnitStore
 
 SPACE = "▁"
@@ -232,11 +233,12 @@ class Transducer:
         return [self.text(values[a:b].tolist()) if there else None for a, b, there in zip(edges, edges[1:], lists.is_valid().to_pylist())]
 
 
-_compiled: dict[str, Transducer] = {}
+_compiled = worker_cache()
 
 
 def transducer(path: str) -> Transducer:
     """The compiled model, once per worker."""
+    only(_compiled)
     if path not in _compiled:
         _compiled[path] = Transducer(path)
     return _compiled[path]
