@@ -227,3 +227,26 @@ def test_samples_share_the_engineered_rows(spark, monkeypatch):
     found = samples.derive_samples(spark, "/root/testdata/sf0.001")
     assert made == {"trailing_count": 1, "agent_sessions": 1}
     assert {"agent_queue_depth", "ml_model_accuracy", "ml_data_drift_score", "ml_feature_missing_rate"} <= {r[0] for r in found.select("metric").distinct().collect()}
+
+
+def test_windows_of_few_values_are_one_block_each(spark, monkeypatch):
+    """The totals of a window scan are as many as the windows, not as the values; a window above the limit is cut."""
+    from bisect import bisect_right
+
+    from tidewatch.operators import drift
+
+    totals, scan = [], drift.running
+    monkeypatch.setattr(
+        drift, "running", lambda df, keys, order, block, *a: totals.append((keys, df.select(*keys, block.alias("b")).distinct().count())) or scan(df, keys, order, block, *a)
+    )
+    ref = [float(i * 7 % 900 + 1) for i in range(400)]
+    cur = [(w, float((i * 37 + w * 11) % 1000 + 1)) for w in range(3) for i in range(300)]
+    reference = spark.createDataFrame([("f", v) for v in ref], "feature string, value double")
+    current = spark.createDataFrame([("f", w, v) for w, v in cur], "feature string, w long, value double")
+    for limit in (1000, 40):
+        got = {r.w: r.drift_score for r in drift.ks_windows(reference, current, "w", ["feature"], limit=limit).collect()}
+        for w in range(3):
+            mine, base = sorted(v for x, v in cur if x == w), sorted(ref)
+            share = lambda values, at: bisect_right(values, at) / len(values)
+            assert abs(got[w] - max(abs(share(mine, v) - share(base, v)) for v in [*mine, *base])) < 1e-12
+    assert [n for keys, n in totals if "w" in keys] == [3, 3]
